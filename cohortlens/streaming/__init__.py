@@ -1,0 +1,2 @@
+"""Incremental refresh of the per-customer metrics table (Structured
+Streaming ``foreachBatch``)."""
