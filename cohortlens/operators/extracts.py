@@ -6,12 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.dates import month_label
+from cohortlens.functions.dates import month_label, month_start
 from cohortlens.functions.lookups import COUNTRY_NAMES, REGION_DEFAULT, REGION_OF, lookup
 from cohortlens.functions.money import line_revenue, pct, round_half_up
 from cohortlens.functions.segments import segment_expr, segment_rank
 from cohortlens.functions.stats import mean
-from cohortlens.operators.cohorts import cohorts
 from cohortlens.operators.metrics import rfm_base
 from cohortlens.operators.scoring import quantile_scores, with_scores
 from cohortlens.session import stable
@@ -24,10 +23,12 @@ def rfm_pandas(customers: DataFrame, transactions: DataFrame, snapshot) -> DataF
     Base metrics and first purchase come from ONE aggregate over the
     transactions, and the result is frozen before the three scoring passes.
     """
-    base = rfm_base(transactions, snapshot)
-    first = cohorts(transactions).select("customer_id", "cohort_month", "cohort_quarter")
+    base = rfm_base(transactions, snapshot, with_first_purchase=True).select(
+        "customer_id", "last_purchase", "frequency", "monetary_value", "recency_days",
+        month_start("first_purchase").alias("cohort_month"),
+        F.quarter("first_purchase").alias("cohort_quarter"))
     attrs = customers.select("customer_id", "country", "acquisition_channel")
-    m = stable(base.join(attrs, "customer_id").join(first, "customer_id", "left"), "rfm_pandas")
+    m = stable(base.join(attrs, "customer_id"), "rfm_pandas")
     scored = with_scores(quantile_scores(m, freeze=False)).withColumn("segment", segment_expr())
     return scored.select(
         "customer_id", "last_purchase",

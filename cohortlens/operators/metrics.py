@@ -33,23 +33,29 @@ def with_revenue(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("revenue", line_revenue())
 
 
-def active_months() -> F.Column:
-    """COUNT(DISTINCT month) per group as the size of a set of month starts.
-
-    The set is bounded by the calendar span of the data, and unlike a second
-    DISTINCT aggregate it needs no Expand (which would duplicate every row)."""
-    return F.size(F.collect_set(month_start("transaction_date")))
-
-
 def transaction_aggregates(transactions: DataFrame, as_of=None) -> DataFrame:
     """Per customer: frequency (distinct transactions), last/first purchase,
-    recency, monetary value, active months."""
-    agg = transactions.groupBy("customer_id").agg(
+    recency, monetary value, distinct active months.
+
+    Two levels: lines first collapse to distinct (customer, transaction,
+    month) rows with their revenue and date range (a plain hash aggregate,
+    shuffled on all three keys, so a hot customer is spread out); the two
+    COUNT(DISTINCT)s then run on those far fewer rows.  Both counts stay
+    exact even if one transaction id spans several dates.
+    """
+    per_txn = transactions.groupBy(
+        "customer_id", "transaction_id", month_start("transaction_date").alias("_month")
+    ).agg(
+        F.sum(line_revenue()).alias("_rev"),
+        F.max("transaction_date").alias("_last"),
+        F.min("transaction_date").alias("_first"),
+    )
+    agg = per_txn.groupBy("customer_id").agg(
         F.count_distinct("transaction_id").alias("frequency"),
-        F.max("transaction_date").alias("last_purchase_date"),
-        F.sum(line_revenue()).alias("monetary_value"),
-        F.min("transaction_date").alias("first_purchase_date"),
-        active_months().alias("active_months"),
+        F.max("_last").alias("last_purchase_date"),
+        F.sum("_rev").alias("monetary_value"),
+        F.min("_first").alias("first_purchase_date"),
+        F.count_distinct("_month").alias("active_months"),
     )
     return agg.withColumn("recency_days", days_between(_as_of_col(as_of), "last_purchase_date"))
 
@@ -65,13 +71,16 @@ def customer_metrics(customers: DataFrame, transactions: DataFrame, as_of=None)
     )
 
 
-def rfm_base(transactions: DataFrame, snapshot) -> DataFrame:
+def rfm_base(transactions: DataFrame, snapshot, with_first_purchase: bool = False) -> DataFrame:
     """pandas-style RFM base from transactions alone: last purchase, ROW count
-    (not distinct) as frequency, revenue sum, recency against ``snapshot``."""
+    (not distinct) as frequency, revenue sum, recency against ``snapshot``
+    (and, on request, the first purchase from the same aggregate)."""
+    extra = [F.min("transaction_date").alias("first_purchase")] if with_first_purchase else []
     agg = transactions.groupBy("customer_id").agg(
         F.max("transaction_date").alias("last_purchase"),
         F.count(F.lit(1)).alias("frequency"),
         F.sum(line_revenue()).alias("monetary_value"),
+        *extra,
     )
     return agg.withColumn("recency_days", days_between(_as_of_col(snapshot), "last_purchase"))
 
@@ -82,4 +91,7 @@ def customer_ltv(transactions: DataFrame) -> DataFrame:
 
 
 def customer_active_months(transactions: DataFrame) -> DataFrame:
-    return transactions.groupBy("customer_id").agg(active_months().alias("active_months"))
+    """COUNT(DISTINCT month) per customer: distinct (customer, month) pairs
+    (partial aggregate, shuffled on both keys), then a count per customer."""
+    months = transactions.select("customer_id", month_start("transaction_date").alias("_m")).distinct()
+    return months.groupBy("customer_id").agg(F.count(F.lit(1)).alias("active_months"))

@@ -218,46 +218,72 @@ def global_ntile(df: DataFrame, n: int, order, out: str, tie=("customer_id",),
     return r.withColumn(out, ntile_of(F.col(RANK), F.col(TOTAL), n)).drop(RANK, TOTAL)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, tie=("customer_id",), total: int | None = None,
-                    buckets: int | None = None) -> list[float]:
+def _positions(total: int, probs):
+    """0-based (lower, upper, fraction) order statistics per probability."""
+    out = {}
+    for p in probs:
+        h = (total - 1) * Fraction(str(p))
+        lo = math.floor(h)
+        out[p] = (lo, min(lo + 1, total - 1), h - lo)
+    return out
+
+
+def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), total: int | None = None,
+                          buckets: int | None = None) -> dict[str, list[float]]:
     """Linearly interpolated quantiles (numpy/pandas default, SQL
-    ``quantile_cont``), exact.  Only the <= 2 * len(probs) order statistics
-    that are needed reach the driver."""
+    ``quantile_cont``), exact, for several non-null columns at once.  Each
+    column is ranked (distributed above the local limit); only the
+    <= 2 * len(probs) needed order statistics per column reach the driver,
+    all in one collect."""
     if total is None:
         total = df.count()
     if total == 0:
-        return []
-    wanted = {}
-    for p in probs:
-        h = (total - 1) * Fraction(str(p))
-        lo = math.floor(h)
-        hi = min(lo + 1, total - 1)
-        wanted[p] = (lo, hi, h - lo)
+        return {c: [] for c in cols}
+    wanted = _positions(total, probs)
     positions = sorted({x + 1 for lo, hi, _ in wanted.values() for x in (lo, hi)})
-    r = with_global_rank(df.where(F.col(col).isNotNull()), [col], tie=tie, total=total, buckets=buckets)
-    got = {row[0]: row[1] for row in r.where(F.col(RANK).isin(positions)).select(RANK, col).collect()}
-    edges = []
-    for p in probs:
-        lo, hi, frac = wanted[p]
-        a, b = float(got[lo + 1]), float(got[hi + 1])
-        edges.append(a if frac == 0 or a == b else a + (b - a) * float(frac))
-    return edges
+    parts = None
+    for c in cols:
+        r = with_global_rank(df, [c], tie=tie, total=total, buckets=buckets)
+        picked = r.where(F.col(RANK).isin(positions)).select(
+            F.lit(c).alias("_col"), F.col(RANK).alias("_pos"), F.col(c).cast("string").alias("_val"))
+        parts = picked if parts is None else parts.unionByName(picked)
+    got = {(row[0], row[1]): row[2] for row in parts.collect()}
+    out = {}
+    for c in cols:
+        edges = []
+        for p in probs:
+            lo, hi, frac = wanted[p]
+            # Values travel as text so DECIMAL keys keep every digit.
+            a, b = float(Decimal(got[(c, lo + 1)])), float(Decimal(got[(c, hi + 1)]))
+            edges.append(a if frac == 0 or a == b else a + (b - a) * float(frac))
+        out[c] = edges
+    return out
 
 
-def quantile_bucket(df: DataFrame, col: str, n: int, out: str, reverse: bool = False,
-                    tie=("customer_id",), total: int | None = None, buckets: int | None = None,
-                    source: DataFrame | None = None) -> DataFrame:
-    """Equal-frequency buckets by value (quantile cut with right-closed bins,
-    lowest included): bucket = 1 + #{interior edges < x}.  Tied edges leave
-    a bucket empty instead of failing.  ``reverse`` labels n..1."""
-    edges = exact_quantiles(df if source is None else source, col, [Fraction(i, n) for i in range(1, n)],
-                            tie=tie, total=total, buckets=buckets)
+def exact_quantiles(df: DataFrame, col: str, probs, tie=("customer_id",), total: int | None = None,
+                    buckets: int | None = None) -> list[float]:
+    return exact_quantiles_multi(df, [col], probs, tie=tie, total=total, buckets=buckets)[col]
+
+
+def bucket_by_edges(col: str, edges, n: int, reverse: bool = False) -> Column:
+    """1 + #{edges < x} (right-closed bins, lowest included); ``reverse``
+    labels n..1.  Tied edges leave a bucket empty instead of failing."""
     x = F.col(col).cast("double")
     b = F.lit(1)
     for e in edges:
         b = b + (x > F.lit(float(e))).cast("int")
     b = b.cast("int")
-    return df.withColumn(out, (F.lit(n + 1) - b).cast("int") if reverse else b)
+    return (F.lit(n + 1) - b).cast("int") if reverse else b
+
+
+def quantile_bucket(df: DataFrame, col: str, n: int, out: str, reverse: bool = False,
+                    tie=("customer_id",), total: int | None = None, buckets: int | None = None,
+                    source: DataFrame | None = None) -> DataFrame:
+    """Equal-frequency buckets by value (quantile cut): bucket = 1 + number
+    of interior quantile edges below x."""
+    edges = exact_quantiles(df if source is None else source, col, [Fraction(i, n) for i in range(1, n)],
+                            tie=tie, total=total, buckets=buckets)
+    return df.withColumn(out, bucket_by_edges(col, edges, n, reverse))
 
 
 def grouped_median(df: DataFrame, group: list[str], col: str, out: str = "median",

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.segments import segment_expr
-from cohortlens.operators.ranking import global_ntile, quantile_bucket
+from fractions import Fraction
+
+from cohortlens.operators.ranking import bucket_by_edges, exact_quantiles_multi, global_ntile
 from cohortlens.session import stable
 
 SCORES = ("r_score", "f_score", "m_score")
@@ -41,11 +43,13 @@ def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", fr
     """Equal-frequency buckets by value (ties stay together): recency labels
     reversed (n..1), frequency and monetary 1..n."""
     m = stable(metrics) if freeze else metrics
-    total = m.count()
-    out = quantile_bucket(m, "recency_days", n, "r_score", reverse=True, tie=(tie,), total=total, source=m)
-    out = quantile_bucket(out, "frequency", n, "f_score", tie=(tie,), total=total, source=m)
-    out = quantile_bucket(out, "monetary_value", n, "m_score", tie=(tie,), total=total, source=m)
-    return out
+    probs = [Fraction(i, n) for i in range(1, n)]
+    edges = exact_quantiles_multi(m, ["recency_days", "frequency", "monetary_value"], probs, tie=(tie,))
+    return m.withColumns({
+        "r_score": bucket_by_edges("recency_days", edges["recency_days"], n, reverse=True),
+        "f_score": bucket_by_edges("frequency", edges["frequency"], n),
+        "m_score": bucket_by_edges("monetary_value", edges["monetary_value"], n),
+    })
 
 
 def segmented(metrics: DataFrame, method: str = "ntile", n: int = 5) -> DataFrame:
