@@ -48,6 +48,11 @@ CTE["transactions"] = """transactions AS (
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey)"""
 
+CTE["tlean"] = """tlean AS (
+  SELECT l.l_orderkey AS transaction_id, o.o_custkey AS customer_id, l.l_partkey AS product_id,
+         CAST(o.o_orderdate AS DATE) AS transaction_date, CAST(l.l_quantity AS INTEGER) AS quantity
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
 CTE["lines"] = """lines AS (
   SELECT *, CAST(quantity * unit_price * (100 - COALESCE(discount_pct, 0)) * 0.01 AS DECIMAL(18,6)) AS revenue
   FROM transactions)"""
@@ -212,7 +217,7 @@ geo AS (
   FROM geo0 g LEFT JOIN georeg r USING (country))"""
 
 DEPS = {
-    "customers": [], "transactions": [], "lines": ["transactions"],
+    "customers": [], "transactions": [], "tlean": [], "lines": ["transactions"],
     "metrics": ["customers", "lines"], "scored": ["metrics"], "seg": ["scored"],
     "base": ["lines"], "edges": ["base"], "pscored": ["base", "edges"], "first": ["lines"],
     "prfm": ["pscored", "customers", "first"], "activity": ["lines"], "cohort_of": ["lines"],
@@ -259,20 +264,21 @@ SELECT transaction_id, customer_id, product_id,
 SELECT transaction_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(revenue AS DOUBLE) AS revenue FROM lines""")
 
-    q["constraint_audit"] = with_ctes(["customers", "transactions"], """
+    q["constraint_audit"] = with_ctes(["customers", "tlean"], """
 SELECT 'customers' AS table_name, 'primary_key:customer_id' AS rule, COUNT(*) - COUNT(DISTINCT customer_id) AS violations FROM customers
 UNION ALL SELECT 'customers', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM customers
 UNION ALL SELECT 'customers', 'not_null:country', COUNT(*) FILTER (WHERE country IS NULL) FROM customers
 UNION ALL SELECT 'customers', 'not_null:signup_date', COUNT(*) FILTER (WHERE signup_date IS NULL) FROM customers
-UNION ALL SELECT 'transactions', 'primary_key:transaction_id', COUNT(*) - COUNT(DISTINCT transaction_id) FROM transactions
-UNION ALL SELECT 'transactions', 'not_null:transaction_id', COUNT(*) FILTER (WHERE transaction_id IS NULL) FROM transactions
-UNION ALL SELECT 'transactions', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM transactions
-UNION ALL SELECT 'transactions', 'not_null:transaction_date', COUNT(*) FILTER (WHERE transaction_date IS NULL) FROM transactions
-UNION ALL SELECT 'transactions', 'not_null:quantity', COUNT(*) FILTER (WHERE quantity IS NULL) FROM transactions
-UNION ALL SELECT 'transactions', 'not_null:unit_price', COUNT(*) FILTER (WHERE unit_price IS NULL) FROM transactions
-UNION ALL SELECT 'transactions', 'check:quantity>0', COUNT(*) FILTER (WHERE NOT (quantity > 0)) FROM transactions
-UNION ALL SELECT 'transactions', 'foreign_key:customer_id', COUNT(*) FROM transactions t
-    WHERE t.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = t.customer_id)""")
+UNION ALL SELECT 'transactions', 'primary_key:transaction_id', COUNT(*) - COUNT(DISTINCT transaction_id) FROM tlean
+UNION ALL SELECT 'transactions', 'not_null:transaction_id', COUNT(*) FILTER (WHERE transaction_id IS NULL) FROM tlean
+UNION ALL SELECT 'transactions', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM tlean
+UNION ALL SELECT 'transactions', 'not_null:transaction_date', COUNT(*) FILTER (WHERE transaction_date IS NULL) FROM tlean
+UNION ALL SELECT 'transactions', 'not_null:quantity', COUNT(*) FILTER (WHERE quantity IS NULL) FROM tlean
+UNION ALL SELECT 'transactions', 'check:quantity>0', COUNT(*) FILTER (WHERE NOT (quantity > 0)) FROM tlean
+UNION ALL SELECT 'transactions', 'foreign_key:customer_id', COUNT(*) FROM tlean t
+    WHERE t.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = t.customer_id)
+UNION ALL SELECT 'transactions', 'foreign_key:product_id', COUNT(*) FROM tlean t
+    WHERE t.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = t.product_id)""")
 
     q["load_report"] = with_ctes(["transactions", "customers"], """
 SELECT COUNT(*) AS transactions, COUNT(DISTINCT t.customer_id) AS customers,

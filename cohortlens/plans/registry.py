@@ -40,6 +40,11 @@ def _t(spark, d):
     return driver.transactions(spark, d)
 
 
+def _tw(spark, d):
+    """Who bought when: no product attributes needed."""
+    return driver.transactions(spark, d, with_product=False)
+
+
 def _metrics(spark, d):
     return metrics.customer_metrics(_c(spark, d), _t(spark, d), AS_OF)
 
@@ -55,7 +60,7 @@ def _prfm(spark, d):
 
 
 def _matrix(spark, d):
-    return cohorts.cohort_matrix(_t(spark, d))
+    return cohorts.cohort_matrix(_tw(spark, d))
 
 
 def _geo(spark, d):
@@ -103,11 +108,12 @@ def q_line_revenue(spark, d):
 
 
 def q_constraint_audit(spark, d):
-    return audit_mod.audit({"customers": _c(spark, d), "transactions": _t(spark, d)})
+    return audit_mod.audit({"customers": _c(spark, d), "transactions": _tw(spark, d),
+                            "products": driver.products(spark, d)})
 
 
 def q_load_report(spark, d):
-    return sinks.load_report(driver.transactions_with_country(spark, d))
+    return sinks.load_report(_tw(spark, d), _c(spark, d))
 
 
 # ---- customer metrics --------------------------------------------------------
@@ -122,7 +128,7 @@ def q_customer_metrics(spark, d):
 
 
 def q_active_months(spark, d):
-    return metrics.customer_active_months(_t(spark, d)).select(
+    return metrics.customer_active_months(_tw(spark, d)).select(
         "customer_id", F.col("active_months").cast("int").alias("active_months"))
 
 
@@ -219,31 +225,31 @@ def q_at_risk_kpis(spark, d):
 # ---- cohorts -----------------------------------------------------------------
 
 def q_cohorts(spark, d):
-    return cohorts.cohorts(_t(spark, d)).select(
+    return cohorts.cohorts(_tw(spark, d)).select(
         "customer_id", "cohort_month", F.col("cohort_quarter").cast("int").alias("cohort_quarter"),
         F.col("cohort_year").cast("int").alias("cohort_year"))
 
 
 def q_customer_activity(spark, d):
-    return cohorts.customer_activity(_t(spark, d))
+    return cohorts.customer_activity(_tw(spark, d))
 
 
 def q_cohort_activity(spark, d):
-    return cohorts.cohort_activity(_t(spark, d)).select(
+    return cohorts.cohort_activity(_tw(spark, d)).select(
         "customer_id", "cohort_month", F.col("cohort_quarter").cast("int").alias("cohort_quarter"),
         F.col("cohort_year").cast("int").alias("cohort_year"), "activity_month", "month_number")
 
 
 def q_cohort_sizes(spark, d):
-    return cohorts.cohort_sizes(_t(spark, d))
+    return cohorts.cohort_sizes(_tw(spark, d))
 
 
 def q_retention_counts(spark, d):
-    return cohorts.retention_counts(_t(spark, d))
+    return cohorts.retention_counts(_tw(spark, d))
 
 
 def q_cohort_retention(spark, d):
-    return cohorts.cohort_retention(_t(spark, d))
+    return cohorts.cohort_retention(_tw(spark, d))
 
 
 def q_cohort_matrix(spark, d):
@@ -267,7 +273,7 @@ def q_avg_month3_retention(spark, d):
 
 
 def q_txn_with_cohort(spark, d):
-    return cohorts.transactions_with_cohort(_t(spark, d))
+    return cohorts.transactions_with_cohort(_tw(spark, d))
 
 
 def q_retention_curve(spark, d):
@@ -289,11 +295,11 @@ def q_q4_q1_ratio(spark, d):
 
 
 def q_month3_active(spark, d):
-    return churn.month3_active(_t(spark, d))
+    return churn.month3_active(_tw(spark, d))
 
 
 def q_month3_churn(spark, d):
-    return churn.month3_churn(_c(spark, d), _t(spark, d))
+    return churn.month3_churn(_c(spark, d), _tw(spark, d))
 
 
 # ---- extracts and sheets -----------------------------------------------------

@@ -19,7 +19,8 @@ RULES = {
                      "not_null": ["transaction_id", "customer_id", "transaction_date", "quantity", "unit_price"],
                      "checks": {"quantity>0": "quantity > 0"}},
 }
-FOREIGN_KEYS = [("transactions", "customer_id", "customers", "customer_id")]
+FOREIGN_KEYS = [("transactions", "customer_id", "customers", "customer_id"),
+                ("transactions", "product_id", "products", "product_id")]
 
 
 def table_audit(df: DataFrame, table: str, primary_key=None, not_null=(), checks=None) -> DataFrame:

@@ -55,22 +55,60 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain transactions (lineitem x orders x part)."""
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
+def spread_input(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has task
+    slots (e.g. a file written as one row group, which Parquet cannot split).
+
+    On real inputs the scan already has many splits and this is a no-op, so
+    no shuffle is added at scale; the hash partitioning is deterministic, so
+    a retried task sees the same rows.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
+
+
+def transactions(spark: SparkSession, sf_dir: str, with_product: bool = True) -> DataFrame:
+    """Line-grain transactions: lineitem x part x orders.
+
+    ``part`` is joined first and ``orders`` last, so the result is
+    hash-partitioned by the order key (= transaction_id) whenever the joins
+    shuffle; a following aggregate keyed by (customer, transaction, ...) then
+    needs no extra exchange of line-grain rows.
+
+    ``with_product=False`` leaves out the product attributes (unit_price,
+    category) and with them the part join: analyses that only look at who
+    bought when (cohorts, activity, month-3 window) read lineitem x orders.
+    Every line references an existing product (a declared foreign key,
+    checked by the constraint audit), so the rows are the same.
+    """
+    li = spread_input(
+        _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount"),
+        "l_orderkey")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
-    t = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    return t.select(
+    cols = [
         F.col("l_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-        F.round(F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct"),
-        F.col("p_type").alias("category"),
-    )
+    ]
+    if with_product:
+        p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+        li = li.join(p, li.l_partkey == p.p_partkey)
+        cols += [F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price")]
+    t = li.join(o, li.l_orderkey == o.o_orderkey)
+    cols += [F.round(F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct")]
+    if with_product:
+        cols += [F.col("p_type").alias("category")]
+    return t.select(*cols)
+
+
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    return p.select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"),
+                    F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
 
 
 def transactions_with_country(spark: SparkSession, sf_dir: str) -> DataFrame:

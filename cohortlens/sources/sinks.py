@@ -44,11 +44,16 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     return snap.where(F.col("as_of") == F.lit(newest)).drop("as_of")
 
 
-def load_report(transactions_with_country: DataFrame) -> DataFrame:
-    """Lines, distinct customers and distinct countries (one row)."""
-    return transactions_with_country.agg(
-        F.count(F.lit(1)).alias("transactions"),
-        F.count_distinct("customer_id").alias("customers"),
+def load_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:
+    """Lines, distinct buying customers and their distinct countries (one
+    row).  Lines are counted per customer first (partial aggregate), so the
+    distinct counts run on customer-grain rows and the line table is never
+    expanded or joined."""
+    per_customer = transactions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
+    joined = per_customer.join(customers.select("customer_id", "country"), "customer_id")
+    return joined.agg(
+        F.sum("_n").alias("transactions"),
+        F.count(F.lit(1)).alias("customers"),
         F.count_distinct("country").alias("countries"),
     )
 
