@@ -13,7 +13,7 @@ from cohortlens.functions.segments import segment_expr, segment_rank
 from cohortlens.functions.stats import mean
 from cohortlens.operators.metrics import rfm_base
 from cohortlens.operators.scoring import quantile_scores, with_scores
-from cohortlens.session import stable
+from cohortlens.session import stable_counted
 
 
 def rfm_pandas(customers: DataFrame, transactions: DataFrame, snapshot) -> DataFrame:
@@ -28,8 +28,8 @@ def rfm_pandas(customers: DataFrame, transactions: DataFrame, snapshot) -> DataF
         month_start("first_purchase").alias("cohort_month"),
         F.quarter("first_purchase").alias("cohort_quarter"))
     attrs = customers.select("customer_id", "country", "acquisition_channel")
-    m = stable(base.join(attrs, "customer_id"), "rfm_pandas")
-    scored = with_scores(quantile_scores(m, freeze=False)).withColumn("segment", segment_expr())
+    m, total = stable_counted(base.join(attrs, "customer_id"), "rfm_pandas")
+    scored = with_scores(quantile_scores(m, freeze=False, total=total)).withColumn("segment", segment_expr())
     return scored.select(
         "customer_id", "last_purchase",
         F.col("frequency").cast("long").alias("frequency"),

@@ -35,15 +35,15 @@ def customer_acquisition_ltv(transactions: DataFrame) -> DataFrame:
 def quarter_ltv(transactions: DataFrame) -> DataFrame:
     """Per (quarter, year): cohort size, mean / median / total LTV and the LTV
     index (mean over the unweighted mean of quarter means)."""
-    from cohortlens.session import stable
-    per_customer = stable(customer_acquisition_ltv(transactions), "acq_ltv")
+    from cohortlens.session import stable_counted
+    per_customer, total = stable_counted(customer_acquisition_ltv(transactions), "acq_ltv")
     keys = ["acq_quarter", "acq_year"]
     g = per_customer.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cohort_size"),
         mean("ltv").alias("_avg"),
         F.sum("ltv").alias("_sum"),
     )
-    med = grouped_median(per_customer, keys, "ltv", "_median")
+    med = grouped_median(per_customer, keys, "ltv", "_median", total=total)
     g = g.join(med, keys, "left")
     index = F.col("_avg") / F.avg("_avg").over(Window.partitionBy())
     return g.select(

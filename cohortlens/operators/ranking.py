@@ -287,10 +287,13 @@ def quantile_bucket(df: DataFrame, col: str, n: int, out: str, reverse: bool = F
 
 
 def grouped_median(df: DataFrame, group: list[str], col: str, out: str = "median",
-                   tie=("customer_id",), buckets: int | None = None) -> DataFrame:
+                   tie=("customer_id",), buckets: int | None = None, total: int | None = None) -> DataFrame:
     """Exact median per group, distributed: rank within group, keep the one
     or two middle rows, average them.  No group is gathered into one task."""
-    r = with_global_rank(df.where(F.col(col).isNotNull()), [col], tie=tie, buckets=buckets, group=group)
+    # ``total`` (all rows) only picks local vs distributed; per-group sizes
+    # come from the rank itself.
+    r = with_global_rank(df.where(F.col(col).isNotNull()), [col], tie=tie, buckets=buckets, group=group,
+                         total=total)
     lower = F.floor((F.col(TOTAL) + 1) / 2)
     upper = F.floor(F.col(TOTAL) / 2) + 1
     mid = r.where((F.col(RANK) == lower) | (F.col(RANK) == upper))

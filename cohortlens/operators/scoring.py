@@ -15,7 +15,7 @@ from cohortlens.functions.segments import segment_expr
 from fractions import Fraction
 
 from cohortlens.operators.ranking import bucket_by_edges, exact_quantiles_multi, global_ntile
-from cohortlens.session import stable
+from cohortlens.session import stable_counted
 
 SCORES = ("r_score", "f_score", "m_score")
 
@@ -28,23 +28,31 @@ def with_scores(df: DataFrame) -> DataFrame:
     })
 
 
-def ntile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True) -> DataFrame:
+def _frozen(metrics: DataFrame, freeze: bool, total: int | None):
+    if freeze:
+        return stable_counted(metrics, "scores")
+    return metrics, (metrics.count() if total is None else total)
+
+
+def ntile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True,
+                 total: int | None = None) -> DataFrame:
     """r = NTILE(n) by recency DESC, f = by frequency ASC, m = by monetary
     ASC; ties broken by ``tie`` ascending (deterministic)."""
-    m = stable(metrics) if freeze else metrics
-    total = m.count()
+    m, total = _frozen(metrics, freeze, total)
     out = global_ntile(m, n, [("recency_days", True)], "r_score", tie=(tie,), total=total, source=m)
     out = global_ntile(out, n, ["frequency"], "f_score", tie=(tie,), total=total, source=m)
     out = global_ntile(out, n, ["monetary_value"], "m_score", tie=(tie,), total=total, source=m)
     return out
 
 
-def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True) -> DataFrame:
+def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True,
+                    total: int | None = None) -> DataFrame:
     """Equal-frequency buckets by value (ties stay together): recency labels
     reversed (n..1), frequency and monetary 1..n."""
-    m = stable(metrics) if freeze else metrics
+    m, total = _frozen(metrics, freeze, total)
     probs = [Fraction(i, n) for i in range(1, n)]
-    edges = exact_quantiles_multi(m, ["recency_days", "frequency", "monetary_value"], probs, tie=(tie,))
+    edges = exact_quantiles_multi(m, ["recency_days", "frequency", "monetary_value"], probs, tie=(tie,),
+                                  total=total)
     return m.withColumns({
         "r_score": bucket_by_edges("recency_days", edges["recency_days"], n, reverse=True),
         "f_score": bucket_by_edges("frequency", edges["frequency"], n),

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from cohortlens.functions.dates import days_between, month_label, month_number, month_start, parse_month
 from cohortlens.functions.money import line_revenue, round_half_up
 from cohortlens.operators import churn, cohorts, extracts, ltv, metrics, ranking, scoring, segments, sheets
-from cohortlens.session import checkpoint_dir, stable
+from cohortlens.session import checkpoint_dir, stable_counted
 from cohortlens.sources import audit as audit_mod
 from cohortlens.sources import defaults, driver, files, sinks
 
@@ -146,8 +146,8 @@ def q_customer_ltv(spark, d):
 # ---- scoring -----------------------------------------------------------------
 
 def _ntile_one(spark, d, col, desc, out):
-    m = stable(_metrics(spark, d), "metrics")
-    r = ranking.global_ntile(m, 5, [(col, desc)], out, total=m.count())
+    m, n = stable_counted(_metrics(spark, d), "metrics")
+    r = ranking.global_ntile(m, 5, [(col, desc)], out, total=n)
     val = F.col(col).cast("double").alias(col) if col == "monetary_value" else F.col(col)
     return r.select("customer_id", val, out)
 
@@ -165,8 +165,8 @@ def q_ntile_monetary(spark, d):
 
 
 def _qcut_one(spark, d, col, reverse, out):
-    b = stable(metrics.rfm_base(_t(spark, d), AS_OF), "rfm_base")
-    r = ranking.quantile_bucket(b, col, 5, out, reverse=reverse, total=b.count())
+    b, n = stable_counted(metrics.rfm_base(_t(spark, d), AS_OF), "rfm_base")
+    r = ranking.quantile_bucket(b, col, 5, out, reverse=reverse, total=n)
     val = F.col(col).cast("double").alias(col) if col == "monetary_value" else F.col(col)
     return r.select("customer_id", val, out)
 

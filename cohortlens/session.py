@@ -12,7 +12,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,6 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def stable(df: DataFrame, name: str = "stage") -> DataFrame:
+    return stable_counted(df, name)[0]
+
+
+def stable_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     """Freeze ``df`` as a Parquet table under the shared checkpoint folder.
 
     Used before a result is read several times (ranking passes read the
@@ -69,10 +74,12 @@ def stable(df: DataFrame, name: str = "stage") -> DataFrame:
     aggregation run exactly once and later reads survive executor loss.  A
     written table is computed once (a reliable RDD checkpoint of an
     unpersisted plan computes it twice) and reads back with size statistics
-    and column pruning.
+    and column pruning.  Returns the re-read table and its row count.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/cohortlens/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"rows-{uuid.uuid4().hex}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    # The row count is observed during the write: no second pass.
+    return spark.read.parquet(path), int(obs.get["rows"])

@@ -1,2 +1,6 @@
-"""Incremental refresh of the per-customer metrics table (Structured
-Streaming ``foreachBatch``)."""
+"""Streaming: intentionally empty.
+
+The analyses are batch computations over the full history (the reference
+has no stream, watermark or state); keeping the metrics table fresh is a
+batch refresh into versioned snapshot partitions (``sources.sinks.refresh``).
+"""
