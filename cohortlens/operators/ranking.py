@@ -75,22 +75,32 @@ def _ordering(spec) -> list[Column]:
     return [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in spec]
 
 
-def _sample_splits(df: DataFrame, spec, buckets: int, total: int) -> tuple[list[tuple], list]:
+def sample_keys(df: DataFrame, columns, total: int, buckets: int | None = None) -> list[dict]:
+    """One bounded Bernoulli sample (about ``SAMPLE_PER_BUCKET`` rows per
+    bucket) of the given columns, rows with a NULL in them left out.  Several
+    rankings of the same table share it, so the table is scanned once for
+    all of their split points."""
+    buckets = buckets or _default_buckets(df)
+    columns = list(dict.fromkeys(columns))
+    if total <= 1:
+        return []
+    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / float(total))
+    keyed = df.select(*columns).dropna(subset=columns)
+    if fraction < 1.0:
+        keyed = keyed.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
+    return [r.asDict() for r in keyed.collect()]
+
+
+def _sample_splits(df: DataFrame, spec, buckets: int, total: int, sample=None) -> tuple[list[tuple], list]:
     """Sorted split tuples (at most ``buckets - 1``) from a bounded sample."""
-    keys = _key_exprs(spec)
-    names = [f"_k{i}" for i in range(len(keys))]
-    keyed = df.select(*[k.alias(n) for k, n in zip(keys, names)])
-    dtypes = [f.dataType for f in keyed.schema.fields]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    dtypes = [types[c] for c, _ in spec]
     if buckets <= 1 or total <= 1:
         return [], dtypes
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / float(total))
-    not_null = F.lit(True)
-    for n in names:
-        not_null = not_null & F.col(n).isNotNull()
-    sample = keyed.where(not_null)
-    if fraction < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-    rows = sorted(tuple(r) for r in sample.collect())
+    if sample is None:
+        sample = sample_keys(df, [c for c, _ in spec], total, buckets)
+    # Descending numeric keys are compared negated (see ``_key_exprs``).
+    rows = sorted(tuple(-r[c] if desc else r[c] for c, desc in spec) for r in sample)
     if not rows:
         return [], dtypes
     picks = []
@@ -150,7 +160,7 @@ def _bucket_expr(spec, splits: list[tuple], dtypes) -> Column:
 
 def with_global_rank(df: DataFrame, order, tie=("customer_id",), total: int | None = None,
                      buckets: int | None = None, group: list[str] | tuple = (),
-                     source: DataFrame | None = None) -> DataFrame:
+                     source: DataFrame | None = None, sample: list[dict] | None = None) -> DataFrame:
     """Add ``_rank`` (1-based position in ``order`` + ``tie``) and ``_total``.
 
     ``source``: a frame with the same rows and key columns as ``df`` that is
@@ -174,7 +184,7 @@ def with_global_rank(df: DataFrame, order, tie=("customer_id",), total: int | No
         return (df.withColumn(RANK, F.row_number().over(w).cast("long"))
                   .withColumn(TOTAL, F.count(F.lit(1)).over(Window.partitionBy(*group))))
     buckets = buckets or _default_buckets(df)
-    splits, dtypes = _sample_splits(src, spec, buckets, total)
+    splits, dtypes = _sample_splits(src, spec, buckets, total, sample)
     bucket = _bucket_expr(spec, splits, dtypes)
     b = df.withColumn(_BKT, bucket)
 
@@ -212,9 +222,9 @@ def ntile_of(rank: Column, total: Column, n: int) -> Column:
 
 def global_ntile(df: DataFrame, n: int, order, out: str, tie=("customer_id",),
                  total: int | None = None, buckets: int | None = None,
-                 source: DataFrame | None = None) -> DataFrame:
+                 source: DataFrame | None = None, sample: list[dict] | None = None) -> DataFrame:
     """``NTILE(n) OVER (ORDER BY order, tie)`` computed distributed."""
-    r = with_global_rank(df, order, tie=tie, total=total, buckets=buckets, source=source)
+    r = with_global_rank(df, order, tie=tie, total=total, buckets=buckets, source=source, sample=sample)
     return r.withColumn(out, ntile_of(F.col(RANK), F.col(TOTAL), n)).drop(RANK, TOTAL)
 
 
@@ -241,9 +251,12 @@ def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), tota
         return {c: [] for c in cols}
     wanted = _positions(total, probs)
     positions = sorted({x + 1 for lo, hi, _ in wanted.values() for x in (lo, hi)})
+    sample = None
+    if total > local_limit(df):
+        sample = sample_keys(df, list(cols) + list(tie), total, buckets)
     parts = None
     for c in cols:
-        r = with_global_rank(df, [c], tie=tie, total=total, buckets=buckets)
+        r = with_global_rank(df, [c], tie=tie, total=total, buckets=buckets, sample=sample)
         picked = r.where(F.col(RANK).isin(positions)).select(
             F.lit(c).alias("_col"), F.col(RANK).alias("_pos"), F.col(c).cast("string").alias("_val"))
         parts = picked if parts is None else parts.unionByName(picked)

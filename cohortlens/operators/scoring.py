@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from cohortlens.functions.segments import segment_expr
 from fractions import Fraction
 
-from cohortlens.operators.ranking import bucket_by_edges, exact_quantiles_multi, global_ntile
+from cohortlens.operators.ranking import (bucket_by_edges, exact_quantiles_multi, global_ntile, local_limit,
+                                          sample_keys)
 from cohortlens.session import stable_counted
 
 SCORES = ("r_score", "f_score", "m_score")
@@ -39,9 +40,12 @@ def ntile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freez
     """r = NTILE(n) by recency DESC, f = by frequency ASC, m = by monetary
     ASC; ties broken by ``tie`` ascending (deterministic)."""
     m, total = _frozen(metrics, freeze, total)
-    out = global_ntile(m, n, [("recency_days", True)], "r_score", tie=(tie,), total=total, source=m)
-    out = global_ntile(out, n, ["frequency"], "f_score", tie=(tie,), total=total, source=m)
-    out = global_ntile(out, n, ["monetary_value"], "m_score", tie=(tie,), total=total, source=m)
+    keys = ["recency_days", "frequency", "monetary_value"]
+    # One shared key sample for the three distributed rankings.
+    sample = sample_keys(m, keys + [tie], total) if total > local_limit(m) else None
+    out = global_ntile(m, n, [("recency_days", True)], "r_score", tie=(tie,), total=total, source=m, sample=sample)
+    out = global_ntile(out, n, ["frequency"], "f_score", tie=(tie,), total=total, source=m, sample=sample)
+    out = global_ntile(out, n, ["monetary_value"], "m_score", tie=(tie,), total=total, source=m, sample=sample)
     return out
 
 

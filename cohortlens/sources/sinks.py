@@ -61,6 +61,8 @@ def load_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:
 def observed_count(df: DataFrame, name: str):
     """Attach a row-count observation to a sink path (no second pass): the
     metric is read from ``observation.get`` after the write action."""
+    import uuid
+
     from pyspark.sql import Observation
-    obs = Observation(name)
+    obs = Observation(f"{name}-{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
