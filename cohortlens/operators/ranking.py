@@ -141,21 +141,46 @@ def _split_below(split: tuple, keys: list[str], dtypes) -> str:
     return expr
 
 
-def _bucket_expr(spec, splits: list[tuple], dtypes) -> Column:
-    """Number of splits below the key: a balanced CASE tree, sent to the JVM
-    as one SQL expression (log2 B comparisons per row)."""
-    keys = _key_sql(spec)
+CASE_TREE_MAX_SPLITS = 127
+
 
-    def build(lo: int, hi: int) -> str:
-        if lo >= hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN {_split_below(splits[mid], keys, dtypes)} "
-                f"THEN {build(mid + 1, hi)} ELSE {build(lo, mid)} END")
+def _bucket_expr(spec, splits: list[tuple], dtypes, force: str | None = None) -> Column:
+    """Number of splits below the key.
 
+    Up to ``CASE_TREE_MAX_SPLITS`` splits: a balanced CASE tree (log2 B
+    comparisons per row, compiled by whole-stage codegen).  Beyond that the
+    tree would outgrow a JVM method, so a branchless binary search runs over
+    a sorted array literal of split structs (``aggregate`` over the
+    power-of-two steps; log2 B struct comparisons per row, any B).
+    Both are sent to the JVM as one SQL expression.
+    """
+    keys = _key_sql(spec)
     any_null = " OR ".join(f"{k} IS NULL" for k in keys)
+    n = len(splits)
+    use_tree = n <= CASE_TREE_MAX_SPLITS if force is None else force == "tree"
+    if use_tree:
+        def build(lo: int, hi: int) -> str:
+            if lo >= hi:
+                return str(lo)
+            mid = (lo + hi) // 2
+            return (f"CASE WHEN {_split_below(splits[mid], keys, dtypes)} "
+                    f"THEN {build(mid + 1, hi)} ELSE {build(lo, mid)} END")
+        found = build(0, n)
+    else:
+        def struct(values) -> str:
+            return "named_struct(" + ", ".join(f"'k{i}', {v}" for i, v in enumerate(values)) + ")"
+        arr = "array(" + ", ".join(struct(_sql_lit(v, dtypes[i]) for i, v in enumerate(t)) for t in splits) + ")"
+        key = struct(keys)
+        steps = []
+        step = 1
+        while step <= n:
+            steps.append(step)
+            step *= 2
+        steps = ", ".join(str(x) for x in reversed(steps))
+        found = (f"aggregate(array({steps}), 0, (acc, st) -> IF(acc + st <= {n} AND "
+                 f"try_element_at({arr}, acc + st) < {key}, acc + st, acc))")
     # NULL keys sort last (asc_nulls_last / desc_nulls_last): last bucket.
-    return F.expr(f"CASE WHEN {any_null} THEN {len(splits)} ELSE {build(0, len(splits))} END")
+    return F.expr(f"CASE WHEN {any_null} THEN {n} ELSE {found} END")
 
 
 def with_global_rank(df: DataFrame, order, tie=("customer_id",), total: int | None = None,

@@ -85,3 +85,12 @@ def test_distributed_plan_has_no_global_window(spark, local_limit):
         .executedPlan().toString()
     assert "ntile" not in plan.lower()
     assert "Python" not in plan
+
+
+def test_case_tree_equals_binary_search(spark):
+    df = _frame(spark, 5000)
+    for spec in ([("freq", False), ("customer_id", False)], [("rec", True), ("customer_id", False)]):
+        splits, dtypes = ranking._sample_splits(df, spec, 40, 5000)
+        tree = ranking._bucket_expr(spec, splits, dtypes, force="tree")
+        search = ranking._bucket_expr(spec, splits, dtypes, force="search")
+        assert df.where(tree != search).count() == 0
