@@ -324,10 +324,23 @@ def quantile_bucket(df: DataFrame, col: str, n: int, out: str, reverse: bool = F
     return df.withColumn(out, bucket_by_edges(col, edges, n, reverse))
 
 
+def approx_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000) -> dict[str, list[float]]:
+    """Opt-in approximate edges: ``percentile_approx`` keeps a bounded
+    sketch per task (O(accuracy) entries) and merges sketches, so memory
+    does not grow with the data.  One aggregate for all columns."""
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c) for c in cols]).first()
+    return {c: [float(v) for v in (row[c] or [])] for c in cols}
+
+
 def grouped_median(df: DataFrame, group: list[str], col: str, out: str = "median",
-                   tie=("customer_id",), buckets: int | None = None, total: int | None = None) -> DataFrame:
+                   tie=("customer_id",), buckets: int | None = None, total: int | None = None,
+                   approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Exact median per group, distributed: rank within group, keep the one
     or two middle rows, average them.  No group is gathered into one task."""
+    if approx:
+        # Bounded sketch per group instead of the exact rank.
+        return df.groupBy(*group).agg(F.percentile_approx(F.col(col).cast("double"), 0.5, accuracy).alias(out))
     # ``total`` (all rows) only picks local vs distributed; per-group sizes
     # come from the rank itself.
     r = with_global_rank(df.where(F.col(col).isNotNull()), [col], tie=tie, buckets=buckets, group=group,

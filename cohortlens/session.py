@@ -26,6 +26,23 @@ _DEFAULT_CONF = {
 }
 
 
+# Settings we would start a 100 TB run with (cluster sessions are built by
+# the operator; these are the knobs the plans rely on).  Shuffle partitions
+# are set high and AQE coalesces them to ~256 MB; skewed join partitions are
+# split at run time; a side is broadcast only under the size threshold.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.ui.enabled": "false",
+}
+
+
 def build_session(master: str | None = None, cpus: int | None = None,
                   shuffle_partitions: int | None = None,
                   app_name: str = "cohortlens", extra: dict | None = None) -> SparkSession:

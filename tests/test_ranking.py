@@ -94,3 +94,13 @@ def test_case_tree_equals_binary_search(spark):
         tree = ranking._bucket_expr(spec, splits, dtypes, force="tree")
         search = ranking._bucket_expr(spec, splits, dtypes, force="search")
         assert df.where(tree != search).count() == 0
+
+
+def test_approx_options_close_to_exact(spark):
+    rows = [(i, i % 4, float((i * 37) % 1000)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "customer_id long, g int, v double")
+    exact = {r.g: r.m for r in ranking.grouped_median(df, ["g"], "v", "m").collect()}
+    approx = {r.g: r.m for r in ranking.grouped_median(df, ["g"], "v", "m", approx=True).collect()}
+    assert all(abs(exact[g] - approx[g]) <= 2.0 for g in exact)
+    q = ranking.approx_quantiles(df, ["v"], [0.2, 0.8])["v"]
+    assert abs(q[0] - 200) < 5 and abs(q[1] - 800) < 5
