@@ -27,6 +27,7 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from cohortlens import build_session
+    from cohortlens.session import drop_stable_tables
     from cohortlens.plans import queries
 
     spark = build_session(cpus=cpus)
@@ -54,6 +55,7 @@ def main() -> None:
         "spark": spark.version,
         "reps": reps,
     }))
+    drop_stable_tables(spark)
     spark.stop()
 
 

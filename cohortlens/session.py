@@ -100,3 +100,14 @@ def stable_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     # The row count is observed during the write: no second pass.
     return spark.read.parquet(path), int(obs.get["rows"])
+
+
+def drop_stable_tables(spark: SparkSession) -> None:
+    """Delete the tables ``stable()`` wrote for this application (call at
+    the end of a job, once no DataFrame built on them is used any more)."""
+    base = checkpoint_dir(spark).rstrip("/") + "/cohortlens"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
