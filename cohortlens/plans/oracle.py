@@ -206,7 +206,7 @@ CTE["geo"] = f"""geo0 AS (
          {rnd(mean('monetary_value'), 2)} AS avg_ltv,
          {rnd(mean('recency_days'), 2)} AS avg_recency,
          {rnd(mean('frequency'), 2)} AS avg_frequency,
-         SUM(CASE WHEN segment = 'Champion' THEN 1 ELSE 0 END) AS champion_count
+         CAST(SUM(CASE WHEN segment = 'Champion' THEN 1 ELSE 0 END) AS BIGINT) AS champion_count
   FROM prfm WHERE country IS NOT NULL GROUP BY country),
 georeg AS (SELECT DISTINCT country, region FROM customers),
 geo AS (
@@ -451,7 +451,7 @@ SELECT country, region, total_revenue, avg_ltv, customers,
        CASE WHEN ROW_NUMBER() OVER (ORDER BY total_revenue DESC, country) <= 10 THEN country END AS label
 FROM geo""")
     q["region_revenue"] = with_ctes(["geo"], f"""
-SELECT region, {rnd('SUM(total_revenue)', 2)} AS total_revenue, SUM(customers) AS customers,
+SELECT region, {rnd('SUM(total_revenue)', 2)} AS total_revenue, CAST(SUM(customers) AS BIGINT) AS customers,
        {pct('SUM(total_revenue)', 'SUM(SUM(total_revenue)) OVER ()')} AS pct_revenue
 FROM geo GROUP BY region""")
 
@@ -468,7 +468,7 @@ FROM prfm GROUP BY segment""")
 SELECT {rnd("COALESCE(SUM(CASE WHEN segment = 'Champion' THEN monetary_value END), 0)", 2)} AS champion_revenue,
        {rnd('SUM(monetary_value)', 2)} AS total_revenue,
        {pct("COALESCE(SUM(CASE WHEN segment = 'Champion' THEN monetary_value END), 0)", 'SUM(monetary_value)')} AS champion_revenue_pct,
-       SUM(CASE WHEN segment = 'Champion' THEN 1 ELSE 0 END) AS champion_customers
+       CAST(SUM(CASE WHEN segment = 'Champion' THEN 1 ELSE 0 END) AS BIGINT) AS champion_customers
 FROM prfm""")
     q["ltv_tiers"] = with_ctes(["prfm"], f"""
 SELECT CASE WHEN monetary_value > 1000000 THEN 'High' WHEN monetary_value > 500000 THEN 'Mid' ELSE 'Low' END AS ltv_tier,

@@ -63,8 +63,12 @@ def spread_input(df: DataFrame, key: str) -> DataFrame:
     no shuffle is added at scale; the hash partitioning is deterministic, so
     a retried task sees the same rows.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
+        return df
+    if splits < slots:
         return df.repartition(slots, key)
     return df
 
