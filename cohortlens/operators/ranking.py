@@ -232,6 +232,47 @@ def with_global_rank(df: DataFrame, order, tie=("customer_id",), total: int | No
                   .drop(_BKT, "_rn", "_off"))
 
 
+def select_positions(df: DataFrame, order, positions, tie=("customer_id",), total: int | None = None,
+                     buckets: int | None = None, sample: list[dict] | None = None) -> DataFrame:
+    """The rows at the given 1-based positions of the (order, tie) sort, with
+    the position in ``_rank``: order statistics by selection, not sorting.
+
+    The split points cut the order into buckets, one aggregate counts rows
+    per bucket (at most ``buckets`` rows reach the driver), and only the few
+    buckets that hold a wanted position are ranked; the rest of the table is
+    never shuffled.  Rows with equal keys are interchangeable here, so the
+    selected values are exact even when the key repeats.
+    """
+    spec = _spec(order) + [(t, False) for t in tie]
+    positions = sorted(set(positions))
+    if total is None:
+        total = df.count()
+    if total <= local_limit(df):
+        r = with_global_rank(df, order, tie=tie, total=total)
+        return r.where(F.col(RANK).isin(positions)).drop(TOTAL)
+    buckets = buckets or _default_buckets(df)
+    splits, dtypes = _sample_splits(df, spec, buckets, total, sample)
+    bucket = _bucket_expr(spec, splits, dtypes)
+    counts = sorted((r[0], r[1]) for r in df.groupBy(bucket.alias(_BKT)).agg(F.count(F.lit(1))).collect())
+    wanted = []  # (bucket, row number inside the bucket, position)
+    seen, i = 0, 0
+    for b, c in counts:
+        while i < len(positions) and positions[i] <= seen + c:
+            wanted.append((b, positions[i] - seen, positions[i]))
+            i += 1
+        seen += c
+    if not wanted:
+        return df.withColumn(RANK, F.lit(None).cast("long")).where(F.lit(False))
+    needed = sorted({b for b, _, _ in wanted})
+    within = Window.partitionBy(_BKT).orderBy(*_ordering(spec))
+    ranked = (df.withColumn(_BKT, bucket).where(F.col(_BKT).isin(needed))
+                .withColumn("_rn", F.row_number().over(within)))
+    pos = F.lit(None).cast("long")
+    for b, rn, p in wanted:
+        pos = F.when((F.col(_BKT) == b) & (F.col("_rn") == rn), F.lit(p)).otherwise(pos)
+    return ranked.withColumn(RANK, pos.cast("long")).where(F.col(RANK).isNotNull()).drop(_BKT, "_rn")
+
+
 def ntile_of(rank: Column, total: Column, n: int) -> Column:
     """SQL NTILE(n) from a 1-based rank and the row count: the first
     ``total % n`` tiles hold one row more than the others."""
@@ -267,9 +308,9 @@ def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), tota
                           buckets: int | None = None) -> dict[str, list[float]]:
     """Linearly interpolated quantiles (numpy/pandas default, SQL
     ``quantile_cont``), exact, for several non-null columns at once.  Each
-    column is ranked (distributed above the local limit); only the
-    <= 2 * len(probs) needed order statistics per column reach the driver,
-    all in one collect."""
+    column's needed order statistics are selected (``select_positions``:
+    above the local limit only the buckets holding them are ranked); the
+    <= 2 * len(probs) values per column reach the driver in one collect."""
     if total is None:
         total = df.count()
     if total == 0:
@@ -281,9 +322,9 @@ def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), tota
         sample = sample_keys(df, list(cols) + list(tie), total, buckets)
     parts = None
     for c in cols:
-        r = with_global_rank(df, [c], tie=tie, total=total, buckets=buckets, sample=sample)
-        picked = r.where(F.col(RANK).isin(positions)).select(
-            F.lit(c).alias("_col"), F.col(RANK).alias("_pos"), F.col(c).cast("string").alias("_val"))
+        r = select_positions(df.select(c, *tie), [c], positions, tie=tie, total=total,
+                             buckets=buckets, sample=sample)
+        picked = r.select(F.lit(c).alias("_col"), F.col(RANK).alias("_pos"), F.col(c).cast("string").alias("_val"))
         parts = picked if parts is None else parts.unionByName(picked)
     got = {(row[0], row[1]): row[2] for row in parts.collect()}
     out = {}

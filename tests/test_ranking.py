@@ -104,3 +104,19 @@ def test_approx_options_close_to_exact(spark):
     assert all(abs(exact[g] - approx[g]) <= 2.0 for g in exact)
     q = ranking.approx_quantiles(df, ["v"], [0.2, 0.8])["v"]
     assert abs(q[0] - 200) < 5 and abs(q[1] - 800) < 5
+
+
+@pytest.mark.parametrize("desc", [False, True])
+def test_select_positions_equals_builtin(spark, local_limit, desc):
+    """Order statistics by selection: the values at the wanted positions
+    equal the built-in ordered window's, with a hot value and repeated keys."""
+    local_limit(0)
+    df = _frame(spark, 4000)
+    order = F.col("freq").desc() if desc else F.col("freq").asc()
+    positions = [1, 2, 777, 1333, 2000, 2001, 3999, 4000]
+    ref = {r.rn: (r.freq, r.customer_id) for r in
+           df.withColumn("rn", F.row_number().over(Window.orderBy(order, F.col("customer_id"))))
+             .where(F.col("rn").isin(positions)).collect()}
+    got = ranking.select_positions(df, [("freq", desc)], positions, buckets=16).collect()
+    assert sorted(r[ranking.RANK] for r in got) == positions
+    assert all((r.freq, r.customer_id) == ref[r[ranking.RANK]] for r in got)
