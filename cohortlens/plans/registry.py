@@ -368,7 +368,7 @@ def q_spend_bins(spark, d):
 
 
 def q_scalar_date_parts(spark, d):
-    o = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
+    o = driver.read_parquet(spark, f"{d.rstrip('/')}/orders.parquet")
     dates = o.select(F.col("o_orderdate").cast("date").alias("d")).distinct()
     label = month_label("d")
     return dates.select(

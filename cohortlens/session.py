@@ -98,8 +98,9 @@ def stable_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     path = f"{base}/cohortlens/{name}-{uuid.uuid4().hex}"
     obs = Observation(f"rows-{uuid.uuid4().hex}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    # The row count is observed during the write: no second pass.
-    return spark.read.parquet(path), int(obs.get["rows"])
+    # The row count is observed during the write: no second pass.  The
+    # schema is the written frame's, so the re-read infers nothing.
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
 def drop_stable_tables(spark: SparkSession) -> None:

@@ -26,8 +26,25 @@ AS_OF = dt.date(2001, 8, 2)
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+# Footer schema per (application, path).  Inferring a Parquet schema runs a
+# small Spark job on every ``spark.read.parquet``; a table's schema does not
+# change within an application, so later reads pass it explicitly.  The
+# files themselves are listed afresh on every read.
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

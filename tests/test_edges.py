@@ -112,3 +112,16 @@ def test_materialize_and_refresh(spark, tmp_path):
     sinks.refresh(df.withColumn("v", F.lit(20)), snap, D(2021, 2, 1))
     assert sinks.latest(spark, snap).first().v == 20
     assert spark.read.parquet(snap).count() == 2
+
+
+def test_parquet_schema_reused_across_reads(spark, tmp_path):
+    """The second read of a path takes the remembered footer schema and
+    still lists the files afresh (rows appended later are seen)."""
+    from cohortlens.sources import driver
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(path)
+    first = driver.read_parquet(spark, path)
+    spark.createDataFrame([(2, "b")], "k long, v string").write.mode("append").parquet(path)
+    second = driver.read_parquet(spark, path)
+    assert second.schema == first.schema
+    assert sorted(r.k for r in second.collect()) == [1, 2]
