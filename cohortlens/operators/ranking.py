@@ -374,19 +374,57 @@ def approx_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000) -> dict
     return {c: [float(v) for v in (row[c] or [])] for c in cols}
 
 
+# Above this many (group, bucket) cells the cells table is shuffle-joined
+# instead of broadcast.  A cell row is a few numbers plus the group key.
+MEDIAN_CELLS_BROADCAST_MAX = 200_000
+
+
 def grouped_median(df: DataFrame, group: list[str], col: str, out: str = "median",
                    tie=("customer_id",), buckets: int | None = None, total: int | None = None,
                    approx: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """Exact median per group, distributed: rank within group, keep the one
-    or two middle rows, average them.  No group is gathered into one task."""
+    """Exact median per group (the mean of the one or two middle rows).
+
+    Above the local limit by selection: split points cut the (group, value,
+    tie) order into buckets; an aggregate counts rows per (group, bucket)
+    (at most ``buckets + #groups`` cells); a window over those counts finds
+    the cells that hold each group's middle positions (two per group at
+    most).  Only rows of those cells are ranked, so no group is gathered
+    into one task and the table is never shuffled as a whole.  The cells
+    table is broadcast only below ``MEDIAN_CELLS_BROADCAST_MAX`` rows
+    (checked), else shuffle-joined.
+    """
     if approx:
         # Bounded sketch per group instead of the exact rank.
         return df.groupBy(*group).agg(F.percentile_approx(F.col(col).cast("double"), 0.5, accuracy).alias(out))
-    # ``total`` (all rows) only picks local vs distributed; per-group sizes
-    # come from the rank itself.
-    r = with_global_rank(df.where(F.col(col).isNotNull()), [col], tie=tie, buckets=buckets, group=group,
-                         total=total)
-    lower = F.floor((F.col(TOTAL) + 1) / 2)
-    upper = F.floor(F.col(TOTAL) / 2) + 1
-    mid = r.where((F.col(RANK) == lower) | (F.col(RANK) == upper))
+    group = list(group)
+    base = df.where(F.col(col).isNotNull()).select(*group, col, *tie)
+    # ``total`` (all rows) only picks local vs distributed.
+    if total is None:
+        total = base.count()
+    if total <= local_limit(base):
+        r = with_global_rank(base, [col], tie=tie, total=total, group=group)
+        mid = r.where((F.col(RANK) == F.floor((F.col(TOTAL) + 1) / 2)) | (F.col(RANK) == F.floor(F.col(TOTAL) / 2) + 1))
+        return mid.groupBy(*group).agg(F.avg(col).alias(out))
+    spec = [(g, False) for g in group] + [(col, False)] + [(t, False) for t in tie]
+    buckets = buckets or _default_buckets(base)
+    splits, dtypes = _sample_splits(base, spec, buckets, total)
+    b = base.withColumn(_BKT, _bucket_expr(spec, splits, dtypes))
+    counts = b.groupBy(*group, _BKT).agg(F.count(F.lit(1)).alias("_cnt"))
+    off = F.sum("_cnt").over(Window.partitionBy(*group).orderBy(_BKT)) - F.col("_cnt")
+    n = F.sum("_cnt").over(Window.partitionBy(*group))
+    cells = counts.select(*group, _BKT, "_cnt", off.alias("_off"), F.floor((n + 1) / 2).alias("_lo"),
+                          (F.floor(n / 2) + 1).alias("_hi"))
+    inside = lambda p: (F.col(p) > F.col("_off")) & (F.col(p) <= F.col("_off") + F.col("_cnt"))
+    # Renamed keys: the join below must not see two copies of one column.
+    gk = [f"_g{i}" for i in range(len(group))]
+    cells = cells.where(inside("_lo") | inside("_hi")).select(
+        *[F.col(g).alias(k) for g, k in zip(group, gk)], F.col(_BKT).alias("_cb"), "_off", "_lo", "_hi")
+    few = cells.limit(MEDIAN_CELLS_BROADCAST_MAX + 1).collect()
+    if len(few) <= MEDIAN_CELLS_BROADCAST_MAX:
+        cells = F.broadcast(df.sparkSession.createDataFrame(few, cells.schema))
+    cond = [F.col(_BKT) == F.col("_cb")] + [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group, gk)]
+    sel = b.join(cells, cond).drop("_cb", *gk)
+    within = Window.partitionBy(*group, _BKT).orderBy(*_ordering(spec))
+    pos = F.row_number().over(within) + F.col("_off")
+    mid = sel.withColumn(RANK, pos).where((F.col(RANK) == F.col("_lo")) | (F.col(RANK) == F.col("_hi")))
     return mid.groupBy(*group).agg(F.avg(col).alias(out))

@@ -120,3 +120,19 @@ def test_select_positions_equals_builtin(spark, local_limit, desc):
     got = ranking.select_positions(df, [("freq", desc)], positions, buckets=16).collect()
     assert sorted(r[ranking.RANK] for r in got) == positions
     assert all((r.freq, r.customer_id) == ref[r[ranking.RANK]] for r in got)
+
+
+@pytest.mark.parametrize("broadcast_max", [10**6, 0])
+def test_grouped_median_selection_hot_and_null_groups(spark, local_limit, monkeypatch, broadcast_max):
+    """Median by selection (broadcast cells table and the shuffle-join
+    fallback) equals numpy with a hot group, a hot value and a NULL group."""
+    local_limit(0)
+    monkeypatch.setattr(ranking, "MEDIAN_CELLS_BROADCAST_MAX", broadcast_max)
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        g = 0 if rnd.random() < 0.4 else (None if rnd.random() < 0.05 else rnd.randint(1, 6))
+        rows.append((i, g, 5.0 if rnd.random() < 0.3 else float(rnd.randint(0, 200))))
+    df = spark.createDataFrame(rows, "customer_id long, g int, v double")
+    got = {r.g: r.m for r in ranking.grouped_median(df, ["g"], "v", "m", buckets=16).collect()}
+    assert got == {g: float(np.median([v for _, gg, v in rows if gg == g])) for g in {r[1] for r in rows}}
