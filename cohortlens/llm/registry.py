@@ -3,9 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from cohortlens.llm import chat, topk
+from cohortlens.llm import chat, simhash, topk
 
-MODULES = (topk, chat)
+MODULES = (topk, chat, simhash)
 
 
 def queries():
