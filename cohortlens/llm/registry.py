@@ -3,9 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from cohortlens.llm import chat, simhash, topk
+from cohortlens.llm import chat, simhash, substring, topk
 
-MODULES = (topk, chat, simhash)
+MODULES = (topk, chat, simhash, substring)
 
 
 def queries():
