@@ -78,7 +78,7 @@ def settle(rule: str, key, doc, key2=None, line=None, who=None, flag=None):
     return first, order[many[group]], f
 
 
-def packed(key, doc, buckets: int, key2=None, line=None, who=None, flag=None):
+def packed(key, doc, number, buckets: int, key2=None, line=None, who=None, flag=None):
     """Rows of ``ROWS`` with the entries of each bucket."""
     bucket = (key % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((doc, bucket))
@@ -86,7 +86,7 @@ def packed(key, doc, buckets: int, key2=None, line=None, who=None, flag=None):
     for s, n in zip(start.tolist(), size.tolist()):
         at = order[s:s + n]
         d = doc[at]
-        yield (int(bucket[at[0]]), None, None, planes(key[at]), None if key2 is None else planes(key2[at]),
+        yield (number(int(bucket[at[0]])), None, None, planes(key[at]), None if key2 is None else planes(key2[at]),
                planes(np.diff(d, prepend=d[:1] * 0)), None if line is None else planes(line[at].astype(np.int32)),
                None if who is None else planes(who[at]), None if flag is None else flag[at].tobytes())
 
@@ -108,15 +108,18 @@ def hit_rows(key, doc, key2=None, line=None):
         yield int(d[s]), None if line is None else int(l[s]), raw[s * width:e * width]
 
 
-def send(rule: str, buckets: int, key, doc, **more):
-    """Rows of one chunk: packed entries, and what is settled here already."""
+def send(rule: str, buckets: int, key, doc, kind: int = 0, kinds: int = 1, **more):
+    """Rows of one chunk: packed entries, and what is settled here already.
+    Where several kinds of keys share a shuffle, a bucket's number modulo
+    ``kinds`` is its kind."""
     if not len(key):
         return
     keep, hit, flags = settle(rule, key, doc, **more)
     pick = lambda at: {n: x[at] for n, x in more.items() if x is not None}
-    rows = list(packed(key[keep], doc[keep], buckets, **(pick(keep) | ({} if flags is None else {"flag": flags}))))
+    number = lambda b: b * kinds + kind
+    rows = list(packed(key[keep], doc[keep], number, buckets, **(pick(keep) | ({} if flags is None else {"flag": flags}))))
     p = pick(hit)
-    rows += [(int(abs(d) % buckets), d, l, k, *[None] * 5)
+    rows += [(number(abs(d) % buckets), d, l, k, *[None] * 5)
              for d, l, k in hit_rows(key[hit], doc[hit], p.get("key2"), p.get("line"))]
     types = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
     names = [x.split()[0] for x in ROWS.split(", ")]
@@ -153,9 +156,15 @@ def _receive(t: pa.Table, rule: str) -> pa.Table:
     return pa.concat_tables(out)
 
 
-def matched(sent: DataFrame, rule: str) -> DataFrame:
-    """Hits (doc, line, keys) of what ``send`` made of all chunks."""
-    return sent.groupBy("bucket").applyInArrow(lambda t: _receive(t, rule), HITS)
+def matched(sent: DataFrame, *rules: str) -> DataFrame:
+    """Hits (doc, line, keys, kind) of what ``send`` made of all chunks; a
+    rule for each kind."""
+    def receive(key, t):
+        kind = key[0].as_py() % len(rules)
+        found = _receive(t, rules[kind])
+        return found.append_column("kind", pa.array([kind] * len(found), pa.int32()))
+
+    return sent.groupBy("bucket").applyInArrow(receive, HITS + ", kind int")
 
 
 def buckets(spark) -> int:

@@ -3,9 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from cohortlens.llm import chat, simhash, substring, tokenfile, topk
+from cohortlens.llm import chat, lines, simhash, substring, tokenfile, topk
 
-MODULES = (topk, chat, simhash, substring, tokenfile)
+MODULES = (topk, chat, simhash, substring, tokenfile, lines)
 
 
 def queries():
