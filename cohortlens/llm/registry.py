@@ -3,9 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from cohortlens.llm import chat, decontam, lines, simhash, substring, tokenfile, topk
+from cohortlens.llm import chat, decontam, lines, simhash, substring, tokenfile, topk, toxicity
 
-MODULES = (topk, chat, simhash, substring, tokenfile, lines, decontam)
+MODULES = (topk, chat, simhash, substring, tokenfile, lines, decontam, toxicity)
 
 
 def queries():
