@@ -155,12 +155,12 @@ def _line_hash(line: str) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(raw, 42), xxhash.xxh3_64_intdigest(raw)
 
 
-def _keys(batches, t: int, min_chars: int, n_buckets: int):
+def _keys(batches, t: int, min_chars: int, n: tuple[int, int]):
     def rows(occ):
         docs, nos, texts = zip(*occ)
         doc, no = np.array(docs, np.int64), np.array(nos, np.int32)
         one, two = np.array([_line_hash(x) for x in texts], np.uint64).T.copy()
-        yield from send("later", n_buckets, one, doc, 0, 2, key2=two, line=no)
+        yield from send("later", *n, one, doc, 0, 2, key2=two & np.uint64((1 << 32) - 1), line=no)
         # each distinct line once, at its first place
         order = np.lexsort((no, doc, two, one))
         new = np.ones(len(order), bool)
@@ -170,7 +170,7 @@ def _keys(batches, t: int, min_chars: int, n_buckets: int):
         found = list(segment_keys(Lines([texts[i] for i in first]), t))
         at = first[np.concatenate([k for k, *_ in found])]
         flag = np.concatenate([np.full(len(k), 0 if probe else MARKED, np.uint8) for k, _, probe, _ in found])
-        yield from send("shared", n_buckets, np.concatenate([x for *_, x in found]), doc[at], 1, 2, line=no[at], who=one[at], flag=flag)
+        yield from send("shared", *n, np.concatenate([x for *_, x in found]), doc[at], 1, 2, line=no[at], who=one[at], flag=flag)
 
     occ, size = [], 0
     for batch in batches:
@@ -338,7 +338,7 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16) -> Data
     spark, t = docs.sparkSession, max_edits
     p, n = partitions(spark), buckets(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = freeze(matched(docs.mapInArrow(lambda b: _keys(b, t, min_chars, n), ROWS), "later", "shared"), "lines-hits")
+    hits = freeze(matched(docs.mapInArrow(lambda b: _keys(b, t, min_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
     later = hits.where("kind = 0").select("doc", "line", "keys").mapInArrow(_exact, "doc long, line int, h long")
     near = hits.where("kind = 1").groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list(F.struct("line", "keys")).alias("hits"))
     fetched = docs.where("text IS NOT NULL").join(near.hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"))

@@ -6,7 +6,8 @@ a key that a third of all rows hold costs one entry for each chunk.  Entries
 are packed by bucket of the key into binary columns (about eight bytes an
 entry after compression) and each bucket is grouped in one task; there are as
 many buckets as shuffle partitions ask for, so a bucket's size is a share of
-the input.  What a chunk or a bucket finds goes back by ``doc``.
+the input.  What a chunk or a bucket finds is packed again, by
+document, and unpacked to one row for each place.
 
 Two rules:
 * ``shared``: the rows whose key belongs to two or more identities, one entry
@@ -19,14 +20,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cohortlens.llm.common import partitions, planes, runs, unplanes
 
 MARKED, MANY = 1, 2
-#: doc and line: where a hit belongs.  keys: packed keys of hits or entries.
-ROWS = "bucket int, doc long, line int, keys binary, keys2 binary, docs binary, lines binary, who binary, flags binary"
-HITS = "doc long, line int, keys binary"
+_SHORT = np.uint64((1 << 32) - 1)
+#: Packed entries of a bucket (part null), or packed hits of a part of the documents.
+ROWS = "bucket int, part int, keys binary, keys2 binary, docs binary, lines binary, who binary, flags binary"
+HITS = "part int, keys binary, keys2 binary, docs binary, lines binary, kind int"
 
 
 def _grouped(key, key2):
@@ -78,65 +79,59 @@ def settle(rule: str, key, doc, key2=None, line=None, who=None, flag=None):
     return first, order[many[group]], f
 
 
-def packed(key, doc, number, buckets: int, key2=None, line=None, who=None, flag=None):
-    """Rows of ``ROWS`` with the entries of each bucket."""
-    bucket = (key % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((doc, bucket))
-    start, size = runs(bucket[order])
+def packed(at_: np.ndarray, key, doc, key2=None, line=None, who=None, flag=None):
+    """(place, packed columns) for each place of ``at_``."""
+    order = np.lexsort((doc, at_))
+    start, size = runs(at_[order])
     for s, n in zip(start.tolist(), size.tolist()):
         at = order[s:s + n]
         d = doc[at]
-        yield (number(int(bucket[at[0]])), None, None, planes(key[at]), None if key2 is None else planes(key2[at]),
+        yield (int(at_[at[0]]), planes(key[at]), None if key2 is None else planes(key2[at]),
                planes(np.diff(d, prepend=d[:1] * 0)), None if line is None else planes(line[at].astype(np.int32)),
                None if who is None else planes(who[at]), None if flag is None else flag[at].tobytes())
 
 
-def hit_rows(key, doc, key2=None, line=None):
-    """(doc, line, packed keys) of each (doc, line)."""
-    order = np.lexsort((doc,)) if line is None else np.lexsort((line, doc))
-    d = doc[order]
-    new = np.ones(len(d), bool)
-    new[1:] = d[1:] != d[:-1]
-    if line is not None:
-        l = line[order]
-        new[1:] |= l[1:] != l[:-1]
-    start = np.flatnonzero(new)
-    both = key[order] if key2 is None else np.column_stack([key[order], key2[order]])
-    raw, width = both.tobytes(), 8 if key2 is None else 16
-    end = np.append(start[1:], len(d))
-    for s, e in zip(start.tolist(), end.tolist()):
-        yield int(d[s]), None if line is None else int(l[s]), raw[s * width:e * width]
+def _parts(doc: np.ndarray, n: int) -> np.ndarray:
+    return (doc.astype(np.uint64) % np.uint64(n)).astype(np.int32)
 
 
-def send(rule: str, buckets: int, key, doc, kind: int = 0, kinds: int = 1, **more):
+def send(rule: str, buckets: int, parts: int, key, doc, kind: int = 0, kinds: int = 1, short: bool = False, **more):
     """Rows of one chunk: packed entries, and what is settled here already.
     Where several kinds of keys share a shuffle, a bucket's number modulo
-    ``kinds`` is its kind."""
+    ``kinds`` is its kind.  ``short``: 32 bits of a key are enough for hits."""
     if not len(key):
         return
     keep, hit, flags = settle(rule, key, doc, **more)
     pick = lambda at: {n: x[at] for n, x in more.items() if x is not None}
-    number = lambda b: b * kinds + kind
-    rows = list(packed(key[keep], doc[keep], number, buckets, **(pick(keep) | ({} if flags is None else {"flag": flags}))))
+    entries = packed((key[keep] % np.uint64(buckets)).astype(np.int32), key[keep], doc[keep], **(pick(keep) | ({} if flags is None else {"flag": flags})))
+    rows = [(b * kinds + kind, None, *x) for b, *x in entries]
     p = pick(hit)
-    rows += [(number(abs(d) % buckets), d, l, k, *[None] * 5)
-             for d, l, k in hit_rows(key[hit], doc[hit], p.get("key2"), p.get("line"))]
-    types = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
+    found = key[hit] & _SHORT if short else key[hit]
+    rows += [(d * kinds + kind, d, *x) for d, *x in packed(_parts(doc[hit], parts), found, doc[hit], p.get("key2"), p.get("line"))]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
     names = [x.split()[0] for x in ROWS.split(", ")]
-    for s in range(0, len(rows), 4096):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[s:s + 4096]), types)], names)
+    for s in range(0, len(rows), 1024):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[s:s + 1024]), types)], names)
+
+
+def _column(t: pa.Table, name: str, dtype):
+    parts = [x for x in t.column(name).to_pylist() if x is not None]
+    return np.concatenate([unplanes(x, dtype) for x in parts]) if parts else None
+
+
+def _documents(t: pa.Table) -> np.ndarray:
+    return np.concatenate([np.cumsum(unplanes(x, np.int64)) for x in t.column("docs").to_pylist()])
 
 
-def _receive(t: pa.Table, rule: str) -> pa.Table:
-    settled = t.filter(t.column("doc").is_valid()).select(["doc", "line", "keys"])
-    t = t.filter(t.column("doc").is_null())
+def _receive(t: pa.Table, rule: str, n: int, short: bool) -> pa.Table:
+    """Packed hits by part of the documents: those settled before, and the bucket's."""
+    names = ["part", "keys", "keys2", "docs", "lines"]
+    settled = t.filter(t.column("part").is_valid()).select(names)
+    t = t.filter(t.column("part").is_null())
     out = [settled]
     if len(t):
-        def col(name, dtype):
-            parts = [x for x in t.column(name).to_pylist() if x is not None]
-            return np.concatenate([unplanes(x, dtype) for x in parts]) if parts else None
-        doc = np.concatenate([np.cumsum(unplanes(x, np.int64)) for x in t.column("docs").to_pylist()])
-        key, key2, line, who, flag = col("keys", np.uint64), col("keys2", np.uint64), col("lines", np.int32), col("who", np.uint64), col("flags", np.uint8)
+        doc = _documents(t)
+        key, key2, line, who, flag = (_column(t, c, ty) for c, ty in (("keys", np.uint64), ("keys2", np.uint64), ("lines", np.int32), ("who", np.uint64), ("flags", np.uint8)))
         if rule == "later":
             _, hit, _ = settle(rule, key, doc, key2, line)
         else:
@@ -150,26 +145,52 @@ def _receive(t: pa.Table, rule: str) -> pa.Table:
             good = ((np.add.reduceat(changed, start) > 0) | ((f & MANY) > 0)) & ((f & MARKED) > 0)
             hit = order[good[group]]
         if len(hit):
-            rows = hit_rows(key[hit], doc[hit], None if key2 is None else key2[hit], None if line is None else line[hit])
-            d, l, k = zip(*rows)
-            out.append(pa.table([pa.array(d, pa.int64()), pa.array(l, pa.int32()), pa.array(k, pa.binary())], ["doc", "line", "keys"]))
+            found = key[hit] & _SHORT if short else key[hit]
+            rows = [x[:5] for x in packed(_parts(doc[hit], n), found, doc[hit], None if key2 is None else key2[hit], None if line is None else line[hit])]
+            out.append(pa.table([pa.array(c, ty) for c, ty in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names))
     return pa.concat_tables(out)
 
 
-def matched(sent: DataFrame, *rules: str) -> DataFrame:
-    """Hits (doc, line, keys, kind) of what ``send`` made of all chunks; a
-    rule for each kind."""
+def _by_place(t: pa.Table, short: bool) -> pa.Table:
+    """One row for each document, or line of it, with all its keys: 32-bit
+    words, one (short) or two for a key, and one for its second part."""
+    doc, key, key2, line = _documents(t), _column(t, "keys", np.uint64), _column(t, "keys2", np.uint64), _column(t, "lines", np.int32)
+    order = np.argsort(doc, kind="stable") if line is None else np.lexsort((line, doc))
+    d = doc[order]
+    new = np.ones(len(d), bool)
+    new[1:] = d[1:] != d[:-1]
+    if line is not None:
+        ln = line[order]
+        new[1:] |= ln[1:] != ln[:-1]
+    start = np.flatnonzero(new)
+    words = key.view(np.uint32).reshape(-1, 2)  # little-endian halves
+    if short:
+        words = words[:, :1]
+    if key2 is not None:
+        words = np.column_stack([words, key2.astype(np.uint32)])
+    raw, width = np.ascontiguousarray(words[order]).tobytes(), 4 * words.shape[1]
+    keys = [raw[s * width:e * width] for s, e in zip(start.tolist(), np.append(start[1:], len(d)).tolist())]
+    lines = pa.nulls(len(start), pa.int32()) if line is None else pa.array(ln[start])
+    return pa.table([pa.array(d[start]), lines, pa.array(keys, pa.binary())], ["doc", "line", "keys"])
+
+
+def matched(sent: DataFrame, parts: int, *rules: str, short: bool = False) -> DataFrame:
+    """Hits (doc, line, keys, kind) of what ``send`` made of all chunks, one
+    row for each place; a rule for each kind."""
     def receive(key, t):
         kind = key[0].as_py() % len(rules)
-        found = _receive(t, rules[kind])
+        found = _receive(t, rules[kind], parts, short)
         return found.append_column("kind", pa.array([kind] * len(found), pa.int32()))
 
-    return sent.groupBy("bucket").applyInArrow(receive, HITS + ", kind int")
-
+    def place(key, t):
+        found = _by_place(t, short)
+        return found.append_column("kind", pa.array([key[1].as_py()] * len(found), pa.int32()))
 
-def buckets(spark) -> int:
-    return 2 * partitions(spark)
+    hits = sent.groupBy("bucket").applyInArrow(receive, HITS)
+    return hits.groupBy("part", "kind").applyInArrow(place, "doc long, line int, keys binary, kind int")
 
 
-def by_doc(hits: DataFrame) -> DataFrame:
-    return hits.groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list("keys").alias("hit_keys"))
+def buckets(spark) -> tuple[int, int]:
+    """Buckets of keys, and parts of the documents that hits go back to: hits
+    are fewer, and a bucket returns a row for each part."""
+    return 2 * partitions(spark), max(24, partitions(spark) // 3)

@@ -4,12 +4,12 @@ A window of ``w`` words holds a whole block of b = (w + 1) // 2 words of any
 division of its document into blocks.  So documents are divided into
 non-overlapping blocks of b words, whose keys are the reference index, and
 every rolling window of b words probes it (``match``, rule ``shared``).  The
-hits are extended: every window of w words around a hit is keyed with 128
+hits are extended: every window of w words around a hit is keyed with 96
 bits, and a document that is not the smallest with that key loses the window
 (rule ``later``).  Runs of such windows are the maximal exact repeats.
 
 Only keys move, eight bytes a word; texts move once to the hits and once to
-the result.  Two passages count as equal when their 128-bit keys are.
+the result.  Two passages count as equal when their 96-bit keys are.
 
 Defined results
 * words are ``[^\\x20\\x09-\\x0D]+``, unchanged, of the whole text; null or
@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import drop, freeze, mix, odd_numbers, ranges, table
-from cohortlens.llm.match import MARKED, ROWS, buckets, by_doc, matched, send
+from cohortlens.llm.match import MARKED, ROWS, buckets, matched, send
 
 CHUNK_WORDS = 1 << 20
 _KEY = np.uint64((1 << 48) - 1)  # a block key: six bytes are enough for candidates
+_HALF = np.uint64((1 << 32) - 1)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -65,7 +66,7 @@ def _documents(batches, *more: str):
             yield cols[0][i].as_py(), (text[i].as_py() or b"").split(), *(c[i].as_py() for c in cols[1:])
 
 
-def _probe(batches, window: int, n_buckets: int):
+def _probe(batches, window: int, n: tuple[int, int]):
     b = (window + 1) // 2
 
     def rows(docs, sizes, words):
@@ -75,7 +76,7 @@ def _probe(batches, window: int, n_buckets: int):
         of = np.repeat(np.arange(len(size)), size - b + 1)
         key = block_keys(word_hashes(words), b)[at]
         flag = ((at - start[of]) % b == 0).astype(np.uint8) * np.uint8(MARKED)
-        yield from send("shared", n_buckets, key, np.array(docs, np.int64)[of], flag=flag)
+        yield from send("shared", *n, key, np.array(docs, np.int64)[of], short=True, flag=flag)
 
     docs, sizes, words = [], [], []
     for doc, w in _documents(batches):
@@ -91,39 +92,41 @@ def _probe(batches, window: int, n_buckets: int):
         yield from rows(docs, sizes, words)
 
 
-def _extend(batches, window: int, n_buckets: int):
+def _extend(batches, window: int, n: tuple[int, int]):
     b = (window + 1) // 2
 
     def rows(parts):
         doc = np.concatenate([np.full(len(a), d, np.int64) for d, a, _ in parts])
-        yield from send("later", n_buckets, np.concatenate([a for _, a, _ in parts]), doc, key2=np.concatenate([k for _, _, k in parts]))
+        yield from send("later", *n, np.concatenate([a for _, a, _ in parts]), doc, key2=np.concatenate([k for _, _, k in parts]))
 
-    parts, n = [], 0
-    for doc, words, hits in _documents(batches, "hit_keys"):
+    parts, size = [], 0
+    for doc, words, hits in _documents(batches, "keys"):
         h = word_hashes(words)
         if len(h) < window:
             continue
-        hit = np.isin(block_keys(h, b), np.frombuffer(b"".join(hits), np.uint64))
+        hit = np.isin(block_keys(h, b).astype(np.uint32), np.frombuffer(hits, np.uint32))
         seen = np.concatenate(([0], np.cumsum(hit)))
         s = np.arange(len(h) - window + 1)
         s = s[seen[s + window - b + 1] > seen[s]]
         if len(s):
-            parts.append((doc, window_keys(h, window, 2)[s], window_keys(h, window, 3)[s]))
-            n += len(s)
-        if n >= CHUNK_WORDS // 2:
+            parts.append((doc, window_keys(h, window, 2)[s], window_keys(h, window, 3)[s] & _HALF))
+            size += len(s)
+        if size >= CHUNK_WORDS // 2:
             yield from rows(parts)
-            parts, n = [], 0
+            parts, size = [], 0
     if parts:
         yield from rows(parts)
 
 
 def _covered(words: list[bytes], flagged, window: int) -> np.ndarray:
     h = word_hashes(words)
-    f = np.frombuffer(b"".join(flagged), np.uint64).reshape(-1, 2)
-    f = f[np.argsort(f[:, 0], kind="stable")]
-    x, y = window_keys(h, window, 2), window_keys(h, window, 3)
-    at = np.minimum(np.searchsorted(f[:, 0], x), len(f) - 1)
-    s = np.flatnonzero((f[at, 0] == x) & (f[at, 1] == y))
+    f = np.frombuffer(flagged, np.uint32).reshape(-1, 3)
+    one, two = np.ascontiguousarray(f[:, :2]).view(np.uint64).ravel(), f[:, 2]
+    order = np.argsort(one, kind="stable")
+    one, two = one[order], two[order]
+    x, y = window_keys(h, window, 2), window_keys(h, window, 3) & _HALF
+    at = np.minimum(np.searchsorted(one, x), len(one) - 1)
+    s = np.flatnonzero((one[at] == x) & (two[at] == y))
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, s, 1)
     np.add.at(edge, s + window, -1)
@@ -139,7 +142,7 @@ def _result(batches, window: int):
         return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(n, pa.int64()), spans, pa.array(k, pa.string())],
                                           ["doc_id", "n_words", "spans", "kept"])
 
-    for doc, words, flagged in _documents(batches, "hit_keys"):
+    for doc, words, flagged in _documents(batches, "keys"):
         spans, kept = [], words
         if flagged and len(words) >= window:
             gone = np.concatenate(([False], _covered(words, flagged, window), [False]))
@@ -157,6 +160,11 @@ def _result(batches, window: int):
         yield batch(out)
 
 
+def _with_hits(docs: DataFrame, hits: DataFrame, how: str) -> DataFrame:
+    """Texts with their keys; the keys, one row a document, are the side to hash."""
+    return docs.join(hits.hint("shuffle_hash"), F.col("doc_id") == F.col("doc"), how).select("doc_id", "text", "keys")
+
+
 def repeated_passages(docs: DataFrame, window: int = 13) -> DataFrame:
     """(doc_id, n_words, spans, kept) for every row: word spans [start, end)
     that repeat a document with a smaller id, and the other words, joined by
@@ -164,12 +172,11 @@ def repeated_passages(docs: DataFrame, window: int = 13) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = buckets(docs.sparkSession)
     probes = docs.mapInArrow(lambda b: _probe(b, window, n), ROWS)
-    hits = freeze(matched(probes, "shared"), "passages-hits")
-    near = docs.join(by_doc(hits).hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"))
-    later = freeze(matched(near.select("doc_id", "text", "hit_keys").mapInArrow(lambda b: _extend(b, window, n), ROWS), "later"), "passages-later")
+    hits = freeze(matched(probes, n[1], "shared", short=True).select("doc", "keys"), "passages-hits")
+    near = _with_hits(docs, hits, "inner")
+    later = freeze(matched(near.mapInArrow(lambda b: _extend(b, window, n), ROWS), n[1], "later").select("doc", "keys"), "passages-later")
     drop(hits)
-    found = docs.join(by_doc(later).hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"), "left")
-    return found.select("doc_id", "text", "hit_keys").mapInArrow(
+    return _with_hits(docs, later, "left").mapInArrow(
         lambda b: _result(b, window), "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept string")
 
 
