@@ -34,6 +34,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ MAGIC = b"PFORids1"
 BLOCK = 1024
 SHARD_IDS = 8 << 20
 PERCENT = 90
-WORDS_KEPT = 300_000   # distinct words whose ids a worker remembers
+WORDS_KEPT = 250_000   # distinct words whose ids a worker remembers, twice
 
 # ---------------------------------------------------------------- blocks
 
@@ -162,29 +163,61 @@ class Shard:
 # ---------------------------------------------------------------- words
 
 class WordEncoder:
-    """ids of a text as bytes of u32, by way of its words."""
+    """ids of a text as bytes of u32, by way of its words.
+
+    A word is known without its capitals and without one last comma or full
+    stop, where that changes nothing but the ids added at the end."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        probe = " a\tb  c'\n's\x0b\x0c9 9\r<|endoftext|> Ab́ ́x"
-        whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
-        parts = [i for w in probe.encode().split() for i in self.tokenizer.encode(w.decode(), add_special_tokens=False).ids]
-        self.by_word, self.known = whole == parts, {}
+        probe = " a\tb  c'\n's\x0b\x0c9 9\r<|endoftext|> Ab\u0301 \u0301x"
+        self.by_word = self._ids(probe) == b"".join(self._ids(w.decode()) for w in probe.encode().split())
+        self.lower = self._ids("AbC CAn'T E\u0301") == self._ids("abc can't e\u0301")
+        self.mark = {c: self._ids(c.decode()) for c in (b",", b".")}
+        self.cut = all(self._ids(f"{w}{c.decode()}") == self._ids(w) + ids for w in ("a", "the", "x9", "it's") for c, ids in self.mark.items())
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}   # words in use move on from here; the rest is forgotten
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word that stands for this one, and the ids to add to its own."""
+        if b"<|" in word:  # a special token's name may stand in it
+            return word, b""
+        word = word.lower() if self.lower else word
+        if self.cut and word[-1:] in self.mark and word[-2:-1].isalnum():
+            return word[:-1], self.mark[word[-1:]]
+        return word, b""
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         split = [(t or b"").split() if self.by_word else [t or b""] for t in texts]
-        known = self.known
-        new = [w for w in set().union(*split) if w not in known]
-        if len(known) + len(new) > WORDS_KEPT:
-            known.clear()
-            new = list(set().union(*split))
+        if len(self.known) > WORDS_KEPT:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        stems = {}
+        for w in set().union(*split).difference(known):
+            if w in old:
+                known[w] = old[w]
+            else:
+                stems[w] = self._stem(w)
+        new = []
+        for x, _ in stems.values():
+            if x not in known:
+                if x in old:
+                    known[x] = old[x]
+                else:
+                    known[x] = b""
+                    new.append(x)
         for at in range(0, len(new), 1024):
             part = new[at:at + 1024]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            for x, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
+                known[x] = array("I", e.ids).tobytes()
+        for w, (x, more) in stems.items():
+            known[w] = known[x] + more
         return [b"".join([known[w] for w in ws]) for ws in split]
 
 
