@@ -1,297 +1,184 @@
-"""Exact global ranking without a single-partition exchange.
+"""Exact order statistics by selection: NTILE, quantiles and medians without
+sorting, shuffling or gathering the table.
 
 ``F.ntile(n).over(Window.orderBy(x))`` plans ``Exchange SinglePartition``:
-every customer goes through one task.  Here the order is cut into key
-ranges first (sample-sort, as TeraSort or Spark's own RangePartitioner do):
-
-1. Sample the sort keys (bounded: ``SAMPLE_PER_BUCKET`` rows per bucket) and
-   pick ``B - 1`` split tuples on the driver.  The full key always ends with
-   a unique tie-breaker (``customer_id``), so a value shared by a third of
-   all rows is still cut into many ranges.
-2. ``bucket`` = number of split tuples below the row's key, evaluated as a
-   balanced CASE WHEN tree (``log2 B`` comparisons per row, codegen'd).
-   Splits are literals, so the bucket is a deterministic function of the
-   row: a recomputed partition lands in the same bucket.
-3. Rows per bucket -> running offsets: an aggregate of at most ``B`` rows,
-   broadcast back (its size is bounded by the parameter ``B``).
-4. ``rank = row_number() over (partition by bucket order by key) + offset``.
-
-Splits only steer balance; the result is exact for any splits.
-
-Below ``cohortlens.ranking.localLimit`` rows (default 100,000; the row count
-is always known here) the plain window ``row_number() over (order by ...)``
-is used instead: one task handles a proven-small input faster than the extra
-sample and count passes.  Set the limit to 0 to force the distributed path.
+every customer goes through one task.  But NTILE(n) needs only the n - 1 rows
+at which tiles end, a quantile the two rows around it, a median the middle
+ones.  ``select_positions`` finds the rows at wanted positions, for any number
+of groups at once (the groups may be the metrics of one table):
+
+1. a bounded sample of the keys gives ``CELLS - 1`` split points;
+2. one aggregate counts rows by (group, cell), a cell being the number of
+   split points below the row's key (a binary search over the sorted split
+   points, one expression for every size); it is combined before the shuffle;
+3. running sums over those counts say which cells hold a wanted position, and
+   only their rows go on: to the next round while a cell holds more than
+   ``LEAF`` rows, else to a window over the cell.
+
+Each round leaves about one row in ``CELLS / positions``, so two or three do
+for any table; every size takes the same path.  Keys end with a unique
+tie-breaker, so a value shared by a third of all rows is cut like any other.
+NULLs sort last in every part of a key, and a NULL group is a group.  Split
+points only steer the balance; the result is exact for any.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BUCKET = 32
-BUCKETS_PER_PARTITION = 4
-MAX_BUCKETS = 4096
-SAMPLE_SEED = 20_240_917
+from cohortlens.session import stable
 
-LOCAL_LIMIT_CONF = "cohortlens.ranking.localLimit"
-LOCAL_LIMIT_DEFAULT = 100_000
+CELLS = 1024            # of one round, a power of two
+SAMPLE_PER_CELL = 32
+LEAF = 50_000           # rows that one task may sort
+SAMPLE_SEED = 20_240_917
 
 RANK = "_rank"
-TOTAL = "_total"
-_BKT = "_bkt"
 
 
-def _default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(MAX_BUCKETS, parts * BUCKETS_PER_PARTITION))
+def _spec(order, tie):
+    """``[("col", desc?), ...]`` from names and pairs, the tie-breaker last."""
+    return [(o, False) if isinstance(o, str) else (o[0], bool(o[1])) for o in order] + [(t, False) for t in tie]
 
 
-def local_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(LOCAL_LIMIT_CONF, str(LOCAL_LIMIT_DEFAULT)))
+def _key(spec) -> Column:
+    """A struct whose order is the spec's, NULLs last; descending numbers are negated."""
+    parts = []
+    for i, (c, desc) in enumerate(spec):
+        x = -F.col(c) if desc else F.col(c)
+        parts += [x.isNull().alias(f"n{i}"), x.alias(f"v{i}")]
+    return F.struct(*parts)
 
 
-def _spec(order):
-    """Normalise ``[("col", desc?), ...]`` / ``["col", ...]``."""
-    out = []
-    for o in order:
-        if isinstance(o, str):
-            out.append((o, False))
-        else:
-            out.append((o[0], bool(o[1])))
-    return out
+def _splits(keyed: DataFrame, total: int) -> str:
+    """At most ``CELLS - 1`` sorted split points of column ``_key``, as JSON,
+    from a sample of bounded size."""
+    share = SAMPLE_PER_CELL * CELLS / max(total, 1)
+    some = keyed if share >= 1 else keyed.sample(withReplacement=False, fraction=share, seed=SAMPLE_SEED)
+    keys = F.sort_array(F.collect_set("_key"))
+    row = some.select("_key").agg(keys.alias("s")).select(F.expr(
+        f"to_json(array_distinct(transform(sequence(1, {CELLS - 1}), i -> s[cast(floor(i * size(s) / {CELLS}) as int)])), map('ignoreNullFields', 'false'))"
+    ).alias("j")).where("size(from_json(j, 'array<string>')) > 0").first()
+    return row.j if row else "[]"
 
 
-def _key_exprs(spec) -> list[Column]:
-    """Ascending comparison keys; a descending numeric key is negated."""
-    return [(-F.col(c)) if desc else F.col(c) for c, desc in spec]
+def _cell(splits: str, key: str, schema) -> Column:
+    """Number of split points below the key."""
+    points = F.from_json(F.lit(splits), f"array<{schema.simpleString()}>")
+    steps = F.array(*[F.lit(CELLS >> i) for i in range(1, CELLS.bit_length())])
+    return F.aggregate(steps, F.lit(0), lambda acc, st: F.when(
+        F.coalesce(F.try_element_at(points, acc + st) < F.col(key), F.lit(False)), acc + st).otherwise(acc))
 
 
-def _ordering(spec) -> list[Column]:
-    return [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last() for c, desc in spec]
+def select_positions(df: DataFrame, order, want: DataFrame, group=(), tie=("customer_id",),
+                     total: int | None = None) -> DataFrame:
+    """The rows at wanted 1-based positions of the (order, tie) sort of each
+    group, with the position in ``_rank``.
 
+    ``want``: (the group columns, ``_rank``).  ``df`` is read once or twice a
+    round: pass a written table."""
+    group = list(group)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    spec = _spec(order, tie)
+    names = [f"_w{i}" for i in range(len(group))]
+    want = want.select(*[F.col(g).cast(types[g]).alias(n) for g, n in zip(group, names)], F.col(RANK).cast("long").alias("_pos"))
+    rows = df.withColumns({"_key": _key([(g, False) for g in group] + spec), "_at": F.array().cast("array<int>"), "_before": F.lit(0).cast("long")})
+    if total is None:
+        total = df.count()
+    while True:
+        rows = rows.withColumn("_cell", _cell(_splits(rows, total), "_key", rows.schema["_key"].dataType))
+        counts = rows.groupBy(*group, "_at", "_before", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+        # the counts are few: cells of a round, and groups
+        below = Window.partitionBy(*group, "_at").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
+        same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
+        inside = (F.col("_pos") > F.col("_from")) & (F.col("_pos") <= F.col("_from") + F.col("_n"))
+        held = counts.join(want, [*same, inside] if same else inside)
+        held = stable(held.select(*group, "_at", "_cell", "_from", "_n", "_pos"), "rank-cells")
+        cells = held.select(*[F.col(g).alias(f"_c{i}") for i, g in enumerate(group)], F.col("_at").alias("_ca"), F.col("_cell").alias("_cc"), "_from", "_n").distinct()
+        on = [F.col(g).eqNullSafe(F.col(f"_c{i}")) for i, g in enumerate(group)] + [F.col("_at") == F.col("_ca"), F.col("_cell") == F.col("_cc")]
+        rows = rows.join(cells, on).withColumn("_at", F.array_append("_at", F.col("_cell")))
+        size = cells.agg(F.max("_n").alias("most"), F.sum("_n").alias("all")).first()
+        if not size.most or size.most <= LEAF or size["all"] == total:
+            break
+        total = size["all"]
+        rows = stable(rows.withColumn("_before", F.col("_from")).select(*df.columns, "_key", "_at", "_before"), "rank-rows")
+    within = Window.partitionBy(*group, "_at").orderBy("_key")
+    ranked = rows.withColumn(RANK, F.row_number().over(within) + F.col("_from"))
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
+    return ranked.join(want, [*same, F.col(RANK) == F.col("_pos")]).select(*df.columns, RANK)
+
+
+def _long(df: DataFrame, metrics: dict[str, tuple[str, bool]], tie) -> DataFrame:
+    """(metric, value, tie...): several columns of a table as groups of one."""
+    def value(c, desc):
+        x = -F.col(c) if desc else F.col(c)
+        return x.cast(common)
+
+    types = [df.schema[c].dataType for c, _ in metrics.values()]
+    exact = all(t.typeName() in ("byte", "short", "integer", "long", "decimal") for t in types)
+    common = f"decimal(38,{max([t.scale for t in types if t.typeName() == 'decimal'], default=0)})" if exact else "double"
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("_metric"), value(c, d).alias("_value")) for m, (c, d) in metrics.items()]))
+    return df.select(each.alias("_m"), *tie).select("_m._metric", "_m._value", *tie)
+
+
+def _rows_at(df: DataFrame, metrics, positions, tie, total) -> dict[str, dict[int, tuple]]:
+    """For each metric the (value, tie...) at each position; both are few."""
+    spark = df.sparkSession
+    want = spark.createDataFrame([(m, p) for m in metrics for p in positions], f"_metric string, {RANK} long")
+    found = select_positions(_long(df, metrics, tie), ["_value"], want, group=["_metric"], tie=tie, total=total * len(metrics))
+    out: dict[str, dict[int, tuple]] = {m: {} for m in metrics}
+    for r in found.collect():
+        out[r["_metric"]][r[RANK]] = (r["_value"], *[r[t] for t in tie])
+    return out
 
-def sample_keys(df: DataFrame, columns, total: int, buckets: int | None = None) -> list[dict]:
-    """One bounded Bernoulli sample (about ``SAMPLE_PER_BUCKET`` rows per
-    bucket) of the given columns, rows with a NULL in them left out.  Several
-    rankings of the same table share it, so the table is scanned once for
-    all of their split points."""
-    buckets = buckets or _default_buckets(df)
-    columns = list(dict.fromkeys(columns))
-    if total <= 1:
-        return []
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / float(total))
-    keyed = df.select(*columns).dropna(subset=columns)
-    if fraction < 1.0:
-        keyed = keyed.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-    return [r.asDict() for r in keyed.collect()]
 
+def tile_ends(total: int, n: int) -> list[int]:
+    """Last 1-based position of each NTILE(n) tile but the last: the first
+    ``total % n`` tiles hold one row more."""
+    q, rem = divmod(total, n)
+    ends = [t * q + min(t, rem) for t in range(1, n)]
+    return [e for e in ends if 0 < e < total]
 
-def _sample_splits(df: DataFrame, spec, buckets: int, total: int, sample=None) -> tuple[list[tuple], list]:
-    """Sorted split tuples (at most ``buckets - 1``) from a bounded sample."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    dtypes = [types[c] for c, _ in spec]
-    if buckets <= 1 or total <= 1:
-        return [], dtypes
-    if sample is None:
-        sample = sample_keys(df, [c for c, _ in spec], total, buckets)
-    # Descending numeric keys are compared negated (see ``_key_exprs``).
-    rows = sorted(tuple(-r[c] if desc else r[c] for c, desc in spec) for r in sample)
-    if not rows:
-        return [], dtypes
-    picks = []
-    for i in range(1, buckets):
-        t = rows[(i * len(rows)) // buckets]
-        if not picks or picks[-1] != t:
-            picks.append(t)
-    return picks, dtypes
-
-
-def _sql_name(c: str) -> str:
-    return "`" + c.replace("`", "``") + "`"
-
-
-def _sql_lit(v, dtype) -> str:
-    """SQL literal of the key's exact type (decimal scale, int width)."""
-    if isinstance(v, Decimal):
-        text = format(v, "f")
-    elif isinstance(v, float):
-        text = repr(v)
-    else:
-        text = str(v)
-    text = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{text}' AS {dtype.simpleString()})"
-
-
-def _key_sql(spec) -> list[str]:
-    return [f"(-{_sql_name(c)})" if desc else _sql_name(c) for c, desc in spec]
-
-
-def _split_below(split: tuple, keys: list[str], dtypes) -> str:
-    """SQL for ``split < key`` lexicographically."""
-    expr = None
-    for i in reversed(range(len(keys))):
-        b = _sql_lit(split[i], dtypes[i])
-        gt = f"{keys[i]} > {b}"
-        expr = gt if expr is None else f"({gt} OR ({keys[i]} = {b} AND {expr}))"
-    return expr
-
-
-CASE_TREE_MAX_SPLITS = 127
-
-
-def _bucket_expr(spec, splits: list[tuple], dtypes, force: str | None = None) -> Column:
-    """Number of splits below the key.
-
-    Up to ``CASE_TREE_MAX_SPLITS`` splits: a balanced CASE tree (log2 B
-    comparisons per row, compiled by whole-stage codegen).  Beyond that the
-    tree would outgrow a JVM method, so a branchless binary search runs over
-    a sorted array literal of split structs (``aggregate`` over the
-    power-of-two steps; log2 B struct comparisons per row, any B).
-    Both are sent to the JVM as one SQL expression.
-    """
-    keys = _key_sql(spec)
-    any_null = " OR ".join(f"{k} IS NULL" for k in keys)
-    n = len(splits)
-    use_tree = n <= CASE_TREE_MAX_SPLITS if force is None else force == "tree"
-    if use_tree:
-        def build(lo: int, hi: int) -> str:
-            if lo >= hi:
-                return str(lo)
-            mid = (lo + hi) // 2
-            return (f"CASE WHEN {_split_below(splits[mid], keys, dtypes)} "
-                    f"THEN {build(mid + 1, hi)} ELSE {build(lo, mid)} END")
-        found = build(0, n)
-    else:
-        def struct(values) -> str:
-            return "named_struct(" + ", ".join(f"'k{i}', {v}" for i, v in enumerate(values)) + ")"
-        arr = "array(" + ", ".join(struct(_sql_lit(v, dtypes[i]) for i, v in enumerate(t)) for t in splits) + ")"
-        key = struct(keys)
-        steps = []
-        step = 1
-        while step <= n:
-            steps.append(step)
-            step *= 2
-        steps = ", ".join(str(x) for x in reversed(steps))
-        found = (f"aggregate(array({steps}), 0, (acc, st) -> IF(acc + st <= {n} AND "
-                 f"try_element_at({arr}, acc + st) < {key}, acc + st, acc))")
-    # NULL keys sort last (asc_nulls_last / desc_nulls_last): last bucket.
-    return F.expr(f"CASE WHEN {any_null} THEN {n} ELSE {found} END")
-
-
-def with_global_rank(df: DataFrame, order, tie=("customer_id",), total: int | None = None,
-                     buckets: int | None = None, group: list[str] | tuple = (),
-                     source: DataFrame | None = None, sample: list[dict] | None = None) -> DataFrame:
-    """Add ``_rank`` (1-based position in ``order`` + ``tie``) and ``_total``.
-
-    ``source``: a frame with the same rows and key columns as ``df`` that is
-    cheap to re-read (typically the checkpointed table ``df`` was derived
-    from by adding columns).  The key sample and the bucket counts come from
-    it, so chaining several rankings does not recompute earlier ones.
-
-    ``group``: rank within each group (like ``PARTITION BY``); the group
-    columns lead the sort key, so any group, however large, is split across
-    buckets.  Offsets are then per (bucket, group); that table has at most
-    ``buckets + #groups`` rows, so ``group`` is meant for few groups.
-    """
-    group = list(group)
-    spec = [(g, False) for g in group] + _spec(order) + [(t, False) for t in tie]
+
+def ntiles(df: DataFrame, n: int, scores: dict[str, tuple[str, bool]], tie=("customer_id",),
+           total: int | None = None, source: DataFrame | None = None) -> DataFrame:
+    """Add ``NTILE(n) OVER (ORDER BY col [DESC], tie)`` for each
+    ``{out: (col, desc)}``: the tiles' last rows are selected, all metrics in
+    one pass, and each row is compared with them; ``df`` itself is neither
+    shuffled nor joined.  ``source``: a written table with the same rows."""
     src = df if source is None else source
+    tie = tuple(tie)
     if total is None:
         total = src.count()
-    if total <= local_limit(df):
-        # Proven small (row count checked above): one ordered window.
-        w = Window.partitionBy(*group).orderBy(*_ordering(spec))
-        return (df.withColumn(RANK, F.row_number().over(w).cast("long"))
-                  .withColumn(TOTAL, F.count(F.lit(1)).over(Window.partitionBy(*group))))
-    buckets = buckets or _default_buckets(df)
-    splits, dtypes = _sample_splits(src, spec, buckets, total, sample)
-    bucket = _bucket_expr(spec, splits, dtypes)
-    b = df.withColumn(_BKT, bucket)
-
-    counts = src.select(*group, bucket.alias(_BKT)).groupBy(_BKT, *group).agg(F.count(F.lit(1)).alias("_cnt"))
-    running = Window.partitionBy(*group).orderBy(_BKT)
-    whole = Window.partitionBy(*group)
-    offsets = counts.select(
-        _BKT, *group,
-        (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_off"),
-        F.sum("_cnt").over(whole).alias(TOTAL),
-    )
-    if not group:
-        # At most ``buckets`` rows: a bounded broadcast.
-        offsets = F.broadcast(offsets)
-
-    within = Window.partitionBy(_BKT, *group).orderBy(*_ordering(spec))
-    ranked = b.withColumn("_rn", F.row_number().over(within))
-    return (ranked.join(offsets, on=[_BKT, *group], how="inner")
-                  .withColumn(RANK, F.col("_rn") + F.col("_off"))
-                  .drop(_BKT, "_rn", "_off"))
-
-
-def select_positions(df: DataFrame, order, positions, tie=("customer_id",), total: int | None = None,
-                     buckets: int | None = None, sample: list[dict] | None = None) -> DataFrame:
-    """The rows at the given 1-based positions of the (order, tie) sort, with
-    the position in ``_rank``: order statistics by selection, not sorting.
-
-    The split points cut the order into buckets, one aggregate counts rows
-    per bucket (at most ``buckets`` rows reach the driver), and only the few
-    buckets that hold a wanted position are ranked; the rest of the table is
-    never shuffled.  Rows with equal keys are interchangeable here, so the
-    selected values are exact even when the key repeats.
-    """
-    spec = _spec(order) + [(t, False) for t in tie]
-    positions = sorted(set(positions))
-    if total is None:
-        total = df.count()
-    if total <= local_limit(df):
-        r = with_global_rank(df, order, tie=tie, total=total)
-        return r.where(F.col(RANK).isin(positions)).drop(TOTAL)
-    buckets = buckets or _default_buckets(df)
-    splits, dtypes = _sample_splits(df, spec, buckets, total, sample)
-    bucket = _bucket_expr(spec, splits, dtypes)
-    counts = sorted((r[0], r[1]) for r in df.groupBy(bucket.alias(_BKT)).agg(F.count(F.lit(1))).collect())
-    wanted = []  # (bucket, row number inside the bucket, position)
-    seen, i = 0, 0
-    for b, c in counts:
-        while i < len(positions) and positions[i] <= seen + c:
-            wanted.append((b, positions[i] - seen, positions[i]))
-            i += 1
-        seen += c
-    if not wanted:
-        return df.withColumn(RANK, F.lit(None).cast("long")).where(F.lit(False))
-    needed = sorted({b for b, _, _ in wanted})
-    within = Window.partitionBy(_BKT).orderBy(*_ordering(spec))
-    ranked = (df.withColumn(_BKT, bucket).where(F.col(_BKT).isin(needed))
-                .withColumn("_rn", F.row_number().over(within)))
-    pos = F.lit(None).cast("long")
-    for b, rn, p in wanted:
-        pos = F.when((F.col(_BKT) == b) & (F.col("_rn") == rn), F.lit(p)).otherwise(pos)
-    return ranked.withColumn(RANK, pos.cast("long")).where(F.col(RANK).isNotNull()).drop(_BKT, "_rn")
-
-
-def ntile_of(rank: Column, total: Column, n: int) -> Column:
-    """SQL NTILE(n) from a 1-based rank and the row count: the first
-    ``total % n`` tiles hold one row more than the others."""
-    q = F.floor(total / F.lit(n)).cast("long")
-    rem = (total % F.lit(n)).cast("long")
-    big = rem * (q + 1)
-    # q is 0 only when every rank falls in the first branch; NULLIF keeps
-    # ANSI division from raising on the branch that is never taken.
-    small_tile = rem + F.floor((rank - big - 1) / F.nullif(q, F.lit(0))).cast("long") + 1
-    return (F.when(rank <= big, F.floor((rank - 1) / (q + 1)).cast("long") + 1)
-             .otherwise(small_tile)).cast("int")
-
-
-def global_ntile(df: DataFrame, n: int, order, out: str, tie=("customer_id",),
-                 total: int | None = None, buckets: int | None = None,
-                 source: DataFrame | None = None, sample: list[dict] | None = None) -> DataFrame:
-    """``NTILE(n) OVER (ORDER BY order, tie)`` computed distributed."""
-    r = with_global_rank(df, order, tie=tie, total=total, buckets=buckets, source=source, sample=sample)
-    return r.withColumn(out, ntile_of(F.col(RANK), F.col(TOTAL), n)).drop(RANK, TOTAL)
+    ends = tile_ends(total, n)
+    rows = _rows_at(src, scores, ends, tie, total) if ends else {m: {} for m in scores}
+    types = {f.name: f.dataType for f in _long(src, scores, tie).schema.fields}
+    out = {}
+    for m, (c, desc) in scores.items():
+        x = (-F.col(c) if desc else F.col(c)).cast(types["_value"])
+        key = F.struct(x.isNull().alias("n0"), x.alias("v0"), *[k for i, t in enumerate(tie, 1) for k in (F.col(t).isNull().alias(f"n{i}"), F.col(t).alias(f"v{i}"))])
+        tile = F.lit(1)
+        for e in ends:
+            edge = F.struct(*[k for i, (v, t) in enumerate(zip(rows[m][e], ("_value", *tie)))
+                              for k in (F.lit(v is None).alias(f"n{i}"), F.lit(v).cast(types[t]).alias(f"v{i}"))])
+            tile = tile + (key > edge).cast("int")
+        # fewer rows than tiles: each row is a tile of its own
+        out[m] = tile.cast("int")
+    return df.withColumns(out)
+
+
+def global_ntile(df: DataFrame, n: int, order, out: str, tie=("customer_id",), total: int | None = None,
+                 source: DataFrame | None = None) -> DataFrame:
+    """``NTILE(n) OVER (ORDER BY order, tie)`` for one column."""
+    o, = order
+    return ntiles(df, n, {out: (o, False) if isinstance(o, str) else (o[0], bool(o[1]))}, tie, total, source)
 
 
 def _positions(total: int, probs):
@@ -304,44 +191,30 @@ def _positions(total: int, probs):
     return out
 
 
-def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), total: int | None = None,
-                          buckets: int | None = None) -> dict[str, list[float]]:
+def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), total: int | None = None) -> dict[str, list[float]]:
     """Linearly interpolated quantiles (numpy/pandas default, SQL
-    ``quantile_cont``), exact, for several non-null columns at once.  Each
-    column's needed order statistics are selected (``select_positions``:
-    above the local limit only the buckets holding them are ranked); the
-    <= 2 * len(probs) values per column reach the driver in one collect."""
+    ``quantile_cont``), exact, for several non-null columns in one selection;
+    at most 2 * len(probs) values a column reach the driver."""
     if total is None:
         total = df.count()
     if total == 0:
         return {c: [] for c in cols}
     wanted = _positions(total, probs)
     positions = sorted({x + 1 for lo, hi, _ in wanted.values() for x in (lo, hi)})
-    sample = None
-    if total > local_limit(df):
-        sample = sample_keys(df, list(cols) + list(tie), total, buckets)
-    parts = None
-    for c in cols:
-        r = select_positions(df.select(c, *tie), [c], positions, tie=tie, total=total,
-                             buckets=buckets, sample=sample)
-        picked = r.select(F.lit(c).alias("_col"), F.col(RANK).alias("_pos"), F.col(c).cast("string").alias("_val"))
-        parts = picked if parts is None else parts.unionByName(picked)
-    got = {(row[0], row[1]): row[2] for row in parts.collect()}
+    got = _rows_at(df, {c: (c, False) for c in cols}, positions, tuple(tie), total)
     out = {}
     for c in cols:
         edges = []
         for p in probs:
             lo, hi, frac = wanted[p]
-            # Values travel as text so DECIMAL keys keep every digit.
-            a, b = float(Decimal(got[(c, lo + 1)])), float(Decimal(got[(c, hi + 1)]))
+            a, b = (float(Decimal(str(got[c][x + 1][0]))) for x in (lo, hi))
             edges.append(a if frac == 0 or a == b else a + (b - a) * float(frac))
         out[c] = edges
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, tie=("customer_id",), total: int | None = None,
-                    buckets: int | None = None) -> list[float]:
-    return exact_quantiles_multi(df, [col], probs, tie=tie, total=total, buckets=buckets)[col]
+def exact_quantiles(df: DataFrame, col: str, probs, tie=("customer_id",), total: int | None = None) -> list[float]:
+    return exact_quantiles_multi(df, [col], probs, tie=tie, total=total)[col]
 
 
 def bucket_by_edges(col: str, edges, n: int, reverse: bool = False) -> Column:
@@ -356,12 +229,10 @@ def bucket_by_edges(col: str, edges, n: int, reverse: bool = False) -> Column:
 
 
 def quantile_bucket(df: DataFrame, col: str, n: int, out: str, reverse: bool = False,
-                    tie=("customer_id",), total: int | None = None, buckets: int | None = None,
-                    source: DataFrame | None = None) -> DataFrame:
+                    tie=("customer_id",), total: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """Equal-frequency buckets by value (quantile cut): bucket = 1 + number
     of interior quantile edges below x."""
-    edges = exact_quantiles(df if source is None else source, col, [Fraction(i, n) for i in range(1, n)],
-                            tie=tie, total=total, buckets=buckets)
+    edges = exact_quantiles(df if source is None else source, col, [Fraction(i, n) for i in range(1, n)], tie=tie, total=total)
     return df.withColumn(out, bucket_by_edges(col, edges, n, reverse))
 
 
@@ -374,57 +245,16 @@ def approx_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000) -> dict
     return {c: [float(v) for v in (row[c] or [])] for c in cols}
 
 
-# Above this many (group, bucket) cells the cells table is shuffle-joined
-# instead of broadcast.  A cell row is a few numbers plus the group key.
-MEDIAN_CELLS_BROADCAST_MAX = 200_000
-
-
 def grouped_median(df: DataFrame, group: list[str], col: str, out: str = "median",
-                   tie=("customer_id",), buckets: int | None = None, total: int | None = None,
-                   approx: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """Exact median per group (the mean of the one or two middle rows).
-
-    Above the local limit by selection: split points cut the (group, value,
-    tie) order into buckets; an aggregate counts rows per (group, bucket)
-    (at most ``buckets + #groups`` cells); a window over those counts finds
-    the cells that hold each group's middle positions (two per group at
-    most).  Only rows of those cells are ranked, so no group is gathered
-    into one task and the table is never shuffled as a whole.  The cells
-    table is broadcast only below ``MEDIAN_CELLS_BROADCAST_MAX`` rows
-    (checked), else shuffle-joined.
-    """
+                   tie=("customer_id",), approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """Exact median per group (the mean of the one or two middle rows), by
+    selection: no group is gathered into one task."""
     if approx:
         # Bounded sketch per group instead of the exact rank.
         return df.groupBy(*group).agg(F.percentile_approx(F.col(col).cast("double"), 0.5, accuracy).alias(out))
-    group = list(group)
     base = df.where(F.col(col).isNotNull()).select(*group, col, *tie)
-    # ``total`` (all rows) only picks local vs distributed.
-    if total is None:
-        total = base.count()
-    if total <= local_limit(base):
-        r = with_global_rank(base, [col], tie=tie, total=total, group=group)
-        mid = r.where((F.col(RANK) == F.floor((F.col(TOTAL) + 1) / 2)) | (F.col(RANK) == F.floor(F.col(TOTAL) / 2) + 1))
-        return mid.groupBy(*group).agg(F.avg(col).alias(out))
-    spec = [(g, False) for g in group] + [(col, False)] + [(t, False) for t in tie]
-    buckets = buckets or _default_buckets(base)
-    splits, dtypes = _sample_splits(base, spec, buckets, total)
-    b = base.withColumn(_BKT, _bucket_expr(spec, splits, dtypes))
-    counts = b.groupBy(*group, _BKT).agg(F.count(F.lit(1)).alias("_cnt"))
-    off = F.sum("_cnt").over(Window.partitionBy(*group).orderBy(_BKT)) - F.col("_cnt")
-    n = F.sum("_cnt").over(Window.partitionBy(*group))
-    cells = counts.select(*group, _BKT, "_cnt", off.alias("_off"), F.floor((n + 1) / 2).alias("_lo"),
-                          (F.floor(n / 2) + 1).alias("_hi"))
-    inside = lambda p: (F.col(p) > F.col("_off")) & (F.col(p) <= F.col("_off") + F.col("_cnt"))
-    # Renamed keys: the join below must not see two copies of one column.
-    gk = [f"_g{i}" for i in range(len(group))]
-    cells = cells.where(inside("_lo") | inside("_hi")).select(
-        *[F.col(g).alias(k) for g, k in zip(group, gk)], F.col(_BKT).alias("_cb"), "_off", "_lo", "_hi")
-    few = cells.limit(MEDIAN_CELLS_BROADCAST_MAX + 1).collect()
-    if len(few) <= MEDIAN_CELLS_BROADCAST_MAX:
-        cells = F.broadcast(df.sparkSession.createDataFrame(few, cells.schema))
-    cond = [F.col(_BKT) == F.col("_cb")] + [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group, gk)]
-    sel = b.join(cells, cond).drop("_cb", *gk)
-    within = Window.partitionBy(*group, _BKT).orderBy(*_ordering(spec))
-    pos = F.row_number().over(within) + F.col("_off")
-    mid = sel.withColumn(RANK, pos).where((F.col(RANK) == F.col("_lo")) | (F.col(RANK) == F.col("_hi")))
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    middle = F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
+    want = stable(sizes.select(*group, F.explode(middle).alias(RANK)), f"median-{uuid.uuid4().hex[:6]}")
+    mid = select_positions(base, [col], want, group=group, tie=tie)
     return mid.groupBy(*group).agg(F.avg(col).alias(out))

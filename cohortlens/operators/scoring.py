@@ -2,7 +2,7 @@
 quantile buckets (pandas flavour), the composite score and the segment.
 
 The customer table is frozen once (``stable``) because every score reads it
-several times (row count, key sample, bucket counts, the ranking pass); the
+several times (row count, key sample, cell counts, the selected cells); the
 upstream transaction join and aggregation therefore run exactly once.
 """
 
@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.segments import segment_expr
 from fractions import Fraction
 
-from cohortlens.operators.ranking import (bucket_by_edges, exact_quantiles_multi, global_ntile, local_limit,
-                                          sample_keys)
+from cohortlens.operators.ranking import bucket_by_edges, exact_quantiles_multi, ntiles
 from cohortlens.session import stable_counted
 
 SCORES = ("r_score", "f_score", "m_score")
@@ -40,13 +39,8 @@ def ntile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freez
     """r = NTILE(n) by recency DESC, f = by frequency ASC, m = by monetary
     ASC; ties broken by ``tie`` ascending (deterministic)."""
     m, total = _frozen(metrics, freeze, total)
-    keys = ["recency_days", "frequency", "monetary_value"]
-    # One shared key sample for the three distributed rankings.
-    sample = sample_keys(m, keys + [tie], total) if total > local_limit(m) else None
-    out = global_ntile(m, n, [("recency_days", True)], "r_score", tie=(tie,), total=total, source=m, sample=sample)
-    out = global_ntile(out, n, ["frequency"], "f_score", tie=(tie,), total=total, source=m, sample=sample)
-    out = global_ntile(out, n, ["monetary_value"], "m_score", tie=(tie,), total=total, source=m, sample=sample)
-    return out
+    return ntiles(m, n, {"r_score": ("recency_days", True), "f_score": ("frequency", False), "m_score": ("monetary_value", False)},
+                  tie=(tie,), total=total)
 
 
 def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True,

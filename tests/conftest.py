@@ -58,19 +58,3 @@ def micro(spark):
     data = [(a, b, c, d, e, Decimal(f), None if g is None else Decimal(g)) for a, b, c, d, e, f, g in rows]
     txn = spark.createDataFrame(data, schema)
     return cust, txn
-
-
-@pytest.fixture()
-def local_limit(spark):
-    """Set the ranking local limit for one test, restore afterwards."""
-    from cohortlens.operators.ranking import LOCAL_LIMIT_CONF
-    old = spark.conf.get(LOCAL_LIMIT_CONF, None)
-
-    def set_(v):
-        spark.conf.set(LOCAL_LIMIT_CONF, str(v))
-
-    yield set_
-    if old is None:
-        spark.conf.unset(LOCAL_LIMIT_CONF)
-    else:
-        spark.conf.set(LOCAL_LIMIT_CONF, old)

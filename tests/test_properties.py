@@ -1,5 +1,5 @@
-"""Property tests: the distributed NTILE equals SQL NTILE for random sizes,
-tie structures and bucket counts; tile sizes differ by at most one, larger
+"""Property tests: the selected NTILE equals SQL NTILE for random sizes and
+tie structures; tile sizes differ by at most one, larger
 tiles first; segment counts add up to the customer count."""
 
 from collections import Counter
@@ -14,31 +14,25 @@ from cohortlens.operators import ranking
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(values=st.lists(st.integers(min_value=0, max_value=6), min_size=0, max_size=120),
-       n=st.integers(min_value=1, max_value=7), buckets=st.integers(min_value=1, max_value=9),
-       desc=st.booleans())
-def test_ntile_matches_sql(spark, values, n, buckets, desc):
-    spark.conf.set(ranking.LOCAL_LIMIT_CONF, "0")
-    try:
-        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "customer_id long, x long")
-        order = F.col("x").desc() if desc else F.col("x").asc()
-        ref = df.withColumn("b", F.ntile(n).over(Window.orderBy(order, F.col("customer_id"))))
-        got = ranking.global_ntile(ref, n, [("x", desc)], "t", buckets=buckets, source=df)
-        rows = got.collect()
-        assert len(rows) == len(values)
-        assert all(r.b == r.t for r in rows)
-        sizes = [c for _, c in sorted(Counter(r.t for r in rows).items())]
-        assert all(a >= b for a, b in zip(sizes, sizes[1:])) and (not sizes or sizes[0] - sizes[-1] <= 1)
-    finally:
-        spark.conf.unset(ranking.LOCAL_LIMIT_CONF)
+       n=st.integers(min_value=1, max_value=7), desc=st.booleans())
+def test_ntile_matches_sql(spark, values, n, desc):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "customer_id long, x long")
+    order = F.col("x").desc() if desc else F.col("x").asc()
+    ref = df.withColumn("b", F.ntile(n).over(Window.orderBy(order, F.col("customer_id"))))
+    got = ranking.global_ntile(ref, n, [("x", desc)], "t", source=df)
+    rows = got.collect()
+    assert len(rows) == len(values)
+    assert all(r.b == r.t for r in rows)
+    sizes = [c for _, c in sorted(Counter(r.t for r in rows).items())]
+    assert all(a >= b for a, b in zip(sizes, sizes[1:])) and (not sizes or sizes[0] - sizes[-1] <= 1)
 
 
-def test_segment_counts_add_up(spark, local_limit):
+def test_segment_counts_add_up(spark):
     import os
     from cohortlens.plans import registry
     sf = "/root/testdata/sf0.001"
     if not os.path.exists(sf):
         return
-    local_limit(0)
     summary = registry.q_segment_summary(spark, sf).collect()
     customers = registry.q_customer_metrics(spark, sf).count()
     assert sum(r.customer_count for r in summary) == customers
