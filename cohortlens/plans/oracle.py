@@ -75,6 +75,7 @@ CTE["scored"] = """scored AS (
          CAST(NTILE(5) OVER (ORDER BY monetary_value ASC, customer_id ASC) AS INTEGER) AS m_score
   FROM metrics)"""
 
+# The segment names and score boxes, in rule order.
 SEGMENT_CASE = """CASE
     WHEN r_score = 5 AND f_score >= 4 AND m_score >= 4 THEN 'Champion'
     WHEN f_score >= 4 AND m_score >= 3 THEN 'Loyal Customer'
@@ -264,21 +265,36 @@ SELECT transaction_id, customer_id, product_id,
 SELECT transaction_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(revenue AS DOUBLE) AS revenue FROM lines""")
 
-    q["constraint_audit"] = with_ctes(["customers", "tlean"], """
-SELECT 'customers' AS table_name, 'primary_key:customer_id' AS rule, COUNT(*) - COUNT(DISTINCT customer_id) AS violations FROM customers
-UNION ALL SELECT 'customers', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM customers
-UNION ALL SELECT 'customers', 'not_null:country', COUNT(*) FILTER (WHERE country IS NULL) FROM customers
-UNION ALL SELECT 'customers', 'not_null:signup_date', COUNT(*) FILTER (WHERE signup_date IS NULL) FROM customers
-UNION ALL SELECT 'transactions', 'primary_key:transaction_id', COUNT(*) - COUNT(DISTINCT transaction_id) FROM tlean
-UNION ALL SELECT 'transactions', 'not_null:transaction_id', COUNT(*) FILTER (WHERE transaction_id IS NULL) FROM tlean
-UNION ALL SELECT 'transactions', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM tlean
-UNION ALL SELECT 'transactions', 'not_null:transaction_date', COUNT(*) FILTER (WHERE transaction_date IS NULL) FROM tlean
-UNION ALL SELECT 'transactions', 'not_null:quantity', COUNT(*) FILTER (WHERE quantity IS NULL) FROM tlean
-UNION ALL SELECT 'transactions', 'check:quantity>0', COUNT(*) FILTER (WHERE NOT (quantity > 0)) FROM tlean
-UNION ALL SELECT 'transactions', 'foreign_key:customer_id', COUNT(*) FROM tlean t
-    WHERE t.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = t.customer_id)
-UNION ALL SELECT 'transactions', 'foreign_key:product_id', COUNT(*) FROM tlean t
-    WHERE t.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = t.product_id)""")
+    q["constraint_audit"] = """
+WITH c AS (SELECT c_custkey AS customer_id, n_name AS country FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+t AS (
+  SELECT l_orderkey AS transaction_id, o_custkey AS customer_id, l_partkey AS product_id, o_orderdate AS transaction_date,
+         l_quantity AS quantity, p_retailprice AS unit_price
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey)
+SELECT 'customers' AS table_name, 'unique:customer_id' AS rule, COUNT(customer_id) - COUNT(DISTINCT customer_id) AS violations FROM c
+UNION ALL SELECT 'customers', 'unique:email', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'customers', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM c
+UNION ALL SELECT 'customers', 'not_null:email', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'customers', 'not_null:country', COUNT(*) FILTER (WHERE country IS NULL) FROM c
+UNION ALL SELECT 'customers', 'not_null:signup_date', COUNT(*) FROM c
+UNION ALL SELECT 'products', 'unique:product_id', COUNT(p_partkey) - COUNT(DISTINCT p_partkey) FROM part
+UNION ALL SELECT 'products', 'not_null:product_id', COUNT(*) FILTER (WHERE p_partkey IS NULL) FROM part
+UNION ALL SELECT 'products', 'not_null:product_name', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'products', 'not_null:unit_price', COUNT(*) FILTER (WHERE p_retailprice IS NULL) FROM part
+UNION ALL SELECT 'transactions', 'unique:transaction_id', COUNT(transaction_id) - COUNT(DISTINCT transaction_id) FROM t
+UNION ALL SELECT 'transactions', 'not_null:transaction_id', COUNT(*) FILTER (WHERE transaction_id IS NULL) FROM t
+UNION ALL SELECT 'transactions', 'not_null:customer_id', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM t
+UNION ALL SELECT 'transactions', 'not_null:product_id', COUNT(*) FILTER (WHERE product_id IS NULL) FROM t
+UNION ALL SELECT 'transactions', 'not_null:transaction_date', COUNT(*) FILTER (WHERE transaction_date IS NULL) FROM t
+UNION ALL SELECT 'transactions', 'not_null:quantity', COUNT(*) FILTER (WHERE quantity IS NULL) FROM t
+UNION ALL SELECT 'transactions', 'not_null:unit_price', COUNT(*) FILTER (WHERE unit_price IS NULL) FROM t
+UNION ALL SELECT 'transactions', 'check:quantity>0', COUNT(*) FILTER (WHERE NOT (quantity > 0)) FROM t
+UNION ALL SELECT 'lines', 'foreign_key:order_id', COUNT(*) FROM lineitem
+    WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)
+UNION ALL SELECT 'lines', 'foreign_key:product_id', COUNT(*) FROM lineitem
+    WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)
+UNION ALL SELECT 'orders', 'foreign_key:customer_id', COUNT(*) FROM orders
+    WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)"""
 
     q["load_report"] = with_ctes(["transactions", "customers"], """
 SELECT COUNT(*) AS transactions, COUNT(DISTINCT t.customer_id) AS customers,
@@ -360,11 +376,11 @@ FROM seg WHERE segment = 'At-Risk'""")
 SELECT COUNT(*) AS at_risk_customers, {rnd('COALESCE(SUM(monetary_value), 0)', 2)} AS historical_spend
 FROM prfm WHERE segment = 'At-Risk'""")
 
-    q["at_risk_kpis"] = with_ctes(["prfm"], f"""
+    q["at_risk_kpis"] = with_ctes(["seg"], f"""
 SELECT COUNT(*) AS at_risk_customers, {rnd('COALESCE(SUM(monetary_value), 0)', 2)} AS historical_spend,
        {rnd('COALESCE(SUM(CAST(monetary_value AS DOUBLE) / CAST(NULLIF(frequency, 0) AS DOUBLE) * 3.0::DOUBLE), 0)', 2)}
            AS recoverable_revenue
-FROM prfm WHERE segment = 'At-Risk'""")
+FROM seg WHERE segment = 'At-Risk'""")
 
     q["cohorts"] = with_ctes(["cohort_of"], "SELECT customer_id, cohort_month, cohort_quarter, cohort_year FROM cohort_of")
     q["customer_activity"] = with_ctes(["activity"], "SELECT customer_id, activity_month FROM activity")
@@ -498,4 +514,26 @@ SELECT d, CAST(date_trunc('month', d) AS DATE) AS month_start, CAST(quarter(d) A
        strftime(d, '%Y-%m') AS month_label,
        CAST(strptime(strftime(d, '%Y-%m'), '%Y-%m') AS DATE) AS parsed_month
 FROM (SELECT {SCALAR_DATES}) x"""
+    # the same answers, written to files and read back
+    q["scores_file"] = q["rfm_pandas_scores"]
+    q["matrix_file"] = q["cohort_long"]
+    q["materialized_metrics"] = q["customer_metrics"]
+    q["refreshed_metrics"] = q["customer_metrics"] + " WHERE acquisition_channel <> 'BUILDING'"
+    q["extract_file"] = q["geo_summary"]
+    q["bulk_load"] = with_ctes(["customers"], """
+SELECT customer_id, CAST(NULL AS VARCHAR) AS email, country, signup_date, acquisition_channel FROM customers""")
+    q["region_filter"] = with_ctes(["geo"], "SELECT * FROM geo WHERE region = 'EUROPE'")
+
+    # NULL discounts and categories by a fixed rule on the keys
+    nulls = with_ctes(["transactions"], """, holed AS (
+  SELECT transaction_id, customer_id, product_id, transaction_date, quantity, unit_price,
+         CASE WHEN customer_id % 7 <> 0 THEN discount_pct END AS discount_pct,
+         CASE WHEN product_id % 11 <> 0 THEN category END AS category
+  FROM transactions), priced AS (
+  SELECT *, CAST(quantity * unit_price * (100 - COALESCE(discount_pct, 0)) * 0.01 AS DECIMAL(18,6)) AS revenue FROM holed)
+""")
+    q["null_discount_default"] = nulls + """
+SELECT transaction_id, customer_id, product_id, CAST(COALESCE(discount_pct, 0) AS DOUBLE) AS discount_pct FROM holed"""
+    q["null_line_revenue"] = nulls + "SELECT customer_id, CAST(SUM(revenue) AS DOUBLE) AS revenue FROM priced GROUP BY customer_id"
+    q["null_monthly_revenue"] = nulls + q["monthly_revenue"][q["monthly_revenue"].rindex("SELECT strftime"):].replace("FROM lines", "FROM priced")
     return q

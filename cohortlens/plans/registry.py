@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from cohortlens.functions.dates import days_between, month_label, month_number, month_start, parse_month
 from cohortlens.functions.money import line_revenue, round_half_up
 from cohortlens.operators import churn, cohorts, extracts, ltv, metrics, ranking, scoring, segments, sheets
-from cohortlens.session import checkpoint_dir, stable_counted
+from cohortlens.session import checkpoint_dir, stable, stable_counted
 from cohortlens.sources import audit as audit_mod
 from cohortlens.sources import defaults, driver, files, sinks
+from cohortlens.sources.schemas import schema_for
 
 AS_OF = driver.AS_OF
 TIER_HIGH = 1_000_000
@@ -108,14 +109,79 @@ def q_line_revenue(spark, d):
 
 
 def q_constraint_audit(spark, d):
-    return audit_mod.audit({"customers": _c(spark, d), "transactions": _tw(spark, d),
-                            "products": driver.products(spark, d)})
+    """Base tables, before any join that would hide a missing parent; a line
+    names its order, and the order its customer."""
+    t = driver.audit_tables(spark, d)
+    return audit_mod.audit(t, foreign_keys=[("lines", "order_id", "orders", "order_id"), ("lines", "product_id", "products", "product_id"),
+                                            ("orders", "customer_id", "customers", "customer_id")])
 
 
 def q_load_report(spark, d):
     return sinks.load_report(_tw(spark, d), _c(spark, d))
 
 
+def _with_nulls(spark, d):
+    """Transactions with NULL discounts and categories, by a fixed rule on the keys."""
+    t = _t(spark, d)
+    return t.withColumns({"discount_pct": F.when(F.col("customer_id") % 7 != 0, F.col("discount_pct")),
+                          "category": F.when(F.col("product_id") % 11 != 0, F.col("category"))})
+
+
+def q_null_discount_default(spark, d):
+    t = defaults.apply_defaults(_with_nulls(spark, d), "transactions")
+    return t.select("transaction_id", "customer_id", "product_id", F.col("discount_pct").cast("double").alias("discount_pct"))
+
+
+def q_null_line_revenue(spark, d):
+    return _with_nulls(spark, d).groupBy("customer_id").agg(F.sum(line_revenue()).cast("double").alias("revenue"))
+
+
+def q_null_monthly_revenue(spark, d):
+    return extracts.monthly_revenue(_with_nulls(spark, d))
+
+
+def q_bulk_load(spark, d):
+    """Customers from CSV into a declared table, NOT NULL columns enforced."""
+    csv, path = _scratch(spark, "load_csv"), _scratch(spark, "load_table")
+    files.write_csv(_c(spark, d).select("customer_id", "country", "acquisition_channel"), csv)
+    return files.load_table(spark, csv, path, schema_for("customers", KEY)).select(
+        "customer_id", "email", "country", "signup_date", "acquisition_channel")
+
+
+def q_scores_file(spark, d):
+    path = _scratch(spark, "rfm_scores")
+    files.write_csv(extracts.rfm_pandas_output(_prfm(spark, d)), path)
+    return files.read_rfm(spark, path, KEY)
+
+
+def q_matrix_file(spark, d):
+    path = _scratch(spark, "cohort_matrix")
+    files.write_csv(_matrix(spark, d), path)
+    return cohorts.cohort_long(files.read_cohort_matrix(spark, path))
+
+
+def q_materialized_metrics(spark, d):
+    return sinks.materialize(q_customer_metrics(spark, d), _scratch(spark, "metrics_view"))
+
+
+def q_refreshed_metrics(spark, d):
+    """Two snapshots; readers see the newer, in which one market segment is gone."""
+    path, m = _scratch(spark, "metrics_snapshots"), stable(q_customer_metrics(spark, d), "metrics")
+    sinks.refresh(m, path, dt.date(2001, 8, 1))
+    sinks.refresh(m.where("acquisition_channel <> 'BUILDING'"), path, dt.date(2001, 8, 2))
+    return sinks.latest(spark, path)
+
+
+def q_extract_file(spark, d):
+    path = _scratch(spark, "geo_extract")
+    files.write_extract(_geo(spark, d), path, fmt="parquet")
+    return spark.read.parquet(path)
+
+
+def q_region_filter(spark, d):
+    return sheets.by_region(_geo(spark, d), "EUROPE")
+
+
 # ---- customer metrics --------------------------------------------------------
 
 def q_customer_metrics(spark, d):
@@ -219,7 +285,7 @@ def q_at_risk_headline(spark, d):
 
 
 def q_at_risk_kpis(spark, d):
-    return sheets.at_risk_kpis(_prfm(spark, d))
+    return sheets.at_risk_kpis(_seg(spark, d))
 
 
 # ---- cohorts -----------------------------------------------------------------
@@ -368,7 +434,7 @@ def q_spend_bins(spark, d):
 
 
 def q_scalar_date_parts(spark, d):
-    o = driver.read_parquet(spark, f"{d.rstrip('/')}/orders.parquet")
+    o = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
     dates = o.select(F.col("o_orderdate").cast("date").alias("d")).distinct()
     label = month_label("d")
     return dates.select(

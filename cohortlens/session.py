@@ -1,15 +1,15 @@
 """Session construction and lineage cutting.
 
-``stable(df)`` is the one place where an intermediate result is frozen: it
-uses a reliable ``checkpoint()`` into the cluster's shared
-``spark.checkpoint.dir``.  Only when that setting is absent (local runs,
-tests) a private scratch folder is created and registered.
+``stable(df)`` is the one place where an intermediate result is frozen: a
+Parquet table under the shared ``spark.checkpoint.dir``, or, where that is not
+set, under the warehouse.  The tables belong to the application, which removes
+them with ``drop_stable_tables`` when it is done with all frames built on them.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -62,11 +62,12 @@ def build_session(master: str | None = None, cpus: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session.
+    """The shared folder for intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or the directory already registered on the
-    SparkContext); only if neither is set, registers a private scratch folder,
-    which is what tests and local runs get.
+    ``spark.checkpoint.dir`` (or the directory registered on the
+    SparkContext), else a folder of the warehouse.  A warehouse on a
+    machine's own disk is refused on a cluster: each executor would write to
+    its own, and later reads would miss rows without an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,11 +75,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+        configured = warehouse_folder(spark, sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def warehouse_folder(spark: SparkSession, master: str) -> str:
+    """A folder under the warehouse, resolved by Hadoop; raises where it is
+    machine-local and ``master`` is not ``local``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir") + "/cohortlens-checkpoints")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = fs.makeQualified(path).toString()
+    if whole.startswith("file:") and not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share: {whole} is local to each machine of {master}")
+    return whole
+
+
 def stable(df: DataFrame, name: str = "stage") -> DataFrame:
     return stable_counted(df, name)[0]
 

@@ -1,63 +1,57 @@
 """Constraint audit: the declared table constraints (primary key / unique,
 NOT NULL, CHECK, foreign key) re-aimed as a report of violating rows.
 
-Each table is scanned once: all NOT NULL / CHECK rules and the key
-uniqueness count are one aggregate (``count_if`` + ``count_distinct``),
-unpivoted to (table, rule, violations) rows.  A foreign key is one
-``left_anti`` join.  The parts are stacked with ``unionByName``.
+All NOT NULL / CHECK rules and the key uniqueness count of a table are one
+aggregate, unpivoted to (table, rule, violations) rows.  A foreign key counts
+child rows by key first (a partial aggregate), so the ``left_anti`` join meets
+each key once.  A rule whose column the table lacks is listed as unchecked:
+its violations are NULL.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RULES = {
-    "customers": {"primary_key": "customer_id", "not_null": ["customer_id", "country", "signup_date"],
-                  "checks": {}},
-    "transactions": {"primary_key": "transaction_id",
-                     "not_null": ["transaction_id", "customer_id", "transaction_date", "quantity", "unit_price"],
-                     "checks": {"quantity>0": "quantity > 0"}},
+    "customers": {"unique": ["customer_id", "email"], "not_null": ["customer_id", "email", "country", "signup_date"]},
+    "products": {"unique": ["product_id"], "not_null": ["product_id", "product_name", "unit_price"]},
+    "transactions": {"unique": ["transaction_id"],
+                     "not_null": ["transaction_id", "customer_id", "product_id", "transaction_date", "quantity", "unit_price"],
+                     "checks": {"quantity>0": ("quantity", "quantity > 0")}},
 }
+# child table, its column, parent table, its column
 FOREIGN_KEYS = [("transactions", "customer_id", "customers", "customer_id"),
                 ("transactions", "product_id", "products", "product_id")]
 
 
-def table_audit(df: DataFrame, table: str, primary_key=None, not_null=(), checks=None) -> DataFrame:
-    aggs = []
-    if primary_key:
-        aggs.append((F.count(F.lit(1)) - F.count_distinct(primary_key)).alias(f"primary_key:{primary_key}"))
+def table_audit(df: DataFrame, table: str, unique=(), not_null=(), checks=None) -> DataFrame:
+    unchecked = F.lit(None).cast("long")
+    rules = {}
+    for c in unique:
+        rules[f"unique:{c}"] = F.count(F.col(c)) - F.count_distinct(c) if c in df.columns else unchecked
     for c in not_null:
-        if c in df.columns:
-            aggs.append(F.count_if(F.col(c).isNull()).alias(f"not_null:{c}"))
-    for name, cond in (checks or {}).items():
-        aggs.append(F.count_if(~F.expr(cond)).alias(f"check:{name}"))
-    one = df.agg(*aggs)
-    names = [a for a in one.columns]
-    return one.unpivot([], names, "rule", "violations").select(
-        F.lit(table).alias("table_name"), "rule", F.col("violations").cast("long").alias("violations"))
+        rules[f"not_null:{c}"] = F.count_if(F.col(c).isNull()) if c in df.columns else unchecked
+    for name, (c, cond) in (checks or {}).items():
+        rules[f"check:{name}"] = F.count_if(~F.expr(cond)) if c in df.columns else unchecked
+    # count(*) keeps a table of unchecked rules an aggregate
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.max(v).alias(k) if v is unchecked else v.cast("long").alias(k) for k, v in rules.items()])
+    return one.drop("_rows").unpivot([], list(rules), "rule", "violations").select(F.lit(table).alias("table_name"), "rule", "violations")
 
 
 def foreign_key_audit(child: DataFrame, child_table: str, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    orphans = child.where(F.col(col).isNotNull()).select(col).join(
-        parent.select(F.col(parent_col).alias(col)), on=col, how="left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(child_table).alias("table_name"), F.lit(f"foreign_key:{col}").alias("rule"),
-        F.col("violations").cast("long").alias("violations"))
+    keys = child.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    orphans = keys.join(parent.select(F.col(parent_col).alias("_key")), "_key", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")).select(
+        F.lit(child_table).alias("table_name"), F.lit(f"foreign_key:{col}").alias("rule"), "violations")
 
 
 def audit(tables: dict[str, DataFrame], rules=None, foreign_keys=None) -> DataFrame:
     """(table_name, rule, violations) for every rule over the given tables."""
-    rules = RULES if rules is None else rules
-    parts = []
-    for name, r in rules.items():
-        if name in tables:
-            parts.append(table_audit(tables[name], name, r.get("primary_key"), r.get("not_null", ()),
-                                     r.get("checks")))
-    for child, col, parent, pcol in (FOREIGN_KEYS if foreign_keys is None else foreign_keys):
-        if child in tables and parent in tables:
-            parts.append(foreign_key_audit(tables[child], child, col, tables[parent], pcol))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [table_audit(tables[name], name, r.get("unique", ()), r.get("not_null", ()), r.get("checks"))
+             for name, r in (RULES if rules is None else rules).items() if name in tables]
+    parts += [foreign_key_audit(tables[child], child, col, tables[parent], pcol)
+              for child, col, parent, pcol in (FOREIGN_KEYS if foreign_keys is None else foreign_keys) if child in tables and parent in tables]
+    return reduce(DataFrame.unionByName, parts)

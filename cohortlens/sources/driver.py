@@ -26,25 +26,8 @@ AS_OF = dt.date(2001, 8, 2)
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-# Footer schema per (application, path).  Inferring a Parquet schema runs a
-# small Spark job on every ``spark.read.parquet``; a table's schema does not
-# change within an application, so later reads pass it explicitly.  The
-# files themselves are listed afresh on every read.
-_SCHEMAS: dict[tuple[str, str], object] = {}
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -72,24 +55,6 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the cluster has task
-    slots (e.g. a file written as one row group, which Parquet cannot split).
-
-    On real inputs the scan already has many splits and this is a no-op, so
-    no shuffle is added at scale; the hash partitioning is deterministic, so
-    a retried task sees the same rows.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
-        return df
-    if splits < slots:
-        return df.repartition(slots, key)
-    return df
-
-
 def transactions(spark: SparkSession, sf_dir: str, with_product: bool = True) -> DataFrame:
     """Line-grain transactions: lineitem x part x orders.
 
@@ -104,9 +69,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_product: bool = True) ->
     Every line references an existing product (a declared foreign key,
     checked by the constraint audit), so the rows are the same.
     """
-    li = spread_input(
-        _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount"),
-        "l_orderkey")
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cols = [
         F.col("l_orderkey").alias("transaction_id"),
@@ -132,6 +95,29 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
 
 
+def audit_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The base tables under their logical names, for the constraint audit.
+    Lookups are outer joins, so a row without its parent stays and shows."""
+    c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = products(spark, sf_dir)
+    orders = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
+    lines = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(
+        p.select(F.col("product_id").alias("p_id"), "unit_price"), F.col("l_partkey") == F.col("p_id"), "left")
+    return {
+        "customers": c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+            F.col("c_custkey").alias("customer_id"), "country", F.lit(None).cast("date").alias("signup_date")),
+        "products": p,
+        "orders": orders,
+        "transactions": lines.select(
+            F.col("l_orderkey").alias("transaction_id"), F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"),
+            F.col("o_orderdate").alias("transaction_date"), F.col("l_quantity").alias("quantity"), "unit_price"),
+        "lines": li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")),
+    }
+
+
 def transactions_with_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions plus the buyer's country (the CSV extract carries it)."""
     c = customers(spark, sf_dir).select("customer_id", "country")

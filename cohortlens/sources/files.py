@@ -74,7 +74,8 @@ def load_table(spark: SparkSession, csv_path: str, table_path: str, schema: T.St
                fmt: str = "parquet") -> DataFrame:
     """Bulk-load a header CSV into a declared table: columns are matched by
     name against the declared schema, missing nullable columns become NULL,
-    and rows are appended."""
+    and rows are appended.  A NULL in a NOT NULL column refuses the file
+    before anything is written."""
     raw = spark.read.option("header", True).option("dateFormat", DATE_FORMAT).csv(csv_path)
     present = set(raw.columns)
     cols = []
@@ -86,5 +87,10 @@ def load_table(spark: SparkSession, csv_path: str, table_path: str, schema: T.St
         else:
             raise ValueError(f"required column {f.name!r} missing from {csv_path}")
     df = raw.select(*cols)
+    strict = [f.name for f in schema.fields if not f.nullable]
+    if strict:
+        broken = {c: n for c, n in df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in strict]).first().asDict().items() if n}
+        if broken:
+            raise ValueError(f"NULL in NOT NULL columns of {csv_path} (rows by column): {broken}")
     df.write.mode("append").format(fmt).save(table_path)
     return spark.read.format(fmt).load(table_path)

@@ -1,20 +1,27 @@
 """Materialisation of the metrics view, non-blocking refresh, run report.
 
-``refresh`` writes each snapshot into its own ``as_of=`` partition with
-dynamic partition overwrite; readers take the newest complete partition, so
-a refresh never blocks or half-updates what a reader sees.
+``refresh`` writes a snapshot under a hidden name and renames the finished
+folder to ``as_of=<date>``; readers take the newest folder that holds the
+writer's ``_SUCCESS`` mark.  So a refresh never blocks a reader or shows it
+half a snapshot, and the newest one is found by listing, not by reading.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _path(spark, path)
+    return fs.exists(p)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
@@ -26,22 +33,25 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def refresh(df: DataFrame, path: str, as_of) -> None:
-    """Write a new snapshot partition ``as_of=<date>`` (others untouched)."""
+    """Write a new snapshot ``as_of=<date>`` (others untouched)."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn("as_of", F.lit(str(as_of)))
-           .write.mode("overwrite").partitionBy("as_of").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    staging, fs = _path(spark, f"{path}/_writing-{uuid.uuid4().hex}")
+    df.write.parquet(staging.toString())
+    target, _ = _path(spark, f"{path}/as_of={as_of}")
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(staging, target):
+        raise OSError(f"cannot rename {staging} to {target}")
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot (partition pruning keeps the scan to one folder)."""
-    snap = spark.read.parquet(path)
-    newest = snap.agg(F.max("as_of")).first()[0]
-    return snap.where(F.col("as_of") == F.lit(newest)).drop("as_of")
+    """The newest complete snapshot."""
+    root, fs = _path(spark, path)
+    folders = [s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("as_of=")]
+    whole = sorted(f for f in folders if _exists(spark, f"{f}/_SUCCESS"))
+    if not whole:
+        raise FileNotFoundError(f"no complete snapshot in {path}")
+    return spark.read.parquet(whole[-1])
 
 
 def load_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:
@@ -61,8 +71,6 @@ def load_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:
 def observed_count(df: DataFrame, name: str):
     """Attach a row-count observation to a sink path (no second pass): the
     metric is read from ``observation.get`` after the write action."""
-    import uuid
-
     from pyspark.sql import Observation
     obs = Observation(f"{name}-{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

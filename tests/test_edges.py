@@ -77,10 +77,12 @@ def test_audit_one_violation_each(spark):
     ], "transaction_id string, customer_id long, transaction_date date, quantity int, unit_price decimal(10,2)")
     got = {(r.table_name, r.rule): r.violations for r in audit.audit({"customers": c, "transactions": t}).collect()}
     assert got[("transactions", "check:quantity>0")] == 1
-    assert got[("transactions", "primary_key:transaction_id")] == 1
+    assert got[("transactions", "unique:transaction_id")] == 1
     assert got[("transactions", "foreign_key:customer_id")] == 1
     assert got[("transactions", "not_null:transaction_date")] == 1
-    assert got[("customers", "primary_key:customer_id")] == 0
+    assert got[("customers", "unique:customer_id")] == 0
+    # no such column: listed, but not checked
+    assert got[("customers", "unique:email")] is None and got[("transactions", "not_null:product_id")] is None
 
 
 def test_defaults(spark):
@@ -114,14 +116,39 @@ def test_materialize_and_refresh(spark, tmp_path):
     assert spark.read.parquet(snap).count() == 2
 
 
-def test_parquet_schema_reused_across_reads(spark, tmp_path):
-    """The second read of a path takes the remembered footer schema and
-    still lists the files afresh (rows appended later are seen)."""
-    from cohortlens.sources import driver
-    path = str(tmp_path / "t.parquet")
-    spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(path)
-    first = driver.read_parquet(spark, path)
-    spark.createDataFrame([(2, "b")], "k long, v string").write.mode("append").parquet(path)
-    second = driver.read_parquet(spark, path)
-    assert second.schema == first.schema
-    assert sorted(r.k for r in second.collect()) == [1, 2]
+def test_latest_skips_unfinished_snapshots(spark, tmp_path):
+    snap = str(tmp_path / "snap")
+    df = spark.createDataFrame([(1, 10)], "customer_id long, v int")
+    sinks.refresh(df, snap, D(2021, 1, 1))
+    sinks.refresh(df.withColumn("v", F.lit(11)), snap, D(2021, 1, 1))
+    df.withColumn("v", F.lit(99)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{snap}/as_of=2022-01-01")
+    assert [tuple(r) for r in sinks.latest(spark, snap).collect()] == [(1, 11)]
+    with pytest.raises(FileNotFoundError):
+        sinks.latest(spark, str(tmp_path))
+
+
+def test_bulk_load_refuses_null_in_not_null(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from cohortlens.sources.schemas import schema_for
+    rows = spark.createDataFrame([(1, "US"), (2, None)], "customer_id long, country string")
+    files.write_csv(rows, str(tmp_path / "c.csv"))
+    with pytest.raises(ValueError, match="country"):
+        files.load_table(spark, str(tmp_path / "c.csv"), str(tmp_path / "t"), schema_for("customers", T.LongType()))
+    assert not (tmp_path / "t").exists()
+
+
+def test_malformed_month_raises(spark):
+    from cohortlens.functions.dates import parse_month
+    df = spark.createDataFrame([("2021-03",), (None,)], "m string")
+    assert [r[0] for r in df.select(parse_month("m")).collect()] == [D(2021, 3, 1), None]
+    with pytest.raises(Exception, match="(?i)pars|cast|invalid|date"):
+        spark.createDataFrame([("March",)], "m string").select(parse_month("m")).collect()
+
+
+def test_no_machine_local_intermediates_on_a_cluster(spark):
+    from cohortlens.session import warehouse_folder
+    assert warehouse_folder(spark, "local[4]").startswith("file:")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            warehouse_folder(spark, master)
