@@ -43,6 +43,7 @@ def month_label(d: ColumnOrName) -> Column:
 
 
 def parse_month(s: ColumnOrName) -> Column:
-    """``yyyy-MM`` (or a full date) text to the month's first day; NULL stays NULL."""
+    """``yyyy-MM`` (or a full date) text to the month's first day; NULL stays
+    NULL, and malformed text raises (in ANSI mode, Spark's default)."""
     c = _c(s)
-    return F.trunc(F.coalesce(F.try_to_date(c, "yyyy-MM"), F.try_to_date(c, "yyyy-MM-dd")), "month")
+    return F.trunc(F.coalesce(F.try_to_date(c, "yyyy-MM"), F.to_date(c, "yyyy-MM-dd")), "month")

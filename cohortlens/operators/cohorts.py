@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import month_label, month_number, month_start, parse_month
 from cohortlens.functions.money import pct, round_half_up
+from cohortlens.session import stable
 
 HORIZON = 12
 
@@ -122,7 +123,7 @@ def avg_retention(matrix: DataFrame, k: int = 3) -> DataFrame:
     """Unweighted mean over cohorts of month-k retention (cohorts without
     month k skipped), and the matching churn."""
     c = F.col(str(k))
-    avg = F.sum(c) / F.count(c)
+    avg = F.sum(c.cast("decimal(18,6)")).cast("double") / F.count(c)  # exact, whatever the order of rows
     return matrix.agg(
         round_half_up(avg, 2).alias(f"avg_month{k}_retention_pct"),
         round_half_up(F.lit(100.0) - avg, 2).alias(f"avg_month{k}_churn_pct"),
@@ -132,10 +133,11 @@ def avg_retention(matrix: DataFrame, k: int = 3) -> DataFrame:
 
 def transactions_with_cohort(transactions: DataFrame) -> DataFrame:
     """Line-grain transactions with cohort month, activity month and month
-    number.  The per-customer cohort table is joined back (a shuffle join on
-    customer_id; AQE's skew-join split handles a customer holding a large
-    share of the lines), not computed with a window at line grain."""
-    c = cohorts(transactions).select("customer_id", "cohort_month")
+    number.  The per-customer cohort table is written and joined back, not
+    computed with a window at line grain: both sides of the join are then
+    plain shuffles, and AQE splits a customer holding a large share of the
+    lines."""
+    c = stable(cohorts(transactions).select("customer_id", "cohort_month"), "cohort-of")
     return transactions.join(c, "customer_id").select(
         "transaction_id", "customer_id", "transaction_date", "cohort_month",
         month_start("transaction_date").alias("activity_month"),

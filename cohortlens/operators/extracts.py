@@ -63,19 +63,15 @@ def monthly_revenue(transactions: DataFrame) -> DataFrame:
     """Revenue by month x category: line count, distinct customers, revenue
     and mean line revenue (2 dp).  Rows without a category are dropped."""
     t = transactions.where(F.col("category").isNotNull()).withColumn("_rev", line_revenue())
-    g = t.groupBy(
-        month_label("transaction_date").alias("month"),
-        F.year("transaction_date").alias("year"),
-        F.quarter("transaction_date").alias("quarter"),
-        "category",
-    ).agg(
+    g = t.groupBy(month_start("transaction_date").alias("_start"), "category").agg(
         F.count(F.lit(1)).alias("transactions"),
         F.count_distinct("customer_id").alias("customers"),
         F.sum("_rev").alias("_sum"),
         mean("_rev").alias("_avg"),
     )
     return g.select(
-        "month", "year", "quarter", "category", "transactions", "customers",
+        month_label("_start").alias("month"), F.year("_start").alias("year"), F.quarter("_start").alias("quarter"),
+        "category", "transactions", "customers",
         round_half_up("_sum", 2).alias("revenue"),
         round_half_up("_avg", 2).alias("avg_order"),
     ).orderBy("month", "category")

@@ -66,12 +66,17 @@ def ltv_tiers(rfm: DataFrame, high: float = 2000, mid: float = 500) -> DataFrame
     ).orderBy("ltv_tier")
 
 
+def _mean_pct(c: str):
+    """Mean of rounded percentages, summed as decimals: exact in any order."""
+    return F.sum(F.col(c).cast("decimal(18,6)")).cast("double") / F.count(c)
+
+
 def retention_curve(long: DataFrame, critical_month: int = 3, high: float = 25, mid: float = 15) -> DataFrame:
     """Mean retention / churn by month number, a High/Mid/Low label on the
     mean retention and the month-3 "Critical Window" flag."""
     g = long.groupBy("month_number").agg(
-        (F.sum("retention_rate_pct") / F.count("retention_rate_pct")).alias("_ret"),
-        (F.sum("churn_rate_pct") / F.count("churn_rate_pct")).alias("_churn"),
+        _mean_pct("retention_rate_pct").alias("_ret"),
+        _mean_pct("churn_rate_pct").alias("_churn"),
         F.count(F.lit(1)).alias("cohorts"),
     )
     ret = round_half_up("_ret", 2)
@@ -156,7 +161,7 @@ def at_risk_kpis(rfm: DataFrame, months: int = 3) -> DataFrame:
     return at_risk(rfm).agg(
         F.count(F.lit(1)).alias("at_risk_customers"),
         round_half_up(F.coalesce(F.sum("monetary_value"), F.lit(0)), 2).alias("historical_spend"),
-        round_half_up(F.coalesce(F.sum(recoverable(months=months)), F.lit(0.0)), 2).alias("recoverable_revenue"),
+        round_half_up(F.coalesce(F.sum(recoverable(months=months).cast("decimal(28,10)")), F.lit(0)), 2).alias("recoverable_revenue"),
     )
 
 

@@ -8,6 +8,8 @@ from decimal import Decimal
 
 import pandas as pd
 
+from pyspark.sql import functions as F
+
 from cohortlens.operators import churn, cohorts, metrics
 
 AS_OF = dt.date(2022, 1, 1)
@@ -59,3 +61,24 @@ def test_customer_aggregates_combine_map_side(spark):
                     cohorts.cohorts(df), metrics.customer_ltv(df)):
         text = plan_df._jdf.queryExecution().executedPlan().toString()
         assert "partial_" in text, text
+
+
+def test_hot_customer_is_split_in_the_cohort_join(spark):
+    """A third of the lines on one customer: AQE splits that partition."""
+    n = 120_000
+    lines = spark.range(n).select(
+        F.col("id").alias("transaction_id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 9000 + 2).alias("customer_id"),
+        F.date_add(F.lit(dt.date(2021, 1, 1)), (F.col("id") % 300).cast("int")).alias("transaction_date"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = cohorts.transactions_with_cohort(lines)
+        assert len(df.collect()) == n
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
