@@ -1,5 +1,5 @@
-"""Plan assertions over every registered query (sf0.001, distributed
-ranking forced, static plans): no Python evaluation anywhere, and every
+"""Plan assertions over every registered query (sf0.001, static
+plans): no Python evaluation anywhere, and every
 whole-frame window (an ``Exchange SinglePartition``) sits on aggregated
 rows, never on customer- or line-grain rows."""
 
@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from cohortlens.operators.ranking import LOCAL_LIMIT_CONF
+from cohortlens.plans import registry
 
 SF = "/root/testdata/sf0.001"
 AGG = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "Expand")
@@ -42,8 +42,7 @@ def _first_real(node):
 
 
 @pytest.fixture()
-def static_distributed(spark, local_limit):
-    local_limit(0)
+def static_plans(spark):
     old = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     yield
@@ -51,10 +50,9 @@ def static_distributed(spark, local_limit):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-def test_registered_plans(spark, static_distributed):
-    assert spark.conf.get(LOCAL_LIMIT_CONF) == "0"
+def test_registered_plans(spark, static_plans):
     problems = []
-    for name, build in sorted(E.queries().items()):
+    for name, build in sorted(registry.queries().items()):
         plan = build(spark, SF)._jdf.queryExecution().executedPlan()
         text = plan.toString()
         if "Python" in text or "ArrowEval" in text:
@@ -68,7 +66,7 @@ def test_registered_plans(spark, static_distributed):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-def test_customer_metrics_first_aggregate_needs_no_line_shuffle(spark, static_distributed):
+def test_customer_metrics_first_aggregate_needs_no_line_shuffle(spark, static_plans):
     """With shuffle joins (broadcast off, as at scale), the (customer,
     transaction, month) aggregate sits directly on the order-key join."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -83,3 +81,17 @@ def test_customer_metrics_first_aggregate_needs_no_line_shuffle(spark, static_di
             assert parents and parents[0].nodeName() in ("HashAggregate", "Project"), parents[0].nodeName()
             return
     pytest.fail("order-key join not found")
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["customer_metrics", "constraint_audit", "load_report"])
+def test_no_expand(spark, static_plans, name):
+    assert "Expand" not in E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["ntile_recency", "qcut_monetary", "rfm_cells"])
+def test_scores_need_no_window_over_customers(spark, name):
+    """In the session's own settings: no window, no single task."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
