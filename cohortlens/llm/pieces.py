@@ -199,8 +199,12 @@ class Lattice:
         self.logp = np.minimum(w + back[self.dst] - back[self.src], 0.0)
         self.p = np.exp(self.logp)
         node, cnt = runs(self.src)
-        c = np.cumsum(self.p)
-        self.cum = c - np.repeat(c[node] - self.p[node], cnt)
+        # running sums of each node on its own: they do not depend on the chunk
+        self.cum = self.p.copy()
+        rank = np.arange(len(self.src)) - np.repeat(node, cnt)
+        for r in range(1, int(cnt.max(initial=1))):
+            e = np.flatnonzero(rank == r)
+            self.cum[e] += self.cum[e - 1]
         self.cum[node + cnt - 1] = 2.0  # the last edge takes what rounding leaves
         # ids of each edge, one after the other
         width = np.ones(len(self.id), np.int64)
@@ -341,8 +345,9 @@ def _chunk(v: Vocabulary, docs: list, texts: list[str], k: int, seed: int):
         u = np.concatenate([r.random(c) for r, c in zip(rngs, chars)])
         path, steps = lat.walk(units, u, at)
         ends = np.concatenate(([0], np.cumsum(steps)))
-        logp = np.concatenate(([0.0], np.cumsum(lat.logp[path])))[ends[bounds]]
-        walks.append((path, steps, ends, np.diff(logp)))
+        total, some = np.zeros(len(sizes)), np.flatnonzero(sizes)
+        total[some] = np.add.reduceat(lat.logp[path], ends[bounds[:-1][some]])
+        walks.append((path, steps, ends, total))
     first = 0
     for i, (doc, t, own, rng) in enumerate(zip(docs, texts, split, rngs)):
         if not len(own):
