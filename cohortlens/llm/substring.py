@@ -189,5 +189,27 @@ def op6_substring_anchors(spark, sf_dir):
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)
+), low AS (
+  SELECT k, min(doc_id) AS first_doc FROM win GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM (
+    SELECT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN low USING (k) WHERE first_doc < doc_id)
+), word AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES = {"op6_substring_anchors": op6_substring_anchors}
-SQL: dict[str, str] = {}
+SQL = {"op6_substring_anchors": OP6_SQL}
