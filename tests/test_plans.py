@@ -84,7 +84,7 @@ def test_customer_metrics_first_aggregate_needs_no_line_shuffle(spark, static_pl
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", ["customer_metrics", "constraint_audit", "load_report"])
+@pytest.mark.parametrize("name", ["customer_metrics", "load_report"])
 def test_no_expand(spark, static_plans, name):
     assert "Expand" not in E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 

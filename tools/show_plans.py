@@ -29,7 +29,6 @@ def main() -> None:
     spark = build_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("cohortlens.ranking.localLimit", "0")
     out = ["# Physical plans (scale-like settings)", "",
            "Generated by `tools/show_plans.py`: `autoBroadcastJoinThreshold=-1` (no data table is",
            "broadcast, as at 100 TB), AQE off (static plan), distributed ranking forced. Only the",
