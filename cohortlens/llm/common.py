@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.session import stable_counted
@@ -52,6 +55,23 @@ def drop(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def lean(make, *args):
+    """A function for ``mapInArrow``: ``make(batches, *args)``, after which
+    the worker gives unused memory back.  Workers outlive their tasks, and
+    what the tasks of one stage leave behind is missed in the next."""
+    def run(batches):
+        try:
+            yield from make(batches, *args)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
 # ---------------------------------------------------------------- arrays
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import freeze_counted, ranges, runs, table
+from cohortlens.llm.common import freeze_counted, lean, ranges, runs, table
 from cohortlens.llm.substring import window_keys, word_hashes
 
 UNIT, PASSAGE = 64, 128
@@ -269,7 +269,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                 if flat:
                     yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*flat), types)], [x.split()[0] for x in schema.split(", ")])
 
-        out = out.unionByName(docs.mapInArrow(rows, schema))
+        out = out.unionByName(docs.mapInArrow(lean(rows), schema))
     return out
 
 
@@ -283,7 +283,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
             for batch, found in _matches(batches, shared.value, threshold, overlap):
                 yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
-        docs = docs.mapInArrow(rows, docs.schema)
+        docs = docs.mapInArrow(lean(rows), docs.schema)
     return docs
 
 

@@ -34,10 +34,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import drop, freeze, freeze_counted, mix, partitions, ranges, runs, table
+from cohortlens.llm.common import drop, freeze, freeze_counted, lean, mix, partitions, ranges, runs, table
 from cohortlens.llm.match import MARKED, ROWS, buckets, matched, send
 
-CHUNK_CHARS = 3 << 20
+CHUNK_CHARS = 3 << 19
 PAIRS = 1 << 18            # candidate pairs that are looked at together
 BINS = 16
 _BASE = 0x9E3779B97F4A7C15
@@ -338,12 +338,12 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16) -> Data
     spark, t = docs.sparkSession, max_edits
     p, n = partitions(spark), buckets(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = freeze(matched(docs.mapInArrow(lambda b: _keys(b, t, min_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
+    hits = freeze(matched(docs.mapInArrow(lean(_keys, t, min_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
     later = hits.where("kind = 0").select("doc", "line", "keys").mapInArrow(_exact, "doc long, line int, h long")
     near = hits.where("kind = 1").groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list(F.struct("line", "keys")).alias("hits"))
     fetched = docs.where("text IS NOT NULL").join(near.hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"))
     rows = freeze(fetched.select("doc_id", "text", "hits").mapInArrow(
-        lambda b: _fetch(b, t), "key long, seg int, probe int, h long, doc long, line int, text string"), "lines-rows")
+        lean(_fetch, t), "key long, seg int, probe int, h long, doc long, line int, text string"), "lines-rows")
     sizes, _ = freeze_counted(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "lines-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     tile = min(1 << 14, max(256, total // p // 4))
@@ -353,7 +353,7 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16) -> Data
     dealt = dealt.withColumn("z", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("key", F.least("side", "z").alias("x"), F.greatest("side", "z").alias("y"), "side", "seg", "probe", "h", "doc", "line", "text")
     links = (dealt.repartition(p, "key", "x", "y").sortWithinPartitions("key", "x", "y", "side", "probe", "h", "doc", "line")
-             .mapInArrow(lambda b: _links(b, t), "h long, doc long, line int, near_doc long, near_line int, links long"))
+             .mapInArrow(lean(_links, t), "h long, doc long, line int, near_doc long, near_line int, links long"))
     linked = (links.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("own"), F.min(F.struct(F.col("near_doc").alias("doc"), F.col("near_line").alias("line"))).alias("near"),
                                      F.sum("links").alias("links"))
               .select("own.doc", "own.line", "h", (F.col("near") < F.col("own")).alias("gone"), "links"))

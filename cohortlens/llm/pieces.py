@@ -47,10 +47,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import ranges, runs, table
+from cohortlens.llm.common import lean, ranges, runs, table
 
 SPACE, OWN_MARK = "▁", "\udfff"  # the latter stands for U+2581 of a text; no UTF-8 text holds it
-CHUNK_CHARS = 2 << 20
+CHUNK_CHARS = 1 << 20
 SLOTS = 20
 _mul = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 
@@ -409,7 +409,7 @@ def sampled(docs: DataFrame, model: str, k: int = 2, seed: int = 17) -> DataFram
     """(doc_id, sample, tokens, log_prob, perturbed, inclusion, round_trip):
     up to k distinct segmentations of every text, best perturbed first."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda b: _encode(b, model, k, seed), SCHEMA)
+    return rows.mapInArrow(lean(_encode, model, k, seed), SCHEMA)
 
 
 def decoded(rows: DataFrame, model: str) -> DataFrame:

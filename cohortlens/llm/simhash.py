@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import drop, freeze, freeze_counted, partitions, ranges, runs, table
+from cohortlens.llm.common import drop, freeze, freeze_counted, lean, partitions, ranges, runs, table
 from cohortlens.llm.components import components
 
 CHUNK = 1 << 18        # shingles, or rows of groups, that are worked on at a time
@@ -86,7 +86,7 @@ def _fingerprints(batches, k: int):
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint of every row, as a signed long."""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(lambda b: _fingerprints(b, shingle), "doc_id long, fp long"))
+            .mapInArrow(lean(_fingerprints, shingle), "doc_id long, fp long"))
 
 
 class _Forest:
@@ -213,7 +213,7 @@ def near_pairs(values: DataFrame, max_bits: int = 3) -> DataFrame:
     rows = rows.withColumn("z", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.select("blk", "val", F.least("side", "z").alias("x"), F.greatest("side", "z").alias("y"), "side", "s")
     return (rows.repartition(p, "blk", "val", "x", "y").sortWithinPartitions("blk", "val", "x", "y", "side", "s")
-            .mapInArrow(lambda b: _group_forests(b, max_bits), "a long, b long"))
+            .mapInArrow(lean(_group_forests, max_bits), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import drop, freeze, mix, odd_numbers, ranges, table
+from cohortlens.llm.common import drop, freeze, lean, mix, odd_numbers, ranges, table
 from cohortlens.llm.match import MARKED, ROWS, buckets, matched, send
 
 CHUNK_WORDS = 1 << 20
@@ -171,13 +171,13 @@ def repeated_passages(docs: DataFrame, window: int = 13) -> DataFrame:
     one space."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = buckets(docs.sparkSession)
-    probes = docs.mapInArrow(lambda b: _probe(b, window, n), ROWS)
+    probes = docs.mapInArrow(lean(_probe, window, n), ROWS)
     hits = freeze(matched(probes, n[1], "shared", short=True).select("doc", "keys"), "passages-hits")
     near = _with_hits(docs, hits, "inner")
-    later = freeze(matched(near.mapInArrow(lambda b: _extend(b, window, n), ROWS), n[1], "later").select("doc", "keys"), "passages-later")
+    later = freeze(matched(near.mapInArrow(lean(_extend, window, n), ROWS), n[1], "later").select("doc", "keys"), "passages-later")
     drop(hits)
     return _with_hits(docs, later, "left").mapInArrow(
-        lambda b: _result(b, window), "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept string")
+        lean(_result, window), "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept string")
 
 
 # ---------------------------------------------------------------- query
