@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import drop, freeze, table
+from cohortlens.llm.common import drop, freeze, lean, table
 
 MAX_ROWS = 8000
 FEATURES = 4096
@@ -160,17 +160,20 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     z = (F.col("hits") - F.col("df") * p) / F.sqrt(F.col("df") * (p * (1 - p)) + 0.25)
     kept = freeze(df.withColumn("z", z).orderBy(F.desc(F.abs("z")), "word").limit(FEATURES), "toxicity-words")
     vocab = sorted(kept.collect(), key=lambda r: r.word)                       # at most FEATURES rows
-    rows = (counts.join(F.broadcast(kept.select("word")), "word").groupBy("label_id").agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("f"))
-            .collect())                                                        # at most max_rows rows of FEATURES values
+    flat = counts.join(F.broadcast(kept.select("word")), "word").select("label_id", "word", "n").toArrow()  # at most max_rows * FEATURES values
     toxic = {r.label_id: r.toxic for r in sample.collect()}
     for t in (sample, counts, kept):
         drop(t)
     col = {r.word: i for i, r in enumerate(vocab)}
     ids = sorted(toxic)
     place = {d: i for i, d in enumerate(ids)}
-    flat = sorted((place[r.label_id], col[f.word], np.log1p(f.n)) for r in rows for f in r.f)
-    row, c, v = (np.array(a) for a in zip(*flat)) if flat else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-    x = _Rows(row.astype(int), c.astype(int), v.astype(float), len(ids), len(vocab))
+    words_ = flat.column("word").combine_chunks().dictionary_encode()
+    row = np.array([place[d] for d in flat.column("label_id").to_pylist()], int)
+    c = np.array([col[w] for w in words_.dictionary.to_pylist()], int)[words_.indices.to_numpy()] if len(flat) else row
+    v = np.log1p(flat.column("n").to_numpy().astype(float))
+    order = np.lexsort((c, row))
+    row, c, v = row[order], c[order], v[order]
+    x = _Rows(row, c, v, len(ids), len(vocab))
     y01 = np.array([toxic[d] for d in ids])
     if not len(vocab):
         return Model()
@@ -211,7 +214,7 @@ def graded(docs: DataFrame, model: Model, reject: float = REJECT) -> DataFrame:
                                              ["doc_id", "severity", "p_toxic", "grade", "toxic"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(rows, "doc_id long, severity double, p_toxic double, grade int, toxic boolean"))
+            .mapInArrow(lean(rows), "doc_id long, severity double, p_toxic double, grade int, toxic boolean"))
 
 
 def without_toxic(docs: DataFrame, model: Model, reject: float = REJECT) -> DataFrame:
@@ -220,7 +223,7 @@ def without_toxic(docs: DataFrame, model: Model, reject: float = REJECT) -> Data
         for batch, _, p, _ in _scores(batches, model):
             yield batch.filter(pa.array(p < reject))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.mapInArrow(lean(rows), docs.schema)
 
 
 # ---------------------------------------------------------------- query
