@@ -5,7 +5,8 @@ P(lang | page) is proportional to
 
 * text: character trigrams (hashed) under a naive Bayes model.  The model is
   fitted on at most ``per_lang`` labelled documents of each language, those of
-  the smallest id hashes (a documented, bounded sample).  Neighbouring
+  the smallest id hashes (a documented, bounded sample; a language whose ids
+  hash oddly may give fewer).  Neighbouring
   trigrams repeat each other, so the sum counts as one third of its trigrams;
 * declared: the ``lang`` of the ``<html>`` tag (primary part), ``none``
   without one;
@@ -78,6 +79,11 @@ def _counts(batches):
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages, and log P(trigram cell | language)."""
     ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("lang", F.col("doc_id").cast("long").alias("id"))
+    # hashes are even over 2**64: the share of them that holds about twice the
+    # sample is all that is sorted, however many rows a language has
+    size = freeze(ids.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
+    ids = ids.join(size, F.col("lang") == F.col("of")).where(
+        F.xxhash64("id").cast("double") / 2.0**64 + 0.5 <= 2.0 * per_lang / F.col("n")).select("lang", "id")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     sample = freeze(ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).select("id", F.col("lang").alias("of")), "langid-sample")
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("lang"), F.col("text").cast("string").alias("text"))
@@ -131,7 +137,8 @@ def identify(pages: DataFrame, docs: DataFrame, per_lang: int = PER_LANG, streng
     def sums(key: str) -> DataFrame:
         return freeze(rows.groupBy(F.col(key).alias(f"of_{key}")).agg(vector.alias(f"n_{key}")), f"langid-{key}")
 
-    whole = sums("host").agg(F.array(*[F.sum(F.col("n_host")[i]) for i in range(n)]).alias("all")).first()["all"] or [0.0] * n
+    whole = sums("host").agg(F.array(*[F.sum(F.col("n_host")[i]) for i in range(n)]).alias("all")).first()["all"]
+    whole = [x or 0.0 for x in whole]  # no page, no sum
     everything = sum(whole)
     base = F.array(*[F.lit((x + 1.0 / n) / (everything + 1.0)) for x in whole])
     joined = rows
