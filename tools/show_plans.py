@@ -1,6 +1,6 @@
 """Write docs/PLANS.md: physical plans of the headline queries with
 scale-like settings (data tables never broadcast, AQE off so the static
-plan is shown, distributed ranking forced).
+plan is shown).
 
 usage: python tools/show_plans.py [sf_dir]
 """
@@ -31,7 +31,7 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     out = ["# Physical plans (scale-like settings)", "",
            "Generated by `tools/show_plans.py`: `autoBroadcastJoinThreshold=-1` (no data table is",
-           "broadcast, as at 100 TB), AQE off (static plan), distributed ranking forced. Only the",
+           "broadcast, as at 100 TB), AQE off (static plan). Only the",
            "operators that move or group data are kept; long expressions are cut.", ""]
     qs = queries()
     for name in NAMES:
