@@ -50,7 +50,7 @@ MAGIC = b"PFORids1"
 BLOCK = 1024
 SHARD_IDS = 8 << 20
 PERCENT = 90
-WORDS_KEPT = 250_000   # distinct words whose ids a worker remembers, twice
+WORDS_KEPT = 450_000   # distinct words whose ids a worker remembers, twice
 
 # ---------------------------------------------------------------- blocks
 
