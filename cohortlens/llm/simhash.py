@@ -27,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import drop, freeze, freeze_counted, lean, partitions, ranges, runs, table
@@ -70,7 +70,7 @@ def _bits(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _fingerprints(batches, k: int):
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
+        others, texts = batch.drop_columns(["text"]), batch.column("text").cast(pa.binary())
         at = 0
         while at < len(texts):
             hashes, sizes, first = [], [], at
@@ -80,13 +80,20 @@ def _fingerprints(batches, k: int):
                 sizes.append(len(h))
                 at += 1
             fp = _bits(np.array(hashes, np.uint64), np.array(sizes, np.int64))
-            yield pa.RecordBatch.from_arrays([ids.slice(first, at - first), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*others.slice(first, at - first).columns, pa.array(fp.view(np.int64))], [*others.schema.names, "fp"])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row, as a signed long."""
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(lean(_fingerprints, shingle), "doc_id long, fp long"))
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, digests: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint of every row, as a signed long;
+    ``digests``: with ``text_sha``, which tells rows of one doc_id apart."""
+    text = F.col("text").cast("string")
+    more = [text_digest(text).alias("text_sha")] if digests else []
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, text.alias("text"))
+            .mapInArrow(lean(_fingerprints, shingle), f"doc_id long, {'text_sha binary, ' if digests else ''}fp long"))
 
 
 class _Forest:
@@ -216,18 +223,21 @@ def near_pairs(values: DataFrame, max_bits: int = 3) -> DataFrame:
             .mapInArrow(lean(_group_forests, max_bits), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
-    rows = freeze(fingerprints(docs, shingle), "simhash-fp")
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, digests: bool = False) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``; ``digests``: with
+    ``text_sha`` and ``root``, a value of each component alone (where a doc_id
+    is repeated, or null, components can have the same component_id)."""
+    rows = freeze(fingerprints(docs, shingle, digests), "simhash-fp")
     classes = freeze(rows.groupBy("fp").agg(F.min("doc_id").alias("doc")), "simhash-classes")
     edges = components(near_pairs(classes.select(F.col("fp").alias("s")), max_bits))
     named = classes.join(edges.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
     named = named.select("fp", "doc", F.coalesce("root", "fp").alias("root"))
     least = freeze(named.groupBy("root").agg(F.min("doc").alias("component_id")), "simhash-least")
-    of = freeze(named.join(least, "root").select("fp", "component_id"), "simhash-of")
+    more = ["root"] if digests else []
+    of = freeze(named.join(least, "root").select("fp", *more, "component_id"), "simhash-of")
     for t in (least, edges, classes):
         drop(t)
-    return rows.join(of, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(of, "fp").select("doc_id", *(["text_sha"] if digests else []), "fp", *more, "component_id")
 
 
 # ---------------------------------------------------------------- query

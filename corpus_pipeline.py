@@ -5,8 +5,8 @@ predecessor kept; its result is written and read again before the next.  All
 stages but the last return the columns of ``documents``.
 
 Defined results: a null text passes the first stage, has no lines to lose and
-no words; rows with a null doc_id are never named as a copy's representative
-and so always stay; an empty table gives an empty result.
+no words; of near copies a row with a null doc_id stays only where no other
+has a doc_id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,16 +35,26 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: 3-word shingles, 3 bits; of each group the document
-    with the smallest doc_id stays, once."""
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    first = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    again = freeze(groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-again")
+    """SimHash near-dedup: 3-word shingles, 3 bits; of each component one row
+    stays, that of the smallest (doc_id, text, other columns), a null doc_id
+    last.  A row is known by doc_id and the digest of its text, so rows that
+    only share their doc_id do not touch each other."""
+    groups = freeze(simhash.near_duplicates(docs, shingle=3, max_bits=3, digests=True), "pipeline-groups")
+    id_, sha = F.col("doc_id").cast("long"), simhash.text_digest(F.col("text").cast("string"))
+    same_row = id_.eqNullSafe(F.col("__id")) & sha.eqNullSafe(F.col("__sha"))
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    row = [F.col("doc_id").alias("__id"), F.col("text_sha").alias("__sha")]
+    others = freeze(groups.where(~least).select(*row).distinct(), "pipeline-others")
+    first = docs.join(others, same_row, "left_anti")
+    # components whose smallest doc_id has several rows, or that have none but null
+    tied = freeze(groups.where(least).groupBy("root").count().where("count > 1").select("root"), "pipeline-tied")
+    again = freeze(groups.where(least).join(tied, "root").select(*row, F.col("root").alias("__root")).distinct(), "pipeline-again")
     if again.isEmpty():
         return first
-    repeated = first.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    text_first = ["text", *[c for c in docs.columns if c != "text"]]
+    repeated = (first.join(again, same_row).groupBy("__root").agg(F.min(F.struct(*text_first)).alias("__row"))
+                .select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
+    return first.join(again, same_row, "left_anti").unionByName(repeated)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

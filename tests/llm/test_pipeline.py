@@ -66,3 +66,17 @@ def test_stages_take_effect(spark, tmp_path):
 def test_empty_documents(spark, tmp_path):
     tables(spark, tmp_path, [])
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_are_told_by_row(spark):
+    """Rows that share a doc_id, or have none, go only with their own component."""
+    r = random.Random(3)
+    words = lambda: " ".join(f"{r.choice('bcdfg')}{r.randrange(900)}" for _ in range(300))
+    a, b, c, d, e, f = (words() for _ in range(6))
+    docs = [(1, a), (7, a), (7, b), (7, c), (8, c), (8, d), (8, d), (9, e), (9, e.upper()), (None, a), (None, f), (None, f + "\n")]
+    rows = [(i, t, "en", n) for n, (i, t) in enumerate(docs)]
+    df = spark.createDataFrame([*rows, (5, b, None, 90), (5, b, None, 91)], "doc_id long, text string, lang string, n int")
+    got = cp.one_of_each_group(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted(((x.doc_id, x.text, x.n) for x in got.collect()), key=str) == sorted(
+        [(1, a, 0), (5, b, 90), (7, c, 3), (8, d, 5), (9, e.upper(), 8), (None, f, 10)], key=str)
