@@ -138,17 +138,22 @@ def loss_text(formatted_text: Column, loss: Column) -> Column:
 # ---------------------------------------------------------------- query
 
 def op5_reply_tree_chat(spark, sf_dir):
-    """All conversations; a turn replies to the one before it."""
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    """All conversations; a row replies to the one before it, by (turn, role,
+    text).  Equal rows are one, and rows without a turn are none, as in the SQL."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                                                         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").distinct()
     probe = f"{END}{START}assistant ok"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
     rows = rows.unionByName(own)
-    # turns may leave gaps: the parent is the next smaller turn of the conversation
-    by_turn = Window.partitionBy("conv_id").orderBy("turn")
-    turns = (rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn").distinct()
-             .withColumn("parent", F.lag("turn").over(by_turn)))
-    f = formatted(tree(rows.join(turns, ["conv_id", "turn"]), "conv_id", "turn", "parent"))
+    # turns may leave gaps and be tied: a row's number in its conversation is its
+    # message id.  Texts are sorted within a turn alone, turns by their counts
+    nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
+    turns = rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    rows = rows.withColumn("nth", nth).join(turns, ["conv_id", "turn"]).withColumn("msg_id", F.col("before") + F.col("nth"))
+    f = formatted(tree(rows.withColumn("parent_id", F.when(F.col("msg_id") > 1, F.col("msg_id") - 1))))
     f = f.withColumn("back", parsed(F.col("formatted"))).withColumn("covered", loss_text(F.col("formatted"), F.col("loss")))
     return f.select(
         F.col("conv").alias("conv_id"), F.size("back").cast("long").alias("n_turns"),

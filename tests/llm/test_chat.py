@@ -55,3 +55,13 @@ def test_query_digests(spark, tmp_path):
     assert got[5].turns_sha256 == sha("system\ns\nuser\n\nassistant\né\U0001F600\n") and got[5].loss_sha256 == sha("é\U0001F600")
     assert got[-1].loss_sha256 == sha(probe) and got[-1].turns_sha256 == sha(f"user\n{probe}\nassistant\n{probe}\n")
     assert got[6].loss_chars == 0 and got[6].formatted_chars == 100_000 + len("<|im_start|>user\n<|im_end|>\n")
+
+
+def test_query_keeps_tied_turns(spark, tmp_path):
+    """Different rows of one turn all stay, by (role, text); equal rows are one."""
+    rows = [(5, 1, "user", "b"), (5, 1, "user", "a"), (5, 1, "assistant", "z"), (5, 4, "assistant", "q"), (5, 4, "assistant", "q"), (5, 4, None, None), (6, 2, "user", "x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in chat.op5_reply_tree_chat(spark, str(tmp_path)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert {c: r.n_turns for c, r in got.items()} == {-1: 2, 5: 5, 6: 1}
+    assert got[5].turns_sha256 == sha("assistant\nz\nuser\na\nuser\nb\n\n\nassistant\nq\n") and got[5].loss_sha256 == sha("zq")
