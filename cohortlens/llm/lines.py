@@ -18,8 +18,10 @@ A line occurrence goes if an earlier one, by (doc_id, line number), has a
 text within t edits; lines are judged on the input.
 
 Defined results
-* lines end at ``\\n``; lines of fewer than ``min_chars`` code points always
-  stay; null text: no lines, and stays null;
+* lines end at ``\\n``; lines of fewer than ``min_chars`` code points are not
+  compared by edits, those of fewer than ``exact_chars`` (``min_chars`` where
+  it is not given) always stay; between the two an earlier equal line alone
+  removes a line; null text: no lines, and stays null;
 * rows that repeat a doc_id count as one document: equal lines at equal
   places do not remove each other; a row with a null doc_id neither loses
   nor removes lines;
@@ -155,7 +157,7 @@ def _line_hash(line: str) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(raw, 42), xxhash.xxh3_64_intdigest(raw)
 
 
-def _keys(batches, t: int, min_chars: int, n: tuple[int, int]):
+def _keys(batches, t: int, min_chars: int, exact_chars: int, n: tuple[int, int]):
     def rows(occ):
         docs, nos, texts = zip(*occ)
         doc, no = np.array(docs, np.int64), np.array(nos, np.int32)
@@ -166,6 +168,9 @@ def _keys(batches, t: int, min_chars: int, n: tuple[int, int]):
         new = np.ones(len(order), bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
         first = order[new]
+        first = first[np.fromiter((len(texts[i]) >= min_chars for i in first), bool, len(first))]
+        if not len(first):
+            return
         first = first[np.lexsort((no[first], doc[first]))]
         found = list(segment_keys(Lines([texts[i] for i in first]), t))
         at = first[np.concatenate([k for k, *_ in found])]
@@ -179,9 +184,9 @@ def _keys(batches, t: int, min_chars: int, n: tuple[int, int]):
             if doc is None or not text:
                 continue
             for no, line in enumerate(text.split("\n")):
-                if len(line) >= min_chars:
+                if len(line) >= exact_chars:
                     occ.append((doc, no, line))
-                    size += len(line)
+                    size += max(len(line), 16)  # short ones weigh their row
             if size >= CHUNK_CHARS:
                 yield from rows(occ)
                 occ, size = [], 0
@@ -214,7 +219,7 @@ def _fetch(batches, t: int):
             for x in hits.as_py():
                 if x["line"] < len(lines):  # else of another row with this doc_id
                     found.append((doc, x["line"], lines[x["line"]], x["keys"]))
-                    size += len(lines[x["line"]])
+                    size += max(len(lines[x["line"]]), 16)
             if size >= CHUNK_CHARS // 4:
                 yield from rows(found)
                 found, size = [], 0
@@ -329,16 +334,17 @@ def _exact(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("line"), h], ["doc", "line", "h"])
 
 
-def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16) -> DataFrame:
+def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_chars: int | None = None) -> DataFrame:
     """(doc, line, h, gone, links): the line occurrences that go, and the
     first places of the lines that have links, with the number of different
     texts within ``max_edits``.  ``h`` is the line's ``xxhash64``."""
     if min_chars < 2 * (max_edits + 1):
         raise ValueError("lines must be long enough for segments")
+    exact_chars = min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))
     spark, t = docs.sparkSession, max_edits
     p, n = partitions(spark), buckets(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = freeze(matched(docs.mapInArrow(lean(_keys, t, min_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
+    hits = freeze(matched(docs.mapInArrow(lean(_keys, t, min_chars, exact_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
     later = hits.where("kind = 0").select("doc", "line", "keys").mapInArrow(_exact, "doc long, line int, h long")
     near = hits.where("kind = 1").groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list(F.struct("line", "keys")).alias("hits"))
     fetched = docs.where("text IS NOT NULL").join(near.hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"))
@@ -363,10 +369,10 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16) -> Data
     return marks
 
 
-def without_duplicate_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 16) -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_chars: int | None = None) -> DataFrame:
     """``docs`` with ``text`` without its duplicate lines, and columns
     ``line_stats``: struct<n_lines, n_removed, n_links>."""
-    marks = line_marks(docs, max_edits, min_chars)
+    marks = line_marks(docs, max_edits, min_chars, exact_chars)
     by = marks.groupBy(F.col("doc").alias("__doc")).agg(
         F.collect_list(F.when(F.col("gone"), F.struct("line", "h"))).alias("__gone"), F.sum("links").alias("__links"))
     lines = F.split("text", "\n", -1)
@@ -382,14 +388,16 @@ def without_duplicate_lines(docs: DataFrame, max_edits: int = 2, min_chars: int
 
 # ---------------------------------------------------------------- query
 
-MAX_EDITS, MIN_CHARS = 2, 16
+#: Every line that is not empty meets its equals; three segments of two
+#: characters are the least that two edits need.
+MAX_EDITS, MIN_CHARS, EXACT_CHARS = 2, 6, 1
 
 
 def op9_line_edit_join(spark, sf_dir):
     """One row per document: its lines, how many go, the links of the line
     texts that occur here first, and the digest of what is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = without_duplicate_lines(docs, MAX_EDITS, MIN_CHARS)
+    found = without_duplicate_lines(docs, MAX_EDITS, MIN_CHARS, EXACT_CHARS)
     return found.select("doc_id", "line_stats.*", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -106,3 +106,15 @@ def test_a_pair_within_two_edits_shares_a_key(a, changes):
     index = {int(k) for n, _, probe, key in keys for i, k in zip(n, key) if i == 0 and not probe}
     probes = {int(k) for n, _, probe, key in keys for i, k in zip(n, key) if i == 1 and probe}
     assert index & probes
+
+
+def test_query_takes_short_lines(spark, tmp_path):
+    """Equal lines go at any length, lines within two edits from six characters on."""
+    docs = [(1, "Read more\nok\n\nfirst of all the lines here"), (2, "ok\nRead mode\n\nsecond, which differs from the others"),
+            (3, "Read more\nab\n\nok"), (4, "abcde\nabcdef"), (5, "abcdX\nabcdeX\nabcdefgh")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in lines.op9_line_edit_join(spark, str(tmp_path)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    kept = {1: docs[0][1], 2: "\nsecond, which differs from the others", 3: "ab\n", 4: docs[3][1], 5: "abcdX"}
+    assert {d: r.kept_sha256 for d, r in got.items()} == {d: sha(x) for d, x in kept.items()}
+    assert {d: (r.n_removed, r.n_links) for d, r in got.items()} == {1: (0, 1), 2: (2, 1), 3: (2, 0), 4: (0, 2), 5: (2, 2)}
