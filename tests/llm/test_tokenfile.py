@@ -52,3 +52,11 @@ def test_empty(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     folder = f"file://{tmp_path}/ids"
     assert tf.read_documents(tf.write_ids(df, VOCABULARY, folder), folder).collect() == []
+
+
+@pytest.mark.parametrize("word", ["H̱amza", "J̌", "T̈a", "W̊", "Y̊", "T̈́a", "Éa", "ÉA", "ABC,"])
+def test_capitals_with_marks(word):
+    """A capital's composed form may be missing where the small letter has one."""
+    text = f"The {word} {word.lower()} {word}, AND {word}x."
+    want = np.array(Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert tf.encoder(VOCABULARY)([text.encode()]) == [want]
