@@ -3,9 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from cohortlens.llm import chat, decontam, langid, lines, pieces, simhash, substring, tokenfile, topk, toxicity
+from cohortlens.llm import chat, credentials, decontam, langid, lines, pieces, simhash, substring, tokenfile, topk, toxicity
 
-MODULES = (topk, chat, simhash, substring, tokenfile, lines, decontam, toxicity, langid, pieces)
+MODULES = (topk, chat, simhash, substring, tokenfile, lines, decontam, toxicity, langid, pieces, credentials)
 
 
 def queries():
