@@ -3,9 +3,9 @@ and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
-from cohortlens.llm import chat, credentials, decontam, langid, lines, pieces, simhash, substring, tokenfile, topk, toxicity, whitening
+from cohortlens.llm import chat, credentials, decontam, langid, lines, pieces, ranked, simhash, substring, tokenfile, topk, toxicity, whitening
 
-MODULES = (topk, chat, simhash, substring, tokenfile, lines, decontam, toxicity, langid, pieces, credentials, whitening)
+MODULES = (topk, chat, simhash, substring, tokenfile, lines, decontam, toxicity, langid, pieces, ranked, whitening, credentials)
 
 
 def queries():
