@@ -49,11 +49,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import freeze, lean, partitions, ranges, runs, table
 
-#: What is no part of a term: ASCII but digits and letters.
-_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Byte for byte: separators become spaces, A-Z a-z; bytes of other characters stay.
 _FOLD = bytes(b if b > 127 else (ord(chr(b).lower()) if chr(b).isalnum() else 32) for b in range(256))
+_IN_TERM = np.frombuffer(_FOLD, np.uint8) != 32
 SEGMENT_BYTES = 12 << 20
 BLOCK_TERMS = 1 << 16
 _INDEX = "segment long, term binary, docs array<int>, tfs array<int>, ids array<long>"
@@ -73,6 +71,22 @@ def terms_of(texts: pa.Array) -> pa.ListArray:
     return words.filter(full), of.filter(full).to_numpy().astype(np.int64)
 
 
+def _counts(batches):
+    """One row for each task: documents with a term, and their terms."""
+    docs = terms = 0
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary())
+        for at in range(0, len(batch), 64):
+            some = texts.slice(at, 64).to_pylist()
+            # a space before each text: terms begin where a separator ends
+            inside = _IN_TERM[np.frombuffer(b" " + b" ".join(some), np.uint8)]
+            begins = np.flatnonzero(inside[1:] & ~inside[:-1])
+            first = np.cumsum([0, *[len(t) + 1 for t in some]])
+            n = np.diff(np.searchsorted(begins, first))
+            docs, terms = docs + int((n > 0).sum()), terms + int(n.sum())
+    yield pa.RecordBatch.from_arrays([pa.array([docs]), pa.array([terms])], ["docs", "terms"])
+
+
 def normaliser(n: np.ndarray, total_docs: int, total_terms: int) -> np.ndarray:
     return np.array([75 + 25 * x * total_docs // total_terms for x in n.tolist()], np.int64)
 
@@ -132,11 +146,10 @@ def index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> tuple[DataFram
     documents in it."""
     rows = (docs.where(F.col("text").isNotNull())
             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    n = F.regexp_count("text", F.lit(_TERM))
-    total = rows.select(n.cast("long").alias("n")).where("n > 0").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("terms")).first()
+    total = rows.select("text").mapInArrow(lean(_counts), "docs long, terms long").agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
     if not total.docs:
         return rows.sparkSession.createDataFrame([], _INDEX), 0
-    made = rows.mapInArrow(lean(_segments, total.docs, int(total.terms), segment_bytes), _INDEX)
+    made = rows.mapInArrow(lean(_segments, total.docs, total.terms, segment_bytes), _INDEX)
     return freeze(made, "ranked-index"), total.docs
 
 
