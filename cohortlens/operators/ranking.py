@@ -1,141 +1,133 @@
-"""Exact order statistics by selection: NTILE, quantiles and medians without
-sorting, shuffling or gathering the table.
+"""Exact order statistics by radix selection: NTILE, quantiles and medians
+without sorting, shuffling or gathering the table.
 
 ``F.ntile(n).over(Window.orderBy(x))`` plans ``Exchange SinglePartition``:
 every customer goes through one task.  But NTILE(n) needs only the n - 1 rows
 at which tiles end, a quantile the two rows around it, a median the middle
-ones.  ``select_positions`` finds the rows at wanted positions, for any number
-of groups at once (the groups may be the metrics of one table):
-
-1. a bounded sample of the keys gives ``CELLS - 1`` split points;
-2. one aggregate counts rows by (group, cell), a cell being the number of
-   split points below the row's key (a binary search over the sorted split
-   points, one expression for every size); it is combined before the shuffle;
-3. running sums over those counts say which cells hold a wanted position, and
-   only their rows go on: to the next round while a cell holds more than
+ones.  Every sort order becomes a packed integer key (``keys``), a prefix of
+whose bits is a range of the order, so positions are found digit by digit:
+
+1. one aggregate counts rows by the key's next bits (at most ``CELLS``
+   values), for all metrics of a table or all groups at once; it is combined
+   before the shuffle and its result does not grow with the table;
+2. running sums over those counts say which cells hold a wanted position, and
+   only their rows go on: to their next bits while a cell holds more than
    ``LEAF`` rows, else to a window over the cell.
 
-Each round leaves about one row in ``CELLS / positions``, so two or three do
-for any table; every size takes the same path.  Keys end with a unique
-tie-breaker, so a value shared by a third of all rows is cut like any other.
-NULLs sort last in every part of a key, and a NULL group is a group.  Split
-points only steer the balance; the result is exact for any.
+Every size takes this path; a round leaves about one row in ``CELLS /
+positions``, and the bits of a key bound the rounds.  Keys end with a unique
+tie-breaker, so a value shared by a third of all rows is cut like any other;
+where a key's bits are used up, its rows are equal in every part, and the key
+itself is the answer.  There is no sample, no table of split points, and no
+lambda: cells are shifts of a long.  NULLs sort last in every part of a key,
+and a NULL group is a group.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
-from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import stable
+from cohortlens.operators.keys import Keys
+from cohortlens.session import stable_counted
 
 CELLS = 1024            # of one round, a power of two
-SAMPLE_PER_CELL = 32
 LEAF = 50_000           # rows that one task may sort
-SAMPLE_SEED = 20_240_917
 
 RANK = "_rank"
 
 
-def _spec(order, tie):
-    """``[("col", desc?), ...]`` from names and pairs, the tie-breaker last."""
-    return [(o, False) if isinstance(o, str) else (o[0], bool(o[1])) for o in order] + [(t, False) for t in tie]
-
-
-def _key(spec) -> Column:
-    """A struct whose order is the spec's, NULLs last; descending numbers are negated."""
-    parts = []
-    for i, (c, desc) in enumerate(spec):
-        x = -F.col(c) if desc else F.col(c)
-        parts += [x.isNull().alias(f"n{i}"), x.alias(f"v{i}")]
-    return F.struct(*parts)
-
-
-def _splits(keyed: DataFrame, total: int) -> str:
-    """At most ``CELLS - 1`` sorted split points of column ``_key``, as JSON,
-    from a sample of bounded size."""
-    share = SAMPLE_PER_CELL * CELLS / max(total, 1)
-    some = keyed if share >= 1 else keyed.sample(withReplacement=False, fraction=share, seed=SAMPLE_SEED)
-    keys = F.sort_array(F.collect_set("_key"))
-    row = some.select("_key").agg(keys.alias("s")).select(F.expr(
-        f"to_json(array_distinct(transform(sequence(1, {CELLS - 1}), i -> s[cast(floor(i * size(s) / {CELLS}) as int)])), map('ignoreNullFields', 'false'))"
-    ).alias("j")).where("size(from_json(j, 'array<string>')) > 0").first()
-    return row.j if row else "[]"
-
-
-def _cell(splits: str, key: str, schema) -> Column:
-    """Number of split points below the key."""
-    points = F.from_json(F.lit(splits), f"array<{schema.simpleString()}>")
-    steps = F.array(*[F.lit(CELLS >> i) for i in range(1, CELLS.bit_length())])
-    return F.aggregate(steps, F.lit(0), lambda acc, st: F.when(
-        F.coalesce(F.try_element_at(points, acc + st) < F.col(key), F.lit(False)), acc + st).otherwise(acc))
-
-
-def select_positions(df: DataFrame, order, want: DataFrame, group=(), tie=("customer_id",),
-                     total: int | None = None) -> DataFrame:
-    """The rows at wanted 1-based positions of the (order, tie) sort of each
-    group, with the position in ``_rank``.
-
-    ``want``: (the group columns, ``_rank``).  ``df`` is read once or twice a
-    round: pass a written table."""
-    group = list(group)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    spec = _spec(order, tie)
-    names = [f"_w{i}" for i in range(len(group))]
-    want = want.select(*[F.col(g).cast(types[g]).alias(n) for g, n in zip(group, names)], F.col(RANK).cast("long").alias("_pos"))
-    rows = df.withColumns({"_key": _key([(g, False) for g in group] + spec), "_at": F.array().cast("array<int>"), "_before": F.lit(0).cast("long")})
-    if total is None:
-        total = df.count()
-    while True:
-        rows = rows.withColumn("_cell", _cell(_splits(rows, total), "_key", rows.schema["_key"].dataType))
-        counts = rows.groupBy(*group, "_at", "_before", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-        # the counts are few: cells of a round, and groups
-        below = Window.partitionBy(*group, "_at").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
-        same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
-        inside = (F.col("_pos") > F.col("_from")) & (F.col("_pos") <= F.col("_from") + F.col("_n"))
-        held = counts.join(want, [*same, inside] if same else inside)
-        held = stable(held.select(*group, "_at", "_cell", "_from", "_n", "_pos"), "rank-cells")
-        cells = held.select(*[F.col(g).alias(f"_c{i}") for i, g in enumerate(group)], F.col("_at").alias("_ca"), F.col("_cell").alias("_cc"), "_from", "_n").distinct()
-        on = [F.col(g).eqNullSafe(F.col(f"_c{i}")) for i, g in enumerate(group)] + [F.col("_at") == F.col("_ca"), F.col("_cell") == F.col("_cc")]
-        rows = rows.join(cells, on).withColumn("_at", F.array_append("_at", F.col("_cell")))
-        size = cells.agg(F.max("_n").alias("most"), F.sum("_n").alias("all")).first()
-        if not size.most or size.most <= LEAF or size["all"] == total:
-            break
-        total = size["all"]
-        rows = stable(rows.withColumn("_before", F.col("_from")).select(*df.columns, "_key", "_at", "_before"), "rank-rows")
-    within = Window.partitionBy(*group, "_at").orderBy("_key")
-    ranked = rows.withColumn(RANK, F.row_number().over(within) + F.col("_from"))
-    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
-    return ranked.join(want, [*same, F.col(RANK) == F.col("_pos")]).select(*df.columns, RANK)
-
-
-def _long(df: DataFrame, metrics: dict[str, tuple[str, bool]], tie) -> DataFrame:
-    """(metric, value, tie...): several columns of a table as groups of one."""
-    def value(c, desc):
-        x = -F.col(c) if desc else F.col(c)
-        return x.cast(common)
-
-    types = [df.schema[c].dataType for c, _ in metrics.values()]
-    exact = all(t.typeName() in ("byte", "short", "integer", "long", "decimal") for t in types)
-    common = f"decimal(38,{max([t.scale for t in types if t.typeName() == 'decimal'], default=0)})" if exact else "double"
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("_metric"), value(c, d).alias("_value")) for m, (c, d) in metrics.items()]))
-    return df.select(each.alias("_m"), *tie).select("_m._metric", "_m._value", *tie)
-
-
-def _rows_at(df: DataFrame, metrics, positions, tie, total) -> dict[str, dict[int, tuple]]:
-    """For each metric the (value, tie...) at each position; both are few."""
-    spark = df.sparkSession
-    want = spark.createDataFrame([(m, p) for m in metrics for p in positions], f"_metric string, {RANK} long")
-    found = select_positions(_long(df, metrics, tie), ["_value"], want, group=["_metric"], tie=tie, total=total * len(metrics))
-    out: dict[str, dict[int, tuple]] = {m: {} for m in metrics}
-    for r in found.collect():
-        out[r["_metric"]][r[RANK]] = (r["_value"], *[r[t] for t in tie])
+# ---------------------------------------------------------------- whole tables
+
+class _Cell:
+    """Rows whose key begins with ``done`` (whole longs) and ``prefix``."""
+
+    def __init__(self, metric: int, bits: list[int], n: int, wanted: list[int], done=(), prefix=0, left=None, before=0):
+        self.metric, self.bits, self.n, self.wanted = metric, bits, n, wanted
+        self.done, self.prefix, self.before = done, prefix, before
+        self.left = bits[len(done)] if left is None and len(done) < len(bits) else left or 0
+        while len(self.done) < len(bits) and not self.left:  # on to the next long
+            self.done, self.prefix = (*self.done, self.prefix), 0
+            self.left = bits[len(self.done)] if len(self.done) < len(bits) else 0
+
+    @property
+    def whole(self) -> bool:
+        return len(self.done) == len(self.bits)
+
+    def holds(self, longs: list[Column]) -> Column:
+        """Whether a row of this cell's metric lies in it."""
+        at = F.col("_m") == self.metric
+        for k, x in zip(longs, self.done):
+            at = at & (k == x)
+        if not self.whole and self.left < self.bits[len(self.done)]:
+            at = at & (F.shiftright(longs[len(self.done)], self.left) == self.prefix)
+        return at
+
+    def step(self) -> int:
+        return min(CELLS.bit_length() - 1, self.left)
+
+    def digit(self, longs: list[Column]) -> Column:
+        """The next bits of a row in this cell."""
+        return F.shiftright(longs[len(self.done)], self.left - self.step()).bitwiseAND(F.lit((1 << self.step()) - 1))
+
+    def split(self, counts: dict[int, int]):
+        """The cells one digit deeper that hold wanted positions."""
+        before = self.before
+        for digit in sorted(counts):
+            n = counts[digit]
+            wanted = [p for p in self.wanted if before < p <= before + n]
+            if wanted:
+                yield _Cell(self.metric, self.bits, n, wanted, self.done, self.prefix << self.step() | digit, self.left - self.step(), before)
+            before += n
+
+
+def _keys_at(df: DataFrame, keys: Keys, positions: list[int]) -> dict[str, dict[int, tuple[int, ...]]]:
+    """For each order of ``keys`` the packed key at each 1-based position."""
+    names = list(keys.orders)
+    width = max(len(keys.bits(m)) for m in names)
+    longs = {m: keys.longs(m) + [F.lit(0).cast("long")] * (width - len(keys.bits(m))) for m in names}
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), *[x.alias(f"_k{j}") for j, x in enumerate(longs[m])]) for i, m in enumerate(names)]))
+    rows = df.select(each.alias("_r")).select("_r.*")
+    cols = [F.col(f"_k{j}") for j in range(width)]
+    out: dict[str, dict[int, tuple[int, ...]]] = {m: {} for m in names}
+    cells = [_Cell(i, keys.bits(m), keys.total, positions) for i, m in enumerate(names)]
+    leaves = []
+
+    def chosen(some: list[_Cell], what) -> Column:
+        found = None
+        for i, c in enumerate(some):
+            x = what(i, c)
+            found = F.when(c.holds(cols), x) if found is None else found.when(c.holds(cols), x)
+        return found
+
+    first = True
+    while cells:
+        done = [c for c in cells if c.whole]
+        leaves += [c for c in cells if not c.whole and c.n <= LEAF and not first]
+        cells = [c for c in cells if not c.whole and (c.n > LEAF or first)]
+        for c in done:
+            out[names[c.metric]] |= {p: c.done for p in c.wanted}
+        if cells:
+            counted = (rows.select(chosen(cells, lambda i, c: F.lit(i)).alias("_c"), chosen(cells, lambda i, c: c.digit(cols)).alias("_d"))
+                       .where("_c IS NOT NULL").groupBy("_c", "_d").agg(F.count(F.lit(1)).alias("_n")))
+            counts: dict[int, dict[int, int]] = {}
+            for r in counted.collect():  # at most CELLS for each open cell
+                counts.setdefault(r["_c"], {})[r["_d"]] = r["_n"]
+            cells = [x for i, c in enumerate(cells) for x in c.split(counts.get(i, {}))]
+        first = False
+    if leaves:
+        inside = rows.withColumn("_c", chosen(leaves, lambda i, c: F.lit(i))).where("_c IS NOT NULL")
+        inside = inside.withColumn(RANK, F.row_number().over(Window.partitionBy("_c").orderBy(*cols)))
+        want = None
+        for i, c in enumerate(leaves):
+            hit = (F.col("_c") == i) & F.col(RANK).isin([p - c.before for p in c.wanted])
+            want = hit if want is None else want | hit
+        for r in inside.where(want).collect():
+            c = leaves[r["_c"]]
+            out[names[c.metric]][r[RANK] + c.before] = tuple(r[f"_k{j}"] for j in range(len(c.bits)))
     return out
 
 
@@ -147,28 +139,30 @@ def tile_ends(total: int, n: int) -> list[int]:
     return [e for e in ends if 0 < e < total]
 
 
+def _above(longs: list[Column], edge: tuple[int, ...]) -> Column:
+    """key > edge, one long after the other."""
+    above = longs[-1] > edge[-1]
+    for x, e in zip(longs[-2::-1], edge[-2::-1]):
+        above = (x > e) | ((x == e) & above)
+    return above
+
+
 def ntiles(df: DataFrame, n: int, scores: dict[str, tuple[str, bool]], tie=("customer_id",),
            total: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """Add ``NTILE(n) OVER (ORDER BY col [DESC], tie)`` for each
-    ``{out: (col, desc)}``: the tiles' last rows are selected, all metrics in
-    one pass, and each row is compared with them; ``df`` itself is neither
-    shuffled nor joined.  ``source``: a written table with the same rows."""
+    ``{out: (col, desc)}``: the keys of the tiles' last rows are selected, all
+    metrics in one pass, and each row's key is compared with them; ``df``
+    itself is neither shuffled nor joined.  ``source``: a written table with
+    the same rows.  ``total`` is not needed, the selection counts the rows."""
     src = df if source is None else source
-    tie = tuple(tie)
-    if total is None:
-        total = src.count()
-    ends = tile_ends(total, n)
-    rows = _rows_at(src, scores, ends, tie, total) if ends else {m: {} for m in scores}
-    types = {f.name: f.dataType for f in _long(src, scores, tie).schema.fields}
+    keys = Keys(src, {m: [(c, bool(desc)), *[(t, False) for t in tie]] for m, (c, desc) in scores.items()})
+    ends = tile_ends(keys.total, n)
+    edges = _keys_at(src, keys, ends) if ends else {m: {} for m in scores}
     out = {}
-    for m, (c, desc) in scores.items():
-        x = (-F.col(c) if desc else F.col(c)).cast(types["_value"])
-        key = F.struct(x.isNull().alias("n0"), x.alias("v0"), *[k for i, t in enumerate(tie, 1) for k in (F.col(t).isNull().alias(f"n{i}"), F.col(t).alias(f"v{i}"))])
+    for m in scores:
         tile = F.lit(1)
         for e in ends:
-            edge = F.struct(*[k for i, (v, t) in enumerate(zip(rows[m][e], ("_value", *tie)))
-                              for k in (F.lit(v is None).alias(f"n{i}"), F.lit(v).cast(types[t]).alias(f"v{i}"))])
-            tile = tile + (key > edge).cast("int")
+            tile = tile + _above(keys.longs(m), edges[m][e]).cast("int")
         # fewer rows than tiles: each row is a tile of its own
         out[m] = tile.cast("int")
     return df.withColumns(out)
@@ -195,21 +189,17 @@ def exact_quantiles_multi(df: DataFrame, cols, probs, tie=("customer_id",), tota
     """Linearly interpolated quantiles (numpy/pandas default, SQL
     ``quantile_cont``), exact, for several non-null columns in one selection;
     at most 2 * len(probs) values a column reach the driver."""
-    if total is None:
-        total = df.count()
-    if total == 0:
+    keys = Keys(df, {c: [(c, False), *[(t, False) for t in tie]] for c in cols})
+    if keys.total == 0:
         return {c: [] for c in cols}
-    wanted = _positions(total, probs)
+    wanted = _positions(keys.total, probs)
     positions = sorted({x + 1 for lo, hi, _ in wanted.values() for x in (lo, hi)})
-    got = _rows_at(df, {c: (c, False) for c in cols}, positions, tuple(tie), total)
+    got = _keys_at(df, keys, positions)
     out = {}
     for c in cols:
-        edges = []
-        for p in probs:
-            lo, hi, frac = wanted[p]
-            a, b = (float(Decimal(str(got[c][x + 1][0]))) for x in (lo, hi))
-            edges.append(a if frac == 0 or a == b else a + (b - a) * float(frac))
-        out[c] = edges
+        at = {p: float(keys.first_value(c, k)) for p, k in got[c].items()}
+        out[c] = [at[lo + 1] if frac == 0 or at[lo + 1] == at[hi + 1] else at[lo + 1] + (at[hi + 1] - at[lo + 1]) * float(frac)
+                  for lo, hi, frac in (wanted[p] for p in probs)]
     return out
 
 
@@ -248,13 +238,56 @@ def approx_quantiles(df: DataFrame, cols, probs, accuracy: int = 10_000) -> dict
 def grouped_median(df: DataFrame, group: list[str], col: str, out: str = "median",
                    tie=("customer_id",), approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Exact median per group (the mean of the one or two middle rows), by
-    selection: no group is gathered into one task."""
+    selection: no group is gathered into one task.  ``df`` is read once a
+    round: pass a written table."""
     if approx:
         # Bounded sketch per group instead of the exact rank.
         return df.groupBy(*group).agg(F.percentile_approx(F.col(col).cast("double"), 0.5, accuracy).alias(out))
     base = df.where(F.col(col).isNotNull()).select(*group, col, *tie)
-    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    middle = F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
-    want = stable(sizes.select(*group, F.explode(middle).alias(RANK)), f"median-{uuid.uuid4().hex[:6]}")
-    mid = select_positions(base, [col], want, group=group, tie=tie)
-    return mid.groupBy(*group).agg(F.avg(col).alias(out))
+    keys = Keys(base, {"k": [(col, False), *[(t, False) for t in tie]]})
+    longs, bits = keys.longs("k"), keys.bits("k")
+    names = [f"_g{i}" for i in range(len(group))]
+    rows = base.select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col(col).alias("_v"), *[x.alias(f"_k{i}") for i, x in enumerate(longs)],
+                       F.lit(0).cast("long").alias("_cell"))
+    # rows of one cell share the group and all bits so far; a digit is the next ones
+    held, digits = None, [(i, left - step, step) for i, b in enumerate(bits) for left in _lefts(b) for step in [min(CELLS.bit_length() - 1, left)]]
+    same = [F.col(n).eqNullSafe(F.col(f"_h{i}")) for i, n in enumerate(names)]
+    for at, (k, shift, step) in enumerate(digits or [(0, 0, 0)]):
+        rows = rows.withColumn("_d", F.shiftright(f"_k{k}", shift).bitwiseAND(F.lit((1 << step) - 1)))
+        counts = rows.groupBy(*names, "_cell", "_d").agg(F.count(F.lit(1)).alias("_n"))
+        # the counts are few: cells of a round, and groups
+        below = Window.partitionBy(*names, "_cell").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+        every = Window.partitionBy(*names)
+        if held is None:
+            counts = counts.withColumns({"_size": F.sum("_n").over(every), "_before": F.lit(0).cast("long")})
+        else:
+            counts = counts.join(held.select(*[F.col(n).alias(f"_h{i}") for i, n in enumerate(names)], F.col("_new").alias("_hc"), "_size", F.col("_from").alias("_before")),
+                                 [*same, F.col("_cell") == F.col("_hc")]).drop("_hc", *[f"_h{i}" for i in range(len(names))])
+        counts = counts.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_n").over(below), F.lit(0)))
+        low, high = F.floor((F.col("_size") + 1) / 2), F.floor(F.col("_size") / 2) + 1
+        inside = lambda p: (p > F.col("_from")) & (p <= F.col("_from") + F.col("_n"))
+        kept = counts.where(inside(low) | inside(high))
+        # at most two cells of a group stay, so a bit a round tells them apart
+        new = (F.col("_cell") * 2 + F.row_number().over(Window.partitionBy(*names, "_cell").orderBy("_d")) - 1).cast("long")
+        held, _ = stable_counted(kept.select(*names, "_cell", "_d", "_n", "_from", "_size", new.alias("_new")), "median-cells")
+        to = held.select(*[F.col(n).alias(f"_h{i}") for i, n in enumerate(names)], F.col("_cell").alias("_hc"), F.col("_d").alias("_hd"), "_new", "_from", "_size")
+        rows = rows.join(to, [*same, F.col("_cell") == F.col("_hc"), F.col("_d") == F.col("_hd")])
+        rows = rows.select(*names, "_v", *[f"_k{i}" for i in range(len(bits))], F.col("_new").alias("_cell"), "_from", "_size")
+        most = held.agg(F.max("_n")).first()[0] or 0
+        if most <= LEAF or at == len(digits) - 1:
+            break
+        rows, _ = stable_counted(rows.drop("_from", "_size"), "median-rows")
+    low, high = F.floor((F.col("_size") + 1) / 2), F.floor(F.col("_size") / 2) + 1
+    if most <= LEAF:
+        nth = F.row_number().over(Window.partitionBy(*names, "_cell").orderBy(*[f"_k{i}" for i in range(len(bits))])) + F.col("_from")
+        middle = rows.withColumn(RANK, nth).where((F.col(RANK) == low) | (F.col(RANK) == high)).groupBy(*names).agg(F.avg("_v").alias(out))
+    else:
+        # all bits are used: a cell's rows are equal, one stands for its wanted positions
+        value = rows.groupBy(*names, "_cell").agg(F.min("_v").alias("_v"))
+        middle = value.groupBy(*names).agg(F.avg("_v").alias(out))
+    return middle.select(*[F.col(n).alias(g) for g, n in zip(group, names)], out)
+
+
+def _lefts(bits: int) -> list[int]:
+    """How many bits of a long are left before each digit."""
+    return list(range(bits, 0, -(CELLS.bit_length() - 1)))
