@@ -1,6 +1,7 @@
 """Token-id files: patched frame-of-reference blocks.
 
-Texts are range-partitioned and sorted by doc_id, encoded, and written by
+Texts are range-partitioned and sorted by doc_id (and by more where many rows
+share one, so that a hot id is split), encoded, and written by
 each task as shards of a bounded number of ids.  A shard's ids are cut into
 blocks of 1,024.  Of each block the minimum is subtracted; the rest is packed
 at the width that 90 % of the values need; the others keep their low bits
@@ -18,13 +19,14 @@ A task writes under a name of its own attempt and renames the whole file, so
 a task that runs again, or twice, leaves the same shard.  Names sort in
 ascending order of documents.
 
-The text is cut at ASCII white space and every distinct word is encoded once
-per task's memory; that equals encoding the whole text for vocabularies whose
+The text is cut at ASCII white space, a chunk's words are numbered with Arrow's
+dictionaries, and a word that a worker does not remember is encoded once; that equals encoding the whole text for vocabularies whose
 pre-tokenizer drops white space (checked when the vocabulary is loaded).
 
 Defined results
 * null text: empty, which is the end id alone; null doc_id sorts first;
-* repeated doc_ids stay rows, in order of their texts (null first);
+* repeated doc_ids stay rows, in order of their texts' first 64 characters
+  (null first), then of their hashes;
 * an empty table gives no file and an empty result; other columns are ignored;
 * the folder must be one that ``pyarrow.fs`` opens and all executors share.
 """
@@ -34,23 +36,24 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import freeze, partitions, table
+from cohortlens.llm.common import freeze, partitions, ranges, table
 from cohortlens.session import checkpoint_dir
 
 MAGIC = b"PFORids1"
 BLOCK = 1024
 SHARD_IDS = 8 << 20
 PERCENT = 90
-WORDS_KEPT = 450_000   # distinct words whose ids a worker remembers, twice
+WORDS_KEPT = 450_000   # distinct words whose ids a worker remembers, besides a chunk's own
+CHUNK_BYTES = 4 << 20
 
 # ---------------------------------------------------------------- blocks
 
@@ -162,12 +165,22 @@ class Shard:
 
 # ---------------------------------------------------------------- words
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of binary texts between ASCII white space, and whose they are."""
+    raw = texts.cast(pa.large_binary())
+    lists = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(raw), raw.buffers(), offset=raw.offset))
+    words, of = lists.flatten(), pc.list_parent_indices(lists)
+    full = pc.greater(pc.binary_length(words), 0)  # not what stands before a first space or behind a last one
+    return words.filter(full), of.filter(full).to_numpy().astype(np.int64)
+
+
 class WordEncoder:
-    """ids of a text as bytes of u32, by way of its words.
+    """ids of texts, by way of their distinct words.
 
     A word of ASCII alone is known without its capitals, and every word without
     one last comma or full stop, where that changes nothing but the ids added
-    at the end."""
+    at the end.  New words are encoded many at a time, joined by a special
+    token, where the ids between its ids prove to be those of the words alone."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -175,52 +188,101 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         probe = " a\tb  c'\n's\x0b\x0c9 9\r<|endoftext|> Ab\u0301 \u0301x"
-        self.by_word = self._ids(probe) == b"".join(self._ids(w.decode()) for w in probe.encode().split())
-        self.lower = self._ids("AbC CAn'T") == self._ids("abc can't")
-        self.mark = {c: self._ids(c.decode()) for c in (b",", b".")}
-        self.cut = all(self._ids(f"{w}{c.decode()}") == self._ids(w) + ids for w in ("a", "the", "x9", "it's") for c, ids in self.mark.items())
-        self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}   # words in use move on from here; the rest is forgotten
-
-    def _ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word that stands for this one, and the ids to add to its own."""
-        if b"<|" in word:  # a special token's name may stand in it
-            return word, b""
+        self.by_word = self._one(probe) == [i for w in probe.encode().split() for i in self._one(w.decode())]
+        self.lower = self._one("AbC CAn'T") == self._one("abc can't")
+        self.marks = [[], self._one(","), self._one(".")]
+        self.cut = all(self._one(w + c) == self._one(w) + m for w in ("a", "the", "x9", "it's") for c, m in zip(("", ",", "."), self.marks))
+        self.separator = None
+        words = ["a", "the<", ">x9", "\u0301x", "'s", "|", "Ab\u0301", "9"]
+        for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()):
+            if t.special and self._one(t.content.join(words)) == [x for w in words for x in [i, *self._one(w)]][1:]:
+                self.separator = (t.content, i)
+                break
+        self._forget()
+
+    def _forget(self):
+        self.known: dict[bytes, int] = {}   # stem -> its number
+        self.ids, self.first, self.size = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64))
+
+    def _one(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encoded(self, words: list[str]):
+        """The ids of each word."""
+        joined = [w for w in words if self.separator and "<|" not in w]
+        alone = [w for w in words if not self.separator or "<|" in w]
+        found: dict[str, np.ndarray] = {}
+        groups = [joined[at:at + 256] for at in range(0, len(joined), 256)]
+        for at in range(0, len(groups), 32):
+            some = groups[at:at + 32]
+            for group, e in zip(some, self.tokenizer.encode_batch_fast([self.separator[0].join(g) for g in some], add_special_tokens=False)):
+                ids = np.array(e.ids, np.uint32)
+                ends = np.flatnonzero(ids == self.separator[1])
+                if len(ends) == len(group) - 1:
+                    found.update(zip(group, (p[i > 0:] for i, p in enumerate(np.split(ids, ends)))))
+                else:
+                    alone += group
+        for at in range(0, len(alone), 1024):
+            some = alone[at:at + 1024]
+            found.update(zip(some, (np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
+        return [found[w] for w in words]
+
+    def _stems(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """What stands for each distinct word, and the number of its mark."""
+        special = pc.match_substring(words, "<|")  # a special token's name may stand in it
         # a capital and its mark may have no composed form where the small letter has one
-        word = word.lower() if self.lower and word.isascii() else word
-        if self.cut and word[-1:] in self.mark and word[-2:-1].isalnum():
-            return word[:-1], self.mark[word[-1:]]
-        return word, b""
+        stems = pc.if_else(pc.and_not(pc.string_is_ascii(words), special), pc.ascii_lower(words), words) if self.lower else words
+        mark = np.zeros(len(words), np.int64)
+        if self.cut:
+            for k, c in ((1, ","), (2, ".")):
+                has = pc.and_not(pc.match_substring_regex(stems, f"[0-9A-Za-z][{c}]$"), special)
+                mark[has.to_numpy(zero_copy_only=False)] = k
+            shorter = pc.utf8_slice_codeunits(stems, 0, -1)
+            stems = pc.if_else(pa.array(mark > 0), shorter, stems)
+        return stems, mark
+
+    def _numbers(self, stems: pa.Array) -> np.ndarray:
+        """The number of each distinct stem; new ones are encoded."""
+        at = [self.known.get(w, -1) for w in stems.to_pylist()]
+        at = np.array(at, np.int64)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            words = stems.take(pa.array(missing)).to_pylist()
+            parts = self._encoded(words)
+            size = np.fromiter(map(len, parts), np.int64, len(parts))
+            at[missing] = len(self.size) + np.arange(len(parts))
+            self.known.update(zip(words, at[missing].tolist()))
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+            self.ids, self.size = np.concatenate([self.ids, *parts]), np.concatenate([self.size, size])
+        return at
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, their number in each text)."""
+        texts = pc.fill_null(texts.cast(pa.binary()), b"")
+        words, of = split_words(texts) if self.by_word else (texts.cast(pa.large_string()), np.arange(len(texts)))
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        if len(self.known) > WORDS_KEPT:
+            self._forget()
+        coded = words.dictionary_encode()
+        stems, mark = self._stems(coded.dictionary) if self.by_word else (coded.dictionary, np.zeros(len(coded.dictionary), np.int64))
+        coded_stems = stems.dictionary_encode()
+        number = self._numbers(coded_stems.dictionary)[coded_stems.indices.to_numpy()]
+        # the ids of each distinct word: its stem's, then its mark's
+        marks = np.array([x for m in self.marks for x in m], np.uint32)
+        mark_size = np.array([len(m) for m in self.marks], np.int64)
+        pool = np.concatenate([self.ids, marks])
+        first = np.column_stack([self.first[number], (len(self.ids) + np.cumsum(mark_size) - mark_size)[mark]]).ravel()
+        size = np.column_stack([self.size[number], mark_size[mark]]).ravel()
+        own = pool[ranges(first, size)]
+        size = size.reshape(-1, 2).sum(1)
+        first = np.cumsum(size) - size
+        at = coded.indices.to_numpy()
+        return own[ranges(first[at], size[at])], np.bincount(of, size[at], len(texts)).astype(np.int64)
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() if self.by_word else [t or b""] for t in texts]
-        if len(self.known) > WORDS_KEPT:
-            self.known, self.old = {}, self.known
-        known, old = self.known, self.old
-        stems = {}
-        for w in set().union(*split).difference(known):
-            if w in old:
-                known[w] = old[w]
-            else:
-                stems[w] = self._stem(w)
-        new = []
-        for x, _ in stems.values():
-            if x not in known:
-                if x in old:
-                    known[x] = old[x]
-                else:
-                    known[x] = b""
-                    new.append(x)
-        for at in range(0, len(new), 1024):
-            part = new[at:at + 1024]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                known[x] = array("I", e.ids).tobytes()
-        for w, (x, more) in stems.items():
-            known[w] = known[x] + more
-        return [b"".join([known[w] for w in ws]) for ws in split]
+        ids, n = self.encode(pa.array(texts, pa.binary()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(n)[:-1])] if texts else []
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -245,27 +307,34 @@ def _put(folder: str, name: str, content: bytes) -> None:
 
 def _write(batches, vocabulary: str, folder: str, end_id: int, shard_ids: int):
     enc, part = encoder(vocabulary), TaskContext.get().partitionId()
-    end = np.array([end_id], "<u4").tobytes()
-    docs, parts, size, shards = [], [], 0, []
+    docs, parts, lengths, size, shards = [], [], [], 0, []
 
     def flush():
-        nonlocal docs, parts, size
-        ids = np.frombuffer(b"".join(parts), "<u4")
+        nonlocal docs, parts, lengths, size
         name = f"ids-{part:06d}-{len(shards):06d}.pfor"
-        _put(folder, name, encode_shard(docs, [len(p) // 4 for p in parts], ids))
-        shards.append((name, len(docs), len(ids)))
-        docs, parts, size = [], [], 0
+        _put(folder, name, encode_shard(docs, lengths, np.concatenate(parts)))
+        shards.append((name, len(docs), size))
+        docs, parts, lengths, size = [], [], [], 0
 
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        for at in range(0, len(batch), 256):
-            piece = batch.column("doc_id").slice(at, 256).to_pylist()
-            for doc, ids in zip(piece, enc(texts.slice(at, 256).to_pylist())):
-                docs.append(doc)
-                parts.append(ids + end)
-                size += len(ids) // 4 + 1
-                if size >= shard_ids:
-                    flush()
+        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())
+        chars = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        at = 0
+        while at < len(batch):
+            upto = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + CHUNK_BYTES, "right")))
+            found, n = enc.encode(texts.slice(at, upto - at))
+            whole = np.full(len(found) + len(n), end_id, np.uint32)
+            ends = np.cumsum(n + 1) - 1
+            inside = np.ones(len(whole), bool)
+            inside[ends] = False
+            whole[inside] = found
+            docs += ids[at:upto]
+            lengths += (n + 1).tolist()
+            parts.append(whole)
+            size += len(whole)
+            at = upto
+            if size >= shard_ids:
+                flush()
     if docs:
         flush()
     if shards:
@@ -294,7 +363,10 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1, sh
     """Write shards into ``folder``; (shard, n_docs, n_ids, start): each
     shard's documents and ids, and the number of ids before it."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text"))
+            .withColumns({"head": F.substring("text", 1, 64), "digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()}))
+    # rows of one doc_id part by their heads, those of one text anywhere
+    rows = (rows.repartitionByRange(partitions(docs.sparkSession), "doc_id", "head", "digest", "row")
+            .sortWithinPartitions("doc_id", "head", "digest").select("doc_id", "text"))
     shards = freeze(rows.mapInArrow(lambda b: _write(b, vocabulary, folder, end_id, shard_ids), "shard string, n_docs long, n_ids long"), "ids-shards")
     # one row for each file
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

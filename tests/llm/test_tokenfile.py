@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -60,3 +62,41 @@ def test_capitals_with_marks(word):
     text = f"The {word} {word.lower()} {word}, AND {word}x."
     want = np.array(Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert tf.encoder(VOCABULARY)([text.encode()]) == [want]
+
+
+def test_ids_equal_whole_texts(monkeypatch):
+    """Random hostile texts in chunks that share and forget words."""
+    monkeypatch.setattr(tf, "WORDS_KEPT", 50)
+    rng = random.Random(3)
+    pieces = ["The", "the,", "THE.", "É", "é.", "H̱a", "<|endoftext|>", "<|", "|>", "<", "a<", ">b", "<|startoftext|>x", "9.9", "it's", "--", ",", ".", "..", "x,.", "語", "語.", " ", " ", " ", "\n", "\t",
+              "\x0b", "\x1f", "\x85", " ", "don't", "ﬁ", "İ", "\U0001f600", "\x00"]
+    tok, enc = Tokenizer.from_file(VOCABULARY), tf.WordEncoder(VOCABULARY)
+    assert enc.by_word and enc.separator
+    for _ in range(60):
+        texts = ["".join(rng.choice(pieces) + rng.choice(["", "", " "]) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(1, 30))]
+        want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert enc([t.encode() for t in texts]) == want
+    ids, n = enc.encode(pa.array([None, b"", b" "], pa.binary()))
+    assert len(ids) == 0 and n.tolist() == [0, 0, 0]
+
+
+def test_documents_of_the_tables(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(300).collect()]
+    tok, enc = Tokenizer.from_file(VOCABULARY), tf.WordEncoder(VOCABULARY)
+    assert enc([t.encode() for t in texts]) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_hot_doc_id_is_split(spark, tmp_path):
+    """A third of the rows under one doc_id, half of them one text."""
+    rows = [(i, f"text {i}") for i in range(400)] + [(7, f"w{i} x" * 20) for i in range(100)] + [(7, "same text " * 30)] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = f"file://{tmp_path}/ids"
+    shards = tf.write_ids(df, VOCABULARY, folder)
+    got = sorted((tuple(r) for r in tf.read_documents(shards, folder).collect()), key=lambda r: r[1])
+    assert [g[0] for g in got] == sorted(r[0] for r in rows)
+    tok = Tokenizer.from_file(VOCABULARY)
+    crc = lambda t: zlib.crc32(np.array(tok.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes())
+    assert sorted(g[3] for g in got if g[0] == 7) == sorted(crc(t) for i, t in rows if i == 7)
+    assert [g[1] for g in got] == [0, *np.cumsum([g[2] for g in got])[:-1].tolist()]
+    assert sum(1 for r in shards.collect() if r.n_docs) >= 4
+    assert max(r.n_docs for r in shards.collect()) < 200  # 201 rows have that id
