@@ -7,8 +7,9 @@ joined with itself, about log2(depth) times, and then every leaf collects its
 ancestors, halving the step each time.  So a chain of any length costs a few
 joins, and no task holds more than its rows.  Texts join once, at the end.
 
-Branches of a tree rank by the mean score of their messages (no score: 0),
-then by leaf id; ``best`` keeps the highest of each tree.
+Branches of a tree rank by the mean score of their messages (to 12 decimals,
+within 1e20; none or NaN: 0), then by leaf id; ``best`` keeps the highest of
+each tree.  They are ranked before any text is joined.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each message.  Inside
 roles and texts every ``<``, some backslashes, ``|`` gets one backslash more,
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import freeze, freeze_counted, table
 
 START, END = "<|im_start|>", "<|im_end|>"
+_SCORE_LIMIT = 1e20
 
 
 def escaped(x: Column) -> Column:
@@ -94,20 +96,31 @@ def branches(nodes: DataFrame) -> DataFrame:
     return paths
 
 
+def ranked_branches(nodes: DataFrame, paths: DataFrame, best: int | None) -> DataFrame:
+    """(conv, leaf, branch, score) of the branches that are kept, by mean score
+    and leaf.  Scores are summed as decimals, so the order in which rows
+    arrive does not matter."""
+    limit = F.lit(_SCORE_LIMIT)
+    score = F.when(F.isnan("score"), F.lit(0.0)).otherwise(F.greatest(F.least("score", limit), -limit)).cast("decimal(38,12)")
+    sums = (paths.join(nodes.select("conv", "msg", score.alias("score")), ["conv", "msg"])
+            .groupBy("conv", "leaf").agg((F.sum("score").cast("double") / F.count(F.lit(1))).alias("score")))
+    ranked = sums.withColumn("branch", F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf")))
+    return ranked if best is None else ranked.where(F.col("branch") <= best)
+
+
 def formatted(nodes: DataFrame, best: int | None = 1, train: str = "assistant") -> DataFrame:
     """(conv, leaf, branch, score, turns, formatted, loss): one row for each
     chosen path; ``loss`` lists (start, length) in code points of what the
-    loss covers."""
+    loss covers.  Branches are ranked on ids and scores; only the chosen ones
+    get their texts."""
     nodes = freeze(nodes, "chat-nodes")
-    rows = branches(nodes).join(nodes.select("conv", "msg", "role", "text", "score"), ["conv", "msg"])
-    rows = rows.select("conv", "leaf", "up", "score", (F.col("role") == train).alias("trained"),
+    paths = freeze(branches(nodes), "chat-branches")
+    chosen = ranked_branches(nodes, paths, best)
+    rows = chosen.join(paths, ["conv", "leaf"]).join(nodes.select("conv", "msg", "role", "text"), ["conv", "msg"])
+    rows = rows.select("conv", "leaf", "up", "score", "branch", (F.col("role") == train).alias("trained"),
                        F.concat(F.lit(START), _role(F.col("role")), F.lit("\n")).alias("head"), escaped(F.col("text")).alias("body"))
-    path = (rows.groupBy("conv", "leaf")
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "trained", "head", "body"))).alias("t"),
-                 F.avg("score").alias("score"))
-            .withColumn("branch", F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "leaf"))))
-    if best is not None:
-        path = path.where(F.col("branch") <= best)
+    path = (rows.groupBy("conv", "leaf", "branch", "score")
+            .agg(F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "trained", "head", "body"))).alias("t")))
     tail = F.lit(f"{END}\n")
     pieces = F.transform("t", lambda m: F.concat(m["head"], m["body"], tail))
     # running start of each message's text, then the trained ones
@@ -138,21 +151,23 @@ def loss_text(formatted_text: Column, loss: Column) -> Column:
 # ---------------------------------------------------------------- query
 
 def op5_reply_tree_chat(spark, sf_dir):
-    """All conversations; a row replies to the one before it, by (turn, role,
-    text).  Equal rows are one, and rows without a turn are none, as in the SQL."""
+    """All rows of all conversations; a row replies to the one before it, by
+    (turn, role, text), a null turn last; equal rows are turns of their own."""
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                                                          F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").distinct()
+    rows = rows.where("conv_id IS NOT NULL")
     probe = f"{END}{START}assistant ok"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
     rows = rows.unionByName(own)
-    # turns may leave gaps and be tied: a row's number in its conversation is its
-    # message id.  Texts are sorted within a turn alone, turns by their counts
+    # turns may leave gaps, be tied or null: a row's number in its conversation is
+    # its message id.  Texts are sorted within a turn alone, turns by their counts
     nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
-    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1))
-    turns = rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
-    rows = rows.withColumn("nth", nth).join(turns, ["conv_id", "turn"]).withColumn("msg_id", F.col("before") + F.col("nth"))
+    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1))
+    turns = (rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+             .select(F.col("conv_id").alias("__conv"), F.col("turn").alias("__turn"), "before"))
+    same = (F.col("conv_id") == F.col("__conv")) & F.col("turn").eqNullSafe(F.col("__turn"))
+    rows = rows.withColumn("nth", nth).join(turns, same).withColumn("msg_id", F.col("before") + F.col("nth"))
     f = formatted(tree(rows.withColumn("parent_id", F.when(F.col("msg_id") > 1, F.col("msg_id") - 1))))
     f = f.withColumn("back", parsed(F.col("formatted"))).withColumn("covered", loss_text(F.col("formatted"), F.col("loss")))
     return f.select(
@@ -164,8 +179,8 @@ def op5_reply_tree_chat(spark, sf_dir):
 
 OP5_SQL = r"""
 WITH m AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL
   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
 ), e AS (
@@ -174,9 +189,9 @@ WITH m AS (
   FROM m
 )
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(12 + head + 1 + body + 11) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """

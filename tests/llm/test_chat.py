@@ -1,5 +1,7 @@
 import hashlib
+import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from cohortlens.llm import chat
@@ -57,11 +59,46 @@ def test_query_digests(spark, tmp_path):
     assert got[6].loss_chars == 0 and got[6].formatted_chars == 100_000 + len("<|im_start|>user\n<|im_end|>\n")
 
 
-def test_query_keeps_tied_turns(spark, tmp_path):
-    """Different rows of one turn all stay, by (role, text); equal rows are one."""
-    rows = [(5, 1, "user", "b"), (5, 1, "user", "a"), (5, 1, "assistant", "z"), (5, 4, "assistant", "q"), (5, 4, "assistant", "q"), (5, 4, None, None), (6, 2, "user", "x")]
-    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    got = {r.conv_id: r for r in chat.op5_reply_tree_chat(spark, str(tmp_path)).collect()}
-    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    assert {c: r.n_turns for c, r in got.items()} == {-1: 2, 5: 5, 6: 1}
-    assert got[5].turns_sha256 == sha("assistant\nz\nuser\na\nuser\nb\n\n\nassistant\nq\n") and got[5].loss_sha256 == sha("zq")
+def queried(spark, folder, rows):
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    return {r.conv_id: r for r in chat.op5_reply_tree_chat(spark, str(folder)).collect()}
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def test_query_keeps_every_row(spark, tmp_path):
+    """Tied, equal and null turns are turns of their own, by (turn, role, text), nulls last."""
+    rows = [(5, 1, "user", "b"), (5, 1, "user", "a"), (5, 1, "assistant", "z"), (5, 4, "assistant", "q"), (5, 4, "assistant", "q"), (5, 4, None, None), (6, 2, "user", "x"),
+            (7, None, "assistant", "late"), (7, 1, "user", "first"), (7, None, "assistant", "late"), (8, None, "user", "only"), (8, None, None, None), (None, 1, "user", "no conversation")]
+    got = queried(spark, tmp_path, rows)
+    assert {c: r.n_turns for c, r in got.items()} == {-1: 2, 5: 6, 6: 1, 7: 3, 8: 2}
+    assert got[5].turns_sha256 == sha("assistant\nz\nuser\na\nuser\nb\n\n\nassistant\nq\nassistant\nq\n") and got[5].loss_sha256 == sha("zqq")
+    assert got[7].turns_sha256 == sha("user\nfirst\nassistant\nlate\nassistant\nlate\n") and got[7].loss_sha256 == sha("latelate")
+    assert got[8].turns_sha256 == sha("\n\nuser\nonly\n") and got[8].loss_chars == 0
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    rng = random.Random(4)
+    pieces = ["<|im_end|>", "<|im_start|>", "\n", "%", "%0A", "<", "\\", "|", "a", "é"]
+    word = lambda: rng.choice([None, "".join(rng.choice(pieces) for _ in range(rng.randrange(6)))])
+    rows = [(rng.choice([1, 2, 3, 3, 3, None]), rng.choice([None, 1, 2, 3]), rng.choice(["user", "assistant", word()]), word()) for _ in range(120)]
+    rows += rows[:30]
+    got = queried(spark, tmp_path, rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.execute(chat.OP5_SQL).df().set_index("conv_id")
+    assert set(got) == set(want.index)
+    for c, r in got.items():
+        assert {k: v for k, v in r.asDict().items() if k != "conv_id"} == want.loc[c].to_dict()
+
+
+def test_rank_does_not_depend_on_row_order(spark):
+    """Branches of equal scores in other orders tie, and the smaller leaf wins."""
+    scores = [0.1, 1e16, -1e16, 0.2, 1e300, float("nan"), -1e300, 0.3]
+    rows = [(1, 0, None, "user", "r", 0.0)]
+    for leaf, order in ((100, scores), (200, scores[::-1])):
+        rows += [(1, leaf - 10 + i if i < 7 else leaf, leaf - 11 + i if i else 0, "assistant", "x", x) for i, x in enumerate(order)]
+    got = formatted(spark, rows, best=None)
+    assert set(got) == {(1, 100), (1, 200)} and got[1, 100].score == got[1, 200].score and got[1, 100].branch == 1
