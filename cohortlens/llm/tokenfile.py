@@ -25,7 +25,7 @@ pre-tokenizer drops white space (checked when the vocabulary is loaded).
 
 Defined results
 * null text: empty, which is the end id alone; null doc_id sorts first;
-* repeated doc_ids stay rows, in order of their texts' first 64 characters
+* repeated doc_ids stay rows, in order of their texts' first 24 characters
   (null first), then of their hashes;
 * an empty table gives no file and an empty result; other columns are ignored;
 * the folder must be one that ``pyarrow.fs`` opens and all executors share.
@@ -50,6 +50,7 @@ from cohortlens.session import checkpoint_dir
 
 MAGIC = b"PFORids1"
 BLOCK = 1024
+PACKED = 512             # blocks that are packed together
 SHARD_IDS = 8 << 20
 PERCENT = 90
 WORDS_KEPT = 450_000   # distinct words whose ids a worker remembers, besides a chunk's own
@@ -110,10 +111,11 @@ def encode_shard(doc_ids: list, lengths: list[int], ids: np.ndarray) -> bytes:
     n_out = out.sum(1)
     packed: list[bytes] = [b""] * blocks
     for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        rows = pack(d[at] & np.uint32((1 << int(w)) - 1), int(w))
-        for i, r in zip(at.tolist(), rows):
-            packed[i] = r.tobytes()
+        same = np.flatnonzero(width == w)
+        for at in (same[s:s + PACKED] for s in range(0, len(same), PACKED)):
+            rows = pack(d[at] & np.uint32((1 << int(w)) - 1), int(w))
+            for i, r in zip(at.tolist(), rows):
+                packed[i] = r.tobytes()
     row, pos = np.nonzero(out)
     pos, val = pos.astype("<u2"), v[out].astype("<u4")
     end = np.cumsum(n_out)
@@ -201,31 +203,36 @@ class WordEncoder:
         self._forget()
 
     def _forget(self):
-        self.known: dict[bytes, int] = {}   # stem -> its number
+        self.known: dict[str, int] = {}   # stem -> its number
         self.ids, self.first, self.size = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64))
 
     def _one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encoded(self, words: list[str]):
-        """The ids of each word."""
+    def _encoded(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(the words in another order, their ids one after the other, how many each has)."""
         joined = [w for w in words if self.separator and "<|" not in w]
         alone = [w for w in words if not self.separator or "<|" in w]
-        found: dict[str, np.ndarray] = {}
+        order, ids, size = [], [], []
         groups = [joined[at:at + 256] for at in range(0, len(joined), 256)]
         for at in range(0, len(groups), 32):
             some = groups[at:at + 32]
             for group, e in zip(some, self.tokenizer.encode_batch_fast([self.separator[0].join(g) for g in some], add_special_tokens=False)):
-                ids = np.array(e.ids, np.uint32)
-                ends = np.flatnonzero(ids == self.separator[1])
+                found = np.array(e.ids, np.uint32)
+                ends = np.flatnonzero(found == self.separator[1])
                 if len(ends) == len(group) - 1:
-                    found.update(zip(group, (p[i > 0:] for i, p in enumerate(np.split(ids, ends)))))
+                    order += group
+                    ids.append(np.delete(found, ends))
+                    size.append(np.diff(np.concatenate(([-1], ends, [len(found)]))) - 1)
                 else:
                     alone += group
         for at in range(0, len(alone), 1024):
             some = alone[at:at + 1024]
-            found.update(zip(some, (np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        return [found[w] for w in words]
+            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            order += some
+            ids += found
+            size.append(np.fromiter(map(len, found), np.int64, len(found)))
+        return order, np.concatenate(ids), np.concatenate(size)
 
     def _stems(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """What stands for each distinct word, and the number of its mark."""
@@ -243,18 +250,14 @@ class WordEncoder:
 
     def _numbers(self, stems: pa.Array) -> np.ndarray:
         """The number of each distinct stem; new ones are encoded."""
-        at = [self.known.get(w, -1) for w in stems.to_pylist()]
-        at = np.array(at, np.int64)
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            words = stems.take(pa.array(missing)).to_pylist()
-            parts = self._encoded(words)
-            size = np.fromiter(map(len, parts), np.int64, len(parts))
-            at[missing] = len(self.size) + np.arange(len(parts))
-            self.known.update(zip(words, at[missing].tolist()))
+        words = stems.to_pylist()
+        new = [w for w in words if w not in self.known]
+        if new:
+            order, ids, size = self._encoded(new)
+            self.known.update(zip(order, range(len(self.size), len(self.size) + len(order))))
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-            self.ids, self.size = np.concatenate([self.ids, *parts]), np.concatenate([self.size, size])
-        return at
+            self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, their number in each text)."""
@@ -363,7 +366,7 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1, sh
     """Write shards into ``folder``; (shard, n_docs, n_ids, start): each
     shard's documents and ids, and the number of ids before it."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .withColumns({"head": F.substring("text", 1, 64), "digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()}))
+            .withColumns({"head": F.substring("text", 1, 24), "digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()}))
     # rows of one doc_id part by their heads, those of one text anywhere
     rows = (rows.repartitionByRange(partitions(docs.sparkSession), "doc_id", "head", "digest", "row")
             .sortWithinPartitions("doc_id", "head", "digest").select("doc_id", "text"))
