@@ -36,10 +36,12 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -53,8 +55,9 @@ BLOCK = 1024
 PACKED = 512             # blocks that are packed together
 SHARD_IDS = 8 << 20
 PERCENT = 90
-WORDS_KEPT = 450_000   # distinct words whose ids a worker remembers, besides a chunk's own
+WORDS_KEPT = 1_500_000  # distinct words whose ids a worker remembers, besides a chunk's own
 CHUNK_BYTES = 4 << 20
+_first = itemgetter(0)
 
 # ---------------------------------------------------------------- blocks
 
@@ -176,63 +179,101 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(full), of.filter(full).to_numpy().astype(np.int64)
 
 
+class _Memory:
+    """Numbers of words that were met, by 128 bits of hash: sorted arrays."""
+
+    def __init__(self):
+        self.one, self.two, self.number = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    @staticmethod
+    def hashes(words: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Each word's number; -1: not met."""
+        if not len(self.one):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.one, h[:, 0]), len(self.one) - 1)
+        return np.where((self.one[at] == h[:, 0]) & (self.two[at] == h[:, 1]), self.number[at], -1)
+
+    def add(self, h: np.ndarray, number: np.ndarray) -> None:
+        order = np.argsort(h[:, 0], kind="stable")
+        at = np.searchsorted(self.one, h[order, 0])
+        self.one, self.two, self.number = (np.insert(x, at, y[order]) for x, y in ((self.one, h[:, 0]), (self.two, h[:, 1]), (self.number, number)))
+
+
 class WordEncoder:
     """ids of texts, by way of their distinct words.
 
     A word of ASCII alone is known without its capitals, and every word without
     one last comma or full stop, where that changes nothing but the ids added
-    at the end.  New words are encoded many at a time, joined by a special
-    token, where the ids between its ids prove to be those of the words alone."""
+    at the end.  New words are encoded many at a time, joined by spaces, and
+    told apart by the ids that end a word or the places the ids come from."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer = Tokenizer.from_file(path)
         probe = " a\tb  c'\n's\x0b\x0c9 9\r<|endoftext|> Ab\u0301 \u0301x"
         self.by_word = self._one(probe) == [i for w in probe.encode().split() for i in self._one(w.decode())]
         self.lower = self._one("AbC CAn'T") == self._one("abc can't")
         self.marks = [[], self._one(","), self._one(".")]
         self.cut = all(self._one(w + c) == self._one(w) + m for w in ("a", "the", "x9", "it's") for c, m in zip(("", ",", "."), self.marks))
-        self.separator = None
-        words = ["a", "the<", ">x9", "\u0301x", "'s", "|", "Ab\u0301", "9"]
-        for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()):
-            if t.special and self._one(t.content.join(words)) == [x for w in words for x in [i, *self._one(w)]][1:]:
-                self.separator = (t.content, i)
-                break
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)   # ids that end a word
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        words = ["a", "the<", ">x9", "\u0301x", "'s", "|", "Ab\u0301", "\u8a9e9", "\U0001f600\u0301", "9"]
+        order, ids, size = self._encoded(words, joins=True)
+        want = [self._one(words[i]) for i in order]
+        self.joins = self.by_word and ids.tolist() == [i for w in want for i in w] and size.tolist() == [len(w) for w in want]
         self._forget()
 
     def _forget(self):
-        self.known: dict[str, int] = {}   # stem -> its number
+        self.known = _Memory()   # stem -> its number
         self.ids, self.first, self.size = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64))
 
     def _one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encoded(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(the words in another order, their ids one after the other, how many each has)."""
-        joined = [w for w in words if self.separator and "<|" not in w]
-        alone = [w for w in words if not self.separator or "<|" in w]
+    def _encoded(self, words: list[str], joins: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the words in another order, their ids one after the other,
+        how many each has)."""
+        kind = np.array([0 if not joins or "<|" in w else 1 if w.isalpha() else 2 for w in words], np.int8)
         order, ids, size = [], [], []
-        groups = [joined[at:at + 256] for at in range(0, len(joined), 256)]
-        for at in range(0, len(groups), 32):
-            some = groups[at:at + 32]
-            for group, e in zip(some, self.tokenizer.encode_batch_fast([self.separator[0].join(g) for g in some], add_special_tokens=False)):
+
+        def groups(places):
+            return [places[at:at + 64] for at in range(0, len(places), 64)]
+
+        def add(group, found, n):
+            order.append(group)
+            ids.append(found)
+            size.append(n)
+
+        # words of letters alone are one piece each: it ends with the only id that ends a word
+        other = [np.flatnonzero(kind == 2)]
+        some = groups(np.flatnonzero(kind == 1))
+        for at in range(0, len(some), 128):
+            for group, e in zip(some[at:at + 128], self.tokenizer.encode_batch_fast([" ".join([words[i] for i in g]) for g in some[at:at + 128]], add_special_tokens=False)):
                 found = np.array(e.ids, np.uint32)
-                ends = np.flatnonzero(found == self.separator[1])
-                if len(ends) == len(group) - 1:
-                    order += group
-                    ids.append(np.delete(found, ends))
-                    size.append(np.diff(np.concatenate(([-1], ends, [len(found)]))) - 1)
+                ends = np.flatnonzero(self.ends[found])
+                if len(ends) == len(group) and len(found) == ends[-1] + 1:
+                    add(group, found, np.diff(ends, prepend=-1))
                 else:
-                    alone += group
+                    other.append(group)
+        # the others by the places that their ids come from
+        some = groups(np.concatenate(other))
+        for at in range(0, len(some), 128):
+            for group, e in zip(some[at:at + 128], self.tokenizer.encode_batch([" ".join([words[i] for i in g]) for g in some[at:at + 128]], add_special_tokens=False)):
+                n = np.fromiter((len(words[i]) + 1 for i in group), np.int64, len(group))
+                of = np.searchsorted(np.cumsum(n) - n, np.fromiter(map(_first, e.offsets), np.int64, len(e.ids)), "right") - 1
+                add(group, np.array(e.ids, np.uint32), np.bincount(of, minlength=len(group)))
+        alone = np.flatnonzero(kind == 0)
         for at in range(0, len(alone), 1024):
-            some = alone[at:at + 1024]
-            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            order += some
-            ids += found
-            size.append(np.fromiter(map(len, found), np.int64, len(found)))
-        return order, np.concatenate(ids), np.concatenate(size)
+            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([words[i] for i in alone[at:at + 1024]], add_special_tokens=False)]
+            add(alone[at:at + 1024], np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
+        return np.concatenate(order), np.concatenate(ids), np.concatenate(size)
 
     def _stems(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """What stands for each distinct word, and the number of its mark."""
@@ -251,13 +292,16 @@ class WordEncoder:
     def _numbers(self, stems: pa.Array) -> np.ndarray:
         """The number of each distinct stem; new ones are encoded."""
         words = stems.to_pylist()
-        new = [w for w in words if w not in self.known]
-        if new:
-            order, ids, size = self._encoded(new)
-            self.known.update(zip(order, range(len(self.size), len(self.size) + len(order))))
+        h = _Memory.hashes(words)
+        number = self.known.find(h)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            order, ids, size = self._encoded([words[i] for i in new], self.joins)
+            number[new[order]] = len(self.size) + np.arange(len(order))
+            self.known.add(h[new], number[new])
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
             self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return number
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, their number in each text)."""
@@ -265,7 +309,7 @@ class WordEncoder:
         words, of = split_words(texts) if self.by_word else (texts.cast(pa.large_string()), np.arange(len(texts)))
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        if len(self.known) > WORDS_KEPT:
+        if len(self.size) > WORDS_KEPT:
             self._forget()
         coded = words.dictionary_encode()
         stems, mark = self._stems(coded.dictionary) if self.by_word else (coded.dictionary, np.zeros(len(coded.dictionary), np.int64))

@@ -71,7 +71,7 @@ def test_ids_equal_whole_texts(monkeypatch):
     pieces = ["The", "the,", "THE.", "É", "é.", "H̱a", "<|endoftext|>", "<|", "|>", "<", "a<", ">b", "<|startoftext|>x", "9.9", "it's", "--", ",", ".", "..", "x,.", "語", "語.", " ", " ", " ", "\n", "\t",
               "\x0b", "\x1f", "\x85", " ", "don't", "ﬁ", "İ", "\U0001f600", "\x00"]
     tok, enc = Tokenizer.from_file(VOCABULARY), tf.WordEncoder(VOCABULARY)
-    assert enc.by_word and enc.separator
+    assert enc.by_word and enc.joins
     for _ in range(60):
         texts = ["".join(rng.choice(pieces) + rng.choice(["", "", " "]) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(1, 30))]
         want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
