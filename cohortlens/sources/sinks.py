@@ -1,57 +1,97 @@
 """Materialisation of the metrics view, non-blocking refresh, run report.
 
-``refresh`` writes a snapshot under a hidden name and renames the finished
-folder to ``as_of=<date>``; readers take the newest folder that holds the
-writer's ``_SUCCESS`` mark.  So a refresh never blocks a reader or shows it
-half a snapshot, and the newest one is found by listing, not by reading.
+Snapshots are entries of a committed table (``commits``): a refresh writes a
+folder of its own and then commits its name, so it neither blocks a reader nor
+takes the folder away under one, whether it is of a new date or of the same.
+``materialize`` writes aside and renames, and trusts only a folder with the
+writer's ``_SUCCESS`` mark.  ``stored`` keeps a view under a fingerprint of the
+files it was made from.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.session import checkpoint_dir
+from cohortlens.sources.commits import CommittedTable
+
+#: Part of every fingerprint: rise it when a view's definition changes.
+VIEW_VERSION = 1
+
 
 def _path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
+def _whole(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, f"{path}/_SUCCESS")
     return fs.exists(p)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Create-if-absent: write ``df`` unless ``path`` already holds data."""
-    spark = df.sparkSession
-    if not _exists(spark, path):
-        df.write.mode("ignore").parquet(path)
-    return spark.read.parquet(path)
-
-
-def refresh(df: DataFrame, path: str, as_of) -> None:
-    """Write a new snapshot ``as_of=<date>`` (others untouched)."""
+    """Create-if-absent: write ``df`` unless ``path`` holds a whole table
+    already; what an unfinished writer left there is replaced."""
     spark = df.sparkSession
-    staging, fs = _path(spark, f"{path}/_writing-{uuid.uuid4().hex}")
-    df.write.parquet(staging.toString())
-    target, _ = _path(spark, f"{path}/as_of={as_of}")
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(staging, target):
-        raise OSError(f"cannot rename {staging} to {target}")
-
-
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete snapshot."""
-    root, fs = _path(spark, path)
-    folders = [s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("as_of=")]
-    whole = sorted(f for f in folders if _exists(spark, f"{f}/_SUCCESS"))
-    if not whole:
-        raise FileNotFoundError(f"no complete snapshot in {path}")
-    return spark.read.parquet(whole[-1])
+    if not _whole(spark, path):
+        aside, fs = _path(spark, f"{path.rstrip('/')}-writing-{uuid.uuid4().hex}")
+        df.write.parquet(aside.toString())
+        target, _ = _path(spark, path)
+        if _whole(spark, path):
+            fs.delete(aside, True)  # another writer was faster
+        else:
+            if fs.exists(target):
+                fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(aside, target):
+                raise OSError(f"cannot rename {aside} to {target}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fingerprint(spark: SparkSession, paths: list[str], *params) -> str:
+    """A digest of name, length and modification time of every file under
+    ``paths``, and of the parameters."""
+    files = []
+    for path in sorted(paths):
+        p, fs = _path(spark, path)
+        found = fs.listFiles(p, True)
+        while found.hasNext():
+            s = found.next()
+            files.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return hashlib.sha256(json.dumps([VIEW_VERSION, [str(x) for x in params], sorted(files)]).encode()).hexdigest()[:32]
+
+
+def stored(spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame], *params) -> DataFrame:
+    """The view ``name`` over the files under ``paths``: read where it is
+    stored for just these files and parameters, else built and stored.  A
+    changed, added or removed input file makes another fingerprint, so a stale
+    view is never read."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/views/{name}-{fingerprint(spark, paths, name, *params)}"
+    if _whole(spark, folder):
+        return spark.read.parquet(folder)
+    return materialize(build(), folder)
+
+
+def refresh(df: DataFrame, path: str, as_of) -> int:
+    """Commit ``df`` as the snapshot of ``as_of`` (others untouched); the
+    generation's number."""
+    return CommittedTable(df.sparkSession, path).replace(str(as_of), df)
+
+
+def latest(spark: SparkSession, path: str, as_of=None) -> DataFrame:
+    """The snapshot of ``as_of``, or of the newest date."""
+    table = CommittedTable(spark, path)
+    entries = table.entries()
+    key = max(entries, default=None) if as_of is None else str(as_of)
+    if key not in entries:
+        raise FileNotFoundError(f"no complete snapshot in {path}" + (f" for {as_of}" if as_of else ""))
+    return table.frame(entries[key])
 
 
 def load_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:

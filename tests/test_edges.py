@@ -104,6 +104,9 @@ def test_csv_roundtrip_and_inputs(spark, tmp_path):
         files.require_inputs(spark, str(tmp_path), ["customers.csv", "transactions.csv"])
 
 
+from cohortlens.sources.commits import CommittedTable
+
+
 def test_materialize_and_refresh(spark, tmp_path):
     df = spark.createDataFrame([(1, 10)], "customer_id long, v int")
     p = str(tmp_path / "mv")
@@ -113,7 +116,8 @@ def test_materialize_and_refresh(spark, tmp_path):
     sinks.refresh(df, snap, D(2021, 1, 1))
     sinks.refresh(df.withColumn("v", F.lit(20)), snap, D(2021, 2, 1))
     assert sinks.latest(spark, snap).first().v == 20
-    assert spark.read.parquet(snap).count() == 2
+    assert sinks.latest(spark, snap, D(2021, 1, 1)).first().v == 10
+    assert CommittedTable(spark, snap).read().count() == 2
 
 
 def test_latest_skips_unfinished_snapshots(spark, tmp_path):
