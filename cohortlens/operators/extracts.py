@@ -13,23 +13,29 @@ from cohortlens.functions.segments import segment_expr, segment_rank
 from cohortlens.functions.stats import mean
 from cohortlens.operators.metrics import rfm_base
 from cohortlens.operators.scoring import quantile_scores, with_scores
-from cohortlens.session import stable_counted
+from cohortlens.session import stable
 
 
-def rfm_pandas(customers: DataFrame, transactions: DataFrame, snapshot) -> DataFrame:
-    """RFM scored by equal-frequency value buckets, with customer attributes
-    and acquisition cohort: the table the BI extracts read.
-
-    Base metrics and first purchase come from ONE aggregate over the
-    transactions, and the result is frozen before the three scoring passes.
-    """
+def rfm_pandas_base(customers: DataFrame, transactions: DataFrame, snapshot) -> DataFrame:
+    """Base metrics and first purchase from ONE aggregate over the
+    transactions, with customer attributes: what the scores are made from."""
     base = rfm_base(transactions, snapshot, with_first_purchase=True).select(
         "customer_id", "last_purchase", "frequency", "monetary_value", "recency_days",
         month_start("first_purchase").alias("cohort_month"),
         F.quarter("first_purchase").alias("cohort_quarter"))
-    attrs = customers.select("customer_id", "country", "acquisition_channel")
-    m, total = stable_counted(base.join(attrs, "customer_id"), "rfm_pandas")
-    scored = with_scores(quantile_scores(m, freeze=False, total=total)).withColumn("segment", segment_expr())
+    return base.join(customers.select("customer_id", "country", "acquisition_channel"), "customer_id")
+
+
+def rfm_pandas(customers: DataFrame, transactions: DataFrame, snapshot) -> DataFrame:
+    """RFM scored by equal-frequency value buckets, with customer attributes
+    and acquisition cohort: the table the BI extracts read.  The base is frozen
+    before the scoring passes."""
+    return rfm_pandas_scored(stable(rfm_pandas_base(customers, transactions, snapshot), "rfm_pandas"))
+
+
+def rfm_pandas_scored(base: DataFrame) -> DataFrame:
+    """``rfm_pandas`` from its written base."""
+    scored = with_scores(quantile_scores(base, freeze=False)).withColumn("segment", segment_expr())
     return scored.select(
         "customer_id", "last_purchase",
         F.col("frequency").cast("long").alias("frequency"),

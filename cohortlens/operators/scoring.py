@@ -2,7 +2,7 @@
 quantile buckets (pandas flavour), the composite score and the segment.
 
 The customer table is frozen once (``stable``) because every score reads it
-several times (row count, key sample, cell counts, the selected cells); the
+several times (key bounds, cell counts, the selected cells); the
 upstream transaction join and aggregation therefore run exactly once.
 """
 
@@ -15,7 +15,7 @@ from cohortlens.functions.segments import segment_expr
 from fractions import Fraction
 
 from cohortlens.operators.ranking import bucket_by_edges, exact_quantiles_multi, ntiles
-from cohortlens.session import stable_counted
+from cohortlens.session import stable
 
 SCORES = ("r_score", "f_score", "m_score")
 
@@ -28,29 +28,20 @@ def with_scores(df: DataFrame) -> DataFrame:
     })
 
 
-def _frozen(metrics: DataFrame, freeze: bool, total: int | None):
-    if freeze:
-        return stable_counted(metrics, "scores")
-    return metrics, (metrics.count() if total is None else total)
-
-
-def ntile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True,
-                 total: int | None = None) -> DataFrame:
+def ntile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True) -> DataFrame:
     """r = NTILE(n) by recency DESC, f = by frequency ASC, m = by monetary
     ASC; ties broken by ``tie`` ascending (deterministic)."""
-    m, total = _frozen(metrics, freeze, total)
+    m = stable(metrics, "scores") if freeze else metrics
     return ntiles(m, n, {"r_score": ("recency_days", True), "f_score": ("frequency", False), "m_score": ("monetary_value", False)},
-                  tie=(tie,), total=total)
+                  tie=(tie,))
 
 
-def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True,
-                    total: int | None = None) -> DataFrame:
+def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", freeze: bool = True) -> DataFrame:
     """Equal-frequency buckets by value (ties stay together): recency labels
     reversed (n..1), frequency and monetary 1..n."""
-    m, total = _frozen(metrics, freeze, total)
+    m = stable(metrics, "scores") if freeze else metrics
     probs = [Fraction(i, n) for i in range(1, n)]
-    edges = exact_quantiles_multi(m, ["recency_days", "frequency", "monetary_value"], probs, tie=(tie,),
-                                  total=total)
+    edges = exact_quantiles_multi(m, ["recency_days", "frequency", "monetary_value"], probs, tie=(tie,))
     return m.withColumns({
         "r_score": bucket_by_edges("recency_days", edges["recency_days"], n, reverse=True),
         "f_score": bucket_by_edges("frequency", edges["frequency"], n),
@@ -58,17 +49,18 @@ def quantile_scores(metrics: DataFrame, n: int = 5, tie: str = "customer_id", fr
     })
 
 
-def segmented(metrics: DataFrame, method: str = "ntile", n: int = 5) -> DataFrame:
-    """Scores + composite + segment, all columns of ``metrics`` kept."""
-    scored = ntile_scores(metrics, n) if method == "ntile" else quantile_scores(metrics, n)
+def segmented(metrics: DataFrame, method: str = "ntile", n: int = 5, freeze: bool = True) -> DataFrame:
+    """Scores + composite + segment, all columns of ``metrics`` kept.
+    ``freeze=False`` where ``metrics`` is a written table already."""
+    scored = ntile_scores(metrics, n, freeze=freeze) if method == "ntile" else quantile_scores(metrics, n, freeze=freeze)
     return with_scores(scored).withColumn("segment", segment_expr())
 
 
-def rfm_segments(metrics: DataFrame) -> DataFrame:
+def rfm_segments(metrics: DataFrame, freeze: bool = True) -> DataFrame:
     """Final RFM table: one row per customer, monetary rounded to 2 dp,
     ordered by composite score (then customer for a total order)."""
     from cohortlens.functions.money import round_half_up
-    seg = segmented(metrics, "ntile")
+    seg = segmented(metrics, "ntile", freeze=freeze)
     return seg.select(
         "customer_id", "country", "acquisition_channel",
         F.col("recency_days").cast("int").alias("recency_days"),

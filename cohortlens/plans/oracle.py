@@ -517,7 +517,11 @@ FROM (SELECT {SCALAR_DATES}) x"""
     # the same answers, written to files and read back
     q["scores_file"] = q["rfm_pandas_scores"]
     q["matrix_file"] = q["cohort_long"]
-    q["materialized_metrics"] = q["customer_metrics"]
+    q["materialized_metrics"] = q["merged_metrics"] = q["customer_metrics"]
+    q["load_rejects"] = with_ctes(["customers"], """
+SELECT customer_id, 'country' AS column, 'NULL' AS reason, CAST(NULL AS VARCHAR) AS value FROM customers WHERE customer_id % 97 = 0
+UNION ALL
+SELECT customer_id, 'signup_date', 'no date', 'soon' FROM customers WHERE customer_id % 89 = 0""")
     q["refreshed_metrics"] = q["customer_metrics"] + " WHERE acquisition_channel <> 'BUILDING'"
     q["extract_file"] = q["geo_summary"]
     q["bulk_load"] = with_ctes(["customers"], """

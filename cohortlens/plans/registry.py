@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from cohortlens.functions.dates import days_between, month_label, month_number, month_start, parse_month
 from cohortlens.functions.money import line_revenue, round_half_up
 from cohortlens.operators import churn, cohorts, extracts, ltv, metrics, ranking, scoring, segments, sheets
-from cohortlens.session import checkpoint_dir, stable, stable_counted
+from cohortlens.operators.states import MetricStates
+from cohortlens.session import checkpoint_dir, stable
 from cohortlens.sources import audit as audit_mod
 from cohortlens.sources import defaults, driver, files, sinks
 from cohortlens.sources.schemas import schema_for
@@ -28,6 +29,7 @@ TIER_HIGH = 1_000_000
 TIER_MID = 500_000
 BIN_WIDTH = 200_000
 COHORT_YEAR = 1998
+DELTA_FROM = dt.date(1999, 1, 1)
 KEY = T.LongType()
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -46,18 +48,32 @@ def _tw(spark, d):
     return driver.transactions(spark, d, with_product=False)
 
 
-def _metrics(spark, d):
+def _built_metrics(spark, d):
     return metrics.customer_metrics(_c(spark, d), _t(spark, d), AS_OF)
 
 
+def _inputs(d):
+    return [f"{d.rstrip('/')}/{t}.parquet" for t in ("customer", "nation", "region", "orders", "lineitem", "part")]
+
+
+def _metrics(spark, d):
+    """The stored metrics view of these input files."""
+    return sinks.stored(spark, "customer_metrics", _inputs(d), lambda: _built_metrics(spark, d), AS_OF)
+
+
+def _base(spark, d):
+    """The stored base of the value-bucket scores."""
+    return sinks.stored(spark, "rfm_base", _inputs(d), lambda: extracts.rfm_pandas_base(_c(spark, d), _t(spark, d), AS_OF), AS_OF)
+
+
 def _seg(spark, d):
     """SQL flavour: NTILE scores + segment, unrounded monetary."""
-    return scoring.segmented(_metrics(spark, d), "ntile")
+    return scoring.segmented(_metrics(spark, d), "ntile", freeze=False)
 
 
 def _prfm(spark, d):
     """pandas flavour: quantile scores over the row-count base."""
-    return extracts.rfm_pandas(_c(spark, d), _t(spark, d), AS_OF)
+    return extracts.rfm_pandas_scored(_base(spark, d))
 
 
 def _matrix(spark, d):
@@ -148,6 +164,17 @@ def q_bulk_load(spark, d):
         "customer_id", "email", "country", "signup_date", "acquisition_channel")
 
 
+def q_load_rejects(spark, d):
+    """Customers with holes by fixed rules on the keys: what keeps each of
+    those rows out of the table."""
+    csv, path = _scratch(spark, "load_csv"), _scratch(spark, "load_table")
+    c = _c(spark, d).select("customer_id", F.when(F.col("customer_id") % 97 != 0, F.col("country")).alias("country"),
+                            F.when(F.col("customer_id") % 89 == 0, "soon").otherwise("2001-08-02").alias("signup_date"))
+    files.write_csv(c, csv)
+    files.load_table(spark, csv, path, schema_for("customers", KEY), quarantine=True)
+    return files.load_rejects(spark, path).select(F.col("row.customer_id").cast("long").alias("customer_id"), "column", "reason", "value")
+
+
 def q_scores_file(spark, d):
     path = _scratch(spark, "rfm_scores")
     files.write_csv(extracts.rfm_pandas_output(_prfm(spark, d)), path)
@@ -172,6 +199,14 @@ def q_refreshed_metrics(spark, d):
     return sinks.latest(spark, path)
 
 
+def q_merged_metrics(spark, d):
+    """The metrics from states: the lines up to a date, then the rest as a delta."""
+    states, t = MetricStates(spark, _scratch(spark, "metric_states")), _t(spark, d)
+    states.merge(t.where(F.col("transaction_date") < DELTA_FROM), "until 1999")
+    states.merge(t.where(F.col("transaction_date") >= DELTA_FROM), "since 1999")
+    return _metric_columns(states.customer_metrics(_c(spark, d), AS_OF))
+
+
 def q_extract_file(spark, d):
     path = _scratch(spark, "geo_extract")
     files.write_extract(_geo(spark, d), path, fmt="parquet")
@@ -184,8 +219,8 @@ def q_region_filter(spark, d):
 
 # ---- customer metrics --------------------------------------------------------
 
-def q_customer_metrics(spark, d):
-    return _metrics(spark, d).select(
+def _metric_columns(m):
+    return m.select(
         "customer_id", "country", "signup_date", "acquisition_channel",
         F.col("frequency").cast("long").alias("frequency"), "last_purchase_date",
         F.col("recency_days").cast("int").alias("recency_days"),
@@ -193,6 +228,10 @@ def q_customer_metrics(spark, d):
         "first_purchase_date", F.col("active_months").cast("int").alias("active_months"))
 
 
+def q_customer_metrics(spark, d):
+    return _metric_columns(_built_metrics(spark, d))
+
+
 def q_active_months(spark, d):
     return metrics.customer_active_months(_tw(spark, d)).select(
         "customer_id", F.col("active_months").cast("int").alias("active_months"))
@@ -212,8 +251,7 @@ def q_customer_ltv(spark, d):
 # ---- scoring -----------------------------------------------------------------
 
 def _ntile_one(spark, d, col, desc, out):
-    m, n = stable_counted(_metrics(spark, d), "metrics")
-    r = ranking.global_ntile(m, 5, [(col, desc)], out, total=n)
+    r = ranking.global_ntile(_metrics(spark, d), 5, [(col, desc)], out)
     val = F.col(col).cast("double").alias(col) if col == "monetary_value" else F.col(col)
     return r.select("customer_id", val, out)
 
@@ -231,8 +269,7 @@ def q_ntile_monetary(spark, d):
 
 
 def _qcut_one(spark, d, col, reverse, out):
-    b, n = stable_counted(metrics.rfm_base(_t(spark, d), AS_OF), "rfm_base")
-    r = ranking.quantile_bucket(b, col, 5, out, reverse=reverse, total=n)
+    r = ranking.quantile_bucket(_base(spark, d), col, 5, out, reverse=reverse)
     val = F.col(col).cast("double").alias(col) if col == "monetary_value" else F.col(col)
     return r.select("customer_id", val, out)
 
@@ -254,7 +291,7 @@ def q_rfm_cells(spark, d):
 
 
 def q_rfm_segments(spark, d):
-    return scoring.rfm_segments(_metrics(spark, d))
+    return scoring.rfm_segments(_metrics(spark, d), freeze=False)
 
 
 def q_segment_cells(spark, d):
