@@ -14,6 +14,12 @@ banded bit-parallel edit distance (Hyyrö 2003), many pairs at a time.  A pair
 is counted under its first common segment alone.  Tasks return one row for
 each line, not pairs.
 
+Lines too short for segments of two characters, and those up to t longer, are
+keyed by what is left of them without up to t characters instead (deletion
+neighbourhoods: lines within t edits share such a rest), and go the same way; a
+pair counts under its least common rest.  Lines of at most t characters are
+all within t edits of each other: they are counted, not paired.
+
 A line occurrence goes if an earlier one, by (doc_id, line number), has a
 text within t edits; lines are judged on the input.
 
@@ -104,6 +110,45 @@ def segment_keys(lines: Lines, t: int):
                 yield k, i, 1, mix(lines.key((lines.start + at + s)[fits], length[fits]) + tag[fits])
 
 
+def segment_chars(t: int) -> int:
+    """Code points from which segments are long enough to tell lines apart."""
+    return 2 * (t + 1)
+
+
+def deletion_keys(texts: list[str], t: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of what is left of each line without up to t characters;
+    two lines within t edits have one in common.  Nothing left is no key."""
+    of, keys = [], []
+    for n, x in enumerate(texts):
+        left, level = {x}, {x}
+        for _ in range(t):
+            level = {y[:i] + y[i + 1:] for y in level for i in range(len(y))}
+            left |= level
+        left.discard("")
+        of += [n] * len(left)
+        keys += [xxhash.xxh3_64_intdigest(y, 7) for y in left]
+    return np.array(of, np.int64), np.array(keys, np.uint64)
+
+
+def short_within(x: Lines, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
+    """``within`` for lines of a few characters: plain columns, all pairs together."""
+    la, lb = x.size[i], x.size[j]
+    top, m = int(la.max(initial=0)), int(lb.max(initial=0))
+    at = lambda start, k: x.c[np.minimum(start + k, max(len(x.c) - 1, 0))]
+    row = np.tile(np.arange(m + 1), (len(i), 1))
+    result = np.where(la == 0, lb, 0)
+    for a in range(top):
+        now = np.empty_like(row)
+        now[:, 0] = a + 1
+        c = at(x.start[i], a)
+        for b in range(m):
+            now[:, b + 1] = np.minimum(np.minimum(now[:, b], row[:, b + 1]) + 1, row[:, b] + (c != at(x.start[j], b)))
+        row = now
+        done = la == a + 1
+        result[done] = row[done, lb[done]]
+    return result <= t
+
+
 def within(x: Lines, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
     """Whether lines i and j (of x) are within t edits: banded bit-parallel
     columns, a 64-bit word for each pair.  Both have at least t characters."""
@@ -157,6 +202,21 @@ def _line_hash(line: str) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(raw, 42), xxhash.xxh3_64_intdigest(raw)
 
 
+def _all_keys(texts: list[str], t: int, min_chars: int):
+    """(line, segment, probe?, key) by segments, and, where lines too short for
+    them take part, by deletions (segment t + 1, of lines that can meet one)."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    least = segment_chars(t)
+    long_ = np.flatnonzero(size >= least)
+    if len(long_):
+        for k, seg, probe, key in segment_keys(Lines([texts[i] for i in long_]), t):
+            yield long_[k], seg, probe, key
+    if min_chars < least:
+        short = np.flatnonzero(size < least + t)
+        k, key = deletion_keys([texts[i] for i in short], t)
+        yield short[k], t + 1, 0, key
+
+
 def _keys(batches, t: int, min_chars: int, exact_chars: int, n: tuple[int, int]):
     def rows(occ):
         docs, nos, texts = zip(*occ)
@@ -172,7 +232,7 @@ def _keys(batches, t: int, min_chars: int, exact_chars: int, n: tuple[int, int])
         if not len(first):
             return
         first = first[np.lexsort((no[first], doc[first]))]
-        found = list(segment_keys(Lines([texts[i] for i in first]), t))
+        found = list(_all_keys([texts[i] for i in first], t, min_chars))
         at = first[np.concatenate([k for k, *_ in found])]
         flag = np.concatenate([np.full(len(k), 0 if probe else MARKED, np.uint8) for k, _, probe, _ in found])
         yield from send("shared", *n, np.concatenate([x for *_, x in found]), doc[at], 1, 2, line=no[at], who=one[at], flag=flag)
@@ -194,17 +254,17 @@ def _keys(batches, t: int, min_chars: int, exact_chars: int, n: tuple[int, int])
         yield from rows(occ)
 
 
-def _fetch(batches, t: int):
+def _fetch(batches, t: int, min_chars: int):
     """Lines that were hit, a row for each of their hit keys."""
     def rows(found):
-        lines = Lines([x[2] for x in found])
         hit = np.concatenate([np.frombuffer(x[3], np.uint64) for x in found])
         of = np.repeat(np.arange(len(found)), [len(x[3]) // 8 for x in found])
         out = []
-        for k, seg, probe, key in segment_keys(lines, t):
+        for k, seg, probe, key in _all_keys([x[2] for x in found], t, min_chars):
             # a line's own hits, not those of its neighbours
             both = np.isin(mix(key.copy() + k.astype(np.uint64)), mix(hit + of.astype(np.uint64)))
-            out += [(int(np.int64(x)), seg, probe, i) for x, i in zip(key[both].view(np.int64), k[both].tolist())]
+            # what is left after deletions is index and probe alike
+            out += [(int(np.int64(x)), seg, p, i) for x, i in zip(key[both].view(np.int64), k[both].tolist()) for p in ((0, 1) if seg > t else (probe,))]
         h = [np.uint64(_line_hash(x[2])[0]).view(np.int64).item() for x in found]
         for s in range(0, len(out), 4096):
             part = out[s:s + 4096]
@@ -252,8 +312,9 @@ def _links(batches, t: int):
         # index and probe entries that meet: of one tile, or across two
         first = np.concatenate([lo[own, 0], lo[~own, 0], lo[~own, 2]]), np.concatenate([hi[own, 0], hi[~own, 0], hi[~own, 2]])
         second = np.concatenate([lo[own, 1], lo[~own, 3], lo[~own, 1]]), np.concatenate([hi[own, 1], hi[~own, 3], hi[~own, 1]])
-        lines = Lines(tab.column("text").to_pylist())
-        sig = lines.counts()
+        texts = tab.column("text").to_pylist()
+        lines = Lines(texts)
+        sig, left = lines.counts(), _left(texts, np.flatnonzero(seg > t), t)
         near = np.full(len(key), -1)
         links = np.zeros(len(key), np.int64)
         na, nb = first[1] - first[0], second[1] - second[0]
@@ -267,9 +328,13 @@ def _links(batches, t: int):
             i, j = i[ok], j[ok]
             ok = np.abs(sig[i] - sig[j]).sum(1) <= 2 * t
             i, j = i[ok], j[ok]
-            i, j = _first_segment(lines, i, j, seg[i], t)
+            cut = seg[i] > t
+            si, sj = _first_deletion(left, lines, i[cut], j[cut], key, t)
+            ok = short_within(lines, si, sj, t)
+            si, sj = si[ok], sj[ok]
+            i, j = _first_segment(lines, i[~cut], j[~cut], seg[i[~cut]], t)
             ok = within(lines, i, j, t)
-            i, j = i[ok], j[ok]
+            i, j = np.concatenate([i[ok], si]), np.concatenate([j[ok], sj])
             np.add.at(links, i, 1)
             np.add.at(links, j, 1)
             for a, b in ((i, j), (j, i)):
@@ -299,6 +364,35 @@ def _links(batches, t: int):
         yield linked(pa.Table.from_batches(rest).combine_chunks())
 
 
+def _left(texts: list[str], rows: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each row, a line of sorted deletion keys for each of ``rows``,
+    filled up with what no other has)."""
+    place = np.zeros(len(texts), np.int64)
+    place[rows] = np.arange(len(rows))
+    of, keys = deletion_keys([texts[i] for i in rows.tolist()], t)
+    _, n = runs(of)
+    width = int(n.max(initial=0)) if len(of) else 0
+    out = np.full((len(rows), width), np.iinfo(np.int64).max)
+    order = np.lexsort((keys.view(np.int64), of))
+    out[of, ranges(np.zeros(len(n), np.int64), n)] = keys.view(np.int64)[order]
+    return place, out
+
+
+def _first_deletion(left, lines: Lines, i, j, key, t: int):
+    """Pairs that this group counts: one line too short for segments, not both
+    so short that any two are within t edits, and no smaller key in common."""
+    place, keys = left
+    ok = (lines.size[i] < segment_chars(t)) & (lines.size[j] > t)
+    i, j = i[ok], j[ok]
+    keep = np.ones(len(i), bool)
+    for s in range(0, len(i), 1 << 13):
+        a, b = keys[place[i[s:s + (1 << 13)]]], keys[place[j[s:s + (1 << 13)]]]
+        top = np.iinfo(np.int64).max
+        both = np.where((a[:, :, None] == b[:, None, :]).any(2), a, top).min(1)
+        keep[s:s + (1 << 13)] = both == key[i[s:s + (1 << 13)]]
+    return i[keep], j[keep]
+
+
 def _slices(total: np.ndarray, most: int):
     """Ranges of groups with about ``most`` pairs each."""
     if not len(total):
@@ -334,12 +428,29 @@ def _exact(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("line"), h], ["doc", "line", "h"])
 
 
+def _tiny_links(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
+    """Lines of at most t characters: any two are within t edits, so each has
+    all the others as links, and the first of the others is nearest.  They are
+    counted, not paired."""
+    places = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
+    few = F.filter(places, lambda p: F.length(p["x"]).between(min_chars, t))
+    tiny = docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(few).alias("p"))
+    tiny = tiny.groupBy(F.xxhash64("p.x").alias("h")).agg(F.min(F.struct(F.col("doc_id").alias("doc"), F.col("p.line").alias("line"))).alias("own"))
+    tiny = freeze(tiny.select("h", "own.doc", "own.line"), "lines-tiny")
+    first = tiny.orderBy("doc", "line").limit(2).collect()
+    n = tiny.count()
+    if n < 2:
+        return tiny.limit(0).select("h", "doc", "line", F.col("doc").alias("near_doc"), F.col("line").alias("near_line"), F.lit(0).cast("long").alias("links"))
+    is_first = (F.col("doc") == first[0].doc) & (F.col("line") == first[0].line)
+    near = lambda c: F.when(is_first, F.lit(first[1][c])).otherwise(F.lit(first[0][c])).cast(tiny.schema[c].dataType).alias(f"near_{c}")
+    return tiny.select("h", "doc", "line", near("doc"), near("line"), F.lit(n - 1).cast("long").alias("links"))
+
+
 def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_chars: int | None = None) -> DataFrame:
     """(doc, line, h, gone, links): the line occurrences that go, and the
     first places of the lines that have links, with the number of different
     texts within ``max_edits``.  ``h`` is the line's ``xxhash64``."""
-    if min_chars < 2 * (max_edits + 1):
-        raise ValueError("lines must be long enough for segments")
+    min_chars = max(1, min_chars)
     exact_chars = min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))
     spark, t = docs.sparkSession, max_edits
     p, n = partitions(spark), buckets(spark)
@@ -349,7 +460,7 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_c
     near = hits.where("kind = 1").groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list(F.struct("line", "keys")).alias("hits"))
     fetched = docs.where("text IS NOT NULL").join(near.hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"))
     rows = freeze(fetched.select("doc_id", "text", "hits").mapInArrow(
-        lean(_fetch, t), "key long, seg int, probe int, h long, doc long, line int, text string"), "lines-rows")
+        lean(_fetch, t, min_chars), "key long, seg int, probe int, h long, doc long, line int, text string"), "lines-rows")
     sizes, _ = freeze_counted(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "lines-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     tile = min(1 << 14, max(256, total // p // 4))
@@ -360,6 +471,8 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_c
     dealt = dealt.select("key", F.least("side", "z").alias("x"), F.greatest("side", "z").alias("y"), "side", "seg", "probe", "h", "doc", "line", "text")
     links = (dealt.repartition(p, "key", "x", "y").sortWithinPartitions("key", "x", "y", "side", "probe", "h", "doc", "line")
              .mapInArrow(lean(_links, t), "h long, doc long, line int, near_doc long, near_line int, links long"))
+    if min_chars <= t:
+        links = links.unionByName(_tiny_links(docs, t, min_chars))
     linked = (links.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("own"), F.min(F.struct(F.col("near_doc").alias("doc"), F.col("near_line").alias("line"))).alias("near"),
                                      F.sum("links").alias("links"))
               .select("own.doc", "own.line", "h", (F.col("near") < F.col("own")).alias("gone"), "links"))
@@ -375,22 +488,25 @@ def without_duplicate_lines(docs: DataFrame, max_edits: int = 2, min_chars: int
     marks = line_marks(docs, max_edits, min_chars, exact_chars)
     by = marks.groupBy(F.col("doc").alias("__doc")).agg(
         F.collect_list(F.when(F.col("gone"), F.struct("line", "h"))).alias("__gone"), F.sum("links").alias("__links"))
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("__gone", F.struct(i.alias("line"), F.xxhash64(x).alias("h"))))
-    kept = F.when(F.size("__gone") > 0, kept).otherwise(lines)
-    joined = docs.join(by.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc"), "left").withColumn("__kept", kept)
+    joined = docs.join(by.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc"), "left")
+    joined = joined.withColumn("__lines", F.split("text", "\n", -1))
+    # line numbers are compared as a set: the cost is that of the lines
+    own = F.filter(F.coalesce("__gone", F.expr("cast(array() as array<struct<line:int,h:bigint>>)")), lambda g: F.xxhash64(F.get("__lines", g["line"])) == g["h"])
+    joined = joined.withColumn("__away", F.transform(own, lambda g: g["line"]))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__away"))
+    kept = F.when(F.size("__away") > 0, F.transform(stay, lambda i: F.get("__lines", i))).otherwise(F.col("__lines"))
+    joined = joined.withColumn("__kept", F.when(F.col("text").isNotNull(), kept))
     count = lambda c: F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
     return joined.select(
         *[F.when(F.col("text").isNotNull(), F.array_join("__kept", "\n")).alias(c) if c == "text" else F.col(c) for c in docs.columns],
-        F.struct(count(lines).alias("n_lines"), (count(lines) - count(F.col("__kept"))).alias("n_removed"),
+        F.struct(count("__lines").alias("n_lines"), (count("__lines") - count("__kept")).alias("n_removed"),
                  F.coalesce("__links", F.lit(0)).cast("long").alias("n_links")).alias("line_stats"))
 
 
 # ---------------------------------------------------------------- query
 
-#: Every line that is not empty meets its equals; three segments of two
-#: characters are the least that two edits need.
-MAX_EDITS, MIN_CHARS, EXACT_CHARS = 2, 6, 1
+#: Every line that is not empty takes part, by segments or by deletions.
+MAX_EDITS, MIN_CHARS, EXACT_CHARS = 2, 1, 1
 
 
 def op9_line_edit_join(spark, sf_dir):

@@ -108,13 +108,45 @@ def test_a_pair_within_two_edits_shares_a_key(a, changes):
     assert index & probes
 
 
+def test_lines_of_any_length(spark):
+    """From 1 character on, by segments, deletions and counting, against all pairs."""
+    r = random.Random(7)
+    docs = [(i * 24, "\n".join("".join(r.choice("ab\U0001F600" if i % 2 else "abcdefgh") for _ in range(r.randint(0, 12))) for _ in range(r.randint(0, 9)))) for i in range(60)]
+    assert run(spark, docs, 2, 1) == brute(docs, 2, 1)
+    assert run(spark, docs, 2, 4) == brute(docs, 2, 4)
+    assert run(spark, docs, 1, 1) == brute(docs, 1, 1)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab", max_size=7), st.text("ab", max_size=7), st.integers(1, 3))
+def test_short_distance_and_deletions(a, b, t):
+    x = lines.Lines([a, b])
+    near = edits(a, b) <= t
+    assert bool(lines.short_within(x, np.array([0]), np.array([1]), t)[0]) == near
+    of, keys = lines.deletion_keys([a, b], t)
+    if near and max(len(a), len(b)) > t:
+        assert set(keys[of == 0]) & set(keys[of == 1])
+
+
+def test_repeated_lines_cost_their_number(spark):
+    """Twice the lines of two equal documents: no more than thrice the time."""
+    import time
+    took = []
+    for n in (1000, 16_000, 32_000):
+        text = "\n".join(f"line number {i:06d} of this text" for i in range(n))
+        began = time.time()
+        # edits are not at issue here: lines differ in a few digits
+        found = lines.without_duplicate_lines(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"), 2, 1000, 1)
+        assert sorted(r.line_stats.n_removed for r in found.collect()) == [0, n]
+        took.append(time.time() - began)
+    assert took[2] < 3 * took[1]
+
+
 def test_query_takes_short_lines(spark, tmp_path):
-    """Equal lines go at any length, lines within two edits from six characters on."""
+    """Every line that is not empty takes part."""
     docs = [(1, "Read more\nok\n\nfirst of all the lines here"), (2, "ok\nRead mode\n\nsecond, which differs from the others"),
-            (3, "Read more\nab\n\nok"), (4, "abcde\nabcdef"), (5, "abcdX\nabcdeX\nabcdefgh")]
+            (3, "Read more\nab\n\nok"), (4, "abcde\nabcdef"), (5, "abcdX\nabcdeX\nabcdefgh"), (6, "wxyz"), (7, "1234")]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r for r in lines.op9_line_edit_join(spark, str(tmp_path)).collect()}
-    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    kept = {1: docs[0][1], 2: "\nsecond, which differs from the others", 3: "ab\n", 4: docs[3][1], 5: "abcdX"}
-    assert {d: r.kept_sha256 for d, r in got.items()} == {d: sha(x) for d, x in kept.items()}
-    assert {d: (r.n_removed, r.n_links) for d, r in got.items()} == {1: (0, 1), 2: (2, 1), 3: (2, 0), 4: (0, 2), 5: (2, 2)}
+    got = sorted(((r.doc_id, r.n_lines, r.n_removed, r.n_links, r.kept_sha256) for r in lines.op9_line_edit_join(spark, str(tmp_path)).collect()), key=str)
+    assert got == brute(docs, 2, 1)
+    assert [g[2] for g in got] == [0, 2, 3, 1, 3, 0, 0]
