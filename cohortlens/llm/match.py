@@ -5,8 +5,8 @@ settled where they are: within a chunk only one entry of a key is sent on, so
 a key that a third of all rows hold costs one entry for each chunk.  Entries
 are packed by bucket of the key into binary columns (about eight bytes an
 entry after compression) and each bucket is grouped in one task; there are as
-many buckets as shuffle partitions ask for, so a bucket's size is a share of
-the input.  What a chunk or a bucket finds is packed again, by
+many buckets as shuffle partitions ask for: a bucket and a part of the documents
+are held whole by a task, so those partitions must follow the size of the data.  What a chunk or a bucket finds is packed again, by
 document, and unpacked to one row for each place.
 
 Two rules:
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cohortlens.llm.common import partitions, planes, runs, unplanes
+from cohortlens.llm.common import mix, partitions, planes, runs, unplanes
 
 MARKED, MANY = 1, 2
 _SHORT = np.uint64((1 << 32) - 1)
@@ -92,7 +92,8 @@ def packed(at_: np.ndarray, key, doc, key2=None, line=None, who=None, flag=None)
 
 
 def _parts(doc: np.ndarray, n: int) -> np.ndarray:
-    return (doc.astype(np.uint64) % np.uint64(n)).astype(np.int32)
+    """The part that a document's hits go to: ids with a common stride spread as well."""
+    return (mix(doc.astype(np.uint64)) % np.uint64(n)).astype(np.int32)
 
 
 def send(rule: str, buckets: int, parts: int, key, doc, kind: int = 0, kinds: int = 1, short: bool = False, **more):
@@ -191,6 +192,6 @@ def matched(sent: DataFrame, parts: int, *rules: str, short: bool = False) -> Da
 
 
 def buckets(spark) -> tuple[int, int]:
-    """Buckets of keys, and parts of the documents that hits go back to: hits
-    are fewer, and a bucket returns a row for each part."""
-    return 2 * partitions(spark), max(24, partitions(spark) // 3)
+    """Buckets of keys, and parts of the documents that hits go back to; both
+    follow the session's shuffle partitions, which are set by the size of the data."""
+    return 2 * partitions(spark), max(24, partitions(spark))
