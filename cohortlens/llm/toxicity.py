@@ -5,12 +5,18 @@ ordered thresholds c_1 < c_2 < ...; x are log(1 + count) of the document's
 words and of their beginnings (four and five letters, ``lowe*``), so that
 inflected forms that the sample lacks are known by their stem.  The expected severity is the sum of P(grade >= k) over k.
 
-Fit.  The model is fitted on at most ``max_rows`` labelled documents, those
-of the smallest hashes of their ids (a documented, bounded sample); everything
-else runs over all documents.  Word statistics of the sample are grouped
-aggregates; the ``FEATURES`` words that tell most about the label are kept,
-and an L1 penalty at 3.5 standard errors of a word without effect leaves the
-words that matter, which are then fitted again without it.
+Fit.  The model is fitted on at most ``max_rows`` labelled documents, half of
+either kind at most, those of the smallest hashes of their ids among the labels
+that have a text (a documented, bounded sample); everything else runs over all
+documents.  Word statistics of the sample are grouped aggregates.  An L1
+penalty at 3.5 standard errors of a word without effect leaves the words that
+matter.  Every word of the sample is a candidate: the fit starts with the
+``ROUND`` words that tell most about the label, an aggregate over all words then
+finds those whose gradient exceeds the penalty, up to ``ROUND`` of the worst
+join, and so on until none is left, which is the fit over all of them.  The
+words that are left are fitted again without the penalty.  At last the
+thresholds are fitted to the sample with each kind weighted by its number of
+labels, as the sample's shares are not those of the labels.
 
 Grades.  ``labels`` has toxic 0 or 1.  The grades of toxic rows come from
 thirds of their own evidence (sum of log(1 + count) times log-odds of the
@@ -28,6 +34,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
@@ -40,7 +47,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import drop, freeze, lean, table
 
 MAX_ROWS = 8000
-FEATURES = 4096
+ROUND = 1024           # words that join the fit at a time
 MIN_ROWS = 3           # a word in fewer sample documents is no feature
 GRADES = 3
 REJECT = 0.5           # a document goes if P(grade >= 1) reaches this
@@ -92,19 +99,45 @@ class _Rows:
         return np.bincount(self.col, self.val * r[self.row], self.m)
 
 
-def loss_and_gradient(x: _Rows, y: np.ndarray, w: np.ndarray, cuts: np.ndarray):
-    """Mean negative log-likelihood of the grades, and its gradients."""
+def slopes(eta: np.ndarray, y: np.ndarray, cuts: np.ndarray, weight=None):
+    """(mean negative log-likelihood, its slope in each row's eta, in each cut)."""
     k = len(cuts)
-    eta = x.dot(w)
-    tail = np.ones((x.n, k + 2))
+    n = len(eta)
+    share = np.full(n, 1 / n) if weight is None else weight / weight.sum()
+    tail = np.ones((n, k + 2))
     tail[:, 1:k + 1] = _sigmoid(eta[:, None] - cuts[None, :])
     tail[:, k + 1] = 0
-    i = np.arange(x.n)
+    i = np.arange(n)
     p = np.maximum(tail[i, y] - tail[i, y + 1], 1e-12)
     slope = tail * (1 - tail)
-    d_eta = -(slope[i, y] - slope[i, y + 1]) / p / x.n
-    d_cuts = np.array([np.sum((slope[:, c] / p)[y == c]) - np.sum((slope[:, c] / p)[y == c - 1]) for c in range(1, k + 1)]) / x.n
-    return -np.log(p).mean(), x.back(d_eta), d_cuts
+    d_eta = -(slope[i, y] - slope[i, y + 1]) / p * share
+    per = slope * (share / p)[:, None]
+    d_cuts = np.array([per[y == c, c].sum() - per[y == c - 1, c].sum() for c in range(1, k + 1)])
+    return -(np.log(p) * share).sum(), d_eta, d_cuts
+
+
+def loss_and_gradient(x: _Rows, y: np.ndarray, w: np.ndarray, cuts: np.ndarray):
+    """Mean negative log-likelihood of the grades, and its gradients."""
+    loss, d_eta, d_cuts = slopes(x.dot(w), y, cuts)
+    return loss, x.back(d_eta), d_cuts
+
+
+def fit_cuts(eta: np.ndarray, y: np.ndarray, weight: np.ndarray, cuts: np.ndarray, steps: int = 2000) -> np.ndarray:
+    """The cuts that fit best where the rows weigh ``weight`` and eta stays."""
+    step, loss = 1.0, slopes(eta, y, cuts, weight)
+    for _ in range(steps):
+        new = np.sort(cuts - step * loss[2])
+        after = slopes(eta, y, new, weight)
+        if after[0] > loss[0]:
+            step /= 2
+            if step < 1e-9:
+                break
+            continue
+        moved = np.abs(new - cuts).max()
+        cuts, loss, step = new, after, step * 1.5
+        if moved < 1e-9:
+            break
+    return cuts
 
 
 def fit(x: _Rows, y: np.ndarray, penalty: np.ndarray, ridge: float = 0.0, steps: int = 400):
@@ -140,10 +173,54 @@ def _beginnings(words, k: int):
     return F.transform(F.filter(words, lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """(label_id, toxic) of the sample, and the labels of either kind that have a text."""
     known = (labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
              .where("label_id IS NOT NULL AND toxic IN (0, 1)").groupBy("label_id").agg(F.max("toxic").alias("toxic")))
-    sample = freeze(known.orderBy(F.xxhash64("label_id"), "label_id").limit(max_rows), "toxicity-sample")
+    with_text = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("label_id"))
+    known = freeze(known.join(with_text, "label_id", "left_semi"), "toxicity-labels")
+    of = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kinds = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(max_rows // 2) for k in (0, 1)]
+    sample = freeze(kinds[0].unionByName(kinds[1]), "toxicity-sample")
+    drop(known)
+    return sample, of
+
+
+def _matrix(counts: DataFrame, words: list[str], place: dict[int, int]) -> _Rows:
+    """The sample's rows in the given words; at most max_rows * len(words) values."""
+    spark = counts.sparkSession
+    asked = spark.createDataFrame([(w,) for w in words], "word string")
+    flat = counts.join(F.broadcast(asked), "word").select("label_id", "word", "n").toArrow()
+    col = {w: i for i, w in enumerate(words)}
+    coded = flat.column("word").combine_chunks().dictionary_encode()
+    row = np.array([place[d] for d in flat.column("label_id").to_pylist()], int)
+    c = np.array([col[w] for w in coded.dictionary.to_pylist()], int)[coded.indices.to_numpy()] if len(flat) else row
+    v = np.log1p(flat.column("n").to_numpy().astype(float))
+    order = np.lexsort((c, row))
+    return _Rows(row[order], c[order], v[order], len(place), len(words))
+
+
+def _joined(a: _Rows, b: _Rows) -> _Rows:
+    """The columns of both, b's behind a's."""
+    row, col, val = (np.concatenate(x) for x in ((a.row, b.row), (a.col, b.col + a.m), (a.val, b.val)))
+    order = np.lexsort((col, row))
+    return _Rows(row[order], col[order], val[order], a.n, a.m + b.m)
+
+
+def _left_out(counts: DataFrame, stats: DataFrame, words: list[str], place: dict[int, int], d_eta: np.ndarray, penalty: float) -> list[str]:
+    """Up to ROUND words, the worst first, whose gradient exceeds the penalty."""
+    spark = counts.sparkSession
+    rows = spark.createDataFrame([(d, float(d_eta[i])) for d, i in place.items()], "label_id long, slope double")  # at most max_rows
+    mine = spark.createDataFrame([(w,) for w in words], "word string")
+    v = F.log1p("n")
+    slope = counts.join(F.broadcast(rows), "label_id").groupBy("word").agg(F.abs(F.sum(v * F.col("slope"))).alias("g"), F.sum(v * v).alias("q"))
+    over = (slope.join(stats.select("word"), "word").withColumn("g", F.col("g") / F.sqrt(F.col("q") / len(place)))
+            .where(F.col("g") > penalty * (1 + 1e-3)).join(F.broadcast(mine), "word", "left_anti"))
+    return [r.word for r in over.orderBy(F.desc("g"), "word").limit(ROUND).collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+    sample, of = _sample(docs, labels, max_rows)
     text = F.lower(F.col("text").cast("string"))
     words = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     stems = [_beginnings(words, k) for k in STEMS]
@@ -151,50 +228,49 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     one = (docs.select(F.col("doc_id").cast("long").alias("label_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
            .join(F.broadcast(sample), "label_id").groupBy("label_id", "toxic").agg(F.min("text").alias("text")))
     counts = freeze(one.select("label_id", "toxic", F.explode(F.concat(words, *stems)).alias("word")).groupBy("label_id", "toxic", "word").agg(F.count(F.lit(1)).alias("n")), "toxicity-counts")
-    of_rows = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n = of_rows.get(1, 0), sum(of_rows.values())
+    toxic = {r.label_id: r.toxic for r in sample.collect()}
+    n, n1 = len(toxic), sum(toxic.values())
     if not 0 < n1 < n:
         return Model()
     p = n1 / n
     df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("hits")).where(F.col("df") >= MIN_ROWS)
     z = (F.col("hits") - F.col("df") * p) / F.sqrt(F.col("df") * (p * (1 - p)) + 0.25)
-    kept = freeze(df.withColumn("z", z).orderBy(F.desc(F.abs("z")), "word").limit(FEATURES), "toxicity-words")
-    vocab = sorted(kept.collect(), key=lambda r: r.word)                       # at most FEATURES rows
-    flat = counts.join(F.broadcast(kept.select("word")), "word").select("label_id", "word", "n").toArrow()  # at most max_rows * FEATURES values
-    toxic = {r.label_id: r.toxic for r in sample.collect()}
-    for t in (sample, counts, kept):
-        drop(t)
-    col = {r.word: i for i, r in enumerate(vocab)}
+    odds = F.log((F.col("hits") + 0.5) / (F.col("df") - F.col("hits") + 0.5)) - math.log(p / (1 - p))
+    stats = freeze(df.withColumns({"z": z, "odds": odds}), "toxicity-words")
     ids = sorted(toxic)
     place = {d: i for i, d in enumerate(ids)}
-    words_ = flat.column("word").combine_chunks().dictionary_encode()
-    row = np.array([place[d] for d in flat.column("label_id").to_pylist()], int)
-    c = np.array([col[w] for w in words_.dictionary.to_pylist()], int)[words_.indices.to_numpy()] if len(flat) else row
-    v = np.log1p(flat.column("n").to_numpy().astype(float))
-    order = np.lexsort((c, row))
-    row, c, v = row[order], c[order], v[order]
-    x = _Rows(row, c, v, len(ids), len(vocab))
     y01 = np.array([toxic[d] for d in ids])
-    if not len(vocab):
-        return Model()
-    # grades: thirds of the evidence among toxic rows
-    odds = np.array([np.log((r.hits + 0.5) / (r.df - r.hits + 0.5)) - np.log(p / (1 - p)) if r.z > ERRORS else 0.0 for r in vocab])
-    evidence = x.dot(np.maximum(odds, 0))
+    # grades: thirds of the evidence among toxic rows, over all words that speak for it
+    speaks = counts.where("toxic = 1").join(stats.where(F.col("z") > ERRORS).select("word", "odds"), "word")
+    found = {r.label_id: r.e for r in speaks.groupBy("label_id").agg(F.sum((F.log1p("n") * F.greatest("odds", F.lit(0.0))).cast("decimal(38,9)")).cast("double").alias("e")).collect()}
+    evidence = np.array([found.get(d, 0.0) for d in ids])
     order = np.flatnonzero(y01)[np.argsort(evidence[y01 == 1], kind="stable")]
-    y = np.zeros(len(ids), int)
+    y = np.zeros(n, int)
     y[order] = 1 + np.arange(len(order)) * GRADES // len(order)
     y = np.unique(y, return_inverse=True)[1]                                   # fewer toxic rows than grades: fewer grades
-    scale = np.sqrt(np.bincount(x.col, x.val ** 2, x.m) / x.n)
-    x.val = x.val / np.maximum(scale, 1e-12)[x.col]
-    w, _ = fit(x, y, np.full(x.m, ERRORS * np.sqrt(p * (1 - p) / x.n)))
-    used = np.flatnonzero(w)
+    penalty = ERRORS * math.sqrt(p * (1 - p) / n)
+    vocab = [r.word for r in stats.orderBy(F.desc(F.abs("z")), "word").limit(ROUND).collect()]
+    x = _matrix(counts, vocab, place)
+    while vocab:
+        scale = np.sqrt(np.bincount(x.col, x.val ** 2, x.m) / x.n)
+        scaled = _Rows(x.row, x.col, x.val / np.maximum(scale, 1e-12)[x.col], x.n, x.m)
+        w, cuts = fit(scaled, y, np.full(x.m, penalty))
+        more = _left_out(counts, stats, vocab, place, slopes(scaled.dot(w), y, cuts)[1], penalty)
+        if not more:
+            break
+        vocab, x = vocab + more, _joined(x, _matrix(counts, more, place))
+    for t in (sample, counts, stats):
+        drop(t)
+    used = np.flatnonzero(w) if vocab else []
     if not len(used):
         return Model()
     # the words that are left, without the penalty's shrinkage
     at = np.isin(x.col, used)
-    x2 = _Rows(x.row[at], np.searchsorted(used, x.col[at]), x.val[at], x.n, len(used))
-    w2, cuts = fit(x2, y, np.zeros(len(used)), ridge=1e-4)
-    return Model({vocab[j].word: float(a / max(scale[j], 1e-12)) for j, a in zip(used, w2)}, [float(a) for a in cuts])
+    left = _Rows(scaled.row[at], np.searchsorted(used, scaled.col[at]), scaled.val[at], x.n, len(used))
+    w, cuts = fit(left, y, np.zeros(len(used)), ridge=1e-4)
+    if of[1] * (n - n1) != of[0] * n1:
+        cuts = fit_cuts(left.dot(w), y, np.where(y01 == 1, of[1] / n1, of[0] / (n - n1)), cuts)
+    return Model({vocab[j]: float(a / max(scale[j], 1e-12)) for j, a in zip(used, w)}, [float(a) for a in cuts])
 
 
 def _scores(batches, model: Model):

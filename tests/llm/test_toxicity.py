@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -56,3 +57,90 @@ def test_the_sample_is_bounded_and_labels_may_lack(spark):
         model = tx.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
         assert not model.words and {(r.toxic, r.severity) for r in tx.graded(docs, model).collect()} == {(False, 0.0)}
     assert not tx.train(docs, spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int"), max_rows=1).words
+
+
+def reference(rows):
+    """The fit in plain numpy: dense, every word from the start, small steps."""
+    import re
+    bags = []
+    for _, text, _ in rows:
+        words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+        bags.append(Counter(words + [w[:k] + "*" for k in tx.STEMS for w in words if len(w) > k]))
+    y01 = np.array([b for *_, b in rows])
+    n, p = len(rows), y01.mean()
+    df = Counter(w for bag in bags for w in bag)
+    vocab = sorted(w for w, k in df.items() if k >= tx.MIN_ROWS)
+    hits = Counter(w for bag, b in zip(bags, y01) if b for w in bag)
+    z = {w: (hits[w] - df[w] * p) / np.sqrt(df[w] * p * (1 - p) + 0.25) for w in vocab}
+    odds = {w: np.log((hits[w] + 0.5) / (df[w] - hits[w] + 0.5)) - np.log(p / (1 - p)) for w in vocab if z[w] > tx.ERRORS}
+    evidence = [round(sum(np.log1p(c) * max(odds[w], 0) for w, c in bag.items() if w in odds), 6) for bag in bags]
+    order = [i for _, i in sorted((evidence[i], i) for i in range(n) if y01[i])]
+    y = np.zeros(n, int)
+    for at, i in enumerate(order):
+        y[i] = 1 + at * tx.GRADES // len(order)
+    x = np.array([[np.log1p(bag[w]) for w in vocab] for bag in bags])
+    scale = np.sqrt((x ** 2).mean(0))
+    x = x / scale
+
+    def descend(x, w, cuts, penalty, ridge, steps):
+        step = 4.0 / np.linalg.norm(x, 2) ** 2 * n
+        for _ in range(steps):
+            eta = x @ w
+            tail = np.column_stack([np.ones(n), 1 / (1 + np.exp(cuts - eta[:, None])), np.zeros(n)])
+            own = tail[np.arange(n), y] - tail[np.arange(n), y + 1]
+            s = tail * (1 - tail)
+            g = -(s[np.arange(n), y] - s[np.arange(n), y + 1]) / own / n
+            gc = np.array([(s[y == c, c] / own[y == c]).sum() - (s[y == c - 1, c] / own[y == c - 1]).sum() for c in range(1, len(cuts) + 1)]) / n
+            w = w - step * (x.T @ g + ridge * w)
+            w = np.sign(w) * np.maximum(np.abs(w) - step * penalty, 0)
+            cuts = cuts - step * gc
+        return w, cuts
+
+    share = np.array([(y >= c).mean() for c in range(1, y.max() + 1)])
+    w, cuts = descend(x, np.zeros(len(vocab)), np.log((1 - share) / share), tx.ERRORS * np.sqrt(p * (1 - p) / n), 0.0, 6000)
+    used = np.flatnonzero(w)
+    return {vocab[j] for j in used}, x[:, used], scale[used], [vocab[j] for j in used], y, descend
+
+
+def test_against_a_plain_fit(spark, monkeypatch):
+    """Words join a few at a time; the end is the fit over all of them."""
+    monkeypatch.setattr(tx, "ROUND", 4)
+    rows = corpus(3, 400)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t, _ in rows], DOCS)
+    model = tx.train(docs, spark.createDataFrame([(i, b) for i, _, b in rows], "doc_id long, toxic int"))
+    used, x, scale, names, y, descend = reference(rows)
+    assert set(model.words) == used and len(used) > 4
+    w, cuts = descend(x, np.zeros(len(names)), np.array(model.cuts), 0.0, 1e-4, 20_000)
+    # the sample is nearly separable, so the last fit creeps: within a few per cent
+    assert np.allclose(model.cuts, cuts, rtol=0.06)
+    assert np.allclose([model.words[n] for n in names], w / scale, rtol=0.06)
+
+
+def test_rare_kind_and_labels_without_documents(spark):
+    """Half the sample may be toxic where few labels are: every such row is
+    used, and the thresholds follow the labels' own shares."""
+    rows = [r for r in corpus(5, 3000) if not r[2] or r[0] % 5 == 0]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t, _ in rows], DOCS)
+    labels = [(i, b) for i, _, b in rows] + [(100_000 + i, 1) for i in range(5000)]  # without a document
+    model = tx.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), max_rows=400)
+    got = {r.doc_id: r for r in tx.graded(docs, model).collect()}
+    share = np.mean([b for *_, b in rows])
+    assert abs(np.mean([r.p_toxic for r in got.values()]) - share) < 0.02
+    assert np.mean([got[i].toxic == bool(b) for i, _, b in rows]) > 0.98
+
+
+def test_cuts_follow_weights():
+    rng = np.random.default_rng(2)
+    eta = rng.normal(size=4000)
+    y = (eta + rng.logistic(size=4000) > 1).astype(int) + (eta + rng.logistic(size=4000) > 9)
+    y = np.minimum(y, 1)
+    got = tx.fit_cuts(eta, y, np.where(y == 1, 0.1, 1.0), np.array([0.0]))
+    assert abs(got[0] - (1 + np.log(10))) < 0.25
+
+
+def test_a_stage_that_cannot_learn_lets_all_pass(spark, tmp_path):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(1, "nasty words", "x", 1), (2, None, "x", 1)], DOCS)
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.keep_civil(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and kept.count() == 2
