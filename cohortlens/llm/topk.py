@@ -1,7 +1,7 @@
 """Exact top-k inner products: columnar branch and bound.
 
-Candidates are dealt into blocks by a hash of their id; every query visits
-every block (a stated query set against all rows, in blocks).  A block holds
+Distinct candidates are dealt into blocks by a hash of id and vector, so that
+the vectors of a hot id are spread; every query visits every block (a stated query set against all rows, in blocks).  A block holds
 its vectors by dimension (vertical layout).  For a batch of queries the
 products are accumulated dimension block by dimension block; after each one
 a candidate's score is at most ``partial + |rest of query| * |rest of
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import partitions, table
+from cohortlens.llm.common import freeze, partitions, table
 
 BLOCK_ROWS = 8192     # candidates of one block: its memory, whatever the table's size
 DIM_BLOCK = 16
@@ -52,8 +52,8 @@ class _Block:
         rows = np.unique(np.column_stack([ids, vectors]), axis=0)  # repeated rows count once
         self.ids = rows[:, 0]
         self.v = np.ascontiguousarray(rows[:, 1:].T)
-        _, n = np.unique(self.ids, return_counts=True)
-        self.copies = int(n.max())
+        _, self.first = np.unique(self.ids, return_index=True)  # where each id begins
+        self.repeats = len(self.first) < len(self.ids)
         self.top = int(np.abs(self.v).max(initial=0))
         f = self.v.astype(np.float64)
         self.f = f
@@ -86,16 +86,15 @@ class _Block:
         # the first block of dimensions for the whole batch; what is most
         # promising after it gives each query a first bound to beat
         first = qf[:, :DIM_BLOCK] @ self.f[:DIM_BLOCK]
-        seeds = min(n, 8 * k * self.copies)
+        seeds = min(n, 8 * k)
         for i in range(len(q)):
             part = first[i]
             at = np.arange(n)
             if n > seeds and blocks > 1:
-                look = np.argpartition(-part, seeds - 1)[:seeds]
+                look = self._promising(part, seeds)
                 look = look[self.ids[look] != qid[i]]
                 s = part[look] + qf[i, DIM_BLOCK:] @ self.f[DIM_BLOCK:, look]
-                need = k * self.copies
-                low = np.partition(s, len(s) - need)[len(s) - need] if len(s) >= need else -np.inf
+                low = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else -np.inf
                 for b in range(1, blocks):
                     # partial sums are exact; only the bound is rounded
                     stay = part + mass[b, i] * self.rest[b, at] * (1 + 1e-9) + 1e-3 >= low
@@ -106,13 +105,21 @@ class _Block:
                 part = part + qf[i, DIM_BLOCK:] @ self.f[DIM_BLOCK:]
             yield qid[i], *self._best(qid[i], at, part, k)
 
+    def _promising(self, part: np.ndarray, n: int) -> np.ndarray:
+        """n candidates of different ids with high sums so far."""
+        if not self.repeats:
+            return np.argpartition(-part, n - 1)[:n]
+        most = np.maximum.reduceat(part, self.first)
+        some = np.argpartition(-most, min(n, len(most)) - 1)[:n]
+        ends = np.append(self.first[1:], len(part))
+        return np.array([self.first[g] + int(np.argmax(part[self.first[g]:ends[g]])) for g in some.tolist()], np.int64)
+
     def _best(self, query, at, score, k):
         own = self.ids[at] != query
         at, score = at[own], score[own]
         ids = self.ids[at]
-        if len(score) > 4 * k * self.copies:
-            need = k * self.copies
-            low = np.partition(score, len(score) - need)[len(score) - need]
+        if len(score) > 4 * k and not self.repeats:
+            low = np.partition(score, len(score) - k)[len(score) - k]
             ids, score = ids[score >= low], score[score >= low]
         order = np.lexsort((ids, -score.astype(np.float64))) if score.dtype != object else \
             np.array(sorted(range(len(ids)), key=lambda j: (-score[j], ids[j])), dtype=np.int64)
@@ -172,9 +179,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     query.  Both sides are ``quantized`` frames.  Each block goes to one task
     with a bounded number of candidates; the queries stream past it."""
     spark = vectors.sparkSession
+    vectors = freeze(vectors.distinct(), "topk-vectors")
     n = vectors.count()
     blocks = max(1, -(-n // BLOCK_ROWS), min(partitions(spark), -(-n // 1024)))
-    cand = vectors.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("blk"), F.lit(0).alias("kind"), "id", "q")
+    cand = vectors.select(F.pmod(F.xxhash64("id", "q"), F.lit(blocks)).cast("int").alias("blk"), F.lit(0).alias("kind"), "id", "q")
     ask = queries.distinct().select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk"), F.lit(1).alias("kind"), "id", "q")
     found = (cand.unionByName(ask).repartitionById(blocks, "blk").sortWithinPartitions("blk", "kind", "id")
              .mapInArrow(lambda b: _scan(b, k), "query_id long, vec_id long, score long"))

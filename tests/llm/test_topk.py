@@ -62,3 +62,18 @@ def test_large_components_are_exact():
 
 def test_empty_table(spark):
     assert run(spark, [], 10, 3) == set()
+
+
+def test_hot_id_is_spread_and_pruned(spark):
+    """A third of the rows under one id, a third of those one vector."""
+    rng = np.random.default_rng(9)
+    vec = lambda: rng.normal(size=40).astype(np.float32).tolist()
+    same = vec()
+    rows = [(i, vec()) for i in range(1500)] + [(7, vec()) for _ in range(500)] + [(7, same)] * 250
+    assert run(spark, rows, 50, 5) == brute(rows, 50, 5)
+    ids = np.array([r[0] for r in rows])
+    block = topk._Block(ids, np.array([[math.floor(256 * x) for x in v] for _, v in rows]))
+    assert block.repeats and len(block.ids) == len({(i, tuple(v)) for i, v in rows})
+    part = block.f[0]
+    look = block._promising(part, 40)
+    assert len(set(block.ids[look])) == 40 and part[look].max() == part.max()
