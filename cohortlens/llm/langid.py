@@ -54,7 +54,11 @@ _letters = re.compile(r"[\W\d_]+")
 
 def trigrams(text: str) -> np.ndarray:
     """Cells of the trigrams of a text's letters, words framed by spaces."""
-    c = np.frombuffer(f" {_letters.sub(' ', text.lower()).strip()} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    return cells_of(f" {_letters.sub(' ', text.lower()).strip()} ")
+
+
+def cells_of(framed: str) -> np.ndarray:
+    c = np.frombuffer(framed.encode("utf-32-le"), np.uint32).astype(np.uint64)
     if len(c) < 3:
         return np.zeros(0, np.int64)
     x = (c[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (c[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (c[2:] * np.uint64(0x165667B19E3779F9))
@@ -78,7 +82,7 @@ def _counts(batches):
 
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages, and log P(trigram cell | language)."""
-    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("lang", F.col("doc_id").cast("long").alias("id"))
+    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").select("lang", F.col("doc_id").cast("long").alias("id")).distinct()
     # hashes are even over 2**64: the share of them that holds about twice the
     # sample is all that is sorted, however many rows a language has
     size = freeze(ids.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
@@ -87,7 +91,9 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], np.ndar
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     sample = freeze(ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).select("id", F.col("lang").alias("of")), "langid-sample")
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("lang"), F.col("text").cast("string").alias("text"))
-    chosen = chosen.join(sample, (F.col("lang") == F.col("of")) & (chosen.id == sample.id)).select("lang", "text")
+    # one text for each sampled id, however many rows have it
+    chosen = (chosen.join(sample.withColumnRenamed("id", "sampled"), (F.col("lang") == F.col("of")) & (F.col("id") == F.col("sampled")))
+              .groupBy("lang", "id").agg(F.min("text").alias("text")).select("lang", "text"))
     rows = chosen.mapInArrow(_counts, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()  # CELLS a language
     langs = sorted({r.lang for r in rows})
     n = np.full((CELLS, len(langs)), 0.5)
