@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import uuid
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.session import stable_counted
+from cohortlens.session import checkpoint_dir, stable_counted
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -55,6 +57,32 @@ def drop(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The URI of a new folder in the shared checkpoint folder, for files that
+    tasks write and read themselves (``put_file``, ``get_file``)."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/{name}-{uuid.uuid4().hex}"
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        return folder.replace("file:/", "file:///", 1)
+    return folder if "://" in folder else f"file://{folder}"
+
+
+def put_file(folder: str, name: str, content: bytes) -> None:
+    """Write a whole file under its name; a task that runs again, or twice,
+    leaves the same file."""
+    system, path = fs.FileSystem.from_uri(folder)
+    system.create_dir(path, recursive=True)
+    tmp = f"{path}/.{name}-{uuid.uuid4().hex}"
+    with system.open_output_stream(tmp) as out:
+        out.write(content)
+    system.move(tmp, f"{path}/{name}")
+
+
+def get_file(folder: str, name: str) -> bytes:
+    system, path = fs.FileSystem.from_uri(folder)
+    with system.open_input_stream(f"{path}/{name}") as source:
+        return source.read()
+
+
 def lean(make, *args):
     """A function for ``mapInArrow``: ``make(batches, *args)``, after which
     the worker gives unused memory back.  Workers outlive their tasks, and

@@ -15,8 +15,11 @@ of the five-word shingles of its question, and of its answer (its last
 sentence, if it has more than one; fewer than five words: the whole
 sequence), must occur there.
 
-Items reach the tasks in shards of at most ``max_units`` units, one broadcast
-each, so memory does not grow with the benchmark; word statistics are those
+The index lies in shards of about ``max_units`` units, of whole items: items are
+dealt by row, each shard is built by a task and written to the shared folder, and
+the documents are read once, each chunk of them going past one shard after the
+other.  So neither the driver nor a task holds more of the index than the few
+shards that a worker keeps; an item must fit a task.  Word statistics are those
 of all units.
 
 Defined results
@@ -30,14 +33,17 @@ Defined results
 from __future__ import annotations
 
 import math
+import pickle
 import re
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import freeze_counted, lean, ranges, runs, table
+from cohortlens.llm.common import freeze, freeze_counted, get_file, lean, put_file, ranges, runs, shared_folder, table
 from cohortlens.llm.substring import window_keys, word_hashes
 
 UNIT, PASSAGE = 64, 128
@@ -45,6 +51,7 @@ K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.6, 0.8, 5
 MAX_UNITS = 2048
 CHUNK_WORDS = 1 << 18
+SHARDS_KEPT = 8
 _word = re.compile(r"[^\W_]+").findall
 _sentence = re.compile(r"(?<=[.?!])\s+|\n+")
 
@@ -210,35 +217,65 @@ class Index:
 def _units(batches):
     for batch in batches:
         out = []
-        for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
             words = words_of(text)
-            out += [(item, i, words[i:i + UNIT]) for i in range(0, len(words), UNIT)]
+            out += [(row, i, words[i:i + UNIT]) for i in range(0, len(words), UNIT)]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*out), (pa.int64(), pa.int32(), pa.list_(pa.string())))], ["item_id", "part", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*out), (pa.int64(), pa.int32(), pa.list_(pa.string())))], ["row", "part", "words"])
 
 
-def shards(benchmark: DataFrame, max_units: int = MAX_UNITS):
-    """An ``Index`` for each shard of the benchmark, one after the other."""
-    bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    units, n = freeze_counted(bench.mapInArrow(_units, "item_id long, part int, words array<string>"), "bm25-units")
-    if not n:
+def _build(batches, folder: str, n: int, mean: float):
+    """One shard from all rows of a partition: (item_id, text, units)."""
+    rows = [r for b in batches for r in b.to_pylist()]
+    if not rows:
         return
+    rows.sort(key=lambda r: (r["item_id"] is not None, r["item_id"] or 0, r["text"]))
+    df, units = {}, []
+    for r in rows:
+        for u in sorted(r["units"], key=lambda u: u["part"]):
+            df.update((w["w"], w["df"]) for w in u["words"])
+            units.append((r["item_id"], [w["w"] for w in sorted(u["words"], key=lambda w: w["at"])], r["text"]))
+    name = f"shard-{TaskContext.get().partitionId():06d}"
+    put_file(folder, name, pickle.dumps(Index(units, df, n, mean)))
+    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(units)])], ["name", "n_units"])
+
+
+def shards(benchmark: DataFrame, max_units: int = MAX_UNITS) -> tuple[str, list[str]]:
+    """Builds the index of the benchmark: its folder, and its shards' names."""
+    spark = benchmark.sparkSession
+    bench = benchmark.select(F.monotonically_increasing_id().alias("row"), F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    bench = freeze(bench.where("text IS NOT NULL"), "bm25-items")
+    units, n = freeze_counted(bench.mapInArrow(_units, "row long, part int, words array<string>"), "bm25-units")
+    folder = shared_folder(spark, "bm25")
+    if not n:
+        return folder, []
     mean = units.agg(F.avg(F.size("words"))).first()[0]
-    df = freeze_counted(units.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")), "bm25-df")[0]
+    df = freeze(units.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")), "bm25-df")
+    counted = units.select("row", "part", F.posexplode("words").alias("at", "w")).join(df, "w")
+    counted = counted.groupBy("row", "part").agg(F.collect_list(F.struct("at", "w", "df")).alias("words"))
+    whole = counted.groupBy("row").agg(F.collect_list(F.struct("part", "words")).alias("units")).join(bench, "row")
     count = -(-n // max_units)
-    deal = F.pmod(F.xxhash64("item_id"), F.lit(count))
-    for s in range(count):
-        # a shard is bounded: it comes to the driver to be indexed
-        rows = sorted((r.item_id is not None, r.item_id or 0, r.text) for r in bench.where(deal == s).collect() if r.text)
-        own = units.where(deal == s).select(F.explode("words").alias("w")).distinct()
-        stats = {r.w: r.df for r in own.join(df, "w").collect()}
-        parts = [(item if known else None, ws[i:i + UNIT], text) for known, item, text in rows for ws in [words_of(text)] for i in range(0, len(ws), UNIT)]
-        if parts:
-            yield Index(parts, stats, n, mean)
-
-
-def _matches(batches, index, threshold: float, overlap: float):
-    """(batch, row numbers, their matches), some rows at a time."""
+    dealt = whole.select(F.pmod(F.xxhash64("row"), F.lit(count)).cast("int").alias("deal"), "item_id", "text", "units").repartitionById(count, "deal")
+    made = freeze(dealt.mapInArrow(lambda b: _build(b, folder, n, mean), "name string, n_units long"), "bm25-shards")
+    return folder, sorted(r.name for r in made.select("name").collect())
+
+
+_kept: OrderedDict[tuple[str, str], Index] = OrderedDict()
+
+
+def _shard(folder: str, name: str) -> Index:
+    """A shard, of which a worker keeps the last few."""
+    if (folder, name) in _kept:
+        _kept.move_to_end((folder, name))
+    else:
+        _kept[folder, name] = pickle.loads(get_file(folder, name))
+        while len(_kept) > SHARDS_KEPT:
+            _kept.popitem(last=False)
+    return _kept[folder, name]
+
+
+def _matches(batches, folder: str, names: list[str], threshold: float, overlap: float):
+    """(batch, row numbers, their matches), some rows at a time, past all shards."""
     for batch in batches:
         texts = batch.column("text")
         at = 0
@@ -248,43 +285,42 @@ def _matches(batches, index, threshold: float, overlap: float):
                 docs.append(words_of(texts[at].as_py()))
                 size += len(docs[-1])
                 at += 1
-            found = index.retrieve(docs, threshold)
-            yield batch.slice(first, at - first), [index.verified(d, f, overlap) if f else [] for d, f in zip(docs, found)]
+            best: list[dict] = [{} for _ in docs]
+            for name in names:
+                index = _shard(folder, name)
+                for d, (words, units) in enumerate(zip(docs, index.retrieve(docs, threshold))):
+                    for m in index.verified(words, units, overlap) if units else ():
+                        if m[0] not in best[d] or m[1] > best[d][m[0]][1]:
+                            best[d][m[0]] = m
+            yield batch.slice(first, at - first), [list(b.values()) for b in best]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, max_units: int = MAX_UNITS) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap): a row for
     every item that a document holds."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-    out = spark.createDataFrame([], schema)
-    for index in shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    folder, names = shards(benchmark, max_units)
 
-        def rows(batches, shared=shared):
-            for batch, found in _matches(batches, shared.value, threshold, overlap):
-                flat = [(d, *m) for d, ms in zip(batch.column("doc_id").to_pylist(), found) for m in ms]
-                if flat:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*flat), types)], [x.split()[0] for x in schema.split(", ")])
+    def rows(batches):
+        for batch, found in _matches(batches, folder, names, threshold, overlap):
+            flat = [(d, *m) for d, ms in zip(batch.column("doc_id").to_pylist(), found) for m in ms]
+            if flat:
+                yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(zip(*flat), types)], [x.split()[0] for x in schema.split(", ")])
 
-        out = out.unionByName(docs.mapInArrow(lean(rows), schema))
-    return out
+    return docs.mapInArrow(lean(rows), schema)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, max_units: int = MAX_UNITS) -> DataFrame:
     """``docs`` without the rows that hold an item; columns as they are."""
-    spark = docs.sparkSession
-    for index in shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    folder, names = shards(benchmark, max_units)
 
-        def rows(batches, shared=shared):
-            for batch, found in _matches(batches, shared.value, threshold, overlap):
-                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
+    def rows(batches):
+        for batch, found in _matches(batches, folder, names, threshold, overlap):
+            yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
-        docs = docs.mapInArrow(lean(rows), docs.schema)
-    return docs
+    return docs.mapInArrow(lean(rows), docs.schema)
 
 
 # ---------------------------------------------------------------- query

@@ -34,7 +34,6 @@ Defined results
 from __future__ import annotations
 
 import os
-import uuid
 import zlib
 from operator import itemgetter
 
@@ -42,13 +41,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import freeze, partitions, ranges, table
-from cohortlens.session import checkpoint_dir
+from cohortlens.llm.common import freeze, partitions, put_file, ranges, shared_folder, table
 
 MAGIC = b"PFORids1"
 BLOCK = 1024
@@ -343,15 +340,6 @@ def encoder(vocabulary: str) -> WordEncoder:
 
 # ---------------------------------------------------------------- tasks
 
-def _put(folder: str, name: str, content: bytes) -> None:
-    system, path = fs.FileSystem.from_uri(folder)
-    system.create_dir(path, recursive=True)
-    tmp = f"{path}/.{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(tmp) as out:
-        out.write(content)
-    system.move(tmp, f"{path}/{name}")
-
-
 def _write(batches, vocabulary: str, folder: str, end_id: int, shard_ids: int):
     enc, part = encoder(vocabulary), TaskContext.get().partitionId()
     docs, parts, lengths, size, shards = [], [], [], 0, []
@@ -359,7 +347,7 @@ def _write(batches, vocabulary: str, folder: str, end_id: int, shard_ids: int):
     def flush():
         nonlocal docs, parts, lengths, size
         name = f"ids-{part:06d}-{len(shards):06d}.pfor"
-        _put(folder, name, encode_shard(docs, lengths, np.concatenate(parts)))
+        put_file(folder, name, encode_shard(docs, lengths, np.concatenate(parts)))
         shards.append((name, len(docs), size))
         docs, parts, lengths, size = [], [], [], 0
 
@@ -437,9 +425,7 @@ def read_documents(shards: DataFrame, folder: str) -> DataFrame:
 def op10_token_ids(spark, sf_dir):
     import public_tokenizers
 
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/ids-{uuid.uuid4().hex}"
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+    folder = shared_folder(spark, "ids")
     shards = write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
     return read_documents(shards, folder)
 

@@ -78,14 +78,30 @@ def test_search_equals_all_scores():
             assert {u: round(s, 9) for u, s in index.search(terms, threshold)} == {u: round(min(s, 1.0), 9) for u, s in score.items() if s >= threshold - 1e-9}
 
 
-def test_shards_and_stage(spark):
+def test_many_shards_in_one_pass(spark, monkeypatch):
+    """Both functions past more shards than a worker keeps, in one plan over the documents."""
     docs, bench = corpus()
     b = spark.createDataFrame([(i, t, 1) for i, t in bench], ITEMS)
-    assert len(list(dc.shards(b, max_units=10))) > 1
+    assert len(dc.shards(b, max_units=4)[1]) > dc.SHARDS_KEPT
     d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], DOCS)
-    kept = dc.decontaminated(d, b)
+    want = brute(docs, bench)
+    assert found(spark, docs, bench, max_units=4) == want
+    kept = dc.decontaminated(d, b, max_units=4)
     assert kept.columns == d.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in {x for x, _ in brute(docs, bench)})
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in {x for x, _ in want})
+    for frame in (kept, dc.contaminated(d, b, max_units=4)):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_hot_item_id_is_dealt_by_row(spark):
+    """A third of the benchmark under one id, or none: shards stay even."""
+    docs, bench = corpus()
+    bench = [(7 if i % 3 else None, t) for i, t in bench] * 3
+    b = spark.createDataFrame([(i, t, 1) for i, t in bench], ITEMS)
+    folder, names = dc.shards(b, max_units=20)
+    sizes = [len(dc._shard(folder, n).items) for n in names]
+    assert sum(sizes) == sum(-(-len(dc.words_of(t)) // 64) for _, t in bench) and max(sizes) < 60
+    assert found(spark, docs, bench, max_units=20) == brute(docs, bench)
 
 
 def test_empty(spark):
