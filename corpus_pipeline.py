@@ -25,9 +25,8 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: lines equal to an earlier one go, from 6 characters on those
-    within two edits of one, and with them documents that had such lines and
-    have no text left."""
+    """Line dedup: lines equal to an earlier one or within two edits of one go,
+    and with them documents that had such lines and have no text left."""
     found = lines.without_duplicate_lines(docs, lines.MAX_EDITS, lines.MIN_CHARS, lines.EXACT_CHARS)
     emptied = (F.col("line_stats.n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     found = found.where(F.col("text").isNull() | ~emptied)
