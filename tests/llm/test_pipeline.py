@@ -1,4 +1,7 @@
 import random
+import re
+
+import xxhash
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
@@ -7,7 +10,7 @@ from cohortlens.llm import registry
 
 def test_entry_lists_every_operator():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in registry.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(registry.queries()) | {"pipeline"} <= names and set(registry.oracle_sql()) <= set(entry.oracle_sql())
 
 
@@ -33,6 +36,13 @@ def documents():
     return docs, line
 
 
+def fingerprint(text):
+    """The contract's fingerprint, bit by bit: 3-word shingles, XXH64 with seed 42."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    h = [xxhash.xxh64_intdigest(" ".join(words[i:i + 3]).encode(), 42) for i in range(len(words) - 2)]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
 def test_stages_take_effect(spark, tmp_path):
     docs, line = documents()
     item = "Which river runs past the old mill town before the sea? The wide and slow Nether Brook does."
@@ -56,7 +66,9 @@ def test_stages_take_effect(spark, tmp_path):
     assert set(lines) == set(seen["toxicity"]) - {500} and lines[503].text == docs[303][1].split("\n")[0]
     assert lines[503].n_chars == len(lines[503].text) and lines[502].keep == "k"
     assert len({i for i in (504, 505) if i in seen["simhash_near_dedup"]}) == 1
-    assert set(lines) - set(seen["simhash_near_dedup"]) in ({505}, {505, 508})
+    # 508 differs from 507 in one word of 300: it goes just if the contract's bits say so
+    differing = bin(fingerprint(lines[507].text) ^ fingerprint(lines[508].text)).count("1")
+    assert set(lines) - set(seen["simhash_near_dedup"]) == ({505, 508} if differing <= 3 else {505})
     assert set(seen["simhash_near_dedup"]) - set(seen["benchmark_decontamination"]) == {501}
     assert set(seen["sentencepiece_encoding"]) == set(seen["benchmark_decontamination"]) and all(r.round_trip for r in seen["sentencepiece_encoding"].values())
     run = cp.run(spark, str(tmp_path))
