@@ -38,9 +38,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.llm.common import drop, freeze, freeze_counted, lean, mix, partitions, ranges, runs, table
 from cohortlens.llm.match import MARKED, ROWS, buckets, matched, send
@@ -419,6 +421,48 @@ def _first_segment(lines: Lines, i, j, seg, t: int):
     return i[keep], j[keep]
 
 
+_STATS = ("n_lines", "n_removed", "n_links")
+
+
+def _without(batches, text_at: int):
+    """Each row's columns with its text without the lines that go, and its counts."""
+    for batch in batches:
+        columns, texts = list(batch.columns), batch.column(text_at)
+        gone, links = columns.pop(-2), columns.pop(-1)
+        removed = np.zeros(len(batch), np.int64)
+        changed: dict[int, str] = {}
+        for i in np.flatnonzero(pc.greater(pc.fill_null(pc.list_value_length(gone), 0), 0).to_numpy(zero_copy_only=False)).tolist():
+            text = texts[i].as_py()
+            if text is None:
+                continue
+            lines, away = text.split("\n"), gone[i].values
+            # another row with this doc_id may have other lines there
+            bad = {n for n, h in zip(away.field("line").to_pylist(), away.field("h").to_numpy().view(np.uint64).tolist())
+                   if n < len(lines) and _line_hash(lines[n])[0] == h}
+            if bad:
+                removed[i] = len(bad)
+                changed[i] = "\n".join([x for n, x in enumerate(lines) if n not in bad])
+        if changed:
+            at = list(changed)
+            mask = np.zeros(len(batch), bool)
+            mask[at] = True
+            columns[text_at] = pc.replace_with_mask(texts, pa.array(mask), pa.array(list(changed.values()), texts.type))
+        n = np.where(texts.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(pc.count_substring(texts, "\n"), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1, 0)
+        stats = pa.StructArray.from_arrays([pa.array(n), pa.array(removed), pc.fill_null(links, 0)], list(_STATS))
+        yield pa.RecordBatch.from_arrays([*columns, stats], [*batch.schema.names[:-2], "line_stats"])
+
+
+def _task(make, *args):
+    """``lean``, after which the tables of powers are gone too."""
+    def cleared(batches, *more):
+        try:
+            yield from make(batches, *more)
+        finally:
+            _powers.clear()
+
+    return lean(cleared, *args)
+
+
 # ---------------------------------------------------------------- operator
 
 def _exact(batches):
@@ -455,12 +499,12 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_c
     spark, t = docs.sparkSession, max_edits
     p, n = partitions(spark), buckets(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = freeze(matched(docs.mapInArrow(lean(_keys, t, min_chars, exact_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
+    hits = freeze(matched(docs.mapInArrow(_task(_keys, t, min_chars, exact_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
     later = hits.where("kind = 0").select("doc", "line", "keys").mapInArrow(_exact, "doc long, line int, h long")
     near = hits.where("kind = 1").groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list(F.struct("line", "keys")).alias("hits"))
     fetched = docs.where("text IS NOT NULL").join(near.hint("shuffle_hash"), F.col("doc_id") == F.col("hit_doc"))
     rows = freeze(fetched.select("doc_id", "text", "hits").mapInArrow(
-        lean(_fetch, t, min_chars), "key long, seg int, probe int, h long, doc long, line int, text string"), "lines-rows")
+        _task(_fetch, t, min_chars), "key long, seg int, probe int, h long, doc long, line int, text string"), "lines-rows")
     sizes, _ = freeze_counted(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "lines-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     tile = min(1 << 14, max(256, total // p // 4))
@@ -470,7 +514,7 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_c
     dealt = dealt.withColumn("z", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("key", F.least("side", "z").alias("x"), F.greatest("side", "z").alias("y"), "side", "seg", "probe", "h", "doc", "line", "text")
     links = (dealt.repartition(p, "key", "x", "y").sortWithinPartitions("key", "x", "y", "side", "probe", "h", "doc", "line")
-             .mapInArrow(lean(_links, t), "h long, doc long, line int, near_doc long, near_line int, links long"))
+             .mapInArrow(_task(_links, t), "h long, doc long, line int, near_doc long, near_line int, links long"))
     if min_chars <= t:
         links = links.unionByName(_tiny_links(docs, t, min_chars))
     linked = (links.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("own"), F.min(F.struct(F.col("near_doc").alias("doc"), F.col("near_line").alias("line"))).alias("near"),
@@ -488,19 +532,9 @@ def without_duplicate_lines(docs: DataFrame, max_edits: int = 2, min_chars: int
     marks = line_marks(docs, max_edits, min_chars, exact_chars)
     by = marks.groupBy(F.col("doc").alias("__doc")).agg(
         F.collect_list(F.when(F.col("gone"), F.struct("line", "h"))).alias("__gone"), F.sum("links").alias("__links"))
-    joined = docs.join(by.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc"), "left")
-    joined = joined.withColumn("__lines", F.split("text", "\n", -1))
-    # line numbers are compared as a set: the cost is that of the lines
-    own = F.filter(F.coalesce("__gone", F.expr("cast(array() as array<struct<line:int,h:bigint>>)")), lambda g: F.xxhash64(F.get("__lines", g["line"])) == g["h"])
-    joined = joined.withColumn("__away", F.transform(own, lambda g: g["line"]))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__away"))
-    kept = F.when(F.size("__away") > 0, F.transform(stay, lambda i: F.get("__lines", i))).otherwise(F.col("__lines"))
-    joined = joined.withColumn("__kept", F.when(F.col("text").isNotNull(), kept))
-    count = lambda c: F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
-    return joined.select(
-        *[F.when(F.col("text").isNotNull(), F.array_join("__kept", "\n")).alias(c) if c == "text" else F.col(c) for c in docs.columns],
-        F.struct(count("__lines").alias("n_lines"), (count("__lines") - count("__kept")).alias("n_removed"),
-                 F.coalesce("__links", F.lit(0)).cast("long").alias("n_links")).alias("line_stats"))
+    joined = docs.join(by.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc"), "left").select(*docs.columns, "__gone", "__links")
+    schema = T.StructType([*docs.schema.fields, T.StructField("line_stats", T.StructType([T.StructField(n, T.LongType()) for n in _STATS]))])
+    return joined.mapInArrow(lean(_without, docs.columns.index("text")), schema)
 
 
 # ---------------------------------------------------------------- query
