@@ -95,3 +95,15 @@ def test_scores_need_no_window_over_customers(spark, name):
     """In the session's own settings: no window, no single task."""
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", ["segment_summary", "at_risk_recovery", "geo_summary", "rfm_scatter"])
+def test_queries_on_the_metrics_read_the_stored_view(spark, name):
+    """No line table in the plan: scans of the stored view and of lookups alone."""
+    frame = E.queries()[name](spark, SF)
+    files = frame.inputFiles()
+    assert any("/cohortlens/views/" in f for f in files)
+    assert not any(t in f for f in files for t in ("lineitem", "orders", "part.parquet", "customer.parquet"))
+    scans = [x for x in frame._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert len([x for x in scans if "/nation" not in x and "/region" not in x]) == 1
