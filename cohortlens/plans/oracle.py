@@ -296,6 +296,30 @@ UNION ALL SELECT 'lines', 'foreign_key:product_id', COUNT(*) FROM lineitem
 UNION ALL SELECT 'orders', 'foreign_key:customer_id', COUNT(*) FROM orders
     WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)"""
 
+    def null_rows(table, view, key, columns):
+        return "".join(f"""
+UNION ALL SELECT '{table}', 'not_null:{name}', CAST({key} AS VARCHAR), COUNT(*) FROM {view} WHERE {col} IS NULL GROUP BY 3""" for name, col in columns)
+
+    def shared_rows(table, view, name, key):
+        return f"""
+UNION ALL SELECT '{table}', 'unique:{name}', CAST({key} AS VARCHAR), COUNT(*) - 1 FROM {view} WHERE {key} IS NOT NULL GROUP BY 3 HAVING COUNT(*) > 1"""
+
+    def orphan_rows(table, name, view, key, parent, pkey):
+        return f"""
+UNION ALL SELECT '{table}', 'foreign_key:{name}', CAST({key} AS VARCHAR), COUNT(*) FROM {view}
+    WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {pkey} FROM {parent} WHERE {pkey} IS NOT NULL) GROUP BY 3"""
+
+    q["audit_witnesses"] = (
+        q["constraint_audit"][:q["constraint_audit"].index("SELECT 'customers' AS table_name")]
+        + "SELECT 'transactions' AS table_name, 'check:quantity>0' AS rule, CAST(transaction_id AS VARCHAR) AS witness, COUNT(*) AS rows FROM t WHERE NOT (quantity > 0) GROUP BY 3"
+        + shared_rows("customers", "c", "customer_id", "customer_id") + shared_rows("products", "part", "product_id", "p_partkey")
+        + shared_rows("transactions", "t", "transaction_id", "transaction_id")
+        + null_rows("customers", "c", "customer_id", [("customer_id", "customer_id"), ("country", "country"), ("signup_date", "CAST(NULL AS DATE)")])
+        + null_rows("products", "part", "p_partkey", [("product_id", "p_partkey"), ("unit_price", "p_retailprice")])
+        + null_rows("transactions", "t", "transaction_id", [(x, x) for x in ("transaction_id", "customer_id", "product_id", "transaction_date", "quantity", "unit_price")])
+        + orphan_rows("lines", "order_id", "lineitem", "l_orderkey", "orders", "o_orderkey") + orphan_rows("lines", "product_id", "lineitem", "l_partkey", "part", "p_partkey")
+        + orphan_rows("orders", "customer_id", "orders", "o_custkey", "customer", "c_custkey"))
+
     q["load_report"] = with_ctes(["transactions", "customers"], """
 SELECT COUNT(*) AS transactions, COUNT(DISTINCT t.customer_id) AS customers,
        COUNT(DISTINCT c.country) AS countries

@@ -31,6 +31,8 @@ BIN_WIDTH = 200_000
 COHORT_YEAR = 1998
 DELTA_FROM = dt.date(1999, 1, 1)
 KEY = T.LongType()
+BASE_KEYS = [("lines", "order_id", "orders", "order_id"), ("lines", "product_id", "products", "product_id"),
+             ("orders", "customer_id", "customers", "customer_id")]
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -127,9 +129,12 @@ def q_line_revenue(spark, d):
 def q_constraint_audit(spark, d):
     """Base tables, before any join that would hide a missing parent; a line
     names its order, and the order its customer."""
-    t = driver.audit_tables(spark, d)
-    return audit_mod.audit(t, foreign_keys=[("lines", "order_id", "orders", "order_id"), ("lines", "product_id", "products", "product_id"),
-                                            ("orders", "customer_id", "customers", "customer_id")])
+    return audit_mod.audit(driver.audit_tables(spark, d), foreign_keys=BASE_KEYS)
+
+
+def q_audit_witnesses(spark, d):
+    """The keys behind each violation of the audit."""
+    return audit_mod.witnesses(driver.audit_tables(spark, d), foreign_keys=BASE_KEYS)
 
 
 def q_load_report(spark, d):
@@ -214,7 +219,9 @@ def q_extract_file(spark, d):
 
 
 def q_region_filter(spark, d):
-    return sheets.by_region(_geo(spark, d), "EUROPE")
+    """From the extract that is stored by region."""
+    extract = sinks.stored_by(spark, "geo_summary", _inputs(d), lambda: _geo(spark, d), ["region"], AS_OF)
+    return sheets.by_region(extract, "EUROPE")
 
 
 # ---- customer metrics --------------------------------------------------------
@@ -368,7 +375,9 @@ def q_cohort_preview(spark, d):
 
 
 def q_cohort_year_filter(spark, d):
-    return sheets.by_cohort_year(cohorts.cohort_long(_matrix(spark, d)), COHORT_YEAR)
+    """From the extract that is stored by cohort year."""
+    extract = sinks.stored_by(spark, "cohort_long", _inputs(d), lambda: cohorts.cohort_long(_matrix(spark, d)), ["cohort_year"], AS_OF)
+    return sheets.by_cohort_year(extract, COHORT_YEAR)
 
 
 def q_avg_month3_retention(spark, d):

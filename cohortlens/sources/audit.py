@@ -5,7 +5,7 @@ All NOT NULL / CHECK rules and the key uniqueness count of a table are one
 aggregate, unpivoted to (table, rule, violations) rows.  A foreign key counts
 child rows by key first (a partial aggregate), so the ``left_anti`` join meets
 each key once.  A rule whose column the table lacks is listed as unchecked:
-its violations are NULL.
+its violations are NULL.  ``witnesses`` gives the violating keys themselves.
 """
 
 from __future__ import annotations
@@ -55,3 +55,37 @@ def audit(tables: dict[str, DataFrame], rules=None, foreign_keys=None) -> DataFr
     parts += [foreign_key_audit(tables[child], child, col, tables[parent], pcol)
               for child, col, parent, pcol in (FOREIGN_KEYS if foreign_keys is None else foreign_keys) if child in tables and parent in tables]
     return reduce(DataFrame.unionByName, parts)
+
+
+def table_witnesses(df: DataFrame, table: str, unique=(), not_null=(), checks=None) -> DataFrame:
+    """The keys behind ``table_audit``: a value that rows share, or the key of
+    rows with a NULL or a failed check (the first unique column)."""
+    columns = set(df.columns)
+    rules = {f"not_null:{c}": F.col(c).isNull() for c in not_null if c in columns}
+    rules |= {f"check:{name}": ~F.expr(cond) for name, (c, cond) in (checks or {}).items() if c in columns}
+    key = next((F.col(c).cast("string") for c in unique if c in columns), F.lit(None).cast("string"))
+    parts = []
+    if rules:
+        broken = F.array_compact(F.array(*[F.when(v, F.lit(r)) for r, v in rules.items()]))
+        parts.append(df.select(F.explode(broken).alias("rule"), key.alias("witness")).groupBy("rule", "witness").agg(F.count(F.lit(1)).alias("rows")))
+    for c in unique:
+        if c in columns:
+            shared = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("witness")).agg((F.count(F.lit(1)) - 1).alias("rows"))
+            parts.append(shared.where("rows > 0").select(F.lit(f"unique:{c}").alias("rule"), "witness", "rows"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "table_name string, rule string, witness string, rows long")
+    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "witness", F.col("rows").cast("long").alias("rows"))
+
+
+def witnesses(tables: dict[str, DataFrame], rules=None, foreign_keys=None) -> DataFrame:
+    """(table_name, rule, witness, rows): what ``audit`` counts, by key; the
+    rows of a rule add up to its violations.  Keys are counted before any
+    shuffle, and a foreign key's join meets each of them once."""
+    parts = [table_witnesses(tables[name], name, r.get("unique", ()), r.get("not_null", ()), r.get("checks"))
+             for name, r in (RULES if rules is None else rules).items() if name in tables]
+    for child, col, parent, pcol in (FOREIGN_KEYS if foreign_keys is None else foreign_keys):
+        if child in tables and parent in tables:
+            keys = tables[child].where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_key")).agg(F.count(F.lit(1)).alias("rows"))
+            orphans = keys.join(tables[parent].select(F.col(pcol).alias("_key")), "_key", "left_anti")
+            parts.append(orphans.select(F.lit(child).alias("table_name"), F.lit(f"foreign_key:{col}").alias("rule"), F.col("_key").cast("string").alias("witness"), "rows"))
+    return reduce(DataFrame.unionByName, parts)

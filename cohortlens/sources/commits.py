@@ -109,9 +109,9 @@ class CommittedTable:
         entry = self.write(df, **notes)
         return self.commit(lambda entries: {**entries, entry["folder"]: entry})
 
-    def replace(self, key: str, df: DataFrame, **notes) -> int:
+    def replace(self, key: str, df: DataFrame, partition_by: list[str] = (), **notes) -> int:
         """Make ``df`` what stands under ``key``; other keys stay."""
-        entry = self.write(df, **notes)
+        entry = self.write(df, partition_by, **notes)
         return self.commit(lambda entries: {**entries, key: entry})
 
     def discard(self, entry: dict) -> None:

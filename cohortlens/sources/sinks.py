@@ -78,6 +78,15 @@ def stored(spark: SparkSession, name: str, paths: list[str], build: Callable[[],
     return materialize(build(), folder)
 
 
+def stored_by(spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame], partition_by: list[str], *params) -> DataFrame:
+    """``stored``, in a folder for each value of ``partition_by``: a filter on
+    those columns reads the folders it asks for."""
+    table = CommittedTable(spark, f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/views/{name}-{fingerprint(spark, paths, name, partition_by, *params)}")
+    if "view" not in table.entries():
+        table.replace("view", build(), partition_by)
+    return table.frame(table.entries()["view"])
+
+
 def refresh(df: DataFrame, path: str, as_of) -> int:
     """Commit ``df`` as the snapshot of ``as_of`` (others untouched); the
     generation's number."""

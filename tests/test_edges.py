@@ -85,6 +85,22 @@ def test_audit_one_violation_each(spark):
     assert got[("customers", "unique:email")] is None and got[("transactions", "not_null:product_id")] is None
 
 
+def test_witnesses_add_up_to_the_audit(spark):
+    c = spark.createDataFrame([(1, "US", D(2020, 1, 1)), (1, "US", None), (1, None, None), (None, "GB", None)], "customer_id long, country string, signup_date date")
+    t = spark.createDataFrame([("t1", 1, D(2021, 1, 1), 0, Decimal("1.00")), ("t2", 9, None, -1, None), ("t2", 9, None, None, None), (None, None, None, 5, None)],
+                              "transaction_id string, customer_id long, transaction_date date, quantity int, unit_price decimal(10,2)")
+    tables = {"customers": c, "transactions": t}
+    rows = audit.witnesses(tables).collect()
+    sums = {}
+    for r in rows:
+        sums[r.table_name, r.rule] = sums.get((r.table_name, r.rule), 0) + r.rows
+    assert sums == {(r.table_name, r.rule): r.violations for r in audit.audit(tables).collect() if r.violations}
+    got = {(r.rule, r.witness): r.rows for r in rows}
+    assert got["unique:customer_id", "1"] == 2 and got["unique:transaction_id", "t2"] == 1 and got["foreign_key:customer_id", "9"] == 2
+    assert got["check:quantity>0", "t1"] == 1 and got["not_null:transaction_date", "t2"] == 2 and got["not_null:customer_id", None] == 1
+    assert audit.witnesses({"customers": c.limit(0)}).collect() == []
+
+
 def test_defaults(spark):
     t = spark.createDataFrame([(None, Decimal("5.00")), ("x", None)], "transaction_id string, discount_pct decimal(5,2)")
     rows = defaults.apply_defaults(t, "transactions").collect()

@@ -6,6 +6,7 @@ rows, never on customer- or line-grain rows."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from cohortlens.plans import registry
@@ -107,3 +108,13 @@ def test_queries_on_the_metrics_read_the_stored_view(spark, name):
     assert not any(t in f for f in files for t in ("lineitem", "orders", "part.parquet", "customer.parquet"))
     scans = [x for x in frame._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
     assert len([x for x in scans if "/nation" not in x and "/region" not in x]) == 1
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name,column,value", [("cohort_year_filter", "cohort_year", "1998"), ("region_filter", "region", "EUROPE")])
+def test_filters_read_one_folder_of_the_extract(spark, name, column, value):
+    frame = E.queries()[name](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({column}" in plan and "Exchange" not in plan
+    read = {r[0] for r in frame.select(F.input_file_name()).distinct().collect()}
+    assert read and all(f"/{column}={value}/" in f for f in read)
