@@ -50,8 +50,13 @@ def _tw(spark, d):
     return driver.transactions(spark, d, with_product=False)
 
 
+def _bt(spark, d):
+    """Priced transactions from the lines and orders stored in buckets of the order key."""
+    return driver.bucketed_transactions(spark, d)
+
+
 def _built_metrics(spark, d):
-    return metrics.customer_metrics(_c(spark, d), _t(spark, d), AS_OF)
+    return metrics.customer_metrics(_c(spark, d), _bt(spark, d), AS_OF)
 
 
 def _inputs(d):
@@ -65,7 +70,7 @@ def _metrics(spark, d):
 
 def _base(spark, d):
     """The stored base of the value-bucket scores."""
-    return sinks.stored(spark, "rfm_base", _inputs(d), lambda: extracts.rfm_pandas_base(_c(spark, d), _t(spark, d), AS_OF), AS_OF)
+    return sinks.stored(spark, "rfm_base", _inputs(d), lambda: extracts.rfm_pandas_base(_c(spark, d), _bt(spark, d), AS_OF), AS_OF)
 
 
 def _seg(spark, d):
@@ -245,14 +250,14 @@ def q_active_months(spark, d):
 
 
 def q_rfm_base(spark, d):
-    b = metrics.rfm_base(_t(spark, d), AS_OF)
+    b = metrics.rfm_base(_bt(spark, d), AS_OF)
     return b.select("customer_id", "last_purchase", F.col("frequency").cast("long").alias("frequency"),
                     F.col("monetary_value").cast("double").alias("monetary_value"),
                     F.col("recency_days").cast("int").alias("recency_days"))
 
 
 def q_customer_ltv(spark, d):
-    return metrics.customer_ltv(_t(spark, d)).select("customer_id", round_half_up("ltv", 2).alias("ltv"))
+    return metrics.customer_ltv(_bt(spark, d)).select("customer_id", round_half_up("ltv", 2).alias("ltv"))
 
 
 # ---- scoring -----------------------------------------------------------------
@@ -395,15 +400,15 @@ def q_retention_curve(spark, d):
 # ---- LTV and churn -----------------------------------------------------------
 
 def q_quarter_ltv(spark, d):
-    return ltv.quarter_ltv(_t(spark, d))
+    return ltv.quarter_ltv(_bt(spark, d))
 
 
 def q_ltv_by_quarter(spark, d):
-    return ltv.ltv_by_quarter(_t(spark, d))
+    return ltv.ltv_by_quarter(_bt(spark, d))
 
 
 def q_q4_q1_ratio(spark, d):
-    return ltv.q4_q1_ratio(_t(spark, d))
+    return ltv.q4_q1_ratio(_bt(spark, d))
 
 
 def q_month3_active(spark, d):
@@ -426,7 +431,7 @@ def q_segment_rank(spark, d):
 
 
 def q_monthly_revenue(spark, d):
-    return extracts.monthly_revenue(_t(spark, d))
+    return extracts.monthly_revenue(_bt(spark, d))
 
 
 def q_geo_labels(spark, d):

@@ -20,6 +20,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.sources.buckets import bucket_count, stored_buckets
+
 # Snapshot date for recency: the day after the last order date in the data.
 AS_OF = dt.date(2001, 8, 2)
 
@@ -69,8 +71,34 @@ def transactions(spark: SparkSession, sf_dir: str, with_product: bool = True) ->
     Every line references an existing product (a declared foreign key,
     checked by the constraint audit), so the rows are the same.
     """
+    return _joined(_lines(spark, sf_dir, with_product), _orders(spark, sf_dir), with_product)
+
+
+def bucketed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``transactions`` from lines (with their product attributes) and orders
+    that are stored in equally many buckets of the order key: neither the join
+    nor an aggregate by transaction moves a line.  The first use writes both;
+    all later ones, of any analysis, read them."""
+    path = lambda t: f"{sf_dir.rstrip('/')}/{t}.parquet"
+    n = bucket_count(spark, [path("lineitem"), path("orders")])
+    li = stored_buckets(spark, "order_lines", [path("lineitem"), path("part")], lambda: _lines(spark, sf_dir, True), "l_orderkey", n)
+    o = stored_buckets(spark, "orders", [path("orders")], lambda: _orders(spark, sf_dir), "o_orderkey", n)
+    return _joined(li, o, True)
+
+
+def _lines(spark: SparkSession, sf_dir: str, with_product: bool) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if not with_product:
+        return li
+    p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    return li.join(p, li.l_partkey == p.p_partkey).drop("p_partkey")
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+def _joined(li: DataFrame, o: DataFrame, with_product: bool) -> DataFrame:
     cols = [
         F.col("l_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -79,14 +107,11 @@ def transactions(spark: SparkSession, sf_dir: str, with_product: bool = True) ->
         F.col("l_quantity").cast("int").alias("quantity"),
     ]
     if with_product:
-        p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
-        li = li.join(p, li.l_partkey == p.p_partkey)
         cols += [F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price")]
-    t = li.join(o, li.l_orderkey == o.o_orderkey)
     cols += [F.round(F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_pct")]
     if with_product:
         cols += [F.col("p_type").alias("category")]
-    return t.select(*cols)
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(*cols)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

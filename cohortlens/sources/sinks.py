@@ -30,33 +30,39 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _whole(spark: SparkSession, path: str) -> bool:
+def is_whole(spark: SparkSession, path: str) -> bool:
     p, fs = _path(spark, f"{path}/_SUCCESS")
     return fs.exists(p)
 
 
+def publish(spark: SparkSession, aside: str, path: str) -> None:
+    """Give the written folder ``aside`` the name ``path``, unless another
+    writer's whole table has it by now."""
+    source, fs = _path(spark, aside)
+    target, _ = _path(spark, path)
+    if is_whole(spark, path):
+        fs.delete(source, True)  # another writer was faster
+        return
+    if fs.exists(target):
+        fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {aside} to {path}")
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Create-if-absent: write ``df`` unless ``path`` holds a whole table
     already; what an unfinished writer left there is replaced."""
     spark = df.sparkSession
-    if not _whole(spark, path):
-        aside, fs = _path(spark, f"{path.rstrip('/')}-writing-{uuid.uuid4().hex}")
-        df.write.parquet(aside.toString())
-        target, _ = _path(spark, path)
-        if _whole(spark, path):
-            fs.delete(aside, True)  # another writer was faster
-        else:
-            if fs.exists(target):
-                fs.delete(target, True)
-            fs.mkdirs(target.getParent())
-            if not fs.rename(aside, target):
-                raise OSError(f"cannot rename {aside} to {target}")
+    if not is_whole(spark, path):
+        aside = f"{path.rstrip('/')}-writing-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        publish(spark, aside, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fingerprint(spark: SparkSession, paths: list[str], *params) -> str:
-    """A digest of name, length and modification time of every file under
-    ``paths``, and of the parameters."""
+def input_files(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(name, length, modification time) of every file under ``paths``, in order."""
     files = []
     for path in sorted(paths):
         p, fs = _path(spark, path)
@@ -64,7 +70,12 @@ def fingerprint(spark: SparkSession, paths: list[str], *params) -> str:
         while found.hasNext():
             s = found.next()
             files.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
-    return hashlib.sha256(json.dumps([VIEW_VERSION, [str(x) for x in params], sorted(files)]).encode()).hexdigest()[:32]
+    return sorted(files)
+
+
+def fingerprint(spark: SparkSession, paths: list[str], *params) -> str:
+    """A digest of ``input_files`` and of the parameters."""
+    return hashlib.sha256(json.dumps([VIEW_VERSION, [str(x) for x in params], input_files(spark, paths)]).encode()).hexdigest()[:32]
 
 
 def stored(spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame], *params) -> DataFrame:
@@ -73,7 +84,7 @@ def stored(spark: SparkSession, name: str, paths: list[str], build: Callable[[],
     changed, added or removed input file makes another fingerprint, so a stale
     view is never read."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/views/{name}-{fingerprint(spark, paths, name, *params)}"
-    if _whole(spark, folder):
+    if is_whole(spark, folder):
         return spark.read.parquet(folder)
     return materialize(build(), folder)
 
