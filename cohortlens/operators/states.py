@@ -5,7 +5,7 @@ which a delta can be merged into:
 
     totals     customer -> first and last date, revenue, lines, transactions
                (min, max, sum, sum, sum)
-    months     customer, word of 63 months -> a bit for each active month (bit_or)
+    months     customer, word of five years -> a bit for each active month (bit_or)
     purchases  the distinct (customer, transaction) pairs, in folders that are
                only added to
 
@@ -22,37 +22,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.dates import days_between
 from cohortlens.functions.money import line_revenue
+from cohortlens.operators.bits import merged_bits, month_bits
 from cohortlens.operators.metrics import _as_of_col
 from cohortlens.sources.commits import CommittedTable, Conflict
 
-MONTHS = 63             # of a word: it stays positive
-
 _MERGED = {"first_purchase_date": F.min, "last_purchase_date": F.max, "monetary_value": F.sum, "lines": F.sum, "frequency": F.sum}
 
 
-def month_number(date: Column) -> Column:
-    """Months since year 0, a number that a word and a bit come from."""
-    return F.year(date) * 12 + F.month(date) - 1
-
-
 def line_totals(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("customer_id").agg(
         F.min("transaction_date").alias("first_purchase_date"), F.max("transaction_date").alias("last_purchase_date"),
         F.sum(line_revenue()).cast("decimal(38,6)").alias("monetary_value"), F.count(F.lit(1)).alias("lines"), F.lit(0).cast("long").alias("frequency"))
 
 
-def month_bits(transactions: DataFrame) -> DataFrame:
-    n = month_number(F.col("transaction_date"))
-    word, bit = F.expr(f"cast(_n div {MONTHS} AS int)"), F.expr(f"shiftleft(1L, cast(_n % {MONTHS} AS int))")
-    return (transactions.where("transaction_date IS NOT NULL").select("customer_id", n.alias("_n")).select("customer_id", word.alias("word"), bit.alias("bits"))
-            .groupBy("customer_id", "word").agg(F.bit_or("bits").alias("bits")))
-
-
 def purchases(transactions: DataFrame) -> DataFrame:
     return transactions.where("transaction_id IS NOT NULL").select("customer_id", "transaction_id").distinct()
 
@@ -78,11 +65,11 @@ class MetricStates:
         new = self.table.frame(added).groupBy("customer_id").agg(F.count(F.lit(1)).alias("frequency"))
         empty = {c: F.lit(None).cast("date") for c in ("first_purchase_date", "last_purchase_date")} | {"monetary_value": F.lit(None).cast("decimal(38,6)"), "lines": F.lit(0).cast("long")}
         totals = line_totals(transactions).unionByName(new.withColumns(empty))
-        months = month_bits(transactions)
+        months = month_bits(transactions, "customer_id")
         if "totals" in entries:
             totals, months = totals.unionByName(self.table.frame(entries["totals"])), months.unionByName(self.table.frame(entries["months"]))
         totals = totals.groupBy("customer_id").agg(*[f(c).cast("decimal(38,6)" if c == "monetary_value" else totals.schema[c].dataType).alias(c) for c, f in _MERGED.items()])
-        months = months.groupBy("customer_id", "word").agg(F.bit_or("bits").alias("bits"))
+        months = merged_bits(months, "customer_id")
         changed = {"totals": self.table.write(totals, deltas=[*entries.get("totals", {}).get("deltas", ()), delta]), "months": self.table.write(months)}
 
         def change(now: dict) -> dict:

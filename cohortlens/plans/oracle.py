@@ -481,6 +481,11 @@ SELECT strftime(transaction_date, '%Y-%m') AS month, CAST(year(transaction_date)
        {rnd('SUM(revenue)', 2)} AS revenue, {rnd(mean('revenue'), 2)} AS avg_order
 FROM lines WHERE category IS NOT NULL
 GROUP BY 1, 2, 3, 4""")
+    q["period_customers"] = with_ctes(["lines"], "".join(f"""{start}
+SELECT category, '{grain}' AS grain, {period} AS period, COUNT(DISTINCT customer_id) AS customers
+FROM lines WHERE category IS NOT NULL GROUP BY 1, 2, 3""" for start, grain, period in [
+        ("", "month", "CAST(date_trunc('month', transaction_date) AS DATE)"), (" UNION ALL", "quarter", "CAST(date_trunc('quarter', transaction_date) AS DATE)"),
+        (" UNION ALL", "year", "CAST(date_trunc('year', transaction_date) AS DATE)"), (" UNION ALL", "all", "CAST(NULL AS DATE)")]))
     q["geo_labels"] = with_ctes(["customers"], """
 SELECT DISTINCT country, country AS country_name, region FROM customers""")
     q["geo_summary"] = with_ctes(["geo"], "SELECT * FROM geo ORDER BY total_revenue DESC")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from cohortlens.functions.dates import days_between, month_label, month_number, month_start, parse_month
 from cohortlens.functions.money import line_revenue, round_half_up
-from cohortlens.operators import churn, cohorts, extracts, ltv, metrics, ranking, scoring, segments, sheets
+from cohortlens.operators import bits, churn, cohorts, extracts, ltv, metrics, ranking, scoring, segments, sheets
 from cohortlens.operators.states import MetricStates
 from cohortlens.session import checkpoint_dir, stable
 from cohortlens.sources import audit as audit_mod
@@ -434,6 +434,12 @@ def q_monthly_revenue(spark, d):
     return extracts.monthly_revenue(_bt(spark, d))
 
 
+def q_period_customers(spark, d):
+    """Buyers of each category by month, quarter, year and in all, from the stored words."""
+    words = sinks.stored(spark, "category_months", _inputs(d), lambda: bits.month_bits(_bt(spark, d).where("category IS NOT NULL"), "category", "customer_id"))
+    return bits.period_counts(words, "customer_id", "category", name="customers")
+
+
 def q_geo_labels(spark, d):
     regions = driver.geography(spark, d).select("country", "region")
     countries = _c(spark, d).select("country").distinct()
