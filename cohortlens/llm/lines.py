@@ -497,8 +497,8 @@ def line_marks(docs: DataFrame, max_edits: int = 2, min_chars: int = 16, exact_c
     min_chars = max(1, min_chars)
     exact_chars = min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))
     spark, t = docs.sparkSession, max_edits
-    p, n = partitions(spark), buckets(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    p, n = partitions(spark), buckets(docs)
     hits = freeze(matched(docs.mapInArrow(_task(_keys, t, min_chars, exact_chars, n), ROWS), n[1], "later", "shared"), "lines-hits")
     later = hits.where("kind = 0").select("doc", "line", "keys").mapInArrow(_exact, "doc long, line int, h long")
     near = hits.where("kind = 1").groupBy(F.col("doc").alias("hit_doc")).agg(F.collect_list(F.struct("line", "keys")).alias("hits"))

@@ -4,9 +4,11 @@ Each task looks through its rows in chunks.  Keys that occur often are
 settled where they are: within a chunk only one entry of a key is sent on, so
 a key that a third of all rows hold costs one entry for each chunk.  Entries
 are packed by bucket of the key into binary columns (about eight bytes an
-entry after compression) and each bucket is grouped in one task; there are as
-many buckets as shuffle partitions ask for: a bucket and a part of the documents
-are held whole by a task, so those partitions must follow the size of the data.  What a chunk or a bucket finds is packed again, by
+entry after compression) and each bucket is grouped at once.  A task holds a
+bucket whole, and a part of the documents that hits go back to, so their numbers
+follow the bytes of the texts (``buckets``): as the entries of a key are settled
+by chunk, what is held does not grow with the data.  A shuffle partition takes
+one bucket after the other.  What a chunk or a bucket finds is packed again, by
 document, and unpacked to one row for each place.
 
 Two rules:
@@ -20,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortlens.llm.common import mix, partitions, planes, runs, unplanes
 
@@ -191,7 +194,13 @@ def matched(sent: DataFrame, parts: int, *rules: str, short: bool = False) -> Da
     return hits.groupBy("part", "kind").applyInArrow(place, "doc long, line int, keys binary, kind int")
 
 
-def buckets(spark) -> tuple[int, int]:
-    """Buckets of keys, and parts of the documents that hits go back to; both
-    follow the session's shuffle partitions, which are set by the size of the data."""
-    return 2 * partitions(spark), max(24, partitions(spark))
+#: Bytes of text that one bucket of keys, or one part of the documents, answers for.
+BUCKET_TEXT = 32 << 20
+
+
+def buckets(docs: DataFrame, share: int | None = None) -> tuple[int, int]:
+    """Buckets of keys, and parts of the documents that hits go back to: one
+    for each ``share`` bytes of ``text``, and enough for all shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    p, n = partitions(docs.sparkSession), -(-int(size) // (share or BUCKET_TEXT))
+    return max(2 * p, n), max(24, p, n)

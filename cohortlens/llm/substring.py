@@ -170,7 +170,7 @@ def repeated_passages(docs: DataFrame, window: int = 13) -> DataFrame:
     that repeat a document with a smaller id, and the other words, joined by
     one space."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = buckets(docs.sparkSession)
+    n = buckets(docs)
     probes = docs.mapInArrow(lean(_probe, window, n), ROWS)
     hits = freeze(matched(probes, n[1], "shared", short=True).select("doc", "keys"), "passages-hits")
     near = _with_hits(docs, hits, "inner")

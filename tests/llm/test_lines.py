@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortlens.llm import lines
+from cohortlens.llm import lines, match
 
 
 def edits(a, b):
@@ -80,6 +80,15 @@ def test_hot_segment_is_dealt_into_tiles(spark):
     assert run(spark, docs) == brute(docs, 2, 8)
 
 
+def test_many_small_buckets(spark, monkeypatch):
+    """Buckets of a few bytes of text: ids with a common stride, the same lines everywhere."""
+    monkeypatch.setattr(match, "BUCKET_TEXT", 50)
+    r = random.Random(4)
+    pool = ["".join(r.choice("abcd ") for _ in range(r.randint(8, 30))) for _ in range(20)]
+    docs = [(24 * i, "\n".join(["the same line in all of them", *(changed(r, r.choice(pool), r.randint(0, 3)) for _ in range(3))])) for i in range(60)]
+    assert run(spark, docs) == brute(docs, 2, 8)
+
+
 def test_one_edit_and_empty(spark):
     docs = [(1, "abcdefgh"), (2, "abcdefg!"), (3, "abcdef!!"), (4, "Abcdefgh\nabcdefgh")]
     assert run(spark, docs, 1) == brute(docs, 1, 8)

@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from cohortlens.llm import substring
+from cohortlens.llm import match, substring
 
 SCHEMA = "doc_id long, text string, keys int, n_words string"
 
@@ -52,6 +52,22 @@ def test_copies_across_chunks(spark, monkeypatch):
     assert run(spark, docs) == brute(docs)
 
 
+def test_many_small_buckets(spark, monkeypatch):
+    """Buckets follow the bytes of the texts; ids with a common stride, and one
+    doc_id with a third of the rows, come out as in few buckets."""
+    r = random.Random(5)
+    passage = [f"p{i}" for i in range(30)]
+    docs = [(24 * i, " ".join([*(r.choice("abcde") for _ in range(r.randint(0, 30))), *passage[r.randint(0, 9):], "end"])) for i in range(60)]
+    docs += [(7, " ".join([f"x{i}", *passage[: 13 + i % 17]])) for i in range(30)]
+    few = match.buckets(spark.createDataFrame(docs, "doc_id long, text string"))
+    monkeypatch.setattr(match, "BUCKET_TEXT", 40)
+    many = match.buckets(spark.createDataFrame(docs, "doc_id long, text string"))
+    size = sum(len(t) for _, t in docs)
+    assert few == (16, 24) and many == (-(-size // 40),) * 2
+    assert match.buckets(spark.createDataFrame([(1, None)], "doc_id long, text string")) == few
+    assert run(spark, docs) == brute(docs)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
