@@ -8,7 +8,7 @@ entry after compression) and each bucket is grouped at once.  A task holds a
 bucket whole, and a part of the documents that hits go back to, so their numbers
 follow the bytes of the texts (``buckets``): as the entries of a key are settled
 by chunk, what is held does not grow with the data.  A shuffle partition takes
-one bucket after the other.  What a chunk or a bucket finds is packed again, by
+one bucket after the other, and all take equally many.  What a chunk or a bucket finds is packed again, by
 document, and unpacked to one row for each place.
 
 Two rules:
@@ -190,8 +190,10 @@ def matched(sent: DataFrame, parts: int, *rules: str, short: bool = False) -> Da
         found = _by_place(t, short)
         return found.append_column("kind", pa.array([key[1].as_py()] * len(found), pa.int32()))
 
-    hits = sent.groupBy("bucket").applyInArrow(receive, HITS)
-    return hits.groupBy("part", "kind").applyInArrow(place, "doc long, line int, keys binary, kind int")
+    # numbers, not their hashes, say the partition: each takes as many as any other
+    n = partitions(sent.sparkSession)
+    hits = sent.repartitionById(n, "bucket").groupBy("bucket").applyInArrow(receive, HITS)
+    return hits.repartitionById(n, "part").groupBy("part", "kind").applyInArrow(place, "doc long, line int, keys binary, kind int")
 
 
 #: Bytes of text that one bucket of keys, or one part of the documents, answers for.
