@@ -83,6 +83,15 @@ def get_file(folder: str, name: str) -> bytes:
         return source.read()
 
 
+def trim() -> None:
+    """Give the worker's unused memory back."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def lean(make, *args):
     """A function for ``mapInArrow``: ``make(batches, *args)``, after which
     the worker gives unused memory back.  Workers outlive their tasks, and
@@ -91,11 +100,7 @@ def lean(make, *args):
         try:
             yield from make(batches, *args)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            libc = ctypes.CDLL(None)
-            if hasattr(libc, "malloc_trim"):
-                libc.malloc_trim(0)
+            trim()
 
     return run
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import mix, partitions, planes, runs, unplanes
+from cohortlens.llm.common import mix, partitions, planes, runs, trim, unplanes
 
 MARKED, MANY = 1, 2
 _SHORT = np.uint64((1 << 32) - 1)
@@ -184,10 +184,12 @@ def matched(sent: DataFrame, parts: int, *rules: str, short: bool = False) -> Da
     def receive(key, t):
         kind = key[0].as_py() % len(rules)
         found = _receive(t, rules[kind], parts, short)
+        trim()
         return found.append_column("kind", pa.array([kind] * len(found), pa.int32()))
 
     def place(key, t):
         found = _by_place(t, short)
+        trim()
         return found.append_column("kind", pa.array([key[1].as_py()] * len(found), pa.int32()))
 
     # numbers, not their hashes, say the partition: each takes as many as any other
