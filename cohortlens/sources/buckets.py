@@ -20,8 +20,9 @@ from pyspark.sql.types import StructType
 from cohortlens.session import checkpoint_dir
 from cohortlens.sources import sinks
 
-#: Input bytes of a bucket.
-BUCKET_BYTES = 256 << 20
+#: Input bytes of a bucket.  One task sorts a bucket of either table and aggregates their join;
+#: TPC-H-like lines take 12 to 18 bytes of input and some 200 of that task's memory.
+BUCKET_BYTES = 16 << 20
 FEWEST = 8
 
 
