@@ -53,6 +53,7 @@ from cohortlens.llm.common import freeze, lean, partitions, ranges, runs, table
 _FOLD = bytes(b if b > 127 else (ord(chr(b).lower()) if chr(b).isalnum() else 32) for b in range(256))
 _IN_TERM = np.frombuffer(_FOLD, np.uint8) != 32
 SEGMENT_BYTES = 12 << 20
+SLICE_BYTES = 1 << 20
 BLOCK_TERMS = 1 << 16
 _INDEX = "segment long, term binary, docs array<int>, tfs array<int>, ids array<long>"
 
@@ -95,23 +96,54 @@ def impact(tf, m):
     return 1_000_000_000 * tf // (1000 * tf + 12 * m)
 
 
+def _slices(texts: list[bytes]):
+    """Lists of texts of about ``SLICE_BYTES``; a longer text is one of its own."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text) + 64
+        if size >= SLICE_BYTES:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _postings(texts: list[bytes]):
+    """(terms of each text, vocabulary, term, text, tf).  Texts are cut into
+    terms a slice at a time, and only the counts of a slice are kept: every
+    term as it stands takes some 20 times the bytes of its text."""
+    n, names, term, doc, tfs = [], [], [], [], []
+    texts_before = names_before = 0
+    for some in _slices(texts):
+        words, of = terms_of(pa.array(some, pa.binary()))
+        n.append(np.bincount(of, minlength=len(some)))
+        coded = words.dictionary_encode()
+        pair, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(some) + of, return_counts=True)
+        term.append((pair // len(some) + names_before).astype(np.int32))
+        doc.append((pair % len(some) + texts_before).astype(np.int32))
+        tfs.append(tf.astype(np.int32))
+        names.append(coded.dictionary.cast(pa.large_binary()))
+        texts_before, names_before = texts_before + len(some), names_before + len(names[-1])
+    coded = pa.concat_arrays(names).dictionary_encode()
+    return np.concatenate(n), coded.dictionary, coded.indices.to_numpy()[np.concatenate(term)], np.concatenate(doc), np.concatenate(tfs)
+
+
 def _segment(ids: list, texts: list[bytes], number: int, total_docs: int, total_terms: int):
-    words, of = terms_of(pa.array(texts, pa.binary()))
-    n = np.bincount(of, minlength=len(texts))
+    n, vocabulary, term, doc, tf = _postings(texts)
+    texts.clear()
     m = normaliser(n, total_docs, total_terms)
     order = np.lexsort((np.arange(len(n)), m))
     order = order[n[order] > 0]
     if not len(order):
         return
-    place = np.zeros(len(n), np.int64)
-    place[order] = np.arange(len(order))
+    place = np.zeros(len(n), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     m = m[order]
-    coded = words.dictionary_encode()
-    vocabulary = coded.dictionary.cast(pa.large_binary())
-    pair, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(order) + place[of], return_counts=True)
-    term, doc = pair // len(order), pair % len(order)
+    doc = place[doc]
     by = np.lexsort((doc, -tf, m[doc], term))
     term, doc, tf = term[by], doc[by], tf[by]
+    del by
     first, size = runs(term)
     columns = ["segment", "term", "docs", "tfs", "ids"]
     yield pa.RecordBatch.from_arrays(

@@ -110,3 +110,18 @@ def test_bounds_skip_strata():
         best.add(0, score, doc, np.zeros(len(doc), bool))
     assert best.ids[0].tolist() == [0, 1, 2] and seg.visited <= 2
     assert len(np.unique(seg.impact)) == 300
+
+
+def test_a_segment_is_cut_into_terms_a_slice_at_a_time(monkeypatch):
+    """Only a slice's terms are held at once, and the index is the same for any slice."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["a", "Bb", "c-d", "é", "x9"]) for _ in range(rng.randrange(40))).encode() for _ in range(200)]
+
+    def made():
+        return [b.to_pylist() for b in R._segment(list(range(200)), list(texts), 5, 200, 4000)]
+
+    whole, seen, cut = made(), [], R.terms_of
+    monkeypatch.setattr(R, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(R, "terms_of", lambda some: seen.append(sum(map(len, some.to_pylist()))) or cut(some))
+    assert made() == whole
+    assert len(seen) > 10 and max(seen) < 1000 + max(map(len, texts))
