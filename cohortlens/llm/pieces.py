@@ -93,6 +93,8 @@ class Vocabulary:
             else:
                 found[piece] = i
                 self.bytes.append(piece.replace(SPACE, " ").encode())
+        self.of_id = np.empty(self.size, object)
+        self.of_id[:] = self.bytes
         self.weight = -np.log(np.arange(self.size) - min(found.values(), default=0) + 2.0, where=np.arange(self.size) >= min(found.values(), default=0), out=np.zeros(self.size))
         self.pattern = _units(found)
         # all beginnings of pieces: a search ends where no piece goes on
@@ -130,10 +132,17 @@ class Vocabulary:
                 at[i] = self.rest[int(h[i])]
         return at
 
+    def raw(self, ids) -> bytes:
+        raw = b"".join(self.of_id[ids].tolist())
+        return raw[1:] if raw[:1] == b" " else raw
+
     def decode(self, ids) -> str:
-        b = self.bytes
-        raw = b"".join([b[i] for i in ids])
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        return self.raw(np.asarray(ids, np.int64)).decode("utf-8", "replace")
+
+    def stands_for(self, ids, text: str, coded: bytes) -> bool:
+        """Whether ``decode`` gives ``text``, whose UTF-8 is ``coded``."""
+        raw = self.raw(ids)
+        return raw == coded or raw.decode("utf-8", "replace") == text
 
 
 class Lattice:
@@ -157,13 +166,13 @@ class Lattice:
             entry = v.find(h)
             good = entry >= 0
             piece = np.where(good, v.piece[entry], -1)
-            hit = piece >= 0
+            hit = np.flatnonzero(piece >= 0)
             src.append(at[hit])
             dst.append(at[hit] + length)
             ids.append(piece[hit])
             if length == 1:
-                raw = at[~hit]  # no piece of its own: its bytes
-            on = good & (at + length < last[at])
+                raw = at[np.flatnonzero(piece < 0)]  # no piece of its own: its bytes
+            on = np.flatnonzero(good & (at + length < last[at]))
             at, h = at[on], h[on]
             if not len(at):
                 break
@@ -182,37 +191,44 @@ class Lattice:
         self.src, self.dst, self.id = (np.empty(len(place), x[0].dtype) for x in (src, dst, ids))
         for to, x in ((self.src, src), (self.dst, dst), (self.id, ids)):
             to[place] = np.concatenate(x)
-        w = np.where(self.id >= 0, v.weight[np.maximum(self.id, 0)], 0.0)
+        w = v.weight[np.maximum(self.id, 0)]
         own = np.flatnonzero(self.id < 0)
         w[own] = [-math.log(v.size) * len(self.raw[-1 - i]) for i in self.id[own].tolist()]
         # backward: sums over all ways to the end, nodes of equal distance together
         back = np.zeros(n)
-        far = (last - np.arange(n))[self.src]
-        by = np.argsort(far, kind="stable")
-        s0, ln = runs(far[by])
+        nodes = np.flatnonzero(~self.end)
+        far = last[nodes] - nodes
+        if len(far) and far.max() < 1 << 16:
+            far = far.astype(np.uint16)  # sorted by its digits
+        nodes = nodes[np.argsort(far, kind="stable")]
+        cnt = count[nodes]
+        by = ranges(self.first[nodes], cnt)
+        begin = np.cumsum(cnt) - cnt
+        by_w, by_dst = w[by], self.dst[by]
+        s0, ln = runs((last - np.arange(n))[nodes])
         for s, m in zip(s0.tolist(), ln.tolist()):
-            e = by[s:s + m]
-            x = w[e] + back[self.dst[e]]
-            node, _ = runs(self.src[e])
-            top = np.maximum.reduceat(x, node)
-            back[self.src[e][node]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, np.diff(np.append(node, m)))), node))
+            first, size = begin[s:s + m] - begin[s], cnt[s:s + m]
+            e = slice(int(begin[s]), int(begin[s] + first[-1] + size[-1]))
+            x = by_w[e] + back[by_dst[e]]
+            top = np.maximum.reduceat(x, first)
+            back[nodes[s:s + m]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, size)), first))
         self.logp = np.minimum(w + back[self.dst] - back[self.src], 0.0)
         self.p = np.exp(self.logp)
         node, cnt = runs(self.src)
         # running sums of each node on its own: they do not depend on the chunk
         self.cum = self.p.copy()
-        rank = np.arange(len(self.src)) - np.repeat(node, cnt)
+        e, left = node, cnt
         for r in range(1, int(cnt.max(initial=1))):
-            e = np.flatnonzero(rank == r)
+            more = np.flatnonzero(left > r)
+            e, left = e[more] + 1, left[more]
             self.cum[e] += self.cum[e - 1]
         self.cum[node + cnt - 1] = 2.0  # the last edge takes what rounding leaves
         # ids of each edge, one after the other
-        width = np.ones(len(self.id), np.int64)
+        width = np.ones(len(self.id), np.int8)
         width[own] = [len(self.raw[-1 - i]) for i in self.id[own].tolist()]
         self.width = width
         self.id_at = np.cumsum(width) - width
-        self.flat = np.empty(int(width.sum()), np.int32)
-        self.flat[self.id_at[self.id >= 0]] = self.id[self.id >= 0]
+        self.flat = np.repeat(self.id, width)
         for e in own.tolist():
             self.flat[self.id_at[e]:self.id_at[e] + width[e]] = v.byte_id[list(self.raw[-1 - self.id[e]])]
 
@@ -232,7 +248,7 @@ class Lattice:
                 more = more[self.cum[e[more]] < x[more]]
             picks.append((who, e))
             node = self.dst[e]
-            on = ~self.end[node]
+            on = np.flatnonzero(~self.end[node])
             who, node, shift = who[on], node[on], shift[on]
         steps = np.zeros(len(units), np.int64)
         for w, _ in picks:
@@ -330,19 +346,24 @@ def vocabulary(model: str) -> Vocabulary:
 def _chunk(v: Vocabulary, docs: list, texts: list[str], k: int, seed: int):
     """Rows (doc, sample, ids, log-probability, value, inclusion, text again?)."""
     split = [v.pattern.findall(SPACE + t.replace(SPACE, OWN_MARK).replace(" ", SPACE)) if t else [] for t in texts]
-    number = {x: i for i, x in enumerate(dict.fromkeys(chain.from_iterable(split)))}
+    number: dict[str, int] = {}
     sizes = [len(x) for x in split]
-    units = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
+    # where each unit stands first, then the numbers of those places
+    units = np.fromiter(map(number.setdefault, chain.from_iterable(split), range(sum(sizes))), np.int64, sum(sizes))
+    units = (np.cumsum(units == np.arange(len(units))) - 1)[units]
     lat = Lattice(v, list(number)) if number else None
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     split = [units[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
     length = np.fromiter(map(len, number), np.int64, len(number))
     chars = [int(length[s].sum()) for s in split]
+    starts = np.cumsum([0, *chars]).tolist()
     rngs = [np.random.Generator(np.random.Philox(key=np.array([seed, (1 << 63) if d is None else d % (1 << 64)], np.uint64))) for d in docs]
     at = np.cumsum(length[units]) - length[units] if len(units) else units
     walks = []
     for _ in range(k if len(units) else 0):
-        u = np.concatenate([r.random(c) for r, c in zip(rngs, chars)])
+        u = np.empty(sum(chars))
+        for r, start, c in zip(rngs, starts, chars):
+            r.random(out=u[start:start + c])
         path, steps = lat.walk(units, u, at)
         ends = np.concatenate(([0], np.cumsum(steps)))
         total, some = np.zeros(len(sizes)), np.flatnonzero(sizes)
@@ -357,10 +378,11 @@ def _chunk(v: Vocabulary, docs: list, texts: list[str], k: int, seed: int):
         mine = [(p[c[first]:c[last]], s[first:last]) for p, s, c, _ in walks]
         first = last
         found, limit = samples(lat, mine, [float(w[3][i]) for w in walks], rng, k)
+        coded = t.encode()
         for n, (edges, logp, value) in enumerate(found):
             ids = lat.flat[edges_ids(lat, edges)]
             score = -math.expm1(-math.exp(min(logp - limit, 700.0))) if limit > -np.inf else 1.0
-            yield doc, n + 1, ids, logp, value, score, v.decode(ids.tolist()) == t
+            yield doc, n + 1, ids, logp, value, score, v.stands_for(ids, t, coded)
 
 
 def edges_ids(lat: Lattice, edges: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 
 from cohortlens.llm import pieces as pc
@@ -76,3 +77,16 @@ def test_few_segmentations_and_empty(spark):
     want = distribution(v, "a▁b")
     assert len(rows) == len(want) and all(r[5] == 1.0 for r in rows) or len(rows) == 5
     assert pc.sampled(spark.createDataFrame([], DOCS), MODEL).collect() == []
+
+
+def test_text_that_comes_back_is_told_by_its_bytes(monkeypatch):
+    """No sample of a readable text is decoded; ``stands_for`` is ``decode(ids) == text`` for any ids."""
+    v = pc.vocabulary(MODEL)
+    rng = np.random.default_rng(5)
+    for ids in [[], [int(v.byte_id[0xFF])], [int(v.byte_id[0xC3])], *rng.integers(0, v.size, (50, 7)).tolist()]:
+        text = v.decode(ids)
+        for t in (text, text + "x", "�"):
+            assert v.stands_for(ids, t, t.encode()) == (v.decode(ids) == t)
+    monkeypatch.setattr(pc.Vocabulary, "decode", lambda self, ids: pytest.fail("decoded"))
+    rows = list(pc._chunk(v, [1, 2, 3], ["a word, twice: a word", "", "über ▁ 日本"], 2, 7))
+    assert len(rows) == 5 and all(r[-1] for r in rows)
