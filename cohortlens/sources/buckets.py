@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import checkpoint_dir, shuffle_partitions
 from cohortlens.sources import sinks
 
 #: Input bytes of a bucket.  One task sorts a bucket of either table and aggregates their join;
@@ -58,8 +58,9 @@ def stored_buckets(spark: SparkSession, name: str, paths: list[str], build: Call
         spark.sql(f"DROP TABLE IF EXISTS {table}")  # its folder was removed
         made = uuid.uuid4().hex
         aside = f"{folder}-writing-{made}"
-        (build().repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", aside)
-         .saveAsTable(f"cohortlens_{name}_{made}"))
+        with shuffle_partitions(spark, n):  # of joins in ``build``: none holds more than a bucket does
+            (build().repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", aside)
+             .saveAsTable(f"cohortlens_{name}_{made}"))
         spark.sql(f"DROP TABLE cohortlens_{name}_{made}")  # the declaration: the files stay
         sinks.publish(spark, aside, folder)
     if not spark.catalog.tableExists(table):

@@ -18,12 +18,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import checkpoint_dir, shuffle_partitions
 from cohortlens.sources.commits import CommittedTable
 
 #: Part of every fingerprint: rise it when a view's definition changes.
 VIEW_VERSION = 1
 
+#: Input bytes for each shuffle partition of the job that writes a stored view, at most.
+TASK_BYTES = 16 << 20
+
 
 def _path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -82,11 +85,13 @@ def stored(spark: SparkSession, name: str, paths: list[str], build: Callable[[],
     """The view ``name`` over the files under ``paths``: read where it is
     stored for just these files and parameters, else built and stored.  A
     changed, added or removed input file makes another fingerprint, so a stale
-    view is never read."""
+    view is never read.  The shuffles of the write follow the bytes of the files."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/cohortlens/views/{name}-{fingerprint(spark, paths, name, *params)}"
     if is_whole(spark, folder):
         return spark.read.parquet(folder)
-    return materialize(build(), folder)
+    total = sum(size for _, size, _ in input_files(spark, paths))
+    with shuffle_partitions(spark, -(-total // TASK_BYTES)):
+        return materialize(build(), folder)
 
 
 def stored_by(spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame], partition_by: list[str], *params) -> DataFrame:
