@@ -20,8 +20,9 @@ new walk's own set go back to the queue.
 
 No piece crosses from letters and digits to other characters or to a space
 mark, so the lattice falls into units there (checked for the vocabulary; else
-the whole text is one unit).  The lattices of a chunk's distinct units are
-built together, and the walks through all its texts take their steps together.
+the whole text is one unit).  A chunk's units are cut and numbered as arrays of
+characters, the lattices of its distinct units are built together, and the walks
+through all its texts take their steps together.
 
 Random numbers come from a counter-based generator keyed by (seed, doc_id):
 a row's samples do not depend on its place or its neighbours.
@@ -40,7 +41,6 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,16 +55,21 @@ SLOTS = 20
 _mul = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 
 
-def _units(pieces) -> re.Pattern:
-    """Where a text may be cut: between letters, digits and their marks, and
-    anything else, and before a space mark, if no piece goes across."""
+def _kinds(pieces) -> np.ndarray:
+    """The kind of each character (the last entry: of all that follow): 1 for
+    letters, digits and their marks, 2 for a space mark, 0 for anything else.
+    A text may be cut between kinds, but not after a space mark, if no piece goes
+    across; else all characters are of one kind."""
     letters = sorted({c for p in pieces for c in p if unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lm", "Lo", "Mn", "Mc", "Nd", "Nl")})
     if letters:
         a = "".join(map(re.escape, letters))
         unit = rf"▁*[{a}]+|▁*[^{a}▁]+|▁+"
         if all(re.fullmatch(unit, p) for p in pieces):
-            return re.compile(unit)
-    return re.compile(r"(?s).+")
+            kinds = np.zeros(max(ord(letters[-1]), ord(SPACE)) + 2, np.uint8)
+            kinds[list(map(ord, letters))] = 1
+            kinds[ord(SPACE)] = 2
+            return kinds
+    return np.zeros(1, np.uint8)
 
 
 def _extend(h: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -93,10 +98,9 @@ class Vocabulary:
             else:
                 found[piece] = i
                 self.bytes.append(piece.replace(SPACE, " ").encode())
-        self.of_id = np.empty(self.size, object)
-        self.of_id[:] = self.bytes
+        self.of_id = pa.array(self.bytes, pa.large_binary())
         self.weight = -np.log(np.arange(self.size) - min(found.values(), default=0) + 2.0, where=np.arange(self.size) >= min(found.values(), default=0), out=np.zeros(self.size))
-        self.pattern = _units(found)
+        self.kinds = _kinds(found)
         # all beginnings of pieces: a search ends where no piece goes on
         prefix = {p[:n]: -1 for p in found for n in range(1, len(p) + 1)} | found
         self.longest = max(map(len, found), default=0)
@@ -132,110 +136,166 @@ class Vocabulary:
                 at[i] = self.rest[int(h[i])]
         return at
 
-    def raw(self, ids) -> bytes:
-        raw = b"".join(self.of_id[ids].tolist())
-        return raw[1:] if raw[:1] == b" " else raw
+    def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The characters of all texts, each but an empty one behind a space
+        mark, where each unit starts, and where each text does, and the end."""
+        chars = np.frombuffer("".join([" " + t if t else "" for t in texts]).encode("utf-32-le"), np.uint32).copy()
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        begin = np.concatenate(([0], np.cumsum(size + (size > 0))))
+        chars[chars == ord(SPACE)] = ord(OWN_MARK)
+        chars[chars == ord(" ")] = ord(SPACE)
+        kind = self.kinds[np.minimum(chars, len(self.kinds) - 1)]
+        cut = np.zeros(len(chars), bool)
+        cut[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != 2)
+        cut[begin[:-1][size > 0]] = True
+        return chars, np.flatnonzero(cut), begin
+
+    def raws(self, ids: np.ndarray, cut: np.ndarray) -> tuple[memoryview, list[int]]:
+        """The bytes of all pieces in a row, and where those before each of ``cut`` end."""
+        taken = self.of_id.take(pa.array(ids))
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(taken) + 1)
+        return memoryview(data or b""), ends[cut].tolist()
 
     def decode(self, ids) -> str:
-        return self.raw(np.asarray(ids, np.int64)).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        data, (_, end) = self.raws(ids, np.array([0, len(ids)]))
+        return _unmarked(data[:end]).decode("utf-8", "replace")
+
+    def same(self, raw, text: str, coded: bytes) -> bool:
+        """Whether pieces of these bytes give ``text``, whose UTF-8 is ``coded``."""
+        raw = _unmarked(raw)
+        return raw == coded or raw.decode("utf-8", "replace") == text
 
     def stands_for(self, ids, text: str, coded: bytes) -> bool:
         """Whether ``decode`` gives ``text``, whose UTF-8 is ``coded``."""
-        raw = self.raw(ids)
-        return raw == coded or raw.decode("utf-8", "replace") == text
+        ids = np.asarray(ids, np.int64)
+        data, (_, end) = self.raws(ids, np.array([0, len(ids)]))
+        return self.same(data[:end], text, coded)
+
+
+def _unmarked(raw) -> bytes:
+    """Without the space that stands before every text."""
+    return bytes(raw[1:] if raw[:1] == b" " else raw)
+
+
+def _widths(chars: np.ndarray) -> np.ndarray:
+    """Bytes of each character in UTF-8 (U+2581 has as many as ``OWN_MARK`` would)."""
+    return 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+
+
+def _distinct(chars: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each unit, by first appearance, and the characters and
+    sizes of the distinct ones."""
+    at = np.append(starts, len(chars))
+    every = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(4 * at), pa.py_buffer(chars)])
+    every = every.dictionary_encode()
+    _, offsets, data = every.dictionary.buffers()
+    at = np.frombuffer(offsets, np.int64, len(every.dictionary) + 1) // 4
+    return every.indices.to_numpy().astype(np.int64), np.frombuffer(data, np.uint32, at[-1]), np.diff(at)
 
 
 class Lattice:
     """Lattices of units, one node for each character and one for each end."""
 
-    def __init__(self, v: Vocabulary, units: list[str]):
-        size = np.fromiter(map(len, units), np.int64, len(units))
-        self.start = np.cumsum(size + 1) - size - 1
+    def __init__(self, v: Vocabulary, units: np.ndarray, size: np.ndarray):
+        self.v = v
+        self.start = start = np.cumsum(size + 1) - size - 1
         n = int((size + 1).sum())
-        self.end = np.zeros(n, bool)
-        self.end[self.start + size] = True
+        self.end = end = np.zeros(n, bool)
+        end[start + size] = True
+        nodes = at = np.flatnonzero(~end)
         chars = np.zeros(n, np.uint32)
-        chars[~self.end] = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        last = np.repeat(self.start + size, size + 1)
+        chars[nodes] = units
+        left = np.repeat(start + size, size + 1) - np.arange(n)
         # edges: from each character the pieces that start there
-        at = np.flatnonzero(~self.end)
+        far = to_end = left[nodes]
         h = np.zeros(len(at), np.uint64)
-        src, dst, ids = [], [], []
+        src, ids = [], []
         for length in range(1, v.longest + 1):
-            h = _extend(h, chars[at + length - 1])
+            h = _extend(h, chars[at + (length - 1)])
             entry = v.find(h)
-            good = entry >= 0
-            piece = np.where(good, v.piece[entry], -1)
+            piece = v.piece[entry]
+            piece[entry < 0] = -1
             hit = np.flatnonzero(piece >= 0)
             src.append(at[hit])
-            dst.append(at[hit] + length)
             ids.append(piece[hit])
             if length == 1:
                 raw = at[np.flatnonzero(piece < 0)]  # no piece of its own: its bytes
-            on = np.flatnonzero(good & (at + length < last[at]))
-            at, h = at[on], h[on]
-            if not len(at):
+            on = np.flatnonzero((entry >= 0) & (to_end > length))
+            if not len(on):
                 break
-        self.raw = [chr(c).encode() if c != ord(OWN_MARK) else SPACE.encode() for c in chars[raw].tolist()]
+            at, h, to_end = at[on], h[on], to_end[on]
+        lengths = [*range(1, len(src) + 1), 1]
         src.append(raw)
-        dst.append(raw + 1)
-        ids.append(-1 - np.arange(len(raw), dtype=np.int32))
+        ids.append(-1 - chars[raw].astype(np.int32))
         # by source, then length: each list is in order of its sources already
-        count = np.zeros(n + 1, np.int64)
+        count = np.zeros(n, np.int64)
         rank = []
         for x in src:
             rank.append(count[x])
             count[x] += 1
-        self.first = np.concatenate(([0], np.cumsum(count[:-1])))
-        place = np.concatenate([self.first[x] + r for x, r in zip(src, rank)])
-        self.src, self.dst, self.id = (np.empty(len(place), x[0].dtype) for x in (src, dst, ids))
-        for to, x in ((self.src, src), (self.dst, dst), (self.id, ids)):
-            to[place] = np.concatenate(x)
-        w = v.weight[np.maximum(self.id, 0)]
-        own = np.flatnonzero(self.id < 0)
-        w[own] = [-math.log(v.size) * len(self.raw[-1 - i]) for i in self.id[own].tolist()]
+        first = np.cumsum(count) - count
+        edges = int(count.sum())
+        id_, dst = np.empty(edges, np.int32), np.empty(edges, np.int64)
+        for x, r, i, length in zip(src, rank, ids, lengths):
+            place = first[x] + r
+            id_[place] = i
+            dst[place] = x + length
+        src = np.repeat(np.arange(n), count)
+        w = v.weight[np.maximum(id_, 0)]
+        own = np.flatnonzero(id_ < 0)
+        w[own] = -math.log(v.size) * _widths(-1 - id_[own])
         # backward: sums over all ways to the end, nodes of equal distance together
         back = np.zeros(n)
-        nodes = np.flatnonzero(~self.end)
-        far = last[nodes] - nodes
         if len(far) and far.max() < 1 << 16:
             far = far.astype(np.uint16)  # sorted by its digits
-        nodes = nodes[np.argsort(far, kind="stable")]
+        order = np.argsort(far, kind="stable")
+        nodes, far = nodes[order], far[order]
         cnt = count[nodes]
-        by = ranges(self.first[nodes], cnt)
+        by = ranges(first[nodes], cnt)
         begin = np.cumsum(cnt) - cnt
-        by_w, by_dst = w[by], self.dst[by]
-        s0, ln = runs((last - np.arange(n))[nodes])
+        by_w, by_dst = w[by], dst[by]
+        s0, ln = runs(far)
         for s, m in zip(s0.tolist(), ln.tolist()):
-            first, size = begin[s:s + m] - begin[s], cnt[s:s + m]
-            e = slice(int(begin[s]), int(begin[s] + first[-1] + size[-1]))
+            heads, sizes = begin[s:s + m] - begin[s], cnt[s:s + m]
+            e = slice(int(begin[s]), int(begin[s] + heads[-1] + sizes[-1]))
             x = by_w[e] + back[by_dst[e]]
-            top = np.maximum.reduceat(x, first)
-            back[nodes[s:s + m]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, size)), first))
-        self.logp = np.minimum(w + back[self.dst] - back[self.src], 0.0)
-        self.p = np.exp(self.logp)
-        node, cnt = runs(self.src)
+            top = np.maximum.reduceat(x, heads)
+            back[nodes[s:s + m]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, sizes)), heads))
+        logp = np.minimum(w + back[dst] - np.repeat(back, count), 0.0)
         # running sums of each node on its own: they do not depend on the chunk
-        self.cum = self.p.copy()
-        e, left = node, cnt
+        cum = np.exp(logp)
+        some = count > 0
+        node, cnt = first[some], count[some]
+        e, more_of = node, cnt
         for r in range(1, int(cnt.max(initial=1))):
-            more = np.flatnonzero(left > r)
-            e, left = e[more] + 1, left[more]
-            self.cum[e] += self.cum[e - 1]
-        self.cum[node + cnt - 1] = 2.0  # the last edge takes what rounding leaves
-        # ids of each edge, one after the other
-        width = np.ones(len(self.id), np.int8)
-        width[own] = [len(self.raw[-1 - i]) for i in self.id[own].tolist()]
-        self.width = width
-        self.id_at = np.cumsum(width) - width
-        self.flat = np.repeat(self.id, width)
-        for e in own.tolist():
-            self.flat[self.id_at[e]:self.id_at[e] + width[e]] = v.byte_id[list(self.raw[-1 - self.id[e]])]
+            more = np.flatnonzero(more_of > r)
+            e, more_of = e[more] + 1, more_of[more]
+            cum[e] += cum[e - 1]
+        cum[node + cnt - 1] = 2.0  # the last edge takes what rounding leaves
+        self.first, self.src, self.dst, self.id, self.logp, self.cum = first, src, dst, id_, logp, cum
+
+    def pieces(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """The pieces' ids, and how many each edge has (None: one each)."""
+        ids = self.id[edges]
+        own = np.flatnonzero(ids < 0)
+        if not len(own):
+            return ids, None
+        chars, which = np.unique(-1 - ids[own], return_inverse=True)
+        coded = [SPACE.encode() if c == ord(OWN_MARK) else chr(c).encode() for c in chars.tolist()]
+        size = np.array(list(map(len, coded)), np.int64)
+        width = np.ones(len(ids), np.int64)
+        width[own] = size[which]
+        ids = np.repeat(ids, width)
+        raw = self.v.byte_id[np.frombuffer(b"".join(coded), np.uint8)]
+        ids[np.flatnonzero(ids < 0)] = raw[ranges((np.cumsum(size) - size)[which], size[which])]
+        return ids, width
 
     def walk(self, units: np.ndarray, u: np.ndarray, at: np.ndarray):
         """A path through each unit: (edges, steps of each unit).  A step from
         character o of unit i uses u[at[i] + o]."""
-        node = self.start[units].copy()
+        node = self.start[units]
         shift = at - node
         who = np.arange(len(units))
         picks = []
@@ -278,10 +338,11 @@ def _truncated(phi: float, top: float, noise: float) -> float:
 
 class _Path:
     """A sample, and the set of leaves its walk passed by: those that leave
-    the path at a step from ``start`` on, of mass exp(before) - exp(total)."""
+    the path at a step from ``start`` on, of mass exp(before) - exp(total).
+    ``logp``: of the steps from ``start`` on."""
 
-    def __init__(self, edges, ends, value: float, before: float, start: int, total: float):
-        self.edges, self.ends, self.value, self.before, self.start, self.total = edges, ends, value, before, start, total
+    def __init__(self, edges, ends, logp, value: float, before: float, start: int, total: float):
+        self.edges, self.ends, self.logp, self.value, self.before, self.start, self.total = edges, ends, logp, value, before, start, total
         self.mass = -math.expm1(min(total - before, 0.0))  # as a share of exp(before)
         self.bound = -math.inf
         self.taken: set[tuple[int, int]] = set()
@@ -292,40 +353,41 @@ class _Path:
         self.bound = _truncated(self.before + math.log(self.mass), self.value, rng.exponential()) if self.mass > 1e-12 else -math.inf
 
 
-def samples(lat: Lattice, walks, totals, rng, k: int):
+def samples(lat: Lattice, walks, logp, total: float, rng, k: int):
     """Up to k distinct paths: ([(edges, log-probability, value)], threshold).
-    ``walks``: k independent walks (edges, steps by unit) through the text."""
-    edges, steps = walks[0]
-    paths = [_Path(edges, np.cumsum(steps), -math.log(rng.exponential()), 0.0, 0, totals[0])]
-    found = [(edges, totals[0], paths[0].value)]
+    ``walks``: k independent walks (edges, end of each unit) through the text;
+    ``logp``: of the first one's steps, and their sum."""
+    edges, ends = walks[0]
+    paths = [_Path(edges, ends, logp, -math.log(rng.exponential()), 0.0, 0, total)]
+    found = [(edges, total, paths[0].value)]
     paths[0].open(rng)
     while True:
         p = max(paths, key=lambda x: x.bound)
         if p.bound == -math.inf or len(found) == k:
             return found, p.bound
         # the step at which the sample leaves the path, and by which edge
-        away = np.cumsum(lat.logp[p.edges[p.start:]])
+        away = -p.logp.cumsum()
         while True:
-            n = int(np.searchsorted(-away, -math.log1p(-rng.random() * -math.expm1(away[-1]))).clip(max=len(away) - 1))
+            n = min(int(away.searchsorted(-math.log1p(-rng.random() * -math.expm1(-away[-1])))), len(away) - 1)
             own = int(p.edges[p.start + n])
             node = int(lat.src[own])
             others = [e for e in range(int(lat.first[node]), int(lat.first[node + 1])) if e != own]
             if not others:
                 continue
-            weight = np.cumsum(lat.p[others])
-            e = others[min(int(np.searchsorted(weight, rng.random() * weight[-1], "right")), len(others) - 1)]
+            weight = np.exp(lat.logp[others]).cumsum()
+            e = others[min(int(weight.searchsorted(rng.random() * weight[-1], "right")), len(others) - 1)]
             if (n, e) not in p.taken:
                 break
         p.taken.add((n, e))
-        before = p.before + (float(away[n - 1]) if n else 0.0) + float(lat.logp[e])
+        before = p.before + (float(-away[n - 1]) if n else 0.0) + float(lat.logp[e])
         step = p.start + n
-        unit = int(np.searchsorted(p.ends, step, "right"))
+        unit = int(p.ends.searchsorted(step, "right"))
         tail = lat.one_walk(int(lat.dst[e]), rng.random)
-        other, other_steps = walks[len(found)]
-        after = np.cumsum(other_steps)
-        path = np.concatenate([p.edges[:step], [e], tail, other[after[unit]:]]).astype(np.int64)
-        ends = np.concatenate([p.ends[:unit], [step + 1 + len(tail)], step + 1 + len(tail) + after[unit + 1:] - after[unit]])
-        new = _Path(path, ends, p.bound, before, step + 1, before + float(lat.logp[path[step + 1:]].sum()))
+        other, after = walks[len(found)]
+        path = np.concatenate([p.edges[:step], np.array([e, *tail], np.int64), other[after[unit]:]])
+        ends = np.concatenate([p.ends[:unit], [step + 1 + len(tail)], step + 1 + len(tail) + after[unit + 1:] - after[unit]]) if len(found) + 1 < k else None
+        logp = lat.logp[path[step + 1:]]
+        new = _Path(path, ends, logp, p.bound, before, step + 1, before + float(logp.sum()))
         found.append((path, new.total, p.bound))
         # what is left of the set, without the leaves below the edge taken
         p.value, p.mass = p.bound, p.mass - math.exp(before - p.before)
@@ -345,49 +407,48 @@ def vocabulary(model: str) -> Vocabulary:
 
 def _chunk(v: Vocabulary, docs: list, texts: list[str], k: int, seed: int):
     """Rows (doc, sample, ids, log-probability, value, inclusion, text again?)."""
-    split = [v.pattern.findall(SPACE + t.replace(SPACE, OWN_MARK).replace(" ", SPACE)) if t else [] for t in texts]
-    number: dict[str, int] = {}
-    sizes = [len(x) for x in split]
-    # where each unit stands first, then the numbers of those places
-    units = np.fromiter(map(number.setdefault, chain.from_iterable(split), range(sum(sizes))), np.int64, sum(sizes))
-    units = (np.cumsum(units == np.arange(len(units))) - 1)[units]
-    lat = Lattice(v, list(number)) if number else None
-    bounds = np.concatenate(([0], np.cumsum(sizes)))
-    split = [units[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
-    length = np.fromiter(map(len, number), np.int64, len(number))
-    chars = [int(length[s].sum()) for s in split]
-    starts = np.cumsum([0, *chars]).tolist()
+    chars, at, starts = v.units(texts)
+    units, distinct, size = _distinct(chars, at)
+    lat = Lattice(v, distinct, size)
+    bounds = np.searchsorted(at, starts)
+    sizes, starts = np.diff(bounds), starts.tolist()
     rngs = [np.random.Generator(np.random.Philox(key=np.array([seed, (1 << 63) if d is None else d % (1 << 64)], np.uint64))) for d in docs]
-    at = np.cumsum(length[units]) - length[units] if len(units) else units
     walks = []
     for _ in range(k if len(units) else 0):
-        u = np.empty(sum(chars))
-        for r, start, c in zip(rngs, starts, chars):
-            r.random(out=u[start:start + c])
+        u = np.empty(starts[-1])
+        for r, start, last in zip(rngs, starts, starts[1:]):
+            r.random(out=u[start:last])
         path, steps = lat.walk(units, u, at)
         ends = np.concatenate(([0], np.cumsum(steps)))
+        walks.append((path, ends, ends[bounds].tolist()))
+    if walks:
+        path, ends, cut = walks[0]
+        logp = lat.logp[path]
         total, some = np.zeros(len(sizes)), np.flatnonzero(sizes)
-        total[some] = np.add.reduceat(lat.logp[path], ends[bounds[:-1][some]])
-        walks.append((path, steps, ends, total))
-    first = 0
-    for i, (doc, t, own, rng) in enumerate(zip(docs, texts, split, rngs)):
-        if not len(own):
-            yield doc, 1, np.zeros(0, np.int32), 0.0, 0.0, 1.0, True
+        total[some] = np.add.reduceat(logp, ends[bounds[:-1][some]])
+    rows = []
+    for i, (doc, rng, first, last) in enumerate(zip(docs, rngs, bounds.tolist(), bounds[1:].tolist())):
+        if first == last:
+            rows.append((i, 1, np.zeros(0, np.int64), 0.0, 0.0, 1.0))
             continue
-        last = first + len(own)
-        mine = [(p[c[first]:c[last]], s[first:last]) for p, s, c, _ in walks]
-        first = last
-        found, limit = samples(lat, mine, [float(w[3][i]) for w in walks], rng, k)
-        coded = t.encode()
-        for n, (edges, logp, value) in enumerate(found):
-            ids = lat.flat[edges_ids(lat, edges)]
-            score = -math.expm1(-math.exp(min(logp - limit, 700.0))) if limit > -np.inf else 1.0
-            yield doc, n + 1, ids, logp, value, score, v.stands_for(ids, t, coded)
-
-
-def edges_ids(lat: Lattice, edges: np.ndarray) -> np.ndarray:
-    width = lat.width[edges]
-    return lat.id_at[edges] if (width == 1).all() else ranges(lat.id_at[edges], width)
+        mine = [(p[c[i]:c[i + 1]], e[first + 1:last + 1] - c[i]) for p, e, c in walks]
+        found, limit = samples(lat, mine, logp[cut[i]:cut[i + 1]], float(total[i]), rng, k)
+        for n, (edges, lp, value) in enumerate(found):
+            score = -math.expm1(-math.exp(min(lp - limit, 700.0))) if limit > -np.inf else 1.0
+            rows.append((i, n + 1, edges, lp, value, score))
+    if not rows:
+        return
+    # pieces and bytes of all rows at once
+    ids, width = lat.pieces(np.concatenate([r[2] for r in rows]))
+    cut = np.concatenate(([0], np.cumsum([len(r[2]) for r in rows])))
+    if width is not None:
+        cut = np.concatenate(([0], np.cumsum(width)))[cut]
+    raw, byte_cut = v.raws(ids, cut)
+    last, coded = -1, b""
+    for (i, n, _, lp, value, score), s, e, bs, be in zip(rows, cut.tolist(), cut[1:].tolist(), byte_cut, byte_cut[1:]):
+        if i != last:
+            last, coded = i, texts[i].encode()
+        yield docs[i], n, ids[s:e], lp, value, score, v.same(raw[bs:be], texts[i], coded)
 
 
 SCHEMA = "doc_id long, sample int, tokens array<int>, log_prob double, perturbed double, inclusion double, round_trip boolean"

@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -90,3 +91,24 @@ def test_text_that_comes_back_is_told_by_its_bytes(monkeypatch):
     monkeypatch.setattr(pc.Vocabulary, "decode", lambda self, ids: pytest.fail("decoded"))
     rows = list(pc._chunk(v, [1, 2, 3], ["a word, twice: a word", "", "über ▁ 日本"], 2, 7))
     assert len(rows) == 5 and all(r[-1] for r in rows)
+
+
+def test_units_are_arrays_and_rows_get_their_bytes_at_once(monkeypatch):
+    """Units are cut where the expression cuts, and numbered by first appearance; the pieces and bytes of a chunk's rows are looked up once."""
+    v = pc.vocabulary(MODEL)
+    letters = "".join(re.escape(chr(c)) for c in np.flatnonzero(v.kinds == 1))
+    unit = re.compile(rf"▁*[{letters}]+|▁*[^{letters}▁]+|▁+")
+    texts = ["a word,  twice: a word", "", "▁ über▁▁", "  ", "\0日本 \U0001F600\U0010FFFF\n!!7x ", "x" * 50]
+    chars, at, starts = v.units(texts)
+    got = ["".join(map(chr, x.tolist())) for x in np.split(chars, at[1:])]
+    want = [unit.findall(pc.SPACE + t.replace(pc.SPACE, pc.OWN_MARK).replace(" ", pc.SPACE)) if t else [] for t in texts]
+    assert got == sum(want, []) and np.diff(np.searchsorted(at, starts)).tolist() == list(map(len, want))
+    number, distinct, size = pc._distinct(chars, at)
+    names = ["".join(map(chr, x.tolist())) for x in np.split(distinct, np.cumsum(size)[:-1])]
+    assert names == list(dict.fromkeys(got)) and [names[i] for i in number] == got
+    calls, raws, pieces = Counter(), pc.Vocabulary.raws, pc.Lattice.pieces
+    monkeypatch.setattr(pc.Vocabulary, "raws", lambda *x: calls.update(["raws"]) or raws(*x))
+    monkeypatch.setattr(pc.Lattice, "pieces", lambda *x: calls.update(["pieces"]) or pieces(*x))
+    rows = list(pc._chunk(v, list(range(6)), texts, 2, 7))
+    assert calls == {"raws": 1, "pieces": 1} and all(r[-1] for r in rows)
+    assert {r[0] for r in rows} == set(range(6)) and list(pc._chunk(v, [1, None], ["", ""], 2, 7))[1][:2] == (None, 1)
