@@ -51,6 +51,7 @@ from cohortlens.llm.common import lean, ranges, runs, table
 
 SPACE, OWN_MARK = "▁", "\udfff"  # the latter stands for U+2581 of a text; no UTF-8 text holds it
 CHUNK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 16   # of distinct units whose lattices are built at a time
 SLOTS = 20
 _mul = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 
@@ -195,86 +196,106 @@ def _distinct(chars: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return every.indices.to_numpy().astype(np.int64), np.frombuffer(data, np.uint32, at[-1]), np.diff(at)
 
 
+def _edges(v: Vocabulary, units: np.ndarray, size: np.ndarray):
+    """The edges of these units' lattices, by source: how many each node has,
+    and each one's target, piece, log-probability and running sum."""
+    start = np.cumsum(size + 1) - size - 1
+    n = int((size + 1).sum())
+    end = np.zeros(n, bool)
+    end[start + size] = True
+    nodes = at = np.flatnonzero(~end)
+    chars = np.zeros(n, np.uint32)
+    chars[nodes] = units
+    left = np.repeat(start + size, size + 1) - np.arange(n)
+    # edges: from each character the pieces that start there
+    far = to_end = left[nodes]
+    h = np.zeros(len(at), np.uint64)
+    src, ids = [], []
+    for length in range(1, v.longest + 1):
+        h = _extend(h, chars[at + (length - 1)])
+        entry = v.find(h)
+        piece = v.piece[entry]
+        piece[entry < 0] = -1
+        hit = np.flatnonzero(piece >= 0)
+        src.append(at[hit])
+        ids.append(piece[hit])
+        if length == 1:
+            raw = at[np.flatnonzero(piece < 0)]  # no piece of its own: its bytes
+        on = np.flatnonzero((entry >= 0) & (to_end > length))
+        if not len(on):
+            break
+        at, h, to_end = at[on], h[on], to_end[on]
+    lengths = [*range(1, len(src) + 1), 1]
+    src.append(raw)
+    ids.append(-1 - chars[raw].astype(np.int32))
+    # by source, then length: each list is in order of its sources already
+    count = np.zeros(n, np.int64)
+    rank = []
+    for x in src:
+        rank.append(count[x])
+        count[x] += 1
+    first = np.cumsum(count) - count
+    edges = int(count.sum())
+    id_, dst = np.empty(edges, np.int32), np.empty(edges, np.int64)
+    for x, r, i, length in zip(src, rank, ids, lengths):
+        place = first[x] + r
+        id_[place] = i
+        dst[place] = x + length
+    w = v.weight[np.maximum(id_, 0)]
+    own = np.flatnonzero(id_ < 0)
+    w[own] = -math.log(v.size) * _widths(-1 - id_[own])
+    # backward: sums over all ways to the end, nodes of equal distance together
+    back = np.zeros(n)
+    if len(far) and far.max() < 1 << 16:
+        far = far.astype(np.uint16)  # sorted by its digits
+    order = np.argsort(far, kind="stable")
+    nodes, far = nodes[order], far[order]
+    cnt = count[nodes]
+    by = ranges(first[nodes], cnt)
+    begin = np.cumsum(cnt) - cnt
+    by_w, by_dst = w[by], dst[by]
+    s0, ln = runs(far)
+    for s, m in zip(s0.tolist(), ln.tolist()):
+        heads, sizes = begin[s:s + m] - begin[s], cnt[s:s + m]
+        e = slice(int(begin[s]), int(begin[s] + heads[-1] + sizes[-1]))
+        x = by_w[e] + back[by_dst[e]]
+        top = np.maximum.reduceat(x, heads)
+        back[nodes[s:s + m]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, sizes)), heads))
+    logp = np.minimum(w + back[dst] - np.repeat(back, count), 0.0)
+    # running sums of each node on its own: they do not depend on the chunk
+    cum = np.exp(logp)
+    some = count > 0
+    node, cnt = first[some], count[some]
+    e, more_of = node, cnt
+    for r in range(1, int(cnt.max(initial=1))):
+        more = np.flatnonzero(more_of > r)
+        e, more_of = e[more] + 1, more_of[more]
+        cum[e] += cum[e - 1]
+    cum[node + cnt - 1] = 2.0  # the last edge takes what rounding leaves
+    return count, dst, id_, logp, cum
+
+
 class Lattice:
     """Lattices of units, one node for each character and one for each end."""
 
     def __init__(self, v: Vocabulary, units: np.ndarray, size: np.ndarray):
         self.v = v
-        self.start = start = np.cumsum(size + 1) - size - 1
+        self.start = np.cumsum(size + 1) - size - 1
         n = int((size + 1).sum())
-        self.end = end = np.zeros(n, bool)
-        end[start + size] = True
-        nodes = at = np.flatnonzero(~end)
-        chars = np.zeros(n, np.uint32)
-        chars[nodes] = units
-        left = np.repeat(start + size, size + 1) - np.arange(n)
-        # edges: from each character the pieces that start there
-        far = to_end = left[nodes]
-        h = np.zeros(len(at), np.uint64)
-        src, ids = [], []
-        for length in range(1, v.longest + 1):
-            h = _extend(h, chars[at + (length - 1)])
-            entry = v.find(h)
-            piece = v.piece[entry]
-            piece[entry < 0] = -1
-            hit = np.flatnonzero(piece >= 0)
-            src.append(at[hit])
-            ids.append(piece[hit])
-            if length == 1:
-                raw = at[np.flatnonzero(piece < 0)]  # no piece of its own: its bytes
-            on = np.flatnonzero((entry >= 0) & (to_end > length))
-            if not len(on):
-                break
-            at, h, to_end = at[on], h[on], to_end[on]
-        lengths = [*range(1, len(src) + 1), 1]
-        src.append(raw)
-        ids.append(-1 - chars[raw].astype(np.int32))
-        # by source, then length: each list is in order of its sources already
-        count = np.zeros(n, np.int64)
-        rank = []
-        for x in src:
-            rank.append(count[x])
-            count[x] += 1
-        first = np.cumsum(count) - count
-        edges = int(count.sum())
-        id_, dst = np.empty(edges, np.int32), np.empty(edges, np.int64)
-        for x, r, i, length in zip(src, rank, ids, lengths):
-            place = first[x] + r
-            id_[place] = i
-            dst[place] = x + length
-        src = np.repeat(np.arange(n), count)
-        w = v.weight[np.maximum(id_, 0)]
-        own = np.flatnonzero(id_ < 0)
-        w[own] = -math.log(v.size) * _widths(-1 - id_[own])
-        # backward: sums over all ways to the end, nodes of equal distance together
-        back = np.zeros(n)
-        if len(far) and far.max() < 1 << 16:
-            far = far.astype(np.uint16)  # sorted by its digits
-        order = np.argsort(far, kind="stable")
-        nodes, far = nodes[order], far[order]
-        cnt = count[nodes]
-        by = ranges(first[nodes], cnt)
-        begin = np.cumsum(cnt) - cnt
-        by_w, by_dst = w[by], dst[by]
-        s0, ln = runs(far)
-        for s, m in zip(s0.tolist(), ln.tolist()):
-            heads, sizes = begin[s:s + m] - begin[s], cnt[s:s + m]
-            e = slice(int(begin[s]), int(begin[s] + heads[-1] + sizes[-1]))
-            x = by_w[e] + back[by_dst[e]]
-            top = np.maximum.reduceat(x, heads)
-            back[nodes[s:s + m]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, sizes)), heads))
-        logp = np.minimum(w + back[dst] - np.repeat(back, count), 0.0)
-        # running sums of each node on its own: they do not depend on the chunk
-        cum = np.exp(logp)
-        some = count > 0
-        node, cnt = first[some], count[some]
-        e, more_of = node, cnt
-        for r in range(1, int(cnt.max(initial=1))):
-            more = np.flatnonzero(more_of > r)
-            e, more_of = e[more] + 1, more_of[more]
-            cum[e] += cum[e - 1]
-        cum[node + cnt - 1] = 2.0  # the last edge takes what rounding leaves
-        self.first, self.src, self.dst, self.id, self.logp, self.cum = first, src, dst, id_, logp, cum
+        self.end = np.zeros(n, bool)
+        self.end[self.start + size] = True
+        kind = np.int32 if n < 1 << 31 else np.int64
+        # units do not touch each other: what building takes beside the result is that of a block of them
+        at = np.concatenate(([0], np.cumsum(size)))
+        first, more = runs((at[1:] - 1) // BLOCK_CHARS)
+        columns = [[np.zeros(0, x)] for x in (np.int64, kind, np.int32, float, float)]
+        for i, m in zip(first.tolist(), more.tolist()):
+            count, dst, *rest = _edges(v, units[at[i]:at[i + m]], size[i:i + m])
+            for column, part in zip(columns, (count, (dst + self.start[i]).astype(kind), *rest)):
+                column.append(part)
+        count, self.dst, self.id, self.logp, self.cum = (np.concatenate(columns.pop(0)) for _ in range(5))
+        self.first = np.cumsum(count) - count
+        self.src = np.repeat(np.arange(n, dtype=kind), count)
 
     def pieces(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """The pieces' ids, and how many each edge has (None: one each)."""
@@ -410,17 +431,18 @@ def _chunk(v: Vocabulary, docs: list, texts: list[str], k: int, seed: int):
     chars, at, starts = v.units(texts)
     units, distinct, size = _distinct(chars, at)
     lat = Lattice(v, distinct, size)
+    del chars, distinct
     bounds = np.searchsorted(at, starts)
     sizes, starts = np.diff(bounds), starts.tolist()
     rngs = [np.random.Generator(np.random.Philox(key=np.array([seed, (1 << 63) if d is None else d % (1 << 64)], np.uint64))) for d in docs]
-    walks = []
+    walks, u = [], np.empty(starts[-1])
     for _ in range(k if len(units) else 0):
-        u = np.empty(starts[-1])
         for r, start, last in zip(rngs, starts, starts[1:]):
             r.random(out=u[start:last])
         path, steps = lat.walk(units, u, at)
         ends = np.concatenate(([0], np.cumsum(steps)))
         walks.append((path, ends, ends[bounds].tolist()))
+    del u
     if walks:
         path, ends, cut = walks[0]
         logp = lat.logp[path]
@@ -443,6 +465,7 @@ def _chunk(v: Vocabulary, docs: list, texts: list[str], k: int, seed: int):
     cut = np.concatenate(([0], np.cumsum([len(r[2]) for r in rows])))
     if width is not None:
         cut = np.concatenate(([0], np.cumsum(width)))[cut]
+    del lat, walks
     raw, byte_cut = v.raws(ids, cut)
     last, coded = -1, b""
     for (i, n, _, lp, value, score), s, e, bs, be in zip(rows, cut.tolist(), cut[1:].tolist(), byte_cut, byte_cut[1:]):

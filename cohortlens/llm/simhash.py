@@ -34,6 +34,7 @@ from cohortlens.llm.common import drop, freeze, freeze_counted, lean, partitions
 from cohortlens.llm.components import components
 
 CHUNK = 1 << 18        # shingles, or rows of groups, that are worked on at a time
+STEP = 1 << 15         # of these, or of their pairs, as many as arrays are made for at once
 DIRECT = 256           # node pairs of so few leaf pairs are compared leaf by leaf
 
 
@@ -58,11 +59,11 @@ def _bits(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ones = np.zeros((len(full), 64), np.int64)
     start = (np.cumsum(sizes) - sizes)[full]
     # in pieces, so that a very long text needs no more memory than others
-    for at in range(0, len(h), CHUNK):
-        part = np.unpackbits(h[at:at + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    for at in range(0, len(h), STEP):
+        part = np.unpackbits(h[at:at + STEP].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         doc = np.searchsorted(start, np.arange(at, at + len(part)), "right") - 1
         at_doc, _ = runs(doc)
-        ones[doc[at_doc]] += np.add.reduceat(part, at_doc, axis=0, dtype=np.int64)
+        ones[doc[at_doc]] += np.add.reduceat(part, at_doc, axis=0, dtype=np.int32)
     set_ = (2 * ones > sizes[full][:, None]).astype(np.uint8)
     out[full] = np.packbits(set_, axis=1).view(">u8").ravel().astype(np.uint64)
     return out
@@ -123,7 +124,7 @@ def trie_join(u: np.ndarray, pairs: list[np.ndarray], max_bits: int, found) -> N
     stack = [(63, *pairs, np.zeros(len(pairs[0]), np.int64))]
     while stack:
         bit, alo, ahi, blo, bhi, err = stack.pop()
-        if len(alo) > CHUNK:  # depth first: the open pairs stay few
+        if len(alo) > STEP:  # depth first: the open pairs stay few
             half = len(alo) // 2
             stack += [(bit, *(x[half:] for x in (alo, ahi, blo, bhi, err))), (bit, *(x[:half] for x in (alo, ahi, blo, bhi, err)))]
             continue
@@ -151,7 +152,7 @@ def trie_join(u: np.ndarray, pairs: list[np.ndarray], max_bits: int, found) -> N
 def _leaves(u, alo, ahi, blo, bhi, max_bits, found):
     na, nb = ahi - alo, bhi - blo
     size = na * nb
-    cuts = np.searchsorted(np.cumsum(size), np.arange(1, int(size.sum()) // (4 * CHUNK) + 1) * 4 * CHUNK)
+    cuts = np.searchsorted(np.cumsum(size), np.arange(1, int(size.sum()) // (4 * STEP) + 1) * 4 * STEP)
     for s, e in zip(np.concatenate(([0], cuts)), np.append(cuts, len(size))):
         if s == e:
             continue

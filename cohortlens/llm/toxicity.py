@@ -41,7 +41,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import drop, freeze, lean, table
@@ -186,10 +186,15 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[DataFram
     return sample, of
 
 
+def _given(spark: SparkSession, words: list[str]) -> DataFrame:
+    """Words as rows, by Arrow: a list of tuples would start Python workers of its own, which stay."""
+    return spark.createDataFrame(pa.table({"word": pa.array(words, pa.string())}))
+
+
 def _matrix(counts: DataFrame, words: list[str], place: dict[int, int]) -> _Rows:
     """The sample's rows in the given words; at most max_rows * len(words) values."""
     spark = counts.sparkSession
-    asked = spark.createDataFrame([(w,) for w in words], "word string")
+    asked = _given(spark, words)
     flat = counts.join(F.broadcast(asked), "word").select("label_id", "word", "n").toArrow()
     col = {w: i for i, w in enumerate(words)}
     coded = flat.column("word").combine_chunks().dictionary_encode()
@@ -210,8 +215,8 @@ def _joined(a: _Rows, b: _Rows) -> _Rows:
 def _left_out(counts: DataFrame, stats: DataFrame, words: list[str], place: dict[int, int], d_eta: np.ndarray, penalty: float) -> list[str]:
     """Up to ROUND words, the worst first, whose gradient exceeds the penalty."""
     spark = counts.sparkSession
-    rows = spark.createDataFrame([(d, float(d_eta[i])) for d, i in place.items()], "label_id long, slope double")  # at most max_rows
-    mine = spark.createDataFrame([(w,) for w in words], "word string")
+    rows = spark.createDataFrame(pa.table({"label_id": pa.array(list(place), pa.int64()), "slope": pa.array(d_eta[list(place.values())], pa.float64())}))  # at most max_rows
+    mine = _given(spark, words)
     v = F.log1p("n")
     slope = counts.join(F.broadcast(rows), "label_id").groupBy("word").agg(F.abs(F.sum(v * F.col("slope"))).alias("g"), F.sum(v * v).alias("q"))
     over = (slope.join(stats.select("word"), "word").withColumn("g", F.col("g") / F.sqrt(F.col("q") / len(place)))

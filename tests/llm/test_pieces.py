@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -112,3 +113,22 @@ def test_units_are_arrays_and_rows_get_their_bytes_at_once(monkeypatch):
     rows = list(pc._chunk(v, list(range(6)), texts, 2, 7))
     assert calls == {"raws": 1, "pieces": 1} and all(r[-1] for r in rows)
     assert {r[0] for r in rows} == set(range(6)) and list(pc._chunk(v, [1, None], ["", ""], 2, 7))[1][:2] == (None, 1)
+
+
+def test_lattices_of_blocks_are_those_of_one_and_need_little_beside(monkeypatch):
+    """Building a chunk's lattices takes less than they hold; blocks of units give the same ones, also a unit larger than a block."""
+    v = pc.vocabulary(MODEL)
+    text = " ".join(map("".join, np.random.default_rng(3).choice(list("etaoinshrdlué7"), (30_000, 8)))) + " " + "x" * 3000
+    chars, at, _ = v.units([text])
+    _, distinct, size = pc._distinct(chars, at)
+    names = ("start", "end", "first", "src", "dst", "id", "logp", "cum")
+    tracemalloc.start()
+    want = pc.Lattice(v, distinct, size)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 2 * held
+    for block in (1000, 1 << 30):
+        monkeypatch.setattr(pc, "BLOCK_CHARS", block)
+        got = pc.Lattice(v, distinct, size)
+        assert all(np.array_equal(getattr(got, x), getattr(want, x)) for x in names)
+    assert all(len(getattr(pc.Lattice(v, distinct[:0], size[:0]), x)) == 0 for x in names)

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 import xxhash
@@ -86,3 +88,27 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.a: r.b for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{100 + i: 100 for i in range(1, 200)}, 500: 400}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_arrays_are_made_for_a_step_at_a_time():
+    """Bits of many shingles, and pairs of many fingerprints, take little memory at once."""
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 1 << 63, simhash.CHUNK, dtype=np.uint64)
+    sizes = np.array([0, 5, simhash.CHUNK - 1005, 0, 1000])
+    u = np.sort(rng.integers(0, 1 << 63, 40_000, dtype=np.uint64))
+    u[1::50] = u[::50] ^ np.uint64(5)
+    u = np.unique(u)
+    start = np.arange(0, len(u), 2000)
+    end = np.append(start[1:], len(u))
+    peaks, forest = [], simhash._Forest(len(u))
+    for step in (lambda: simhash._bits(h, sizes), lambda: simhash.trie_join(u, [start, end, start, end], 3, forest.link)):
+        tracemalloc.start()
+        got = step()
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+        if got is not None:
+            ones = [np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=int) for x in np.split(h, np.cumsum(sizes)[:-1])]
+            assert got.tolist() == [int("".join("01"[int(2 * o > n)] for o in c), 2) for c, n in zip(ones, sizes.tolist())]
+    assert max(peaks) < 70
+    root = np.concatenate([s + classes(u[s:e], 3) for s, e in zip(start.tolist(), end.tolist())])
+    assert np.array_equal(forest.root, root) and (root != np.arange(len(u))).sum() > 700

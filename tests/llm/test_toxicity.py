@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from cohortlens.llm import toxicity as tx
 
@@ -144,3 +145,12 @@ def test_a_stage_that_cannot_learn_lets_all_pass(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     kept = corpus_pipeline.keep_civil(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and kept.count() == 2
+
+
+def test_training_starts_no_python_workers_for_words_it_knows(spark, monkeypatch):
+    """A list of tuples goes through Python workers, which stay beside those of the next stages."""
+    rows = corpus(5, 200)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t, _ in rows], DOCS)
+    labels = spark.createDataFrame([(i, b) for i, _, b in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *x, **y: pytest.fail("a Python RDD"))
+    assert tx.train(docs, labels).words
